@@ -1 +1,178 @@
+"""Sources, sinks, incremental ingest and the daily batch: written to the shared folder and read back."""
 
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from catalog.base import register
+from catalog.derived import ALL_END, ALL_START, YEAR
+from granero.functions import numbers, text
+from granero.operators import positions
+from granero.plans import batch, deliveries as dl
+from granero.session import scratch_path
+from granero.sources import calendar, readers, sinks
+from granero.streaming import field_reports as fr
+
+# ---- sources -------------------------------------------------------------------------------------
+
+_TEXT = ("lpad(cast(o_orderkey AS string), 8, '0') AS acuse", "o_orderpriority AS estatus", "date_format(o_orderdate, 'dd/MM/yyyy') AS fecha")
+_TEXT_SQL = "SELECT lpad(CAST(o_orderkey AS VARCHAR), 8, '0') AS acuse, o_orderpriority AS estatus, strftime(o_orderdate, '%d/%m/%Y') AS fecha FROM orders"
+
+
+def _landed(r, *exprs, where: str = "true", bom: bool = False, **options) -> str:
+    path = scratch_path(r.spark, "entrada")
+    df = r.raw("orders").filter(where).selectExpr(*exprs)
+    if bom:
+        return sinks.export_csv(df, path)
+    df.write.options(header=True, **options).csv(path)
+    return path
+
+
+register("s1_read_text_csv", lambda r: readers.read_text_csv(r.spark, _landed(r, *_TEXT, bom=True)), "", _TEXT_SQL)
+register("s2_read_many", lambda r: readers.read_many(r.spark, [
+    _landed(r, *_TEXT, where="o_orderstatus = 'F'"), _landed(r, _TEXT[2], _TEXT[0], where="o_orderstatus <> 'F'")]), "",
+         _TEXT_SQL.replace("o_orderpriority AS", "CASE WHEN o_orderstatus = 'F' THEN o_orderpriority END AS"))
+register("s3_tag_source_file", lambda r: readers.tag_source_file(r.raw("nation")).select("n_name", "archivo").unionByName(
+    readers.tag_source_file(r.raw("region")).select(F.col("r_name").alias("n_name"), "archivo")), "",
+         "SELECT n_name, 'nation.parquet' AS archivo FROM nation UNION ALL SELECT r_name, 'region.parquet' FROM region")
+register("s4_encoding_and_separator", lambda r: readers.read_text_csv(
+    r.spark, _landed(r, *_TEXT[:2], "concat('ñandú ', o_custkey, ';') AS nota", encoding="ISO-8859-1", sep=";"), encoding="ISO-8859-1", sep=";"), "",
+         "SELECT lpad(CAST(o_orderkey AS VARCHAR), 8, '0') AS acuse, o_orderpriority AS estatus, 'ñandú ' || o_custkey || ';' AS nota FROM orders")
+register("s5_select_files", lambda r: readers.select_files(r.raw("orders"), ["rechazos", "resumen"]).select("o_orderkey").unionByName(
+    readers.select_files(r.raw("supplier").withColumnRenamed("s_suppkey", "o_orderkey"), ["supplier"]).select("o_orderkey")), "",
+         "SELECT o_orderkey FROM orders")
+register("s6_read_table", lambda r: readers.read_table(r.spark, r.folder, "orders"), "", "SELECT * FROM orders")
+
+
+def _by_year(r) -> str:
+    path = scratch_path(r.spark, "por-anio")
+    sinks.overwrite_table(r.raw("orders").withColumn("anio", F.year("o_orderdate")), path, ["anio"])
+    return path
+
+
+register("s7_table_for_year", lambda r: readers.table_for_year(r.spark.read.parquet(_by_year(r)), 1998), "",
+         "SELECT *, CAST(1998 AS INTEGER) AS anio FROM orders WHERE year(o_orderdate) = 1998")
+register("s8_date_dimension", lambda r: calendar.calendar_covering(r.raw("orders"), "o_orderdate"), "", """
+SELECT fecha, year(fecha) AS anio, month(fecha) AS mes, week(fecha) AS semana, day(fecha) AS dia,
+  ['Enero','Febrero','Marzo','Abril','Mayo','Junio','Julio','Agosto','Septiembre','Octubre','Noviembre','Diciembre'][month(fecha)] AS nombre_mes,
+  ['Lunes','Martes','Miércoles','Jueves','Viernes','Sábado','Domingo'][isodow(fecha)] AS nombre_dia, isodow(fecha) >= 6 AS es_fin_de_semana
+FROM (SELECT CAST(unnest(generate_series(min(o_orderdate), max(o_orderdate), INTERVAL 1 DAY)) AS DATE) AS fecha FROM orders) c""")
+register("s9_row_number_id", lambda r: positions.number_rows(
+    r.order_lines().select("fecha", F.col("id_pedido").alias("folio"), "estatus_pedido_detalle"), ["fecha", "folio"], "id_pedido")
+         .filter("estatus_pedido_detalle = 'Autorizado'").drop("total"), "order_lines", """
+SELECT * FROM (SELECT fecha, id_pedido AS folio, estatus_pedido_detalle, row_number() OVER (ORDER BY fecha, id_pedido) AS id_pedido FROM order_lines) x
+WHERE estatus_pedido_detalle = 'Autorizado'""")
+
+# ---- sinks ---------------------------------------------------------------------------------------
+
+
+def _progress_csv(r):
+    path = sinks.export_csv(dl.progress_by_state(r.deliveries(), r.centres()), scratch_path(r.spark, "avances"))
+    back = readers.read_text_csv(r.spark, path)
+    return back.select("estado", *[F.col(c).cast("double").alias(c) for c in back.columns[1:]])
+
+
+register("k1_export_csv", _progress_csv, "centres deliveries", """
+SELECT estado, CAST(count(*) AS DOUBLE) AS derechohabientes_apoyados, CAST(coalesce(sum(ton_dap_entregada), 0) AS DOUBLE) AS dap_ton_entregada,
+  CAST(coalesce(sum(ton_urea_entregada), 0) AS DOUBLE) AS urea_ton_entregada, CAST(sum(superficie_apoyada) AS DOUBLE) AS superficie_beneficiada,
+  CAST(coalesce(sum(ton_dap_entregada), 0) + coalesce(sum(ton_urea_entregada), 0) AS DOUBLE) AS total_ton_entregada
+FROM deliveries d JOIN centres rd ON rd.id_ceda_agricultura = d.cdf_entrega GROUP BY estado""")
+
+
+def _split_by_state(r):
+    days = dl.deliveries_by_day_state(r.deliveries(), r.centres()).select("estado", "fecha", "derechohabientes_apoyados")
+    path = sinks.export_split_by(days, text.file_safe(F.regexp_replace("estado", "NATION_", "Édén ")), scratch_path(r.spark, "por-estado"))
+    return r.spark.read.option("header", True).csv(path).select(
+        "estado", F.col("fecha").cast("date").alias("fecha"), F.col("derechohabientes_apoyados").cast("bigint").alias("n"), "particion")
+
+
+register("k2_export_split_by", _split_by_state, "centres deliveries", """
+SELECT estado, fecha_entrega AS fecha, count(*) AS n, replace(estado, 'NATION_', 'eden_') AS particion FROM deliveries d
+JOIN centres rd ON rd.id_ceda_agricultura = d.cdf_entrega WHERE fecha_entrega IS NOT NULL GROUP BY 1, 2""")
+register("k3_split_even", lambda r: positions.split_even(r.registry().select("municipio_predio_inegi", "acuse_estatal"),
+                                                         ["municipio_predio_inegi", "acuse_estatal"], 7), "registry",
+         "SELECT municipio_predio_inegi, acuse_estatal, CAST(ntile(7) OVER (ORDER BY municipio_predio_inegi, acuse_estatal) AS INTEGER) AS parte FROM registry")
+register("k4_split_halves", lambda r: positions.split_halves(r.raw("events").select("ts", "event_id"), ["ts", "event_id"]), "", """
+SELECT ts, event_id, CASE WHEN row_number() OVER (ORDER BY ts, event_id) <= (SELECT count(*) // 2 FROM events) THEN 1 ELSE 2 END AS parte FROM events""")
+register("k5_split_quarters", lambda r: positions.split_even(r.raw("orders").select("o_orderkey"), ["o_orderkey"], 4), "",
+         "SELECT o_orderkey, CAST(ntile(4) OVER (ORDER BY o_orderkey) AS INTEGER) AS parte FROM orders")
+
+
+def _one_year_again(r):
+    path = _by_year(r)
+    fresh = r.raw("orders").filter("year(o_orderdate) = 1998").withColumns({"anio": F.lit(1998), "o_orderstatus": F.lit("N")})
+    sinks.overwrite_table(fresh, path, ["anio"])
+    return r.spark.read.parquet(path)
+
+
+register("k6_overwrite_one_year", _one_year_again, "",
+         """SELECT * REPLACE (CASE WHEN year(o_orderdate) = 1998 THEN 'N' ELSE o_orderstatus END AS o_orderstatus), CAST(year(o_orderdate) AS INTEGER) AS anio FROM orders""")
+_CHECKED = ("cast(o_orderkey AS string) AS acuse", "CASE WHEN o_orderstatus = 'P' THEN 'x' ELSE cast(cast(o_totalprice AS decimal(18,2)) AS string) END AS dap",
+            "o_orderpriority AS estatus")
+register("k11_rejects", lambda r: sinks.rejects(r.raw("orders").selectExpr(*_CHECKED), "acuse", [
+    ("numeric", "dap", numbers.numeric_reject_reason(F.col("dap"), 7, 2)), ("text", "estatus", text.text_reject_reason(F.col("estatus"), 10))]), "", """
+SELECT 'numeric' AS tipo, 'dap' AS columna, CAST(o_orderkey AS VARCHAR) AS clave, CASE WHEN o_orderstatus = 'P' THEN 'x'
+  ELSE CAST(CAST(o_totalprice AS DECIMAL(18,2)) AS VARCHAR) END AS valor, CASE WHEN o_orderstatus = 'P' THEN 'no_convertible' ELSE 'overflow_7_2' END AS motivo
+FROM orders WHERE o_orderstatus = 'P' OR o_totalprice >= 100000
+UNION ALL SELECT 'text', 'estatus', CAST(o_orderkey AS VARCHAR), o_orderpriority, 'truncado_varchar_10' FROM orders WHERE length(o_orderpriority) > 10""")
+register("k12_load_summary", lambda r: sinks.load_summary(readers.tag_source_file(r.raw("customer")).selectExpr("archivo", "c_acctbal AS v").unionByName(
+    readers.tag_source_file(r.raw("supplier")).selectExpr("archivo", "abs(s_acctbal) AS v")), "archivo", F.col("v") < 0), "", """
+SELECT 'customer.parquet' AS archivo, count(*) AS registros, count(*) FILTER (c_acctbal < 0) AS incidencias, bool_or(c_acctbal < 0) AS con_incidencias FROM customer
+UNION ALL SELECT 'supplier.parquet', count(*), 0, FALSE FROM supplier""", big="incidencias")
+
+# ---- incremental ingest --------------------------------------------------------------------------
+
+_REPORT = ("CASE WHEN event_type <> 'error' THEN ts END AS fecha_y_hora", "concat(' ceda-', user_id, ' ') AS id_ceda_agricultura",
+           "cast(floor(value) AS int) AS bultos_dap", "upper(event_type) AS quien_reporta")
+_STORED = """
+SELECT ts AS fecha_y_hora, 'CEDA-' || user_id AS id_ceda_agricultura, CAST(floor(value) AS INTEGER) AS bultos_dap, event_type AS quien_reporta,
+  CAST(ts AS DATE) AS fecha_registro FROM events WHERE event_type <> 'error' GROUP BY ALL"""
+_SHOWN = ("fecha_y_hora", "id_ceda_agricultura", "bultos_dap", "quien_reporta", "fecha_registro")
+
+
+def _batch_twin(r):
+    raw, table = r.raw("events").selectExpr(*_REPORT), scratch_path(r.spark, "reportes")
+    fr.append_reports(raw.filter("bultos_dap > 20"), table)  # what an earlier run had stored
+    fr.append_reports(raw, table)
+    return fr.read_reports(raw, table).select(*_SHOWN)
+
+
+def _streamed(r):
+    raw, table = r.raw("events").selectExpr(*_REPORT), scratch_path(r.spark, "reportes")
+    for n in range(2):  # the second run re-reads everything and must add nothing
+        source = r.spark.readStream.schema(r.raw("events").schema).option("pathGlobFilter", "events*.parquet").parquet(r.folder)
+        fr.start_ingest(source.selectExpr(*_REPORT), table, scratch_path(r.spark, f"control-{n}")).awaitTermination()
+    return fr.read_reports(raw, table).select(*_SHOWN)
+
+
+def _replaced(r):
+    raw, table = r.raw("events").selectExpr(*_REPORT), scratch_path(r.spark, "reportes")
+    fr.replace_reports(raw, table)
+    return fr.read_reports(raw, table).select(*_SHOWN)
+
+
+register("k9_append_new_by_hash", _batch_twin, "", _STORED)
+register("r1_streaming_ingest", _streamed, "", _STORED)
+register("r2_replace_reports", _replaced, "", _STORED)
+
+# ---- daily batch ---------------------------------------------------------------------------------
+
+
+def _daily(r):
+    sources = {n: getattr(r, n)() for n in ("centres", "registry", "deliveries", "freight", "transfers", "remnants", "incidents")}
+    steps = batch.daily_steps(YEAR, ALL_START, ALL_END, ("NATION_3", "NATION_8"), ("NATION_7",))
+    return batch.report(r.spark, batch.run_daily(r.spark, sources, scratch_path(r.spark, "lote"), steps)).select("tabla", "estado", "filas")
+
+
+_DAYS = (ALL_END - ALL_START).days + 1
+_FIXED = """(SELECT coalesce(d.cdf_entrega, p.id_ceda_agricultura) AS c, estatus FROM registry p LEFT JOIN deliveries d ON d.acuse_estatal = p.acuse_estatal)"""
+_COUNTS = {
+    "entregas": "SELECT count(*) FROM deliveries", "padron": "SELECT count(*) FROM registry", "avance_operativo_ceda": "SELECT count(*) FROM centres",
+    "inventario_diario": f"SELECT count(*) * {_DAYS} FROM centres", "fletes_enriquecidos": "SELECT count(*) FROM freight",
+    "avance_por_listado": "SELECT count(*) FROM deliveries", "avance_listado_ceda": "SELECT count(DISTINCT cdf_entrega) FROM deliveries",
+    "avance_listado_estado": "SELECT count(DISTINCT rd.estado) FROM deliveries d JOIN centres rd ON rd.id_ceda_agricultura = d.cdf_entrega",
+    "metas_ceda_estatus": f"SELECT count(*) FROM (SELECT DISTINCT c, estatus FROM {_FIXED} x) y",
+    "avances_diarios_ceda_estatus": f"SELECT count(*) * 365 FROM (SELECT DISTINCT c, estatus FROM {_FIXED} x) y",
+}
+register("b1_daily_batch", _daily, "centres registry deliveries freight",
+         " UNION ALL ".join(f"SELECT '{n}' AS tabla, 'ok' AS estado, ({q}) AS filas" for n, q in _COUNTS.items()), big="filas")

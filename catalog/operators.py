@@ -1 +1,313 @@
+"""Filters, joins and corrections, aggregates, series, paging and options."""
 
+from __future__ import annotations
+
+import datetime as dt
+
+from pyspark.sql import functions as F
+
+from catalog.base import register
+from catalog.derived import (ALL_END, ALL_START, DAILY, END, ENRICHED, FLOW_DBL, FLOW_ROLES, FT, INV, ORD_REM, START, STOCK,
+                             _flows, _supply)
+from granero.functions import classify
+from granero.operators import dedupe, filters, series
+from granero.plans import deliveries as dl
+from granero.plans import freight, inventory, orders
+from granero.sources import sinks
+
+TODAY = dt.date(1998, 10, 1)
+
+# ---- filters -------------------------------------------------------------------------------------
+
+register("q1_filter_eq", lambda r: filters.filter_eq(r.freight(), {"estatus": "Entregado", "abreviacion_producto": "URE", "cdf_destino_final": ""}),
+         "freight", "SELECT * FROM freight WHERE estatus = 'Entregado' AND abreviacion_producto = 'URE'", dbl=FT)
+register("q2_filter_date_range", lambda r: filters.filter_date_range(r.freight(), "fecha_de_llegada", "15/01/1998", "1998-12-31")
+         .select("folio_del_flete", "fecha_de_llegada"), "freight",
+         """SELECT folio_del_flete, fecha_de_llegada FROM freight WHERE CAST(fecha_de_llegada AS DATE) BETWEEN DATE '1998-01-15' AND DATE '1998-12-31'""")
+register("q3_filter_iexact", lambda r: filters.filter_iexact(r.deliveries(), "curp_renapo", "xxxxxxx100hdf").select("acuse_estatal", "curp_renapo"),
+         "deliveries", "SELECT acuse_estatal, curp_renapo FROM deliveries WHERE upper(curp_renapo) = 'XXXXXXX100HDF'")
+register("q4_filter_in_list", lambda r: filters.filter_in_list(r.deliveries(), "cdf_entrega", " 1, 2\n\n 3 ,5\n", commas=True).select(
+    "acuse_estatal", "cdf_entrega"), "deliveries", "SELECT acuse_estatal, cdf_entrega FROM deliveries WHERE cdf_entrega IN ('1', '2', '3', '5')")
+register("q5_select_valid_columns", lambda r: filters.select_valid_columns(r.centres(), ["nada", "estado", "id_ceda_agricultura"]), "centres",
+         "SELECT estado, id_ceda_agricultura FROM centres")
+register("q6_default_to_yesterday", lambda r: filters.default_to_yesterday(r.order_lines(), "fecha", None, TODAY).select("id_pedido", "fecha"),
+         "order_lines", f"SELECT id_pedido, fecha FROM order_lines WHERE fecha < DATE '{TODAY}'")
+register("q7_since_first_movement", lambda r: filters.since_first_movement(
+    inventory.daily_stock(_flows(r), r.centres(), START, END), "id_ceda_agricultura", "fecha",
+    ["dap_ton_total_entrada", "urea_ton_total_entrada"], TODAY, dt.date(1998, 11, 30)), FLOW_ROLES, f"""
+SELECT s.* FROM (SELECT * FROM ({STOCK.replace(str(ALL_START), str(START)).replace(str(ALL_END), str(END))}) x) s
+JOIN (SELECT id_ceda_agricultura AS c, coalesce(min(fecha) FILTER (dap_ton_total_entrada > 0 OR urea_ton_total_entrada > 0), DATE '{TODAY}') AS m
+  FROM ({STOCK.replace(str(ALL_START), str(START)).replace(str(ALL_END), str(END))}) y GROUP BY 1) f ON f.c = s.id_ceda_agricultura
+WHERE s.fecha >= f.m AND s.fecha <= DATE '1998-11-30'""", dbl=f"{FLOW_DBL} {INV}")
+register("q9_filter_positive", lambda r: filters.filter_positive(r.centres(), "meta_dap_ton").select("id_ceda_agricultura", "meta_dap_ton"), "centres",
+         "SELECT id_ceda_agricultura, meta_dap_ton FROM centres WHERE meta_dap_ton > 0", dbl="meta_dap_ton")
+register("q10_only_authorised", lambda r: filters.only_authorised(r.order_lines()), "order_lines",
+         "SELECT * FROM order_lines WHERE estatus_pedido_detalle = 'Autorizado'", dbl="dap urea")
+register("q11_null_safe_difference", lambda r: r.deliveries().filter(dedupe.differs(F.col("ton_dap_entregada"), F.col("ton_urea_entregada")))
+         .select("acuse_estatal"), "deliveries", "SELECT acuse_estatal FROM deliveries WHERE ton_dap_entregada IS DISTINCT FROM ton_urea_entregada")
+register("q12_check_not_null", lambda r: dedupe.check_not_null(r.freight(), ["folio_del_flete", "fecha_de_salida", "fecha_de_entrega"]), "freight",
+         """SELECT count(*) FILTER (folio_del_flete IS NULL) AS folio_del_flete, count(*) FILTER (fecha_de_salida IS NULL) AS fecha_de_salida,
+  count(*) FILTER (fecha_de_entrega IS NULL) AS fecha_de_entrega FROM freight""")
+register("q13_bad_dates", lambda r: dedupe.bad_dates(r.raw("orders").selectExpr("o_orderkey", """CASE o_orderstatus
+    WHEN 'F' THEN date_format(o_orderdate, 'dd/MM/yyyy') WHEN 'O' THEN date_format(o_orderdate, 'yyyy-MM-dd') END AS fecha"""), "fecha", "d/M/yyyy"), "",
+         "SELECT o_orderkey, strftime(o_orderdate, '%Y-%m-%d') AS fecha FROM orders WHERE o_orderstatus = 'O'")
+register("q14_open_date_window", lambda r: filters.open_date_window(
+    r.registry().join(r.deliveries().select("acuse_estatal", "fecha_entrega"), "acuse_estatal", "left"), "fecha_entrega", dt.date(1998, 3, 31),
+    dt.date(1998, 5, 1)).select("acuse_estatal", "fecha_entrega"), "deliveries",
+         "SELECT acuse_estatal, fecha_entrega FROM deliveries WHERE fecha_entrega > DATE '1998-03-31' AND fecha_entrega < DATE '1998-05-01'")
+register("q15_has_coordinates", lambda r: filters.has_coordinates(r.centres()).select("id_ceda_agricultura", "latitud", "longitud"), "centres",
+         "SELECT id_ceda_agricultura, latitud, longitud FROM centres WHERE latitud IS NOT NULL AND longitud IS NOT NULL", dbl="latitud longitud")
+
+# ---- joins and corrections -----------------------------------------------------------------------
+
+register("j2_left_enrichment", lambda r: r.order_lines().join(freight.centre_context(r.centres()), F.col("folio_cdf") == F.col("id_ceda_agricultura"), "left"),
+         "centres order_lines", """SELECT o.*, rd.id_ceda_agricultura, rd.coordinacion_estatal AS unidad_operativa, rd.estado, rd.zona_operativa
+FROM order_lines o LEFT JOIN centres rd ON rd.id_ceda_agricultura = o.folio_cdf""", dbl="dap urea")
+register("j3_inner_registry", lambda r: r.deliveries().join(dedupe.first_per_key(
+    r.registry().select("acuse_estatal", "estatus"), ["acuse_estatal"]), "acuse_estatal").select("acuse_estatal", "estatus", "cdf_entrega"),
+         "registry deliveries", "SELECT d.acuse_estatal, estatus, cdf_entrega FROM deliveries d JOIN registry p ON p.acuse_estatal = d.acuse_estatal")
+register("j6_absent_receipts", lambda r: dedupe.rows_absent(r.registry(), r.deliveries(), "acuse_estatal").select("acuse_estatal").distinct(),
+         "registry deliveries", "SELECT acuse_estatal FROM registry EXCEPT SELECT acuse_estatal FROM deliveries")
+register("j7_removal_list", lambda r: dedupe.rows_absent(
+    r.raw("events").selectExpr("event_id", "CASE WHEN event_type <> 'error' THEN user_id END AS clave"),
+    r.raw("supplier").selectExpr("CASE WHEN s_acctbal > 0 THEN s_suppkey END AS baja"), "clave", "baja"), "",
+         """SELECT event_id, clave FROM (SELECT event_id, CASE WHEN event_type <> 'error' THEN user_id END AS clave FROM events) e
+WHERE clave IS NULL OR clave NOT IN (SELECT s_suppkey FROM supplier WHERE s_acctbal > 0)""")
+register("j9_present_receipts", lambda r: dedupe.rows_present(r.registry().select("acuse_estatal", "estatus"), r.deliveries(), "acuse_estatal"),
+         "registry deliveries", "SELECT acuse_estatal, estatus FROM registry WHERE acuse_estatal IN (SELECT acuse_estatal FROM deliveries)")
+_BASE = "o_orderkey AS folio", "o_orderpriority AS estatus"
+
+
+def _corrected(r):
+    fixed = r.raw("orders").filter("o_orderstatus = 'P'").selectExpr("o_orderkey + 5 AS folio", "'corregido' AS estatus")
+    return r.raw("orders").selectExpr(*_BASE), fixed
+
+
+register("j10_corrections_win", lambda r: dedupe.corrections_win(*_corrected(r), "folio"), "",
+         """SELECT o_orderkey AS folio, o_orderpriority AS estatus FROM orders WHERE o_orderkey NOT IN (SELECT o_orderkey + 5 FROM orders
+  WHERE o_orderstatus = 'P') UNION ALL SELECT o_orderkey + 5, 'corregido' FROM orders WHERE o_orderstatus = 'P'""")
+register("j10_corrections_append", lambda r: _corrected(r)[0].unionByName(_corrected(r)[1]), "",
+         """SELECT o_orderkey AS folio, o_orderpriority AS estatus FROM orders
+UNION ALL SELECT o_orderkey + 5, 'corregido' FROM orders WHERE o_orderstatus = 'P'""")
+register("j11_centre_from_deliveries", lambda r: dedupe.update_from(
+    r.registry().select("acuse_estatal", "id_ceda_agricultura"), r.deliveries(), F.upper(F.trim("acuse_estatal")), F.upper(F.trim("acuse_estatal")),
+    "id_ceda_agricultura", F.when(F.trim("cdf_entrega") != "", F.trim("cdf_entrega"))), "registry deliveries",
+         """SELECT p.acuse_estatal, coalesce(nullif(trim(d.cdf_entrega), ''), p.id_ceda_agricultura) AS id_ceda_agricultura
+FROM registry p LEFT JOIN deliveries d ON upper(trim(d.acuse_estatal)) = upper(trim(p.acuse_estatal))""")
+register("j11_surface_for_one_state", lambda r: dedupe.update_from(
+    r.deliveries().select("acuse_estatal", "estado_predio_capturada", F.col("superficie_apoyada").cast("bigint").alias("superficie_apoyada")), r.registry(),
+    F.col("acuse_estatal"), F.col("acuse_estatal"), "superficie_apoyada", F.col("superficie"), F.col("estado_predio_capturada") == "NATION_7"),
+         "registry deliveries", """SELECT d.acuse_estatal, estado_predio_capturada,
+  CASE WHEN estado_predio_capturada = 'NATION_7' AND p.superficie IS NOT NULL THEN p.superficie ELSE superficie_apoyada END AS superficie_apoyada
+FROM deliveries d LEFT JOIN registry p ON p.acuse_estatal = d.acuse_estatal""")
+# several suppliers share a nation: the lookup must not multiply rows
+register("j12_normalised_key_join", lambda r: dedupe.update_from(
+    r.raw("customer").selectExpr("c_custkey", "concat(' nation_', c_nationkey) AS clave", "c_acctbal AS saldo"),
+    r.raw("supplier").selectExpr("concat('Nation_', s_nationkey, ' ') AS clave", "s_acctbal AS saldo"),
+    F.upper(F.trim("clave")), F.upper(F.trim("clave")), "saldo", F.col("saldo")), "", """
+SELECT c_custkey, ' nation_' || c_nationkey AS clave, coalesce(m, c_acctbal) AS saldo FROM customer
+LEFT JOIN (SELECT s_nationkey, min(s_acctbal) AS m FROM supplier GROUP BY 1) s ON s_nationkey = c_nationkey""")
+register("j13_difference_report", lambda r: dedupe.difference_report(
+    r.deliveries().select("acuse_estatal", F.col("ton_dap_entregada").alias("dap_ton"), F.col("ton_urea_entregada").alias("urea_ton")),
+    r.registry(), "acuse_estatal", ["dap_ton", "urea_ton"]), "registry deliveries", """
+SELECT d.acuse_estatal, ton_dap_entregada AS dap_ton, ton_urea_entregada AS urea_ton, p.dap_ton AS dap_ton_ref, p.urea_ton AS urea_ton_ref
+FROM deliveries d JOIN registry p ON p.acuse_estatal = d.acuse_estatal
+WHERE ton_dap_entregada IS DISTINCT FROM p.dap_ton OR ton_urea_entregada IS DISTINCT FROM p.urea_ton""", dbl="dap_ton urea_ton dap_ton_ref urea_ton_ref")
+register("j14_map_lookup", lambda r: dedupe.map_lookup(
+    r.raw("customer").selectExpr("c_custkey", "c_nationkey AS clave", "c_mktsegment AS nombre", "c_acctbal AS saldo"),
+    r.raw("supplier").selectExpr("s_nationkey AS clave", "s_suppkey AS n", "s_name AS prov", "s_acctbal AS cuenta"),
+    "clave", {"nombre": "prov", "saldo": "cuenta"}, "n"), "", """
+SELECT c_custkey, c_nationkey AS clave, s_name AS nombre, s_acctbal AS saldo FROM customer
+LEFT JOIN (SELECT DISTINCT ON (s_nationkey) * FROM supplier ORDER BY s_nationkey, s_suppkey DESC) s ON s_nationkey = c_nationkey""")
+register("j16_conditional_updates", lambda r: dedupe.set_where(
+    dedupe.set_where(r.deliveries(), "superficie_apoyada", F.col("estado_predio_capturada").isin("NATION_3", "NATION_8"), F.lit(1)),
+    "ton_dap_entregada", (F.coalesce("ton_dap_entregada", F.lit(0)) == 0) & (F.coalesce("ton_urea_entregada", F.lit(0)) == 0),
+    (F.col("dap_anio_actual") * F.lit("0.025").cast("decimal(4,3)")).cast("decimal(18,3)")).select(
+    "acuse_estatal", "superficie_apoyada", "ton_dap_entregada"), "deliveries", """
+SELECT acuse_estatal, CASE WHEN estado_predio_capturada IN ('NATION_3', 'NATION_8') THEN 1 ELSE superficie_apoyada END AS superficie_apoyada,
+  CASE WHEN coalesce(ton_dap_entregada, 0) = 0 AND coalesce(ton_urea_entregada, 0) = 0 THEN dap_anio_actual * 0.025 ELSE ton_dap_entregada END
+  AS ton_dap_entregada FROM deliveries""", dbl="ton_dap_entregada")
+
+# ---- one row per key -----------------------------------------------------------------------------
+
+register("w3_first_per_key", lambda r: dedupe.first_per_key(r.raw("lineitem"), ["l_orderkey"], ["l_shipdate", "l_partkey"]), "", """
+SELECT * EXCLUDE (rn) FROM (SELECT *, row_number() OVER (PARTITION BY l_orderkey ORDER BY l_shipdate, l_partkey, l_suppkey, l_linenumber, l_quantity,
+  l_extendedprice, l_discount, l_tax, l_returnflag, l_linestatus) AS rn FROM lineitem) x WHERE rn = 1""")
+register("w4_keep_last", lambda r: dedupe.last_per_key(r.raw("events"), ["user_id"], ["ts", "event_id"]), "", """
+SELECT * EXCLUDE (rn) FROM (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) AS rn FROM events) x WHERE rn = 1""")
+register("w4_first_per_state_zone", lambda r: dedupe.first_per_key(
+    r.centres().select("estado", "zona_operativa", "id_ceda_agricultura", "nombre_cedas"), ["estado", "zona_operativa"], ["id_ceda_agricultura"]), "centres",
+         """SELECT DISTINCT ON (estado, zona_operativa) estado, zona_operativa, id_ceda_agricultura, nombre_cedas FROM centres
+ORDER BY estado, zona_operativa, id_ceda_agricultura""")
+register("k13_duplicate_rows", lambda r: sinks.duplicate_rows(r.raw("lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_shipdate"), "l_orderkey"), "",
+         "SELECT l_orderkey, l_linenumber, l_partkey, l_shipdate FROM lineitem WHERE l_orderkey IN (SELECT l_orderkey FROM lineitem GROUP BY 1 HAVING count(*) > 1)")
+register("k13_empty_keys", lambda r: sinks.empty_key_rows(r.raw("orders").selectExpr(
+    "o_orderkey", "CASE o_orderstatus WHEN 'F' THEN o_orderpriority WHEN 'O' THEN '  ' END AS clave"), "clave"), "",
+         "SELECT o_orderkey, CASE WHEN o_orderstatus = 'O' THEN '  ' END AS clave FROM orders WHERE o_orderstatus <> 'F'")
+
+# ---- upserts as row sets -------------------------------------------------------------------------
+
+
+def _incoming(r):
+    return r.raw("orders").filter("o_orderpriority = '2-HIGH'").selectExpr(
+        "o_orderkey * 2 AS o_orderkey", "o_custkey", "'X' AS o_orderstatus", "o_totalprice", "o_orderdate", "o_orderpriority")
+
+
+_INCOMING = """SELECT o_orderkey * 2 AS o_orderkey, o_custkey, 'X' AS o_orderstatus, o_totalprice, o_orderdate, o_orderpriority
+  FROM orders WHERE o_orderpriority = '2-HIGH'"""
+register("k7_upsert", lambda r: sinks.upsert(r.raw("orders"), _incoming(r), ["o_orderkey"]), "",
+         f"SELECT * FROM orders WHERE o_orderkey NOT IN (SELECT o_orderkey FROM ({_INCOMING}) i) UNION ALL {_INCOMING}")
+register("k8_insert_if_absent", lambda r: sinks.new_rows(r.raw("orders"), _incoming(r), ["o_orderkey"]), "",
+         f"SELECT * FROM ({_INCOMING}) i WHERE o_orderkey NOT IN (SELECT o_orderkey FROM orders)")
+register("k10_replace_where", lambda r: sinks.replace_where(
+    r.raw("orders").select("o_orderkey", F.when(F.col("o_orderstatus") != "P", F.col("o_orderpriority")).alias("p")),
+    F.col("p").isin("1-URGENT", "5-LOW"), r.raw("customer").selectExpr("c_custkey AS o_orderkey", "'1-URGENT' AS p")), "", """
+SELECT o_orderkey, CASE WHEN o_orderstatus <> 'P' THEN o_orderpriority END AS p FROM orders
+WHERE o_orderstatus = 'P' OR o_orderpriority NOT IN ('1-URGENT', '5-LOW') UNION ALL SELECT c_custkey, '1-URGENT' FROM customer""")
+
+# ---- aggregates ----------------------------------------------------------------------------------
+
+register("a1_group_sums", lambda r: r.raw("lineitem").groupBy("l_suppkey", "l_returnflag", "l_linestatus").agg(
+    F.count("*").alias("n"), F.sum(F.col("l_quantity").cast("decimal(18,3)")).alias("q")), "",
+         "SELECT l_suppkey, l_returnflag, l_linestatus, count(*) AS n, sum(CAST(l_quantity AS DECIMAL(18,3))) AS q FROM lineitem GROUP BY 1, 2, 3", dbl="q")
+
+
+def _surface_report(r):
+    rows = r.deliveries().withColumn("ha", F.col("dap_anio_actual") - 3).filter("ha >= 0")
+    return rows.groupBy(classify.bucket_surface(F.col("ha")).alias("rango"), classify.surface_order(F.col("ha")).alias("orden")).agg(
+        F.count_distinct("curp_renapo").alias("productores"), F.sum("ha").alias("superficie_total_ha"),
+        F.sum("ton_dap_entregada").alias("dap"), F.sum("ton_urea_entregada").alias("urea"),
+        (F.coalesce(F.sum("ton_dap_entregada"), F.lit(0)) + F.coalesce(F.sum("ton_urea_entregada"), F.lit(0))).alias("total"))
+
+
+register("a7_distinct_by_surface", _surface_report, "deliveries", """
+SELECT CASE WHEN ha < 5 THEN '0 a 4' WHEN ha < 10 THEN '5 a 9' WHEN ha < 15 THEN '10 a 14' WHEN ha < 20 THEN '15 a 19' ELSE '20 o más' END AS rango,
+  CAST(least(floor(ha / 5), 4) AS INTEGER) AS orden, count(DISTINCT curp_renapo) AS productores, sum(ha) AS superficie_total_ha,
+  sum(ton_dap_entregada) AS dap, sum(ton_urea_entregada) AS urea, coalesce(sum(ton_dap_entregada), 0) + coalesce(sum(ton_urea_entregada), 0) AS total
+FROM (SELECT *, dap_anio_actual - 3 AS ha FROM deliveries) d WHERE ha >= 0 GROUP BY 1, 2""", dbl="dap urea total", big="superficie_total_ha")
+STATUSES = ["Acceso Directo 2024", "Acceso Directo 2025", "Nuevo Ingreso 2025", "NUEVO INGRESO complemento"]
+
+
+def _pivot(r):
+    rows = r.registry().join(r.deliveries().select("acuse_estatal", F.lit(1).alias("entregado")), "acuse_estatal", "left")
+    wide = rows.groupBy("municipio_predio_inegi").pivot("estatus", STATUSES).agg(
+        F.count(F.lit(1)).alias("total"), F.count("entregado").alias("entregados"), F.sum("dap_ton").alias("dap"))
+    return wide.select("municipio_predio_inegi", *[
+        F.coalesce(F.col(f"`{s}_{m}`"), F.lit(0)).alias(f"{s.replace(' ', '_')}__{m}") for s in STATUSES for m in ("total", "entregados", "dap")])
+
+
+register("a8_pivot_by_status", _pivot, "registry deliveries", "SELECT municipio_predio_inegi, " + ", ".join(
+    f"count(*) FILTER (estatus = '{s}') AS \"{s.replace(' ', '_')}__total\", count(d.acuse_estatal) FILTER (estatus = '{s}') AS \"{s.replace(' ', '_')}__entregados\", "
+    f"coalesce(sum(dap_ton) FILTER (estatus = '{s}'), 0) AS \"{s.replace(' ', '_')}__dap\"" for s in STATUSES)
+    + " FROM registry p LEFT JOIN deliveries d ON d.acuse_estatal = p.acuse_estatal GROUP BY 1",
+    dbl=" ".join(f"{s.replace(' ', '_')}__dap" for s in STATUSES))
+
+# ---- daily series --------------------------------------------------------------------------------
+
+
+def _daily(r):
+    return dl.deliveries_by_day(r.deliveries(), START, END)
+
+
+def _supply_days(r):
+    return orders.supply_by_day(r.freight(), r.remnants(), START, END, with_transit=False)
+
+
+_V = "total_ton_entregada"
+_POS = f"(SELECT * FROM ({DAILY}) d WHERE total_ton_entregada > 0)"
+_REC = f"(SELECT fecha, total_recibido_ton FROM ({_supply(False)}) s WHERE total_recibido_ton > 0)"
+_BOTH = (f"(SELECT coalesce(a.fecha, b.fecha) AS fecha, coalesce(total_recibido_ton, 0) AS total_recibido_ton, coalesce({_V}, 0) AS {_V} "
+         f"FROM {_REC} a FULL JOIN {_POS} b ON a.fecha = b.fecha)")
+_2 = f"total_recibido_ton {_V}"
+
+
+def _both(r):
+    left = filters.filter_positive(_supply_days(r), "total_recibido_ton").select("fecha", "total_recibido_ton")
+    return dedupe.full_outer_by_date(left, filters.filter_positive(_daily(r), _V).select("fecha", _V))
+
+
+register("w5_cumulative_series", lambda r: series.cumulative(_daily(r), _V, "acumulado"), "deliveries",
+         f"SELECT fecha, sum({_V}) OVER (ORDER BY fecha) AS acumulado FROM {_POS} p", dbl="acumulado")
+register("w6_gaps_as_of", lambda r: series.gaps_as_of({
+    "proyectado": (orders.projection_by_day(r.projection(), START, END), "abasto_proy_ton"),
+    "abasto": (orders.supply_by_day(r.freight(), r.remnants(), START, END), "total_recibido_ton"),
+    "entregado": (_daily(r), _V),
+    "pedido": (orders.orders_and_remnants_by_day(r.order_lines(), r.remnants(), START, END), "pedido_total_ton")}, TODAY),
+         "freight remnants deliveries order_lines projection", f"""
+SELECT p AS proyectado, a AS abasto, e AS entregado, o AS pedido, a - p AS abasto_menos_proyectado, e - p AS entregado_menos_proyectado,
+  o - a AS pedidos_por_atender, a - e AS inventario_mas_transito
+FROM (SELECT coalesce(sum(toneladas_programadas), 0) AS p FROM projection WHERE fecha >= DATE '{START}' AND fecha < DATE '{TODAY}') x,
+  (SELECT coalesce(sum(total_recibido_ton), 0) AS a FROM ({_supply(True)}) s WHERE fecha < DATE '{TODAY}') y,
+  (SELECT coalesce(sum({_V}), 0) AS e FROM ({DAILY}) d WHERE fecha < DATE '{TODAY}') z,
+  (SELECT coalesce(sum(pedido_total_ton), 0) AS o FROM ({ORD_REM}) q WHERE fecha < DATE '{TODAY}') w""",
+         dbl="proyectado abasto entregado pedido abasto_menos_proyectado entregado_menos_proyectado pedidos_por_atender inventario_mas_transito")
+register("w7_weekly_peak_days", lambda r: series.weekly_peak_days(filters.filter_positive(_daily(r), "derechohabientes_apoyados"), ["derechohabientes_apoyados"]),
+         "deliveries", f"""
+SELECT anio_iso, semana, fecha, valor FROM (SELECT isoyear(fecha) AS anio_iso, week(fecha) AS semana, fecha, derechohabientes_apoyados AS valor,
+  row_number() OVER (PARTITION BY isoyear(fecha), week(fecha) ORDER BY derechohabientes_apoyados DESC, fecha) AS rn
+  FROM ({DAILY}) d WHERE derechohabientes_apoyados > 0 AND isodow(fecha) <= 4) x WHERE rn = 1""")
+register("w7_weekly_peak_of_two", lambda r: series.weekly_peak_days(_both(r), ["total_recibido_ton", _V], with_year=False),
+         "freight remnants deliveries", f"""
+SELECT semana, fecha, valor FROM (SELECT week(fecha) AS semana, fecha, total_recibido_ton + {_V} AS valor,
+  row_number() OVER (PARTITION BY week(fecha) ORDER BY total_recibido_ton + {_V} DESC, fecha) AS rn FROM {_BOTH} b WHERE isodow(fecha) <= 4) x WHERE rn = 1""",
+         dbl="valor")
+register("w8_penultimate_date", lambda r: series.penultimate_date(filters.filter_positive(_daily(r), _V)), "deliveries",
+         f"SELECT fecha FROM {_POS} p ORDER BY fecha DESC LIMIT 1 OFFSET 1")
+_FLAGS = f"""
+SELECT * FROM (SELECT fecha, %s, isodow(fecha) = 5 AND NOT (%s fecha = f AND f <> m) AS es_viernes, rn = 2 AS es_penultima, %s, %s AS es_pico
+FROM (SELECT *, max(fecha) OVER () AS m, max(CASE WHEN isodow(fecha) = 5 THEN fecha END) OVER () AS f, row_number() OVER (ORDER BY fecha DESC) AS rn, %s
+  FROM %s b) y) z WHERE es_viernes OR es_penultima OR es_pico"""
+register("w9_label_days", lambda r: series.label_days(filters.filter_positive(freight.shipments_by_day(r.freight()), "total_ton_enviadas"),
+                                                      ["total_ton_enviadas"], drop_last_friday=True), "freight",
+         _FLAGS % ("total_ton_enviadas", "", "umbral_total_ton_enviadas", "total_ton_enviadas >= umbral_total_ton_enviadas",
+                   "quantile_cont(CAST(total_ton_enviadas AS DOUBLE), 0.75) OVER () AS umbral_total_ton_enviadas",
+                   """(SELECT fecha_de_salida AS fecha, sum(CASE WHEN abreviacion_producto IN ('DAP', 'URE') THEN toneladas_iniciales ELSE 0 END)
+  AS total_ton_enviadas FROM freight WHERE fecha_de_salida IS NOT NULL GROUP BY 1 HAVING total_ton_enviadas > 0)"""), dbl="total_ton_enviadas")
+register("w9_label_days_of_two", lambda r: series.label_days(_both(r), ["total_recibido_ton", _V]), "freight remnants deliveries",
+         _FLAGS % (f"total_recibido_ton, {_V}", "FALSE AND", f"umbral_total_recibido_ton, umbral_{_V}",
+                   f"total_recibido_ton >= umbral_total_recibido_ton OR {_V} >= umbral_{_V}",
+                   f"quantile_cont(CAST(total_recibido_ton AS DOUBLE), 0.75) OVER () AS umbral_total_recibido_ton, "
+                   f"quantile_cont(CAST({_V} AS DOUBLE), 0.75) OVER () AS umbral_{_V}", _BOTH), dbl=_2)
+register("a11_quantile", lambda r: series.quantile_of(r.raw("orders"), "o_totalprice", 0.75).select(F.round("cuantil", 6).alias("cuantil")), "",
+         "SELECT round(quantile_cont(o_totalprice, 0.75), 6) AS cuantil FROM orders")
+register("a9_iso_week_sums", lambda r: series.iso_week_sums(_daily(r), [_V]), "deliveries", f"""
+SELECT CAST(isoyear(fecha) AS VARCHAR) || '-' || lpad(CAST(week(fecha) AS VARCHAR), 2, '0') AS semana, sum({_V}) AS {_V} FROM ({DAILY}) d GROUP BY 1""", dbl=_V)
+# severe losses are rare, so some weeks have none
+_SAT = "fecha_incidente + CAST((6 - isodow(fecha_incidente) + 7) % 7 AS INTEGER)"
+register("a9_saturday_week_sums", lambda r: series.saturday_week_sums(
+    r.incidents().filter("ton_incidencia >= 3.9").groupBy(F.col("fecha_incidente").alias("fecha")).agg(F.sum("ton_incidencia").alias("ton")), ["ton"]),
+         "incidents", f"""
+SELECT CAST(s AS DATE) AS fin_semana, week(CAST(s AS DATE)) AS semana, ton
+FROM (SELECT unnest(generate_series(min({_SAT}), max({_SAT}), INTERVAL 7 DAY)) AS s FROM incidents WHERE ton_incidencia >= 3.9) g
+LEFT JOIN (SELECT {_SAT} AS f, sum(ton_incidencia) AS ton FROM incidents WHERE ton_incidencia >= 3.9 GROUP BY 1) w ON w.f = CAST(g.s AS DATE)""", dbl="ton")
+register("a10_series_kpis", lambda r: series.series_kpis(_daily(r), "derechohabientes_apoyados", 2062239).select(
+    "total", "maximo", "minimo", F.round("promedio", 6).alias("promedio"), F.round("porcentaje", 6).alias("porcentaje")), "deliveries", f"""
+SELECT sum(n) AS total, max(n) AS maximo, min(n) AS minimo, round(avg(CAST(n AS DOUBLE)), 6) AS promedio, round(CAST(sum(n) AS DOUBLE) * 100 / 2062239, 6) AS porcentaje
+FROM (SELECT derechohabientes_apoyados AS n FROM ({DAILY}) d WHERE derechohabientes_apoyados > 0) x""", big="total maximo minimo")
+register("j8_full_outer_by_date", _both, "freight remnants deliveries", f"SELECT * FROM {_BOTH} b", dbl=_2)
+register("w1_running_totals", lambda r: series.cumulative(_supply_days(r), "total_recibido_ton", "acum"), "freight remnants",
+         f"SELECT fecha, sum(total_recibido_ton) OVER (ORDER BY fecha ROWS UNBOUNDED PRECEDING) AS acum FROM {_REC} x", dbl="acum")
+
+# ---- paging, options, sets -----------------------------------------------------------------------
+
+register("l1_null_order", lambda r: r.freight().orderBy(*filters.order_sql_style("-fecha_de_entrega", "folio_del_flete")).limit(500)
+         .select("folio_del_flete", "fecha_de_entrega"), "freight",
+         "SELECT folio_del_flete, fecha_de_entrega FROM freight ORDER BY fecha_de_entrega DESC NULLS FIRST, folio_del_flete LIMIT 500")
+register("l2_page", lambda r: filters.page(r.freight().select("folio_del_flete", "fecha_de_salida", "toneladas_iniciales"), 3, 100,
+                                           "-fecha_de_salida", "folio_del_flete"), "freight", """
+SELECT folio_del_flete, fecha_de_salida, toneladas_iniciales FROM freight ORDER BY fecha_de_salida DESC NULLS FIRST, folio_del_flete LIMIT 100 OFFSET 200""",
+         dbl="toneladas_iniciales")
+register("l3_limit_with_full_summary", lambda r: freight.enriched_freight(r.freight(), r.centres()).orderBy("folio_del_flete").limit(10000)
+         .select("folio_del_flete", "estado"), "centres freight", f"SELECT folio_del_flete, estado FROM ({ENRICHED}) e ORDER BY folio_del_flete LIMIT 10000")
+register("l4_option_list", lambda r: filters.option_list(r.raw("orders").selectExpr("CASE o_orderstatus WHEN 'P' THEN '' ELSE o_orderpriority END AS opcion"), "opcion"), "",
+         "SELECT DISTINCT o_orderpriority AS opcion FROM orders WHERE o_orderstatus <> 'P'")
+register("l5_dependent_options", lambda r: filters.dependent_options(r.centres(), "zona_operativa", {"coordinacion_estatal": "ASIA", "estado": "NATION_2"}),
+         "centres", "SELECT DISTINCT zona_operativa FROM centres WHERE coordinacion_estatal = 'ASIA' AND estado = 'NATION_2'")
+register("l6_sorted_output", lambda r: r.centres().select("estado", "coordinacion_estatal", "zona_operativa", "id_ceda_agricultura").orderBy(
+    *filters.order_sql_style("estado", "coordinacion_estatal", "zona_operativa", "id_ceda_agricultura")), "centres",
+         "SELECT estado, coordinacion_estatal, zona_operativa, id_ceda_agricultura FROM centres ORDER BY 1, 2, 3, 4")
+register("u1_union_by_name", lambda r: r.raw("customer").selectExpr("c_custkey AS id", "c_name AS nombre", "c_mktsegment AS segmento").unionByName(
+    r.raw("supplier").selectExpr("s_name AS nombre", "s_suppkey AS id"), allowMissingColumns=True), "",
+         "SELECT c_custkey AS id, c_name AS nombre, c_mktsegment AS segmento FROM customer UNION ALL SELECT s_suppkey, s_name, NULL FROM supplier")
+register("u2_distinct", lambda r: r.registry().select("id_ceda_agricultura", "estatus").distinct(), "registry",
+         "SELECT DISTINCT id_ceda_agricultura, estatus FROM registry")

@@ -5,19 +5,23 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
 from granero.functions.dates import iso_week_label, iso_year, week_ending_saturday
 from granero.operators.filters import filter_positive
 
-WHOLE = Window.partitionBy()  # the whole series: one row per day
 FRIDAY = 4
 
 
+def _whole() -> WindowSpec:
+    """The whole series as one window: one row per day."""
+    return Window.partitionBy()
+
+
 def cumulative(daily: DataFrame, value: str, name: str, date: str = "fecha") -> DataFrame:
     """Running total over the days with a positive value."""
-    upto = WHOLE.orderBy(date).rowsBetween(Window.unboundedPreceding, 0)
+    upto = _whole().orderBy(date).rowsBetween(Window.unboundedPreceding, 0)
     return filter_positive(daily, value).select(date, F.sum(value).over(upto).alias(name))
 
 
@@ -54,7 +58,7 @@ def weekly_peak_days(daily: DataFrame, values: Sequence[str], with_year: bool =
 
 def penultimate_date(daily: DataFrame, date: str = "fecha") -> DataFrame:
     """Second latest date of the series, no row when there is only one."""
-    n = F.row_number().over(WHOLE.orderBy(F.desc(date)))
+    n = F.row_number().over(_whole().orderBy(F.desc(date)))
     return daily.select(date, n.alias("n")).filter("n = 2").select(date)
 
 
@@ -65,14 +69,14 @@ def label_days(daily: DataFrame, values: Sequence[str], drop_last_friday: bool =
     With `drop_last_friday`, the newest Friday counts only when it is the last date.
     """
     is_friday = F.weekday(date) == FRIDAY
-    last_friday = F.max(F.when(is_friday, F.col(date))).over(WHOLE)
-    last_date = F.max(date).over(WHOLE)
+    last_friday = F.max(F.when(is_friday, F.col(date))).over(_whole())
+    last_date = F.max(date).over(_whole())
     keep_friday = ~((F.col(date) == last_friday) & (last_friday != last_date)) if drop_last_friday else F.lit(True)
     flagged = daily.select(
         date, *values,
         (is_friday & keep_friday).alias("es_viernes"),
-        (F.row_number().over(WHOLE.orderBy(F.desc(date))) == 2).alias("es_penultima"),
-        *[F.percentile(F.col(v).cast("double"), F.lit(quantile)).over(WHOLE).alias(f"umbral_{v}") for v in values])
+        (F.row_number().over(_whole().orderBy(F.desc(date))) == 2).alias("es_penultima"),
+        *[F.percentile(F.col(v).cast("double"), F.lit(quantile)).over(_whole()).alias(f"umbral_{v}") for v in values])
     peak = F.lit(False)
     for v in values:
         peak = peak | (F.col(v).cast("double") >= F.col(f"umbral_{v}"))
@@ -92,7 +96,7 @@ def iso_week_sums(daily: DataFrame, values: Sequence[str], date: str = "fecha")
 def saturday_week_sums(daily: DataFrame, values: Sequence[str], date: str = "fecha") -> DataFrame:
     """Sums per week ending on Saturday; weeks without rows between the first and the last stay, with NULLs."""
     weeks = daily.groupBy(week_ending_saturday(F.col(date)).alias("w")).agg(*[F.sum(v).alias(v) for v in values])
-    nxt = F.coalesce(F.lead("w").over(WHOLE.orderBy("w")), F.date_add("w", 7))
+    nxt = F.coalesce(F.lead("w").over(_whole().orderBy("w")), F.date_add("w", 7))
     spans = weeks.withColumn("hasta", F.date_sub(nxt, 7))
     every = spans.select("w", *values, F.explode(F.expr("sequence(w, hasta, interval 7 days)")).alias("fin_semana"))
     return every.select("fin_semana", F.weekofyear("fin_semana").alias("semana"),

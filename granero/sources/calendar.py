@@ -35,3 +35,9 @@ def with_calendar_columns(df: DataFrame, date: str = "fecha") -> DataFrame:
 def date_dimension(spark: SparkSession, start: dt.date, end: dt.date) -> DataFrame:
     """The calendar table."""
     return with_calendar_columns(days_between(spark, start, end))
+
+
+def calendar_covering(df: DataFrame, date: str) -> DataFrame:
+    """The calendar table from the first to the last date of a table, whose bounds are one small aggregate."""
+    ends = df.agg(F.min(date).cast("date").alias("a"), F.max(date).cast("date").alias("b"))
+    return with_calendar_columns(ends.select(F.explode(F.sequence("a", "b")).alias("fecha")))
