@@ -52,6 +52,9 @@ def _with(body: str, *ctes: str) -> str:
 
 register("v1_targets_by_centre", lambda r: progress.targets_by_centre(r.registry(), r.centres()),
          "centres registry", _with(V1, UNIQ), dbl=META3, big="meta_dh meta_superficie")
+register("v1_targets_by_publication", lambda r: progress.targets_by_centre(r.registry(), r.centres(), by_publication=True),
+         "centres registry", _with(V1.replace("u.incorporacion, count", "u.incorporacion, u.fecha_de_publicacion, count"), UNIQ),
+         dbl=META3, big="meta_dh meta_superficie")
 register("v2_daily_progress", lambda r: progress.daily_progress(r.deliveries(), r.registry(), r.centres(), YEAR),
          "centres registry deliveries", _with(V2, UNIQ), dbl=TON5, big="avance_dh avance_superficie")
 register("v2_lost_progress",

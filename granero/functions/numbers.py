@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 WIDE = T.DecimalType(38, 9)
+TONS = "decimal(18,3)"  # fits a long, so sums stay cheap; 10^15 tons is out of reach
 BAG_TONS = "0.025"  # one bag weighs 25 kg
 
 
@@ -65,6 +66,11 @@ def clip_to_max(c: Column, precision: int, scale: int) -> Column:
     return F.when(n.isNotNull(), F.greatest(F.least(n, top), -top))
 
 
+def sum_tons(c: Column) -> Column:
+    """Exact sum of tons in the narrow type; a sum beyond it raises instead of being cut."""
+    return F.sum(c).cast(TONS)
+
+
 def bags_to_tons(c: Column) -> Column:
     """Bags times 0.025, three decimals."""
     return F.round(c.cast(T.DecimalType(18, 0)) * F.lit(BAG_TONS).cast(T.DecimalType(4, 3)), 3).cast(

@@ -13,30 +13,33 @@ def day_spans(facts: DataFrame, spine: DataFrame, keys: Sequence[str], measures:
               end: dt.date, date: str = "fecha", totals: Sequence[str] = ()) -> DataFrame:
     """J4, J5, W1 in short form: one row per key and movement day, reaching `hasta` (the day before the next one).
 
-    `facts` has at most one row per key and day, `spine` the keys to show. Keys outside the spine are lost, NULL keys
-    never match, as in the left join from spine to facts. `totals` adds running sums named `<measure>_acum`. Only
-    movement days travel through the single shuffle; `expand_days` fills the calendar afterwards, row by row.
+    `facts` has at most one row per key and day, `spine` one row per key to show. Keys outside the spine are lost,
+    NULL keys never match, as in the left join from spine to facts. `totals` adds running sums named `<measure>_acum`.
+    Only spine rows and movement days travel, through a single shuffle; the spine's other columns ride on its own rows
+    and spread over the key afterwards, so the movement days need no further join. `expand_days` fills the calendar.
     """
     known = F.lit(True)
     for k in keys:
         known = known & F.col(k).isNotNull()
-    moves = (facts.filter(known & F.col(date).between(F.lit(start), F.lit(end)))
-             .select(*keys, date, *measures, F.lit(False).alias("_listed")))
-    zeros = spine.select(*keys).distinct().select(
-        *keys, F.lit(start).alias(date),
-        *[F.lit(0).cast(facts.schema[m].dataType).alias(m) for m in measures], F.lit(True).alias("_listed"))
-    merged = (moves.unionByName(zeros).repartition(*keys).groupBy(*keys, date)
-              .agg(*[F.sum(m).alias(m) for m in measures], F.max("_listed").alias("_listed")))
+    carried = [c for c in spine.columns if c not in keys]
+    kind = {m: facts.schema[m].dataType for m in measures}
+    moves = facts.filter(known & F.col(date).between(F.lit(start), F.lit(end))).select(*keys, date, *measures)
+    zeros = spine.select(
+        *keys, F.lit(start).alias(date), *[F.lit(0).cast(kind[m]).alias(m) for m in measures],
+        F.struct(F.lit(True).alias("_listed"), *carried).alias("_spine"))
+    merged = (moves.unionByName(zeros, allowMissingColumns=True).repartition(*keys).groupBy(*keys, date)
+              .agg(*[F.coalesce(F.sum(m), F.lit(0)).cast(kind[m]).alias(m) for m in measures],
+                   F.max("_spine").alias("_spine")))
     by_key = Window.partitionBy(*keys)
     ordered = by_key.orderBy(date)
     upto = ordered.rowsBetween(Window.unboundedPreceding, 0)
     next_day = F.lead(date).over(ordered)
-    return (merged.select(
-        *keys, date, *[F.coalesce(F.col(m), F.lit(0)).alias(m) for m in measures],
-        *[F.sum(F.coalesce(F.col(m), F.lit(0))).over(upto).alias(f"{m}_acum") for m in totals],
+    spans = merged.select(
+        *keys, date, *measures, *[F.sum(m).over(upto).cast(kind[m]).alias(f"{m}_acum") for m in totals],
         F.date_sub(F.coalesce(next_day, F.date_add(F.lit(end), 1)), 1).alias("hasta"),
-        F.max("_listed").over(by_key).alias("_listed"))
-        .filter("_listed").drop("_listed"))
+        F.max("_spine").over(by_key).alias("_spine"))
+    return spans.filter("_spine IS NOT NULL").select(
+        *[c for c in spans.columns if c != "_spine"], *[F.col(f"_spine.{c}").alias(c) for c in carried])
 
 
 def expand_days(spans: DataFrame, measures: Sequence[str], date: str = "fecha") -> DataFrame:

@@ -9,12 +9,11 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from granero.functions.classify import days_late, reporting_compliance, stock_gap_class
-from granero.functions.numbers import bags_to_tons
+from granero.functions.numbers import TONS, bags_to_tons
 from granero.operators.daily import day_spans, expand_days
 from granero.plans.freight import DAP, DELIVERED, UREA, centre_context, has_status, product_sum
 
 FLOWS = ("dap_ton_total_entrada", "urea_ton_total_entrada", "dap_ton_total_salida", "urea_ton_total_salida")
-TONS = "decimal(18,3)"
 
 
 def _received() -> Column:
@@ -33,13 +32,23 @@ def _by_product(tons: str, product: str = "abreviacion_producto") -> tuple[Colum
     return F.when(F.col(product) == DAP, F.col(tons)), F.when(F.col(product) == UREA, F.col(tons))
 
 
-def move_flows(moves: DataFrame) -> list[DataFrame]:
-    """Transfers or carry-over: in at the destination on arrival when received, out at the origin on departure."""
-    return [
-        _flow(moves.filter(_received()), "id_ceda_agricultura", F.col("fecha_de_llegada"),
-              *_by_product("toneladas_en_el_destino"), inward=True),
-        _flow(moves, "cdf_origen", F.col("fecha_de_salida"), *_by_product("toneladas_iniciales"), inward=False),
-    ]
+def move_flows(moves: DataFrame) -> DataFrame:
+    """Transfers or carry-over: in at the destination on arrival when received, out at the origin on departure.
+
+    Both sides of a move come out of one scan.
+    """
+    none = F.lit(None).cast(TONS)
+    arrived = [c.cast(TONS) for c in _by_product("toneladas_en_el_destino")]
+    left = [c.cast(TONS) for c in _by_product("toneladas_iniciales")]
+
+    def side(centre: str, date: str, amounts: list[Column]) -> Column:
+        return F.struct(F.col(centre).alias("id_ceda_agricultura"), F.col(date).alias("fecha"),
+                        *[c.alias(n) for c, n in zip(amounts, FLOWS)])
+
+    sides = F.array_compact(F.array(
+        F.when(_received(), side("id_ceda_agricultura", "fecha_de_llegada", [*arrived, none, none])),
+        side("cdf_origen", "fecha_de_salida", [none, none, *left])))
+    return moves.select(F.explode(sides).alias("f")).select("f.*")
 
 
 def stock_flows(freight: DataFrame, transfers: DataFrame, remnants: DataFrame, incidents: DataFrame,
@@ -48,8 +57,8 @@ def stock_flows(freight: DataFrame, transfers: DataFrame, remnants: DataFrame, i
     return reduce(DataFrame.unionByName, [
         _flow(freight.filter(has_status(DELIVERED)), "id_ceda_agricultura", F.to_date("fecha_de_entrega"),
               *_by_product("toneladas_en_el_destino"), inward=True),
-        *move_flows(transfers),
-        *move_flows(remnants),
+        move_flows(transfers),
+        move_flows(remnants),
         _flow(incidents, "cdf_incidente", F.col("fecha_incidente"), *_by_product("ton_incidencia", "clave_producto"),
               inward=False),
         _flow(deliveries, "cdf_entrega", F.col("fecha_entrega"), F.col("ton_dap_entregada"),
@@ -59,7 +68,7 @@ def stock_flows(freight: DataFrame, transfers: DataFrame, remnants: DataFrame, i
 
 def _daily_flows(flows: DataFrame) -> DataFrame:
     return flows.filter("id_ceda_agricultura IS NOT NULL AND fecha IS NOT NULL").groupBy(
-        "id_ceda_agricultura", "fecha").agg(*[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in FLOWS])
+        "id_ceda_agricultura", "fecha").agg(*[F.coalesce(F.sum(c), F.lit(0)).cast(TONS).alias(c) for c in FLOWS])
 
 
 def daily_stock(flows: DataFrame, centres: DataFrame, start: dt.date, end: dt.date) -> DataFrame:
@@ -67,13 +76,15 @@ def daily_stock(flows: DataFrame, centres: DataFrame, start: dt.date, end: dt.da
 
     Movements are summed per centre and day before they are shuffled; days without movement carry the stock on.
     """
-    spans = day_spans(_daily_flows(flows), centres, ["id_ceda_agricultura"], FLOWS, start, end, totals=FLOWS)
+    names = centre_context(centres, "nombre_cedas").dropDuplicates(["id_ceda_agricultura"])
+    spans = day_spans(_daily_flows(flows), names, ["id_ceda_agricultura"], FLOWS, start, end, totals=FLOWS)
     stock = spans.select(
-        "id_ceda_agricultura", "fecha", "hasta", *FLOWS,
-        (F.col("dap_ton_total_entrada_acum") - F.col("dap_ton_total_salida_acum")).alias("dap_ton_inventario_acumulado"),
-        (F.col("urea_ton_total_entrada_acum") - F.col("urea_ton_total_salida_acum")).alias("urea_ton_inventario_acumulado"))
-    named = stock.join(centre_context(centres, "nombre_cedas"), "id_ceda_agricultura", "left")
-    return expand_days(named, FLOWS)
+        *names.columns, "fecha", "hasta", *FLOWS,
+        (F.col("dap_ton_total_entrada_acum") - F.col("dap_ton_total_salida_acum")).cast(TONS)
+        .alias("dap_ton_inventario_acumulado"),
+        (F.col("urea_ton_total_entrada_acum") - F.col("urea_ton_total_salida_acum")).cast(TONS)
+        .alias("urea_ton_inventario_acumulado"))
+    return expand_days(stock, FLOWS)
 
 
 def negative_stock(stock: DataFrame) -> DataFrame:
@@ -95,7 +106,7 @@ def current_stock(flows: DataFrame, centres: DataFrame, until: dt.date | None =
 
 def carry_over_flows(remnants: DataFrame) -> DataFrame:
     """The movements of carried-over stock alone."""
-    return reduce(DataFrame.unionByName, move_flows(remnants))
+    return move_flows(remnants)
 
 
 def stock_by_state(current: DataFrame) -> DataFrame:
@@ -138,8 +149,7 @@ def remnant_totals(remnants: DataFrame) -> DataFrame:
 
 def transfer_totals(transfers: DataFrame) -> DataFrame:
     """Transfers in by destination and out by origin, in one aggregate."""
-    both = reduce(DataFrame.unionByName, move_flows(transfers))
-    return both.groupBy("id_ceda_agricultura").agg(
+    return move_flows(transfers).groupBy("id_ceda_agricultura").agg(
         *[F.coalesce(F.sum(c), F.lit(0)).alias(n) for c, n in zip(FLOWS, (
             "dap_transferencia_entrada", "urea_transferencia_entrada", "dap_transferencia_salida",
             "urea_transferencia_salida"))])

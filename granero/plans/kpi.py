@@ -7,14 +7,13 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from granero.functions.numbers import pending, percent_of_target
+from granero.functions.numbers import TONS, pending, percent_of_target
 from granero.operators.filters import filter_eq
 from granero.plans.freight import DAP, DELIVERED, UREA, has_status
 from granero.plans.inventory import FLOWS, move_flows
 
 INFLOWS = ("dap_flete", "urea_flete", "dap_transfer", "urea_transfer", "dap_remanente", "urea_remanente")
 OUTFLOWS = ("dap_transf_out", "urea_transf_out", "dap_rem_out", "urea_rem_out")
-TONS = "decimal(18,3)"
 
 
 def operating_progress(freight: DataFrame, transfers: DataFrame, remnants: DataFrame, incidents: DataFrame,
@@ -26,8 +25,8 @@ def operating_progress(freight: DataFrame, transfers: DataFrame, remnants: DataF
     def part(df: DataFrame, centre: str, **cols: Column) -> DataFrame:
         return df.select(F.col(centre).alias("id_ceda_agricultura"), *[c.alias(n) for n, c in cols.items()])
 
-    def moves(df: DataFrame, names: tuple[str, ...]) -> list[DataFrame]:
-        return [part(f, "id_ceda_agricultura", **{n: F.col(c) for c, n in zip(FLOWS, names)}) for f in move_flows(df)]
+    def moves(df: DataFrame, names: tuple[str, ...]) -> DataFrame:
+        return part(move_flows(df), "id_ceda_agricultura", **{n: F.col(c) for c, n in zip(FLOWS, names)})
 
     def product(code: str, tons: str, column: str) -> Column:
         return F.when(F.col(column) == code, F.col(tons))
@@ -36,8 +35,8 @@ def operating_progress(freight: DataFrame, transfers: DataFrame, remnants: DataF
         part(freight.filter(has_status(DELIVERED)), "id_ceda_agricultura",
              dap_flete=product(DAP, "toneladas_en_el_destino", "abreviacion_producto"),
              urea_flete=product(UREA, "toneladas_en_el_destino", "abreviacion_producto")),
-        *moves(transfers, ("dap_transfer", "urea_transfer", "dap_transf_out", "urea_transf_out")),
-        *moves(remnants, ("dap_remanente", "urea_remanente", "dap_rem_out", "urea_rem_out")),
+        moves(transfers, ("dap_transfer", "urea_transfer", "dap_transf_out", "urea_transf_out")),
+        moves(remnants, ("dap_remanente", "urea_remanente", "dap_rem_out", "urea_rem_out")),
         part(incidents, "cdf_incidente", dap_incidente=product(DAP, "ton_incidencia", "clave_producto"),
              urea_incidente=product(UREA, "ton_incidencia", "clave_producto")),
         part(deliveries, "cdf_entrega", dap_dh=F.col("ton_dap_entregada"), urea_dh=F.col("ton_urea_entregada"),
@@ -45,7 +44,8 @@ def operating_progress(freight: DataFrame, transfers: DataFrame, remnants: DataF
     ]
     stacked = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
     names = [c for c in stacked.columns if c != "id_ceda_agricultura"]
-    sums = stacked.groupBy("id_ceda_agricultura").agg(*[F.sum(c).alias(c) for c in names])
+    sums = stacked.groupBy("id_ceda_agricultura").agg(*[
+        F.sum(c).cast("bigint" if c in ("dh_apoyados", "ha_apoyadas") else TONS).alias(c) for c in names])
     goal = centres.select("id_ceda_agricultura", F.col("coordinacion_estatal").alias("unidad_operativa"), "estado",
                           "meta_derechohabientes", "meta_superficie_ha", "meta_total_ton")
     return goal.join(sums, "id_ceda_agricultura", "left").select(

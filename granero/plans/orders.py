@@ -90,18 +90,17 @@ SUPPLY = ("dap_fletes_ton", "urea_fletes_ton", "dap_remanentes_ton", "urea_reman
 TRANSIT = ("dap_transito_ton", "urea_transito_ton")
 
 
-def _freight_in(freight: DataFrame, *keys: str) -> DataFrame:
-    got = freight.filter(has_status(DELIVERED) & F.col("fecha_de_entrega").isNotNull())
-    return got.groupBy(F.to_date("fecha_de_entrega").alias("fecha"), *keys).agg(
-        product_sum(DAP, "toneladas_en_el_destino").alias("dap_fletes_ton"),
-        product_sum(UREA, "toneladas_en_el_destino").alias("urea_fletes_ton"))
-
-
-def _freight_moving(freight: DataFrame, *keys: str) -> DataFrame:
-    moving = freight.filter(has_status(IN_TRANSIT) & F.col("fecha_de_salida").isNotNull())
-    return moving.groupBy(F.col("fecha_de_salida").alias("fecha"), *keys).agg(
-        product_sum(DAP, "toneladas_iniciales").alias("dap_transito_ton"),
-        product_sum(UREA, "toneladas_iniciales").alias("urea_transito_ton"))
+def _freight_days(freight: DataFrame, *keys: str, with_transit: bool = False) -> DataFrame:
+    """Tons received by delivery day and, with transit, tons under way by departure day, from one scan."""
+    got, moving = has_status(DELIVERED), has_status(IN_TRANSIT)
+    day = F.when(got, F.to_date("fecha_de_entrega"))
+    sums = [product_sum(DAP, F.when(got, F.col("toneladas_en_el_destino"))).alias("dap_fletes_ton"),
+            product_sum(UREA, F.when(got, F.col("toneladas_en_el_destino"))).alias("urea_fletes_ton")]
+    if with_transit:
+        day = day.when(moving, F.col("fecha_de_salida"))
+        sums += [product_sum(DAP, F.when(moving, F.col("toneladas_iniciales"))).alias("dap_transito_ton"),
+                 product_sum(UREA, F.when(moving, F.col("toneladas_iniciales"))).alias("urea_transito_ton")]
+    return freight.withColumn("fecha", day).filter("fecha IS NOT NULL").groupBy("fecha", *keys).agg(*sums)
 
 
 def _stacked(parts: list[DataFrame], keys: list[str]) -> DataFrame:
@@ -116,11 +115,8 @@ def _stacked(parts: list[DataFrame], keys: list[str]) -> DataFrame:
 def supply_by_day(freight: DataFrame, remnants: DataFrame, start: dt.date, end: dt.date,
                   with_transit: bool = True) -> DataFrame:
     """Received freight and carry-over (and freight under way) for every calendar day."""
-    parts = [_freight_in(freight), remnants_by_date(remnants)]
-    names = SUPPLY
-    if with_transit:
-        parts.append(_freight_moving(freight))
-        names = SUPPLY + TRANSIT
+    names = SUPPLY + TRANSIT if with_transit else SUPPLY
+    parts = [_freight_days(freight, with_transit=with_transit), remnants_by_date(remnants)]
     facts = _stacked(parts, ["fecha"]).filter(F.col("fecha").between(F.lit(start), F.lit(end)))
     days = on_calendar(days_between(freight.sparkSession, start, end), facts, names)
     return days.withColumn("total_recibido_ton", sum_of(*[F.col(c) for c in names]))
@@ -128,7 +124,7 @@ def supply_by_day(freight: DataFrame, remnants: DataFrame, start: dt.date, end:
 
 def supply_by_day_and_state(freight: DataFrame, remnants: DataFrame, centres: DataFrame) -> DataFrame:
     """Received freight and carry-over per day and state; summed per centre first."""
-    per_centre = _stacked([_freight_in(freight, "id_ceda_agricultura"),
+    per_centre = _stacked([_freight_days(freight, "id_ceda_agricultura"),
                            remnants_by_date(remnants, "id_ceda_agricultura")], ["fecha", "id_ceda_agricultura"])
     out = per_centre.join(centre_context(centres), "id_ceda_agricultura").groupBy("fecha", "estado").agg(
         *[F.sum(c).alias(c) for c in SUPPLY])

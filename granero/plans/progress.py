@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from granero.functions.classify import classify_list
 from granero.functions.dates import days_elapsed
+from granero.functions.numbers import sum_tons
 from granero.operators.daily import day_spans, expand_days
 from granero.operators.dedupe import first_per_key, rows_absent
 
@@ -25,26 +26,34 @@ def centre_names(centres: DataFrame) -> DataFrame:
     return first_per_key(named, ["id_ceda_agricultura"])
 
 
-def unique_registry(registry: DataFrame) -> DataFrame:
-    """One row per receipt, with the class of its list."""
-    slim = registry.select("acuse_estatal", "id_ceda_agricultura", "estatus", "superficie", "dap_ton", "urea_ton")
+def unique_registry(registry: DataFrame, *extra: str) -> DataFrame:
+    """One row per receipt, with the class of its list. The receipt is the key and never NULL."""
+    slim = registry.filter("acuse_estatal IS NOT NULL").select(
+        "acuse_estatal", "id_ceda_agricultura", "estatus", "superficie", "dap_ton", "urea_ton", *extra)
     return first_per_key(slim, ["acuse_estatal"]).withColumn("incorporacion", classify_list(F.col("estatus")))
 
 
-def targets_by_centre(registry: DataFrame, centres: DataFrame) -> DataFrame:
-    """V1: target counts and tons per centre and status.
+def _registry_sums(unique: DataFrame, *extra: str) -> DataFrame:
+    """Targets per registry centre and status; its rows are also the pairs that the daily grid shows."""
+    return unique.groupBy(*KEYS, *extra).agg(
+        F.count("*").alias("meta_dh"), F.sum("superficie").alias("meta_superficie"),
+        sum_tons(F.col("dap_ton")).alias("meta_dap_ton"), sum_tons(F.col("urea_ton")).alias("meta_urea_ton"),
+        sum_tons(F.col("dap_ton") + F.col("urea_ton")).alias("meta_total_ton"))
+
+
+def targets_by_centre(registry: DataFrame, centres: DataFrame, by_publication: bool = False) -> DataFrame:
+    """V1: target counts and tons per centre and status, in one variant also per publication date.
 
     The registry is summed per centre first; only those sums meet the centres. Centres outside the network then fall
     together under NULL, as they do when grouping by the network's columns. Total tons skip rows with a missing part.
     """
-    per_centre = unique_registry(registry).groupBy(*KEYS).agg(
-        F.count("*").alias("meta_dh"), F.sum("superficie").alias("meta_superficie"),
-        F.sum("dap_ton").alias("meta_dap_ton"), F.sum("urea_ton").alias("meta_urea_ton"),
-        F.sum(F.col("dap_ton") + F.col("urea_ton")).alias("meta_total_ton"))
+    extra = ("fecha_de_publicacion",) if by_publication else ()
+    sums = _registry_sums(unique_registry(registry, *extra), *extra)
     names = centre_names(centres)
-    joined = per_centre.withColumnRenamed("id_ceda_agricultura", "_id").join(
+    joined = sums.withColumnRenamed("id_ceda_agricultura", "_id").join(
         names, F.col("_id") == names.id_ceda_agricultura, "left")
-    return joined.groupBy(*CENTRE_COLUMNS, "estatus", "incorporacion").agg(*[F.sum(m).alias(m) for m in TARGETS])
+    return joined.groupBy(*CENTRE_COLUMNS, "estatus", "incorporacion", *extra).agg(
+        *[F.sum(m).cast(sums.schema[m].dataType).alias(m) for m in TARGETS])
 
 
 def _progress_facts(deliveries: DataFrame, unique: DataFrame, start: dt.date, end: dt.date) -> DataFrame:
@@ -54,17 +63,23 @@ def _progress_facts(deliveries: DataFrame, unique: DataFrame, start: dt.date, en
         F.col("cdf_entrega").alias("id_ceda_agricultura"), "estatus", "incorporacion",
         F.col("fecha_entrega").alias("fecha")).agg(
         F.count("*").alias("avance_dh"), F.sum("superficie_apoyada").alias("avance_superficie"),
-        F.sum("ton_dap_entregada").alias("avance_dap_ton"), F.sum("ton_urea_entregada").alias("avance_urea_ton"),
-        F.sum(F.col("ton_dap_entregada") + F.col("ton_urea_entregada")).alias("avance_total_ton"))
+        sum_tons(F.col("ton_dap_entregada")).alias("avance_dap_ton"),
+        sum_tons(F.col("ton_urea_entregada")).alias("avance_urea_ton"),
+        sum_tons(F.col("ton_dap_entregada") + F.col("ton_urea_entregada")).alias("avance_total_ton"))
 
 
 def _progress_spans(deliveries: DataFrame, registry: DataFrame, centres: DataFrame, year: int,
                     totals: tuple[str, ...] = ()) -> DataFrame:
+    """Movement days of every registry pair, with the names of its centre and its targets."""
     start, end = dt.date(year, 1, 1), dt.date(year, 12, 31)
     unique = unique_registry(registry)
-    facts = _progress_facts(deliveries, unique, start, end)
-    spans = day_spans(facts, unique, KEYS, MEASURES, start, end, totals=totals)
-    return spans.join(centre_names(centres), "id_ceda_agricultura", "left")
+    names = centre_names(centres).withColumn("_in_network", F.lit(True))
+    spine = _registry_sums(unique).join(names, "id_ceda_agricultura", "left")
+    # targets belong to centres of the network and to a named status
+    has_target = F.col("_in_network") & F.col("estatus").isNotNull()
+    spine = spine.select(*KEYS, *[c for c in CENTRE_COLUMNS if c not in KEYS],
+                         *[F.when(has_target, F.col(t)).alias(t) for t in TARGETS])
+    return day_spans(_progress_facts(deliveries, unique, start, end), spine, KEYS, MEASURES, start, end, totals=totals)
 
 
 def daily_progress(deliveries: DataFrame, registry: DataFrame, centres: DataFrame, year: int) -> DataFrame:
@@ -86,17 +101,17 @@ def lost_progress(deliveries: DataFrame, registry: DataFrame, year: int) -> Data
 def progress_vs_target(deliveries: DataFrame, registry: DataFrame, centres: DataFrame, year: int) -> DataFrame:
     """V3: daily progress with running totals (W1) and percent of the target."""
     spans = _progress_spans(deliveries, registry, centres, year, totals=MEASURES)
-    goal = targets_by_centre(registry, centres).select("id_ceda_agricultura", "estatus", *TARGETS)
-    days = expand_days(spans.join(goal, ["id_ceda_agricultura", "estatus"], "left"), MEASURES)
 
     def percent(done: str, target: str):
         share = F.round(F.try_divide(F.col(done).cast("decimal(18,3)") * 100, F.col(target).cast("decimal(18,3)")), 2)
-        return F.when(F.col(target) > 0, share).otherwise(0).cast("decimal(20,2)")
-
-    return days.select(
-        *CENTRE_COLUMNS, "estatus", "incorporacion", "fecha", *TARGETS, *MEASURES, *[f"{m}_acum" for m in MEASURES],
-        percent("avance_dh_acum", "meta_dh").alias("avance_pct_dh_acum"),
-        percent("avance_total_ton_acum", "meta_total_ton").alias("avance_pct_ton_acum"))
+        return F.when(F.col(target) > 0, share).otherwise(0).cast("decimal(18,2)")
+
+    # totals and percents hold for a whole span, so they are worked out before the days are filled in
+    days = expand_days(spans.withColumns({
+        "avance_pct_dh_acum": percent("avance_dh_acum", "meta_dh"),
+        "avance_pct_ton_acum": percent("avance_total_ton_acum", "meta_total_ton")}), MEASURES)
+    return days.select(*CENTRE_COLUMNS, "estatus", "incorporacion", "fecha", *TARGETS, *MEASURES,
+                       *[f"{m}_acum" for m in MEASURES], "avance_pct_dh_acum", "avance_pct_ton_acum")
 
 
 def target_and_progress(deliveries: DataFrame, registry: DataFrame, centres: DataFrame, year: int) -> DataFrame:
