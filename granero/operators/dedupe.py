@@ -54,13 +54,13 @@ def update_from(df: DataFrame, source: DataFrame, key: Column, source_key: Colum
     The source is reduced to one value per key first, so rows of `df` are never multiplied. Keys may be expressions
     (`upper(trim(x))`). The smallest value wins when a key carries several.
     """
-    fresh = source.select(source_key.alias("k"), value.alias("nuevo")).filter("k IS NOT NULL AND nuevo IS NOT NULL")
-    fresh = fresh.groupBy("k").agg(F.min("nuevo").alias("nuevo"))
-    joined = df.withColumn("k", key).join(fresh, "k", "left")
-    change = F.col("nuevo").isNotNull() & ~F.col(column).eqNullSafe(F.col("nuevo"))
+    fresh = source.select(source_key.alias("_clave"), value.alias("_nuevo")).filter(
+        "_clave IS NOT NULL AND _nuevo IS NOT NULL").groupBy("_clave").agg(F.min("_nuevo").alias("_nuevo"))
+    joined = df.withColumn("_clave", key).join(fresh, "_clave", "left")
+    change = F.col("_nuevo").isNotNull() & differs(F.col(column), F.col("_nuevo"))
     if when is not None:
         change = change & F.coalesce(when, F.lit(False))
-    return joined.withColumn(column, F.when(change, F.col("nuevo")).otherwise(F.col(column))).select(df.columns)
+    return joined.withColumn(column, F.when(change, F.col("_nuevo")).otherwise(F.col(column))).select(df.columns)
 
 
 def set_where(df: DataFrame, column: str, condition: Column, value: Column) -> DataFrame:
