@@ -55,7 +55,7 @@ def _moves(flag: str) -> str:
 SELECT *, CASE WHEN lower(trim(estatus)) = 'entregada' THEN cdf_destino_final ELSE cdf_destino_original END
   AS id_ceda_agricultura
 FROM (SELECT {_FOLIO} AS folio_transferencia,
-  CASE WHEN l_linenumber <= 3 THEN CAST(l_suppkey AS VARCHAR) ELSE 'EXTERNO' END AS cdf_origen,
+  CASE WHEN l_linenumber <= 5 THEN CAST(l_suppkey AS VARCHAR) ELSE 'EXTERNO' END AS cdf_origen,
   CASE WHEN l_tax < 0.02 THEN NULL WHEN l_tax < 0.04 THEN 'autorizada' ELSE ' Entregada' END AS estatus,
   CASE WHEN l_linestatus = 'F' THEN 'DAP' ELSE 'URE' END AS abreviacion_producto,
   CAST(l_quantity AS DECIMAL(18,3)) AS toneladas_iniciales,

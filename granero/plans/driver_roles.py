@@ -130,7 +130,7 @@ class Roles:
         li = lines.withColumn("n_cedas", self._centre_count())
         return li.selectExpr(
             "concat_ws('-', l_orderkey, l_linenumber, l_partkey, l_suppkey, date_format(l_shipdate, 'yyyyMMdd')) AS folio_transferencia",
-            "CASE WHEN l_linenumber <= 3 THEN cast(l_suppkey AS string) ELSE 'EXTERNO' END AS cdf_origen",
+            "CASE WHEN l_linenumber <= 5 THEN cast(l_suppkey AS string) ELSE 'EXTERNO' END AS cdf_origen",
             "CASE WHEN l_tax < 0.02 THEN NULL WHEN l_tax < 0.04 THEN 'autorizada' ELSE ' Entregada' END AS estatus",
             f"CASE {product} WHEN 'F' THEN 'DAP' ELSE 'URE' END AS abreviacion_producto",
             "cast(l_quantity AS decimal(18,3)) AS toneladas_iniciales",
