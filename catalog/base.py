@@ -47,7 +47,7 @@ def role_sql(roles: str, body: str) -> str:
 
 
 _N = "(SELECT count(*) FROM supplier)"
-_FOLIO = "concat_ws('-', l_orderkey, l_linenumber, l_partkey, l_suppkey, strftime(l_shipdate, '%Y%m%d'))"
+_FOLIO = "concat_ws('-', l_orderkey, l_linenumber, l_partkey, l_suppkey, CAST(l_shipdate AS DATE) - DATE '1970-01-01')"
 
 
 def _moves(flag: str) -> str:

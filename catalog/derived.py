@@ -96,15 +96,14 @@ ON t.id_ceda_agricultura = m.id_ceda_agricultura AND t.estatus = m.estatus""", U
          dbl=f"{TON5} {META3}", big="avance_dh avance_superficie meta_dh meta_superficie")
 
 V4 = """
-SELECT rd.coordinacion_estatal AS unidad_operativa, rd.estado, rd.zona_operativa, rd.nombre_cedas AS nombre_ceda,
-  dh.acuse_estatal, dh.curp_renapo AS curp, dc.primer_apellido, dc.segundo_apellido, dc.nombre,
-  dh.cdf_entrega AS id_ceda_agricultura, dc.fecha_de_publicacion AS fecha_publicacion, dh.fecha_entrega,
-  dc.estatus AS listado, CASE WHEN dc.estatus ILIKE '%nuevo ingreso%' THEN 'NUEVO_INGRESO' ELSE 'ACCESO_DIRECTO' END
-  AS tipo_incorporacion, dh.cultivo, dh.superficie_apoyada AS hectareas, dh.ton_dap_entregada AS dap_ton,
-  dh.ton_urea_entregada AS urea_ton, coalesce(dh.ton_dap_entregada, 0) + coalesce(dh.ton_urea_entregada, 0) AS total_ton,
-  dh.fecha_entrega - dc.fecha_de_publicacion + 1 AS dias_transcurridos_entrega
-FROM deliveries dh LEFT JOIN registry dc ON dc.acuse_estatal = dh.acuse_estatal
-LEFT JOIN centres rd ON rd.id_ceda_agricultura = dh.cdf_entrega"""
+SELECT c.coordinacion_estatal AS unidad_operativa, c.estado, c.zona_operativa, c.nombre_cedas AS nombre_ceda, e.*
+FROM (SELECT d.acuse_estatal, d.curp_renapo AS curp, p.primer_apellido, p.segundo_apellido, p.nombre, d.cdf_entrega AS id_ceda_agricultura,
+    p.fecha_de_publicacion AS fecha_publicacion, d.fecha_entrega, p.estatus AS listado,
+    CASE WHEN lower(coalesce(p.estatus, '')) LIKE '%nuevo ingreso%' THEN 'NUEVO_INGRESO' ELSE 'ACCESO_DIRECTO' END AS tipo_incorporacion,
+    d.cultivo, d.superficie_apoyada AS hectareas, d.ton_dap_entregada AS dap_ton, d.ton_urea_entregada AS urea_ton,
+    coalesce(d.ton_dap_entregada, 0) + coalesce(d.ton_urea_entregada, 0) AS total_ton,
+    date_diff('day', p.fecha_de_publicacion, d.fecha_entrega) + 1 AS dias_transcurridos_entrega
+  FROM deliveries d LEFT JOIN registry p USING (acuse_estatal)) e LEFT JOIN centres c USING (id_ceda_agricultura)"""
 _LIST = ", ".join(
     f"count(*) FILTER (tipo_incorporacion = '{c}') AS {p}_apoyados, " + ", ".join(
         f"coalesce(sum(CASE WHEN tipo_incorporacion = '{c}' THEN {m} END), 0) AS {p}_{m}"

@@ -10,6 +10,8 @@ from pyspark.sql import functions as F
 
 from granero.functions.dates import date_bound
 
+LONG_LIST = 1000  # entries beyond which an IN list costs more than a join
+
 
 def filter_eq(df: DataFrame, wanted: Mapping[str, object]) -> DataFrame:
     """Q1: all given equalities; an empty value means no filter."""
@@ -47,9 +49,12 @@ def split_list(text: str | None, commas: bool = False) -> list[str]:
 
 
 def filter_in_list(df: DataFrame, column: str, text: str | None, commas: bool = False) -> DataFrame:
-    """Q4: rows whose value is listed; an empty list means no filter."""
-    values = split_list(text, commas)
-    return df.filter(F.col(column).isin(values)) if values else df
+    """Q4: rows whose value is listed; an empty list means no filter. Long lists become a semi join."""
+    values = sorted(set(split_list(text, commas)))
+    if len(values) <= LONG_LIST:
+        return df.filter(F.col(column).isin(values)) if values else df
+    listed = df.sparkSession.createDataFrame([(v,) for v in values], f"`{column}` string")
+    return df.join(listed, column, "left_semi").select(df.columns)
 
 
 def select_valid_columns(df: DataFrame, wanted: Sequence[str] | None, default: Sequence[str] | None = None) -> DataFrame:

@@ -23,7 +23,7 @@ def _entries(df: DataFrame, role: str, name: Column, mail: Column, phone: Column
         "estado", "unidad_operativa", "zona_operativa", "id_ceda_agricultura", F.lit(role).alias("cargo"),
         nothing.alias("curp"), name.alias("nombre_completo"), mail.alias("correo_electronico"),
         phone.alias("telefono"), nothing.alias("comentarios"),
-        F.lit(now).cast("timestamp_ntz").alias("fecha_actualizacion"))
+        F.lit(now.isoformat(sep=" ")).cast("timestamp_ntz").alias("fecha_actualizacion"))
 
 
 def centre_contacts(centres: DataFrame, now: dt.datetime) -> DataFrame:

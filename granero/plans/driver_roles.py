@@ -109,7 +109,7 @@ class Roles:
             li = li.join(self.raw("part").select("p_partkey", "p_brand"), li.l_partkey == F.col("p_partkey"), "left")
             origin = "p_brand"
         return li.selectExpr(
-            "concat_ws('-', l_orderkey, l_linenumber, l_partkey, l_suppkey, date_format(l_shipdate, 'yyyyMMdd')) AS folio_del_flete",
+            "concat_ws('-', l_orderkey, l_linenumber, l_partkey, l_suppkey, unix_date(cast(l_shipdate AS date))) AS folio_del_flete",
             "CASE WHEN l_linestatus = 'F' AND l_tax = 0 THEN 'Cancelado' WHEN l_linestatus = 'F' THEN 'Entregado' ELSE 'AUTORIZADO' END AS estatus",
             "CASE l_returnflag WHEN 'A' THEN 'DAP' WHEN 'R' THEN 'URE' ELSE 'OTR' END AS abreviacion_producto",
             "cast(l_quantity AS decimal(18,3)) AS toneladas_iniciales",
@@ -129,7 +129,7 @@ class Roles:
     def _moves(self, lines: DataFrame, product: str) -> DataFrame:
         li = lines.withColumn("n_cedas", self._centre_count())
         return li.selectExpr(
-            "concat_ws('-', l_orderkey, l_linenumber, l_partkey, l_suppkey, date_format(l_shipdate, 'yyyyMMdd')) AS folio_transferencia",
+            "concat_ws('-', l_orderkey, l_linenumber, l_partkey, l_suppkey, unix_date(cast(l_shipdate AS date))) AS folio_transferencia",
             "CASE WHEN l_linenumber <= 5 THEN cast(l_suppkey AS string) ELSE 'EXTERNO' END AS cdf_origen",
             "CASE WHEN l_tax < 0.02 THEN NULL WHEN l_tax < 0.04 THEN 'autorizada' ELSE ' Entregada' END AS estatus",
             f"CASE {product} WHEN 'F' THEN 'DAP' ELSE 'URE' END AS abreviacion_producto",
@@ -152,7 +152,7 @@ class Roles:
     def incidents(self) -> DataFrame:
         """incidentes: the untouched line items (flag N)."""
         return self.raw("lineitem").filter("l_returnflag = 'N'").selectExpr(
-            "concat_ws('-', l_orderkey, l_linenumber, l_partkey, l_suppkey, date_format(l_shipdate, 'yyyyMMdd')) AS ln_folio_incidencia",
+            "concat_ws('-', l_orderkey, l_linenumber, l_partkey, l_suppkey, unix_date(cast(l_shipdate AS date))) AS ln_folio_incidencia",
             "cast(l_suppkey AS string) AS cdf_incidente",
             "CASE l_linestatus WHEN 'F' THEN 'DAP' ELSE 'URE' END AS clave_producto",
             "cast(cast(l_quantity AS decimal(18,3)) * cast(l_tax AS decimal(4,2)) AS decimal(18,3)) AS ton_incidencia",

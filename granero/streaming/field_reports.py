@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -25,10 +27,9 @@ def table_schema(raw: DataFrame) -> T.StructType:
     return T.StructType(list(raw.schema.fields) + [T.StructField(HASH, T.StringType()), T.StructField(DAY, T.DateType())])
 
 
-def unseen_reports(clean: DataFrame, stored: DataFrame) -> DataFrame:
+def unseen_reports(clean: DataFrame, stored: DataFrame, first: dt.date, last: dt.date) -> DataFrame:
     """K9: reports whose hash is not stored. Equal hashes share their day, so only the batch's days are compared."""
-    days = clean.agg(F.min(DAY), F.max(DAY)).first()
-    near = stored.filter(F.col(DAY).between(F.lit(days[0]), F.lit(days[1]))).select(DAY, HASH)
+    near = stored.filter(F.col(DAY).between(F.lit(first), F.lit(last))).select(DAY, HASH)
     return clean.join(near, [DAY, HASH], "left_anti").select(clean.columns)
 
 
@@ -38,10 +39,11 @@ def append_reports(raw: DataFrame, table: str) -> None:
     spark = raw.sparkSession
     spark.createDataFrame([], schema).write.mode("ignore").parquet(table)
     clean = clean_reports(raw)
-    if clean.isEmpty():
+    first, last = raw.agg(F.to_date(F.min("fecha_y_hora")), F.to_date(F.max("fecha_y_hora"))).first()
+    if first is None:
         return
     stored = spark.read.schema(schema).parquet(table)
-    unseen_reports(clean, stored).write.mode("append").partitionBy(DAY).parquet(table)
+    unseen_reports(clean, stored, first, last).write.mode("append").partitionBy(DAY).parquet(table)
 
 
 def start_ingest(reports: DataFrame, table: str, checkpoint: str) -> StreamingQuery:
