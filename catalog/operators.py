@@ -7,10 +7,10 @@ import datetime as dt
 from pyspark.sql import functions as F
 
 from catalog.base import register
-from catalog.derived import (ALL_END, ALL_START, DAILY, END, ENRICHED, FLOW_DBL, FLOW_ROLES, FT, INV, ORD_REM, START, STOCK,
+from catalog.derived import (ALL_END, ALL_START, CAL, DAILY, END, ENRICHED, FLOW_DBL, FLOW_ROLES, FT, INV, ORD_REM, START, STOCK,
                              _flows, _supply)
 from granero.functions import classify
-from granero.operators import dedupe, filters, series
+from granero.operators import daily, dedupe, filters, series
 from granero.plans import deliveries as dl
 from granero.plans import freight, inventory, orders
 from granero.sources import sinks
@@ -311,3 +311,45 @@ register("u1_union_by_name", lambda r: r.raw("customer").selectExpr("c_custkey A
          "SELECT c_custkey AS id, c_name AS nombre, c_mktsegment AS segmento FROM customer UNION ALL SELECT s_suppkey, s_name, NULL FROM supplier")
 register("u2_distinct", lambda r: r.registry().select("id_ceda_agricultura", "estatus").distinct(), "registry",
          "SELECT DISTINCT id_ceda_agricultura, estatus FROM registry")
+register("u3_set_difference", lambda r: r.registry().select("id_ceda_agricultura").distinct().join(
+    r.deliveries().filter("superficie_apoyada = 7 AND dap_anio_actual = 50").select(F.col("cdf_entrega").alias("id_ceda_agricultura")), "id_ceda_agricultura", "left_anti"),
+         "registry deliveries", "SELECT id_ceda_agricultura FROM registry EXCEPT SELECT cdf_entrega FROM deliveries WHERE superficie_apoyada = 7 AND dap_anio_actual = 50")
+
+# ---- parts of the derived tables on their own ----------------------------------------------------
+
+register("j1_star_left_joins", lambda r: r.deliveries().join(r.registry().select("acuse_estatal", "estatus"), "acuse_estatal", "left").join(
+    freight.centre_context(r.centres()), F.col("cdf_entrega") == F.col("id_ceda_agricultura"), "left").select("acuse_estatal", "estatus", "estado"),
+         "centres registry deliveries", """SELECT acuse_estatal, estatus, estado FROM deliveries LEFT JOIN registry USING (acuse_estatal)
+LEFT JOIN centres c ON c.id_ceda_agricultura = cdf_entrega""")
+
+
+def _order_facts(r):
+    return r.order_lines().groupBy(F.col("folio_cdf").alias("id_ceda_agricultura"), "estatus_suministro", "fecha").agg(
+        F.sum("dap").cast("decimal(18,3)").alias("dap"), F.count("*").alias("pedidos"))
+
+
+def _grid(r, totals=()):
+    pairs = r.order_lines().filter("urea IS NOT NULL").select(F.col("folio_cdf").alias("id_ceda_agricultura"), "estatus_suministro").distinct()
+    return daily.day_spans(_order_facts(r), pairs, ["id_ceda_agricultura", "estatus_suministro"], ("dap", "pedidos"), START, END, totals=totals)
+
+
+_GRID = f"""
+SELECT k.id_ceda_agricultura, k.estatus_suministro, c.fecha, coalesce(sum(dap), 0) AS dap, count(o.id_pedido) AS pedidos
+FROM (SELECT DISTINCT folio_cdf AS id_ceda_agricultura, estatus_suministro FROM order_lines WHERE urea IS NOT NULL) k CROSS JOIN {CAL} c
+LEFT JOIN order_lines o ON o.folio_cdf = k.id_ceda_agricultura AND o.estatus_suministro = k.estatus_suministro AND o.fecha = c.fecha GROUP BY 1, 2, 3"""
+register("j4_j5_calendar_grid", lambda r: daily.expand_days(_grid(r), ("dap", "pedidos")), "order_lines", _GRID, dbl="dap")
+_DONE = "sum(pedidos) OVER (PARTITION BY id_ceda_agricultura, estatus_suministro ORDER BY fecha)"
+register("w2_cumulative_percent", lambda r: daily.expand_days(_grid(r, ("pedidos",)).withColumn(
+    "pct", F.when(F.length("id_ceda_agricultura") > 1, F.round(F.col("pedidos_acum").cast("decimal(18,0)") * 100 / 40, 2)).otherwise(0).cast("decimal(18,2)")),
+    ("dap", "pedidos")).select("id_ceda_agricultura", "estatus_suministro", "fecha", "pedidos_acum", "pct"), "order_lines", f"""
+SELECT id_ceda_agricultura, estatus_suministro, fecha, {_DONE} AS pedidos_acum, CASE WHEN length(id_ceda_agricultura) > 1 THEN {_DONE} * 2.5 ELSE 0 END AS pct
+FROM ({_GRID}) g""", dbl="pct", big="pedidos_acum")
+register("a2_conditional_sums", lambda r: r.freight().groupBy("id_ceda_agricultura").agg(
+    F.count_if(freight.has_status("entregado")).alias("entregados"),
+    F.coalesce(F.sum(F.when(freight.has_status("entregado"), F.col("toneladas_en_el_destino"))), F.lit(0)).alias("ton"),
+    F.count_if(F.coalesce(F.col("toneladas_iniciales") > 40, F.lit(False))).alias("grandes")), "freight", """
+SELECT id_ceda_agricultura, count(*) FILTER (estatus = 'Entregado') AS entregados, coalesce(sum(toneladas_en_el_destino) FILTER (estatus = 'Entregado'), 0) AS ton,
+  count(*) FILTER (toneladas_iniciales > 40) AS grandes FROM freight GROUP BY 1""", dbl="ton")
+register("a3_centre_to_state", lambda r: orders.network_summary(r.centres()).groupBy("estado").agg(
+    F.coalesce(F.sum("suma_dap_ton"), F.lit(0)).alias("dap"), F.sum("suma_ha").alias("ha")), "centres",
+         "SELECT estado, coalesce(sum(meta_dap_ton), 0) AS dap, sum(meta_superficie_ha) AS ha FROM centres GROUP BY 1", dbl="dap", big="ha")

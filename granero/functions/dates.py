@@ -20,23 +20,23 @@ TIME_FORMATS = ("d/M/yy H:m", "d/M/yyyy H:m", "yyyy-M-d H:m:s")
 SENTINEL = dt.date(1900, 1, 1)
 
 
-def _short_year(d: Column, fmt: str) -> Column:
+def _short_year(t: Column, fmt: str) -> Column:
     """Two-digit years 69-99 belong to the 1900s."""
     if "yyyy" in fmt:
-        return d
-    return F.when(F.year(d) >= 2069, F.add_months(d, -1200)).otherwise(d)
+        return t
+    return F.when(F.year(t) >= 2069, t - F.make_ym_interval(F.lit(100))).otherwise(t)
 
 
 def parse_date(c: Column, formats: Sequence[str] = DATE_FORMATS) -> Column:
     """C14: the first layout that fits; anything else is NULL."""
     t = F.trim(c)
-    return F.coalesce(*[_short_year(F.try_to_timestamp(t, F.lit(f)).cast("date"), f) for f in formats])
+    return F.coalesce(*[_short_year(F.try_to_timestamp(t, F.lit(f)), f).cast("date") for f in formats])
 
 
 def parse_timestamp(c: Column, formats: Sequence[str] = TIME_FORMATS) -> Column:
     """As `parse_date` with a time of day; a zero date (`0000`) is NULL."""
     t = F.trim(c)
-    parsed = F.coalesce(*[F.try_to_timestamp(t, F.lit(f)).cast("timestamp_ntz") for f in formats])
+    parsed = F.coalesce(*[_short_year(F.try_to_timestamp(t, F.lit(f)), f).cast("timestamp_ntz") for f in formats])
     return F.when(~F.contains(t, F.lit("0000-")), parsed)
 
 

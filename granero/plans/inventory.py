@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from granero.functions.classify import days_late, reporting_compliance, stock_gap_class
 from granero.functions.numbers import TONS, bags_to_tons
 from granero.operators.daily import day_spans, expand_days
+from granero.operators.dedupe import first_per_key
 from granero.plans.freight import DAP, DELIVERED, UREA, centre_context, has_status, product_sum
 
 FLOWS = ("dap_ton_total_entrada", "urea_ton_total_entrada", "dap_ton_total_salida", "urea_ton_total_salida")
@@ -76,7 +77,7 @@ def daily_stock(flows: DataFrame, centres: DataFrame, start: dt.date, end: dt.da
 
     Movements are summed per centre and day before they are shuffled; days without movement carry the stock on.
     """
-    names = centre_context(centres, "nombre_cedas").dropDuplicates(["id_ceda_agricultura"])
+    names = first_per_key(centre_context(centres, "nombre_cedas"), ["id_ceda_agricultura"])
     spans = day_spans(_daily_flows(flows), names, ["id_ceda_agricultura"], FLOWS, start, end, totals=FLOWS)
     stock = spans.select(
         *names.columns, "fecha", "hasta", *FLOWS,

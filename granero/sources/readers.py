@@ -10,10 +10,13 @@ from pyspark.sql import functions as F
 
 
 def read_text_csv(spark: SparkSession, path: str | Sequence[str], encoding: str = "UTF-8", sep: str = ",",
-                  mask: str | None = None) -> DataFrame:
-    """Header CSV, every column as text so that leading zeros survive."""
+                  mask: str | None = None, multi_line: bool = False) -> DataFrame:
+    """Header CSV, every column as text so that leading zeros survive.
+
+    `multi_line` accepts line breaks inside quotes, at the price that a file is no longer split between tasks.
+    """
     reader = (spark.read.option("header", True).option("encoding", encoding).option("sep", sep)
-              .option("quote", '"').option("escape", '"').option("multiLine", False))
+              .option("quote", '"').option("escape", '"').option("multiLine", multi_line))
     if mask:
         reader = reader.option("pathGlobFilter", mask)
     return reader.csv(path if isinstance(path, str) else list(path))

@@ -11,6 +11,11 @@ from pyspark.sql import types as T
 BOM = "﻿"
 
 
+def balanced(df: DataFrame, *keys: str) -> DataFrame:
+    """Rows of a folder together in few, even files; adaptive execution splits the keys that hold very many rows."""
+    return df.hint("rebalance", *[F.col(k) for k in keys])
+
+
 def export_csv(df: DataFrame, path: str, bom: bool = True) -> str:
     """K1: header CSV; with `bom` the first header carries U+FEFF, so spreadsheets read UTF-8."""
     out = df.withColumnRenamed(df.columns[0], BOM + df.columns[0]) if bom else df
@@ -20,7 +25,7 @@ def export_csv(df: DataFrame, path: str, bom: bool = True) -> str:
 
 def export_split_by(df: DataFrame, key: Column, path: str, fmt: str = "csv") -> str:
     """K2: one folder per value of `key`, all of them written in one job."""
-    (df.withColumn("particion", key).write.mode("errorifexists").option("header", True)
+    (balanced(df.withColumn("particion", key), "particion").write.mode("errorifexists").option("header", True)
      .partitionBy("particion").format(fmt).save(path))
     return path
 
@@ -30,10 +35,11 @@ def overwrite_table(df: DataFrame, path: str, partition_by: Sequence[str] = ())
 
     Rejecting a bad load before calling this keeps the old rows: Spark commits the new files as a whole.
     """
-    writer = df.write.mode("overwrite")
-    if partition_by:
-        writer = writer.option("partitionOverwriteMode", "dynamic").partitionBy(*partition_by)
-    writer.parquet(path)
+    if not partition_by:
+        df.write.mode("overwrite").parquet(path)
+        return
+    (balanced(df, *partition_by).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+     .partitionBy(*partition_by).parquet(path))
 
 
 def upsert(existing: DataFrame, incoming: DataFrame, key: Sequence[str]) -> DataFrame:

@@ -10,7 +10,7 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from granero.functions.text import normalize_report_text, row_hash
-from granero.sources.sinks import overwrite_table
+from granero.sources.sinks import balanced, overwrite_table
 
 DAY, HASH = "fecha_registro", "hash_respuesta"
 
@@ -43,7 +43,7 @@ def append_reports(raw: DataFrame, table: str) -> None:
     if first is None:
         return
     stored = spark.read.schema(schema).parquet(table)
-    unseen_reports(clean, stored, first, last).write.mode("append").partitionBy(DAY).parquet(table)
+    balanced(unseen_reports(clean, stored, first, last), DAY).write.mode("append").partitionBy(DAY).parquet(table)
 
 
 def start_ingest(reports: DataFrame, table: str, checkpoint: str) -> StreamingQuery:

@@ -45,8 +45,9 @@ def test_dates_with_time_and_sentinel(frame):
         dt.date(2025, 2, 4), dt.date(2025, 2, 4), None]
     assert column(frame, ["x", None, "2025-01-02"], "string", dates.parse_date_or_sentinel) == [
         dt.date(1900, 1, 1), dt.date(1900, 1, 1), dt.date(2025, 1, 2)]
-    assert column(frame, ["04/02/25 0:00", "4/2/2025 13:05", "2025-02-04 00:00:00", "0000-00-00 00:00:00", "x"], "string", dates.parse_timestamp) == [
-        dt.datetime(2025, 2, 4), dt.datetime(2025, 2, 4, 13, 5), dt.datetime(2025, 2, 4), None, None]
+    assert column(frame, ["04/02/25 0:00", "4/2/2025 13:05", "2025-02-04 00:00:00", "0000-00-00 00:00:00", "x", "1/3/96 7:30"], "string",
+                  dates.parse_timestamp) == [
+        dt.datetime(2025, 2, 4), dt.datetime(2025, 2, 4, 13, 5), dt.datetime(2025, 2, 4), None, None, dt.datetime(1996, 3, 1, 7, 30)]
 
 
 def test_numbers(frame):
