@@ -9,10 +9,9 @@ from pyspark.sql import functions as F
 from catalog.base import register
 from catalog.derived import (ALL_END, ALL_START, CAL, DAILY, END, ENRICHED, FLOW_DBL, FLOW_ROLES, FT, INV, ORD_REM, START, STOCK,
                              _flows, _supply)
-from granero.functions import classify
-from granero.operators import daily, dedupe, filters, series
+from granero.operators import daily, dedupe, filters, series, summaries
 from granero.plans import deliveries as dl
-from granero.plans import freight, inventory, orders
+from granero.plans import freight, inventory, orders, reports
 from granero.sources import sinks
 
 TODAY = dt.date(1998, 10, 1)
@@ -172,35 +171,48 @@ register("a1_group_sums", lambda r: r.raw("lineitem").groupBy("l_suppkey", "l_re
          "SELECT l_suppkey, l_returnflag, l_linestatus, count(*) AS n, sum(CAST(l_quantity AS DECIMAL(18,3))) AS q FROM lineitem GROUP BY 1, 2, 3", dbl="q")
 
 
-def _surface_report(r):
-    rows = r.deliveries().withColumn("ha", F.col("dap_anio_actual") - 3).filter("ha >= 0")
-    return rows.groupBy(classify.bucket_surface(F.col("ha")).alias("rango"), classify.surface_order(F.col("ha")).alias("orden")).agg(
-        F.count_distinct("curp_renapo").alias("productores"), F.sum("ha").alias("superficie_total_ha"),
-        F.sum("ton_dap_entregada").alias("dap"), F.sum("ton_urea_entregada").alias("urea"),
-        (F.coalesce(F.sum("ton_dap_entregada"), F.lit(0)) + F.coalesce(F.sum("ton_urea_entregada"), F.lit(0))).alias("total"))
-
-
-register("a7_distinct_by_surface", _surface_report, "deliveries", """
-SELECT CASE WHEN ha < 5 THEN '0 a 4' WHEN ha < 10 THEN '5 a 9' WHEN ha < 15 THEN '10 a 14' WHEN ha < 20 THEN '15 a 19' ELSE '20 o más' END AS rango,
+register("a7_distinct_by_surface", lambda r: summaries.surface_summary(
+    r.deliveries().withColumn("ha", F.col("dap_anio_actual") - 3), "curp_renapo", "ha", "ton_dap_entregada", "ton_urea_entregada"), "deliveries", """
+SELECT CASE WHEN ha < 5 THEN '0 a 4' WHEN ha < 10 THEN '5 a 9' WHEN ha < 15 THEN '10 a 14' WHEN ha < 20 THEN '15 a 19' ELSE '20 o más' END AS rango_superficie,
   CAST(least(floor(ha / 5), 4) AS INTEGER) AS orden, count(DISTINCT curp_renapo) AS productores, sum(ha) AS superficie_total_ha,
-  sum(ton_dap_entregada) AS dap, sum(ton_urea_entregada) AS urea, coalesce(sum(ton_dap_entregada), 0) + coalesce(sum(ton_urea_entregada), 0) AS total
-FROM (SELECT *, dap_anio_actual - 3 AS ha FROM deliveries) d WHERE ha >= 0 GROUP BY 1, 2""", dbl="dap urea total", big="superficie_total_ha")
+  sum(ton_dap_entregada) AS ton_dap_entregada, sum(ton_urea_entregada) AS ton_urea_entregada,
+  coalesce(sum(ton_dap_entregada), 0) + coalesce(sum(ton_urea_entregada), 0) AS ton_total_entregada
+FROM (SELECT *, dap_anio_actual - 3 AS ha FROM deliveries) d WHERE ha >= 0 GROUP BY 1, 2""",
+         dbl="ton_dap_entregada ton_urea_entregada ton_total_entregada", big="superficie_total_ha")
 STATUSES = ["Acceso Directo 2024", "Acceso Directo 2025", "Nuevo Ingreso 2025", "NUEVO INGRESO complemento"]
-
-
-def _pivot(r):
-    rows = r.registry().join(r.deliveries().select("acuse_estatal", F.lit(1).alias("entregado")), "acuse_estatal", "left")
-    wide = rows.groupBy("municipio_predio_inegi").pivot("estatus", STATUSES).agg(
-        F.count(F.lit(1)).alias("total"), F.count("entregado").alias("entregados"), F.sum("dap_ton").alias("dap"))
-    return wide.select("municipio_predio_inegi", *[
-        F.coalesce(F.col(f"`{s}_{m}`"), F.lit(0)).alias(f"{s.replace(' ', '_')}__{m}") for s in STATUSES for m in ("total", "entregados", "dap")])
-
-
-register("a8_pivot_by_status", _pivot, "registry deliveries", "SELECT municipio_predio_inegi, " + ", ".join(
-    f"count(*) FILTER (estatus = '{s}') AS \"{s.replace(' ', '_')}__total\", count(d.acuse_estatal) FILTER (estatus = '{s}') AS \"{s.replace(' ', '_')}__entregados\", "
-    f"coalesce(sum(dap_ton) FILTER (estatus = '{s}'), 0) AS \"{s.replace(' ', '_')}__dap\"" for s in STATUSES)
-    + " FROM registry p LEFT JOIN deliveries d ON d.acuse_estatal = p.acuse_estatal GROUP BY 1",
-    dbl=" ".join(f"{s.replace(' ', '_')}__dap" for s in STATUSES))
+register("a8_pivot_by_status", lambda r: summaries.pivot_status(
+    dedupe.rows_present(r.registry(), r.deliveries(), "acuse_estatal"), "municipio_predio_inegi", "estatus", STATUSES,
+    {"conteo": F.count(F.lit(1)), "dap_ton_sum": F.sum("dap_ton"), "urea_ton_sum": F.sum("urea_ton")}), "registry deliveries",
+         "SELECT municipio_predio_inegi, " + ", ".join(
+    f"{agg} FILTER (coalesce(estatus, 'sin_estatus') = '{s}'){end} AS \"{s.replace(' ', '_')}__{m}\"" for s in [*STATUSES, "sin_estatus"]
+    for m, agg, end in (("conteo", "count(*)", ""), ("dap_ton_sum", "coalesce(sum(dap_ton)", ", 0)"), ("urea_ton_sum", "coalesce(sum(urea_ton)", ", 0)")))
+    + " FROM registry WHERE acuse_estatal IN (SELECT acuse_estatal FROM deliveries) GROUP BY 1",
+    dbl=" ".join(f"{s.replace(' ', '_')}__{m}" for s in [*STATUSES, "sin_estatus"] for m in ("dap_ton_sum", "urea_ton_sum")))
+
+
+def _full(r):
+    return r.registry().selectExpr(
+        "acuse_estatal", "id_ceda_agricultura AS id_persona", "nombre", "primer_apellido", "segundo_apellido", "curp_renapo",
+        "concat('NATION_', superficie) AS estado_predio_capturada", "municipio_predio_inegi AS municipio_predio_capturada",
+        "CASE WHEN superficie > 4 THEN 'RIE' ELSE 'TEM' END AS regimen_hidrico")
+
+
+_WINDOW = "fecha_entrega > DATE '1998-03-31' AND fecha_entrega < DATE '1998-05-01'"
+_PEOPLE = f"""SELECT p.id_ceda_agricultura AS id_suri, p.nombre, p.primer_apellido AS "primer apellido", p.segundo_apellido AS "segundo apellido",
+  p.curp_renapo AS curp, 'NATION_' || p.superficie AS estado, p.municipio_predio_inegi AS municipio, 'N/A' AS bancarizado, 'APOYADO' AS estatus,
+  'apoyo 1998' AS programa FROM registry p JOIN deliveries d USING (acuse_estatal) WHERE {_WINDOW}"""
+register("c35_supported_people", lambda r: reports.supported_people(_full(r), r.deliveries(), dt.date(1998, 3, 31), dt.date(1998, 5, 1), "apoyo 1998"),
+         "registry deliveries", _PEOPLE)
+register("c35_supported_people_of_state", lambda r: reports.supported_people(
+    _full(r), r.deliveries(), dt.date(1998, 3, 31), dt.date(1998, 5, 1), "apoyo 1998", "NATION_3"), "registry deliveries", _PEOPLE + " AND p.superficie = 3")
+register("c35_producers_by_locality", lambda r: reports.producers_by_locality(
+    r.deliveries().withColumns({"ln_nombre": F.col("nombre_ddr"), "sn_primer_apellido": F.col("cultivo"),
+                                "sn_segundo_apellido": F.when(F.col("superficie_apoyada") > 2, F.lit(" ")).otherwise(F.col("cdf_entrega"))}),
+    _full(r)), "registry deliveries", """SELECT estado_predio_capturada AS "Nombre de estado", municipio_predio_capturada AS "Nombre de municipio",
+  CASE WHEN superficie_apoyada > 2 THEN concat_ws(' ', nombre_ddr, cultivo) ELSE concat_ws(' ', nombre_ddr, cultivo, cdf_entrega) END AS "Nombre de Productor",
+  'N/A' AS "Grupo de cultivos", d.curp_renapo AS "CURP", cultivo AS "Cultivo", 'N/A' AS "Estrato",
+  CASE WHEN p.superficie > 4 THEN 'RIE' WHEN p.superficie IS NOT NULL THEN 'TEM' END AS "Régimen Hídrico",
+  superficie_apoyada AS "Superficie (Hectáreas)", 'N/A' AS "Colmenas" FROM deliveries d LEFT JOIN registry p USING (acuse_estatal)""")
 
 # ---- daily series --------------------------------------------------------------------------------
 
