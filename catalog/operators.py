@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from catalog.base import register
 from catalog.derived import (ALL_END, ALL_START, CAL, DAILY, END, ENRICHED, FLOW_DBL, FLOW_ROLES, FT, INV, ORD_REM, START, STOCK,
                              _flows, _supply)
-from granero.operators import daily, dedupe, filters, series, summaries
+from granero.operators import daily, dedupe, filters, positions, series, summaries
 from granero.plans import deliveries as dl
 from granero.plans import freight, inventory, orders, reports
 from granero.sources import sinks
@@ -280,8 +280,12 @@ register("w9_label_days_of_two", lambda r: series.label_days(_both(r), ["total_r
                    f"total_recibido_ton >= umbral_total_recibido_ton OR {_V} >= umbral_{_V}",
                    f"quantile_cont(CAST(total_recibido_ton AS DOUBLE), 0.75) OVER () AS umbral_total_recibido_ton, "
                    f"quantile_cont(CAST({_V} AS DOUBLE), 0.75) OVER () AS umbral_{_V}", _BOTH), dbl=_2)
-register("a11_quantile", lambda r: series.quantile_of(r.raw("orders"), "o_totalprice", 0.75).select(F.round("cuantil", 6).alias("cuantil")), "",
-         "SELECT round(quantile_cont(o_totalprice, 0.75), 6) AS cuantil FROM orders")
+register("a11_quantile_of_series", lambda r: series.quantile_of(filters.filter_positive(_daily(r), _V), _V, 0.75).select(
+    F.round("cuantil", 6).alias("cuantil")), "deliveries", f"SELECT round(quantile_cont(CAST({_V} AS DOUBLE), 0.75), 6) AS cuantil FROM {_POS} p")
+register("a11_quantile_of_table", lambda r: positions.exact_quantile(r.raw("lineitem"), "l_extendedprice", 0.3).select(
+    F.round("cuantil", 6).alias("cuantil")), "", "SELECT round(quantile_cont(l_extendedprice, 0.3), 6) AS cuantil FROM lineitem")
+register("a11_quantile_with_copies", lambda r: positions.exact_quantile(r.raw("lineitem"), "l_quantity", 0.75), "",
+         "SELECT quantile_cont(l_quantity, 0.75) AS cuantil FROM lineitem")
 register("a9_iso_week_sums", lambda r: series.iso_week_sums(_daily(r), [_V]), "deliveries", f"""
 SELECT CAST(isoyear(fecha) AS VARCHAR) || '-' || lpad(CAST(week(fecha) AS VARCHAR), 2, '0') AS semana, sum({_V}) AS {_V} FROM ({DAILY}) d GROUP BY 1""", dbl=_V)
 # severe losses are rare, so some weeks have none
@@ -309,6 +313,9 @@ register("l2_page", lambda r: filters.page(r.freight().select("folio_del_flete",
                                            "-fecha_de_salida", "folio_del_flete"), "freight", """
 SELECT folio_del_flete, fecha_de_salida, toneladas_iniciales FROM freight ORDER BY fecha_de_salida DESC NULLS FIRST, folio_del_flete LIMIT 100 OFFSET 200""",
          dbl="toneladas_iniciales")
+register("l2_deep_page", lambda r: filters.page(r.freight().select("folio_del_flete", "fecha_de_salida"), 40, 100, "-fecha_de_salida",
+                                                "folio_del_flete", deep=1000), "freight", """
+SELECT folio_del_flete, fecha_de_salida FROM freight ORDER BY fecha_de_salida DESC NULLS FIRST, folio_del_flete LIMIT 100 OFFSET 3900""")
 register("l3_limit_with_full_summary", lambda r: freight.enriched_freight(r.freight(), r.centres()).orderBy("folio_del_flete").limit(10000)
          .select("folio_del_flete", "estado"), "centres freight", f"SELECT folio_del_flete, estado FROM ({ENRICHED}) e ORDER BY folio_del_flete LIMIT 10000")
 register("l4_option_list", lambda r: filters.option_list(r.raw("orders").selectExpr("CASE o_orderstatus WHEN 'P' THEN '' ELSE o_orderpriority END AS opcion"), "opcion"), "",

@@ -9,7 +9,9 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from granero.functions.dates import date_bound
+from granero.operators.positions import number_rows
 
+DEEP_PAGE = 100_000  # rows before a page beyond which sorting with a limit stops paying
 LONG_LIST = 1000  # entries beyond which an IN list costs more than a join
 
 
@@ -108,9 +110,18 @@ def order_sql_style(*columns: str) -> list[Column]:
     return [F.col(c[1:]).desc_nulls_first() if c.startswith("-") else F.col(c).asc_nulls_last() for c in columns]
 
 
-def page(df: DataFrame, number: int, size: int, *order: str) -> DataFrame:
-    """L2: one page under a full order. Sort with limit keeps only `offset + size` rows per task."""
-    return df.orderBy(*order_sql_style(*order)).offset((max(number, 1) - 1) * size).limit(size)
+def page(df: DataFrame, number: int, size: int, *order: str, deep: int = DEEP_PAGE) -> DataFrame:
+    """L2: one page under a full order.
+
+    Sort with limit keeps `offset + size` rows per task, which suits the first pages; a page that starts beyond `deep`
+    rows is cut out of the numbered rows.
+    """
+    start = (max(number, 1) - 1) * size
+    by = order_sql_style(*order)
+    if start <= deep:
+        return df.orderBy(*by).offset(start).limit(size)
+    numbered = number_rows(df, by, "_n").filter(F.col("_n").between(start + 1, start + size))
+    return numbered.orderBy("_n").select(df.columns)
 
 
 def clamp_page(number: int, size: int, total: int) -> int:

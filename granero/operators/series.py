@@ -84,7 +84,7 @@ def label_days(daily: DataFrame, values: Sequence[str], drop_last_friday: bool =
 
 
 def quantile_of(daily: DataFrame, value: str, q: float) -> DataFrame:
-    """Exact quantile with linear interpolation."""
+    """Exact quantile with linear interpolation of a daily series; for tables see `positions.exact_quantile`."""
     return daily.agg(F.percentile(F.col(value).cast("double"), F.lit(q)).alias("cuantil"))
 
 

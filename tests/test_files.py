@@ -118,6 +118,13 @@ def test_numbering_with_a_hot_leading_value(spark):
     assert [r.n for r in got.collect()] == list(range(1, 20001))
 
 
+@pytest.mark.parametrize("values, q, expected", [([1, 2, 3, 10], 0.75, 4.75), ([5], 0.5, 5.0), ([1, 1, 1, 9], 0.5, 1.0), ([1, 1, 1, 9], 1.0, 9.0), ([], 0.5, None),
+                                                 ([None, 4, 2], 0.5, 3.0)])
+def test_exact_quantile(spark, values, q, expected):
+    df = spark.createDataFrame([(v,) for v in values], "v int")
+    assert positions.exact_quantile(df, "v", q).first()[0] == expected
+
+
 def test_bom_and_alignment(spark, tmp_path):
     path = sinks.export_csv(spark.createDataFrame([("á", 1)], "estado string, n int"), str(tmp_path / "x"))
     first = next(p for p in sorted((tmp_path / "x").glob("part-*.csv"))).read_bytes()
