@@ -27,7 +27,9 @@ def day_spans(facts: DataFrame, spine: DataFrame, keys: Sequence[str], measures:
     zeros = spine.select(
         *keys, F.lit(start).alias(date), *[F.lit(0).cast(kind[m]).alias(m) for m in measures],
         F.struct(F.lit(True).alias("_listed"), *carried).alias("_spine"))
-    merged = (moves.unionByName(zeros, allowMissingColumns=True).repartition(*keys).groupBy(*keys, date)
+    # a fixed partition count: adaptive coalescing would size partitions by the movement days, before they expand
+    parts = int(facts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    merged = (moves.unionByName(zeros, allowMissingColumns=True).repartition(parts, *keys).groupBy(*keys, date)
               .agg(*[F.coalesce(F.sum(m), F.lit(0)).cast(kind[m]).alias(m) for m in measures],
                    F.max("_spine").alias("_spine")))
     by_key = Window.partitionBy(*keys)

@@ -1,7 +1,8 @@
 """The programme's tables, expressed over the TPC-H-like test tables.
 
 Each function returns one programme table in its own column names; the derived tables in this package only ever see
-those. The mapping is a projection wherever the grain is the same.
+those. The mapping is a projection wherever the grain is the same. Tons of one row are narrow decimals, as they are in
+the programme's own tables: Spark sums up to eight digits in a long.
 """
 
 from __future__ import annotations
@@ -19,9 +20,13 @@ class Roles:
 
     def __init__(self, spark: SparkSession, folder: str):
         self.spark, self.folder = spark, folder
+        self._read: dict[str, DataFrame] = {}
 
     def raw(self, name: str) -> DataFrame:
-        return read_table(self.spark, self.folder, name)
+        """A driver table; its footer is read once however many roles use it."""
+        if name not in self._read:
+            self._read[name] = read_table(self.spark, self.folder, name)
+        return self._read[name]
 
     def _centre_count(self) -> Column:
         return self.raw("supplier").agg(F.count("*")).scalar()
@@ -41,13 +46,13 @@ class Roles:
             "CASE WHEN s_suppkey % 5 = 0 THEN 'SI' ELSE 'NO' END AS bodega_concentradora",
             "cast(floor(abs(s_acctbal) / 50) AS int) AS meta_derechohabientes",
             "cast(floor(abs(s_acctbal) / 25) AS int) AS meta_superficie_ha",
-            "CASE WHEN s_acctbal >= 0 THEN cast(cast(s_acctbal AS decimal(18,2)) * 0.01 AS decimal(18,3)) END AS meta_dap_ton",
-            "cast(cast(abs(s_acctbal) AS decimal(18,2)) * 0.02 AS decimal(18,3)) AS meta_urea_ton",
-            "CASE WHEN s_acctbal >= 0 THEN cast(cast(s_acctbal AS decimal(18,2)) * 0.03 AS decimal(18,3)) END AS meta_total_ton",
-            "cast(3 + s_nationkey % 3 AS decimal(18,3)) AS altura_estiba_m",
-            "cast(cast(abs(s_acctbal) AS decimal(18,2)) * 0.05 AS decimal(18,3)) AS tonelaje_alm_total",
-            "CASE WHEN s_acctbal >= 0 THEN cast(14 + s_nationkey AS decimal(18,3)) END AS latitud",
-            "CASE WHEN s_suppkey % 3 <> 0 THEN cast(-90 - s_nationkey AS decimal(18,3)) END AS longitud",
+            "CASE WHEN s_acctbal >= 0 THEN cast(cast(s_acctbal AS decimal(18,2)) * 0.01 AS decimal(8,3)) END AS meta_dap_ton",
+            "cast(cast(abs(s_acctbal) AS decimal(18,2)) * 0.02 AS decimal(8,3)) AS meta_urea_ton",
+            "CASE WHEN s_acctbal >= 0 THEN cast(cast(s_acctbal AS decimal(18,2)) * 0.03 AS decimal(8,3)) END AS meta_total_ton",
+            "cast(3 + s_nationkey % 3 AS decimal(8,3)) AS altura_estiba_m",
+            "cast(cast(abs(s_acctbal) AS decimal(18,2)) * 0.05 AS decimal(8,3)) AS tonelaje_alm_total",
+            "CASE WHEN s_acctbal >= 0 THEN cast(14 + s_nationkey AS decimal(8,3)) END AS latitud",
+            "CASE WHEN s_suppkey % 3 <> 0 THEN cast(-90 - s_nationkey AS decimal(8,3)) END AS longitud",
             "cast(10 + s_suppkey % 7 AS int) AS capacidad_descarga",
             "CASE WHEN s_suppkey % 9 <> 0 THEN concat('Coordinador ', s_suppkey % 9) END AS coordinador_operativo",
             "concat('coz', s_suppkey % 9, '@example.org') AS coz_correo",
@@ -72,8 +77,8 @@ class Roles:
             "concat(lpad(cast(o_custkey AS string), 10, 'X'), CASE WHEN o_custkey % 2 = 0 THEN 'h' ELSE 'm' END, 'DF') AS curp_renapo",
             "cast(floor(o_totalprice / 50000) AS bigint) AS superficie",
             """CASE WHEN o_orderstatus <> 'O' OR o_orderpriority <> '4-NOT SPECIFIED'
-               THEN cast(cast(o_totalprice AS decimal(18,2)) * 0.000005 AS decimal(18,3)) END AS dap_ton""",
-            """CASE WHEN o_orderstatus <> 'P' THEN cast(cast(o_totalprice AS decimal(18,2)) * 0.000007 AS decimal(18,3)) END
+               THEN cast(cast(o_totalprice AS decimal(18,2)) * 0.000005 AS decimal(7,3)) END AS dap_ton""",
+            """CASE WHEN o_orderstatus <> 'P' THEN cast(cast(o_totalprice AS decimal(18,2)) * 0.000007 AS decimal(7,3)) END
                AS urea_ton""",
             "CASE WHEN o_orderstatus <> 'P' OR o_orderpriority <> '5-LOW' THEN cast(o_orderdate AS date) END AS fecha_de_publicacion",
             "concat('MUNICIPIO ', o_custkey % 10) AS municipio_predio_inegi",
@@ -91,8 +96,8 @@ class Roles:
             "concat('MUNICIPIO ', l_partkey % 40) AS municipio_predio_capturada",
             "concat('DDR ', l_partkey % 12) AS nombre_ddr",
             "CASE l_returnflag WHEN 'A' THEN 'MAIZ' WHEN 'R' THEN 'FRIJOL' ELSE 'ARROZ' END AS cultivo",
-            "CASE WHEN l_tax > 0 THEN cast(cast(l_quantity AS decimal(18,3)) * 0.013 AS decimal(18,3)) END AS ton_dap_entregada",
-            "CASE WHEN l_discount > 0 THEN cast(cast(l_quantity AS decimal(18,3)) * 0.021 AS decimal(18,3)) END AS ton_urea_entregada",
+            "CASE WHEN l_tax > 0 THEN cast(cast(l_quantity AS decimal(7,3)) * 0.013 AS decimal(7,3)) END AS ton_dap_entregada",
+            "CASE WHEN l_discount > 0 THEN cast(cast(l_quantity AS decimal(7,3)) * 0.021 AS decimal(7,3)) END AS ton_urea_entregada",
             "CASE WHEN l_linenumber <> 7 OR l_returnflag <> 'N' THEN cast(l_shipdate AS date) END AS fecha_entrega",
             "cast(l_quantity AS int) AS dap_anio_actual",
             "cast(floor(l_extendedprice / 1000) AS int) AS urea_anio_actual",
@@ -112,12 +117,12 @@ class Roles:
             "concat_ws('-', l_orderkey, l_linenumber, l_partkey, l_suppkey, unix_date(cast(l_shipdate AS date))) AS folio_del_flete",
             "CASE WHEN l_linestatus = 'F' AND l_tax = 0 THEN 'Cancelado' WHEN l_linestatus = 'F' THEN 'Entregado' ELSE 'AUTORIZADO' END AS estatus",
             "CASE l_returnflag WHEN 'A' THEN 'DAP' WHEN 'R' THEN 'URE' ELSE 'OTR' END AS abreviacion_producto",
-            "cast(l_quantity AS decimal(18,3)) AS toneladas_iniciales",
+            "cast(l_quantity AS decimal(8,3)) AS toneladas_iniciales",
             "cast(l_quantity * 40 AS int) AS bultos_iniciales",
             "CASE WHEN l_linestatus = 'F' THEN cast(l_quantity * 40 AS int) - l_linenumber END AS bultos_en_destino",
             f"{origin} AS estado_procedencia",
-            """CASE WHEN l_linestatus = 'F' THEN cast(cast(l_quantity AS decimal(18,3))
-               * (1 - (cast(l_discount AS decimal(4,2)) - 0.02) * 4) AS decimal(18,3)) END AS toneladas_en_el_destino""",
+            """CASE WHEN l_linestatus = 'F' THEN cast(cast(l_quantity AS decimal(8,3))
+               * (1 - (cast(l_discount AS decimal(4,2)) - 0.02) * 4) AS decimal(8,3)) END AS toneladas_en_el_destino""",
             "CASE WHEN l_discount < 0.1 THEN cast(l_shipdate AS date) END AS fecha_de_salida",
             "cast(l_suppkey AS string) AS cdf_destino_original",
             "CASE WHEN l_linenumber <= 5 THEN cast(l_suppkey AS string) ELSE '0' END AS cdf_destino_final",
@@ -133,8 +138,8 @@ class Roles:
             "CASE WHEN l_linenumber <= 5 THEN cast(l_suppkey AS string) ELSE 'EXTERNO' END AS cdf_origen",
             "CASE WHEN l_tax < 0.02 THEN NULL WHEN l_tax < 0.04 THEN 'autorizada' ELSE ' Entregada' END AS estatus",
             f"CASE {product} WHEN 'F' THEN 'DAP' ELSE 'URE' END AS abreviacion_producto",
-            "cast(l_quantity AS decimal(18,3)) AS toneladas_iniciales",
-            "cast(cast(l_quantity AS decimal(18,3)) * (1 - cast(l_discount AS decimal(4,2))) AS decimal(18,3)) AS toneladas_en_el_destino",
+            "cast(l_quantity AS decimal(8,3)) AS toneladas_iniciales",
+            "cast(cast(l_quantity AS decimal(8,3)) * (1 - cast(l_discount AS decimal(4,2))) AS decimal(8,3)) AS toneladas_en_el_destino",
             "cast(l_shipdate AS date) AS fecha_de_salida",
             "cast(date_add(cast(l_shipdate AS date), l_linenumber) AS date) AS fecha_de_llegada",
             "cast(l_suppkey AS string) AS cdf_destino_original",
@@ -155,7 +160,7 @@ class Roles:
             "concat_ws('-', l_orderkey, l_linenumber, l_partkey, l_suppkey, unix_date(cast(l_shipdate AS date))) AS ln_folio_incidencia",
             "cast(l_suppkey AS string) AS cdf_incidente",
             "CASE l_linestatus WHEN 'F' THEN 'DAP' ELSE 'URE' END AS clave_producto",
-            "cast(cast(l_quantity AS decimal(18,3)) * cast(l_tax AS decimal(4,2)) AS decimal(18,3)) AS ton_incidencia",
+            "cast(cast(l_quantity AS decimal(8,3)) * cast(l_tax AS decimal(4,2)) AS decimal(8,3)) AS ton_incidencia",
             "cast(l_shipdate AS date) AS fecha_incidente",
         )
 
@@ -166,8 +171,8 @@ class Roles:
             "o_orderkey AS id_pedido",
             "cast(o_custkey % n_cedas AS string) AS folio_cdf",
             "cast(o_orderdate AS date) AS fecha",
-            "cast(cast(o_totalprice AS decimal(18,2)) * 0.0001 AS decimal(18,3)) AS dap",
-            "CASE WHEN o_orderpriority <> '5-LOW' THEN cast(cast(o_totalprice AS decimal(18,2)) * 0.00005 AS decimal(18,3)) END AS urea",
+            "cast(cast(o_totalprice AS decimal(18,2)) * 0.0001 AS decimal(8,3)) AS dap",
+            "CASE WHEN o_orderpriority <> '5-LOW' THEN cast(cast(o_totalprice AS decimal(18,2)) * 0.00005 AS decimal(8,3)) END AS urea",
             "o_orderpriority AS estatus_suministro",
             "CASE o_orderstatus WHEN 'F' THEN 'Autorizado' WHEN 'O' THEN 'autorizado' ELSE 'Pendiente' END AS estatus_pedido_detalle",
         )
@@ -178,9 +183,9 @@ class Roles:
             "c_custkey AS id_cdf",
             "cast(c_custkey AS string) AS folio_cdf",
             "c_mktsegment AS entidad",
-            "CASE WHEN c_acctbal >= 0 THEN cast(c_acctbal AS decimal(18,3)) END AS dap_solicitado",
-            "CASE WHEN c_nationkey > 4 THEN cast(cast(c_acctbal AS decimal(18,2)) * 2 AS decimal(18,3)) END AS urea_solicitada",
-            "CASE WHEN c_acctbal >= 5000 THEN cast(c_acctbal - 5000 AS decimal(18,3)) END AS dap_por_suministrar",
+            "CASE WHEN c_acctbal >= 0 THEN cast(c_acctbal AS decimal(8,3)) END AS dap_solicitado",
+            "CASE WHEN c_nationkey > 4 THEN cast(cast(c_acctbal AS decimal(18,2)) * 2 AS decimal(8,3)) END AS urea_solicitada",
+            "CASE WHEN c_acctbal >= 5000 THEN cast(c_acctbal - 5000 AS decimal(8,3)) END AS dap_por_suministrar",
         )
 
     def field_reports(self) -> DataFrame:
@@ -201,9 +206,9 @@ class Roles:
             "n_name AS estado",
             "cast(n_nationkey % 5 * 100 AS int) AS derechohabientes",
             "cast(n_nationkey % 4 * 1000 AS int) AS superficie_ha",
-            "cast(n_nationkey * 1000 AS decimal(18,3)) AS dap_ton",
-            "cast(n_nationkey * 2000 AS decimal(18,3)) AS urea_ton",
-            "cast(n_nationkey * 3000 AS decimal(18,3)) AS total_ton",
+            "cast(n_nationkey * 1000 AS decimal(8,3)) AS dap_ton",
+            "cast(n_nationkey * 2000 AS decimal(8,3)) AS urea_ton",
+            "cast(n_nationkey * 3000 AS decimal(8,3)) AS total_ton",
         )
 
     def projection(self) -> DataFrame:
@@ -211,7 +216,7 @@ class Roles:
         return self.raw("orders").selectExpr(
             "concat('NATION_', o_custkey % 25) AS estado",
             "date_add(cast(o_orderdate AS date), 30) AS fecha",
-            "cast(cast(o_totalprice AS decimal(18,2)) * 0.0002 AS decimal(18,3)) AS toneladas_programadas",
+            "cast(cast(o_totalprice AS decimal(18,2)) * 0.0002 AS decimal(8,3)) AS toneladas_programadas",
         )
 
     def comments(self) -> DataFrame:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
@@ -22,9 +23,8 @@ def _received() -> Column:
 
 
 def _flow(df: DataFrame, centre: str, date: Column, dap: Column, urea: Column, inward: bool) -> DataFrame:
-    none = F.lit(None).cast(TONS)
-    parts = (dap.cast(TONS), urea.cast(TONS))
-    columns = (*parts, none, none) if inward else (none, none, *parts)
+    none = F.lit(None)
+    columns = (dap, urea, none, none) if inward else (none, none, dap, urea)
     return df.select(F.col(centre).alias("id_ceda_agricultura"), date.alias("fecha"),
                      *[c.alias(n) for c, n in zip(columns, FLOWS)])
 
@@ -38,11 +38,10 @@ def move_flows(moves: DataFrame) -> DataFrame:
 
     Both sides of a move come out of one scan.
     """
-    none = F.lit(None).cast(TONS)
-    arrived = [c.cast(TONS) for c in _by_product("toneladas_en_el_destino")]
-    left = [c.cast(TONS) for c in _by_product("toneladas_iniciales")]
+    none = F.lit(None).cast(moves.schema["toneladas_iniciales"].dataType)
+    arrived, left = _by_product("toneladas_en_el_destino"), _by_product("toneladas_iniciales")
 
-    def side(centre: str, date: str, amounts: list[Column]) -> Column:
+    def side(centre: str, date: str, amounts: Sequence[Column]) -> Column:
         return F.struct(F.col(centre).alias("id_ceda_agricultura"), F.col(date).alias("fecha"),
                         *[c.alias(n) for c, n in zip(amounts, FLOWS)])
 
