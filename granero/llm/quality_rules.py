@@ -32,49 +32,50 @@ def _without(text: Column, chars: str) -> Column:
     return F.length(F.translate(text, chars, ""))
 
 
-def _repeat_words(words: Column) -> Column:
-    """Words inside 3-word windows that occur twice or more in the array.
+def _with_repeat_words(rows: DataFrame) -> DataFrame:
+    """Adds `n_repeat_words`: words of `_words` inside 3-word windows that occur twice or more there.
 
-    Windows are compared as sorted (hash, place) pairs, so equal ones are neighbours; the marked places, sorted, cover
-    three words each, less what the next one covers again.
+    A window is one whole number: its hash, shifted left to make room for its place. Sorted, equal windows are
+    neighbours; the marked places, sorted again, cover three words each, less what the next one covers again.
     """
-    n = F.size(words)
-    windows = F.transform(F.slice(words, 1, F.greatest(n - 2, F.lit(0))), lambda w, i: F.struct(
-        F.xxhash64(w, F.get(words, i + 1), F.get(words, i + 2)).alias("h"), i.alias("i")))
-    ordered = F.array_sort(windows)
+    windows = F.greatest(F.size("_words") - 2, F.lit(0))
+    rows = rows.withColumn("_bits", F.ceil(F.log2(F.greatest(windows, F.lit(2)))).cast("int"))
+    rows = rows.withColumn("_codes", F.sort_array(F.transform(F.slice("_words", 1, windows), lambda w, i: F.call_function(
+        "shiftleft", F.xxhash64(w, F.get("_words", i + 1), F.get("_words", i + 2)), F.col("_bits")).bitwiseOR(i.cast("long")))))
 
-    def twin(rows: Column) -> Column:
-        same = F.filter(rows, lambda r, i: (r["h"] == F.get(rows, i - 1)["h"]) | (r["h"] == F.get(rows, i + 1)["h"]))
-        return F.array_sort(F.transform(same, lambda r: r["i"]))
+    def window_of(code: Column) -> Column:
+        return F.call_function("shiftright", code, F.col("_bits"))
 
-    start = F.struct(F.lit(0).cast("long").alias("n"), F.lit(0).alias("upto"))
+    marked = F.filter("_codes", lambda c, i: (window_of(c) == window_of(F.get("_codes", i + 1)))
+                      | (window_of(c) == window_of(F.get("_codes", i - 1))))
+    mask = F.call_function("shiftleft", F.lit(1).cast("long"), F.col("_bits")) - 1
+    rows = rows.withColumn("_places", F.sort_array(F.transform(marked, lambda c: c.bitwiseAND(mask))))
+    start = F.struct(F.lit(0).cast("long").alias("n"), F.lit(0).cast("long").alias("upto"))
 
     def cover(acc: Column, at: Column) -> Column:
-        return F.struct((acc["n"] + at + 3 - F.greatest(acc["upto"], at)).cast("long").alias("n"), (at + 3).alias("upto"))
+        return F.struct((acc["n"] + at + 3 - F.greatest(acc["upto"], at)).alias("n"), (at + 3).alias("upto"))
 
-    # one-element arrays stand for local values: each is computed once and used inside
-    places = F.flatten(F.transform(F.array(ordered), twin))
-    return F.aggregate(places, start, cover, lambda acc: acc["n"])
+    return rows.withColumn("n_repeat_words", F.aggregate("_places", start, cover, lambda acc: acc["n"]))
 
 
 def text_features(records: DataFrame, key: str, text: str, language: str) -> DataFrame:
     """One row per record: base counts and both histograms. A map-only step over built-in functions."""
     body = F.coalesce(F.col(text).cast("string"), F.lit(""))
     base = records.select(F.col(key).alias("_key"), F.col(language).cast("string").alias("_language"), body.alias("_t"))
-    words = F.filter(F.split("_t", WHITE), lambda w: w != "")
+    words = F.array_remove(F.split("_t", WHITE), "")
     base = base.withColumn("_words", words)
     lines = F.filter(F.split("_t", "\n"), lambda line: F.rlike(line, F.lit("[^\\x20\\x09-\\x0D]")))
     common = sorted({w for group in COMMON_WORDS.values() for w in group})
-    found = F.array_join(F.transform(F.filter(F.transform("_words", lambda w: F.lower(w)), lambda w: w.isin(common)),
-                                     lambda w: F.concat(F.lit(" "), w, F.lit(" "))), "")
-    base = base.withColumn("_lines", lines).withColumn("_found", found)
+    found = F.concat(F.lit(" "), F.array_join(F.filter(F.split(F.lower("_t"), WHITE), lambda w: w.isin(common)), "  "),
+                     F.lit(" "))
+    base = _with_repeat_words(base.withColumn("_lines", lines).withColumn("_found", found))
     word_chars = _length_kept(F.col("_t"), WHITE)
     n_symbols = F.length("_t") - _without(F.col("_t"), SYMBOLS)
     counts = base.select(
         "_key", "_language", F.size("_words").cast("long").alias("n_words"), word_chars.cast("long").alias("word_chars"),
         n_symbols.cast("long").alias("n_symbols"),
         (F.size("_lines") - F.size(F.array_distinct("_lines"))).cast("long").alias("n_dup_lines"),
-        _repeat_words(F.col("_words")).alias("n_repeat_words"),
+        "n_repeat_words",
         F.length("_t").cast("long").alias("_chars"),
         _length_kept(F.col("_t"), "\\P{Ll}+").cast("long").alias("_lower"),
         _length_kept(F.col("_t"), "\\P{Lu}+").cast("long").alias("_upper"),

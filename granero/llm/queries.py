@@ -5,8 +5,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from granero.llm.common import put_aside
+from granero.llm.dialogues import rotate_perspectives
+from granero.llm.license_scan import scan_templates
+from granero.llm.lm_scoring import score_against_target
 from granero.llm.packing import pack_texts
 from granero.llm.quality_rules import quality_verdicts
+from granero.llm.series_search import nearest_series
+from granero.llm.toxicity import score_toxicity
 from granero.llm.warc import archive_pages
 
 
@@ -27,6 +33,42 @@ def op1_warc_archive(spark: SparkSession, folder: str) -> DataFrame:
         "record_type", F.col("refers_to").cast("long").alias("refers_to"))
 
 
+def op2_license_scan(spark: SparkSession, folder: str) -> DataFrame:
+    return scan_templates(_incidents(spark, folder)).withColumnRenamed("ln_folio_incidencia", "doc_id")
+
+
+def op4_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    def held_out(key: str):
+        return F.pmod(F.crc32(F.col(key).cast("string").cast("binary")), F.lit(5)) == 0
+
+    reports = _table(spark, folder, "documents").select(F.col("doc_id").alias("hash_respuesta"), F.col("text").alias("observaciones"))
+    labels = _table(spark, folder, "labels").filter(~held_out("doc_id")).select(
+        F.col("doc_id").alias("hash_respuesta"), F.col("toxic").alias("toxica"))
+    return score_toxicity(reports, labels).select(
+        F.col("hash_respuesta").alias("doc_id"), held_out("hash_respuesta").alias("held_out"), "score", "predicted",
+        "toxic_loglik", "ordinary_loglik")
+
+
+def op5_exact_topk(spark: SparkSession, folder: str) -> DataFrame:
+    """Components become floor(64 * x); vectors with a null or non-finite one take no part."""
+    def finite(x):
+        return x.isNotNull() & ~F.isnan(x) & (F.abs(x) != float("inf"))
+
+    series = _table(spark, folder, "embeddings").filter(F.forall("embedding", finite)).select(
+        F.col("vec_id").alias("id_ceda_agricultura"), (F.col("vec_id") % 20 == 0).alias("es_consulta"),
+        F.transform("embedding", lambda x: F.floor(64 * x.cast("double")).cast("long")).alias("serie"))
+    return nearest_series(series, k=20).select(
+        F.col("query").alias("query_id"), "rank", F.col("neighbour").alias("vec_id"), "score")
+
+
+def op6_chat_perspectives(spark: SparkSession, folder: str) -> DataFrame:
+    reports = _table(spark, folder, "conversations").select(
+        F.col("conv_id").alias("id_ceda_agricultura"), F.col("turn").alias("fecha_y_hora"),
+        F.col("role").alias("quien_reporta"), F.col("text").alias("observaciones"))
+    return rotate_perspectives(reports).withColumnsRenamed({
+        "id_ceda_agricultura": "conv_id", "fecha_y_hora": "turn", "quien_reporta": "speaker"})
+
+
 def op7_bestfit_packing(spark: SparkSession, folder: str) -> DataFrame:
     return pack_texts(_incidents(spark, folder)).withColumnRenamed("ln_folio_incidencia", "doc_id")
 
@@ -37,7 +79,17 @@ def op9_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
         "n_repeat_words", "base_failed", "kept")
 
 
+def op10_cross_entropy_difference(spark: SparkSession, folder: str) -> DataFrame:
+    """Target: the documents labelled as good; background: all of them."""
+    good = _table(spark, folder, "labels").filter("quality = 1").select(F.col("doc_id").alias("_good")).distinct()
+    incidents = _incidents(spark, folder)
+    marked = incidents.join(good.hint("shuffle_hash"), F.col("ln_folio_incidencia") == F.col("_good"), "left").select(
+        "ln_folio_incidencia", "descripcion", F.col("_good").isNotNull().alias("validada"))
+    return score_against_target(put_aside(marked, "marked")).withColumnRenamed("ln_folio_incidencia", "doc_id")
+
+
 QUERIES = {f.__name__: f for f in (
-    op1_warc_archive, op7_bestfit_packing, op9_quality_rules)}
+    op1_warc_archive, op2_license_scan, op4_toxicity, op5_exact_topk, op6_chat_perspectives, op7_bestfit_packing,
+    op9_quality_rules, op10_cross_entropy_difference)}
 
 ORACLE: dict[str, str] = {}
