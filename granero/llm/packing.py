@@ -20,9 +20,8 @@ from granero.llm.common import map_arrow, put_aside
 
 CAPACITY = 1024
 END = 2  # id that closes every document
-NODE_LIMIT = 20_000  # search nodes of one plan; beyond them the best plan found stands
-FILL_STEPS = 2_000  # search steps for the fillings of one bin
-FILLINGS = 6  # fillings tried per bin
+NODE_LIMIT = 4_000  # search nodes of one plan; beyond them the best plan found stands
+FILLINGS = 4  # fillings tried per bin
 ROWS_OUT = 50_000  # rows a task hands over at once
 
 Filling = tuple[int, ...]
@@ -122,40 +121,51 @@ def best_fit(histogram: Mapping[int, int], capacity: int) -> list[tuple[Filling,
 
 
 def _fillings(counts: list[int], room: int) -> list[Filling]:
-    """Undominated fillings of `room`, least waste first.
+    """Undominated fillings of `room`, least waste first, at most `FILLINGS`.
 
-    A filling that leaves room for another item is dominated by the one that takes it; an item that fills the room
-    alone dominates all others. Larger items are tried first, so the first leaf is the best-fit filling.
+    An item that fills the room alone dominates all others, and a filling that leaves room for another item is dominated
+    by the one that takes it. The sums that the sizes from each place on can reach are bit sets, so the walk, larger
+    items first, only enters branches that end in a filling of the waste looked for.
     """
     if counts[room]:
         return [(room,)]
     sizes = [s for s in range(min(room, len(counts) - 1), 0, -1) if counts[s]]
     if not sizes:
         return [()]
-    found: list[tuple[int, Filling]] = []
-    steps, stack = 0, [(0, room, ())]
-    while stack and steps < FILL_STEPS:
-        steps += 1
-        at, left, chosen = stack.pop()
-        fits = [j for j in range(at, len(sizes)) if sizes[j] <= left and chosen.count(sizes[j]) < counts[sizes[j]]]
-        if not fits:
-            # an earlier size may still fit only if it was passed over: then the filling is dominated
-            if not any(s <= left and chosen.count(s) < counts[s] for s in sizes[:at]):
-                found.append((left, chosen))
-                if not left and sum(1 for w, _ in found if not w) >= FILLINGS:
-                    break
+    mask = (1 << (room + 1)) - 1
+    reach = [1] * (len(sizes) + 1)  # reach[j]: bit n is set if sizes[j:] can add up to n
+    for j in range(len(sizes) - 1, -1, -1):
+        sums, step = reach[j + 1], sizes[j]
+        copies, part = min(counts[step], room // step), 1
+        while copies:  # doubling shifts add 1, 2, 4, ... copies
+            part = min(part, copies)
+            sums |= sums << (step * part)
+            copies -= part
+            part *= 2
+        reach[j] = sums & mask
+    found: list[Filling] = []
+    smallest = sizes[-1]
+    for waste in range(room + 1):
+        if not reach[0] >> (room - waste) & 1:
             continue
-        for j in reversed(fits):
-            stack.append((j, left - sizes[j], (*chosen, sizes[j])))
-    if not found:
-        chosen, left = [], room
-        for s in sizes:
-            n = min(counts[s], left // s)
-            chosen += [s] * n
-            left -= n * s
-        found = [(left, tuple(chosen))]
-    found.sort(key=lambda f: (f[0], len(f[1])))
-    return [f for _, f in found[:FILLINGS]]
+        stack = [(0, room - waste, ())]
+        while stack and len(found) < FILLINGS:
+            j, left, chosen = stack.pop()
+            if not left:
+                if waste < smallest or not any(s <= waste and chosen.count(s) < counts[s] for s in sizes):
+                    found.append(chosen)
+                continue
+            while j < len(sizes) and sizes[j] > left:
+                j += 1
+            if j == len(sizes) or not reach[j] >> left & 1:
+                continue
+            size = sizes[j]
+            stack.append((j + 1, left, chosen))
+            if chosen.count(size) < counts[size]:
+                stack.append((j, left - size, (*chosen, size)))
+        if len(found) >= FILLINGS or waste >= smallest and found:
+            break
+    return found
 
 
 def pack_histogram(histogram: Mapping[int, int], capacity: int = CAPACITY,

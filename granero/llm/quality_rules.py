@@ -92,9 +92,16 @@ def text_features(records: DataFrame, key: str, text: str, language: str) -> Dat
         F.array(*tally).alias("_common"))
 
 
-def _share(histogram: Column) -> Column:
-    total = F.aggregate(histogram, F.lit(0.0), lambda a, x: a + x)
-    return F.transform(histogram, lambda x: F.when(total > 0, x / total).otherwise(0.0))
+def _total(histogram: str) -> Column:
+    return F.aggregate(histogram, F.lit(0).cast("long"), lambda a, x: a + x)
+
+
+def _with_shares(rows: DataFrame, histogram: str) -> DataFrame:
+    """Adds the histogram's total and its shares (0 where the total is 0)."""
+    rows = rows.withColumn(f"{histogram}_total", _total(histogram))
+    divisor = F.greatest(F.col(f"{histogram}_total"), F.lit(1)).cast("double")
+    return rows.withColumn(f"{histogram}_divisor", divisor).withColumn(
+        f"{histogram}_share", F.transform(histogram, lambda x: x / F.col(f"{histogram}_divisor")))
 
 
 def jensen_shannon(p: Column, q: Column) -> Column:
@@ -133,11 +140,12 @@ def _base_failed() -> Column:
     return (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > MAX_REPEAT_PERCENT * F.col("n_words"))
 
 
-def _nearest(histogram: Column, references: Sequence[Sequence[float]]) -> Column:
+def _nearest(shares: str, references: Sequence[Sequence[float]]) -> Column:
+    """Distance to the nearest reference."""
     if not references:
         return F.lit(0.0)
-    table = F.array(*[F.array(*[F.lit(float(v)) for v in r]) for r in references])
-    return F.array_min(F.transform(table, lambda r: jensen_shannon(histogram, r)))
+    each = [jensen_shannon(F.col(shares), F.array(*[F.lit(float(v)) for v in r])) for r in references]
+    return F.least(*each, each[0])
 
 
 def quality_verdicts(records: DataFrame, key: str = "ln_folio_incidencia", text: str = "descripcion",
@@ -155,11 +163,9 @@ def quality_verdicts(records: DataFrame, key: str = "ln_folio_incidencia", text:
     """
     features = put_aside(text_features(records, key, text, language), "quality")
     classes, common = _references(features)
-    scored = features.withColumn("class_distance", F.when(
-        F.aggregate("_classes", F.lit(0).cast("long"), lambda a, x: a + x) >= min_chars,
-        _nearest(_share(F.col("_classes")), classes))).withColumn("word_distance", F.when(
-            F.aggregate("_common", F.lit(0).cast("long"), lambda a, x: a + x) >= min_common,
-            _nearest(_share(F.col("_common")), common)))
+    scored = _with_shares(_with_shares(features, "_classes"), "_common").withColumn(
+        "class_distance", F.when(F.col("_classes_total") >= min_chars, _nearest("_classes_share", classes))).withColumn(
+        "word_distance", F.when(F.col("_common_total") >= min_common, _nearest("_common_share", common)))
     scored = scored.withColumn("base_failed", _base_failed())
     far = (F.coalesce("class_distance", F.lit(0.0)) > max_class_distance) | (
         F.coalesce("word_distance", F.lit(0.0)) > max_word_distance)
