@@ -5,10 +5,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from granero.llm.byte_bpe import encode_and_decode
 from granero.llm.common import put_aside
 from granero.llm.dialogues import rotate_perspectives
 from granero.llm.license_scan import scan_templates
 from granero.llm.lm_scoring import score_against_target
+from granero.llm.near_copies import near_copy_groups
 from granero.llm.packing import pack_texts
 from granero.llm.quality_rules import quality_verdicts
 from granero.llm.series_search import nearest_series
@@ -37,6 +39,11 @@ def op2_license_scan(spark: SparkSession, folder: str) -> DataFrame:
     return scan_templates(_incidents(spark, folder)).withColumnRenamed("ln_folio_incidencia", "doc_id")
 
 
+def op3_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
+    return encode_and_decode(_incidents(spark, folder), with_ids=False).drop("ids").withColumnRenamed(
+        "ln_folio_incidencia", "doc_id")
+
+
 def op4_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     def held_out(key: str):
         return F.pmod(F.crc32(F.col(key).cast("string").cast("binary")), F.lit(5)) == 0
@@ -73,6 +80,10 @@ def op7_bestfit_packing(spark: SparkSession, folder: str) -> DataFrame:
     return pack_texts(_incidents(spark, folder)).withColumnRenamed("ln_folio_incidencia", "doc_id")
 
 
+def op8_ngram_jaccard(spark: SparkSession, folder: str) -> DataFrame:
+    return near_copy_groups(_incidents(spark, folder)).withColumnRenamed("ln_folio_incidencia", "doc_id")
+
+
 def op9_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     return quality_verdicts(_incidents(spark, folder)).select(
         F.col("ln_folio_incidencia").alias("doc_id"), "n_words", "word_chars", "n_symbols", "n_dup_lines",
@@ -89,7 +100,7 @@ def op10_cross_entropy_difference(spark: SparkSession, folder: str) -> DataFrame
 
 
 QUERIES = {f.__name__: f for f in (
-    op1_warc_archive, op2_license_scan, op4_toxicity, op5_exact_topk, op6_chat_perspectives, op7_bestfit_packing,
-    op9_quality_rules, op10_cross_entropy_difference)}
+    op1_warc_archive, op2_license_scan, op3_byte_bpe, op4_toxicity, op5_exact_topk, op6_chat_perspectives,
+    op7_bestfit_packing, op8_ngram_jaccard, op9_quality_rules, op10_cross_entropy_difference)}
 
 ORACLE: dict[str, str] = {}
