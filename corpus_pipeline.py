@@ -1,23 +1,40 @@
-"""Corpus pipeline over `documents`: quality rules, then packing; each stage is one operator of granero.llm."""
+"""Corpus pipeline over `documents`: quality rules, toxicity, near copies, packing; each stage is one text operator."""
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from granero.llm.common import put_aside
+from granero.llm.near_copies import near_copy_groups
 from granero.llm.packing import pack_texts
 from granero.llm.quality_rules import quality_verdicts
+from granero.llm.toxicity import score_toxicity
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 
+def _only(docs: DataFrame, kept: DataFrame) -> DataFrame:
+    """The documents whose id is in `kept`, all columns as they came."""
+    ids = put_aside(kept.select("doc_id").distinct(), "kept")
+    return docs.join(ids.hint("shuffle_hash"), "doc_id", "left_semi").select(docs.columns)
+
+
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality rules keep."""
-    verdicts = quality_verdicts(docs, "doc_id", "text", "lang")
-    return docs.join(verdicts.filter("kept").select("doc_id"), "doc_id", "left_semi").select(docs.columns)
+    return _only(docs, quality_verdicts(docs, "doc_id", "text", "lang").filter("kept"))
+
+
+def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that are not toxic; the classifier learns from the labelled documents still there."""
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet").select("doc_id", "toxic")
+    return _only(docs, score_toxicity(docs, labels, "doc_id", "text", "toxic").filter("predicted = 0"))
+
+
+def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near copies: the one with the least id."""
+    return _only(docs, near_copy_groups(docs, "doc_id", "text").filter("doc_id = component_id"))
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -25,8 +42,9 @@ def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return pack_texts(docs, "doc_id", "text")
 
 
-STAGES: list[tuple[str, Stage]] = [("quality", quality), ("packing", packing)]
-ORACLE_SQL = None
+STAGES: list[tuple[str, Stage]] = [
+    ("quality", quality), ("toxicity", toxicity), ("near_copies", near_copies), ("packing", packing)]
+ORACLE_SQL = None  # the classifier and the search for few sequences are not SQL; tests hold both against brute force
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:

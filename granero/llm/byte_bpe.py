@@ -91,7 +91,7 @@ class Codec:
         token = self.letter[np.frombuffer(b"".join(words), np.uint8)]
         letters = pa.table({"lo": at, "hi": at + 1, "token": token})
         self.db.register("letters", letters)
-        found = self.db.execute(CONTRACT).to_arrow_table()
+        found = self.db.sql(CONTRACT).to_arrow_table()
         self.db.unregister("letters")
         return np.bincount(found.column("word").to_numpy(), minlength=len(words)), found.column("token").to_numpy()
 
@@ -139,7 +139,7 @@ class Codec:
         tokens = pa.table({"doc": np.repeat(np.arange(len(texts), dtype=np.int32), sizes),
                            "place": np.arange(sizes.sum(), dtype=np.int64), "token": np.concatenate(texts).astype(np.int32)})
         self.db.register("tokens", tokens)
-        found = self.db.execute(DECODE).to_arrow_table()
+        found = self.db.sql(DECODE).to_arrow_table()
         self.db.unregister("tokens")
         out = [b""] * len(texts)
         for doc, text in zip(found.column("doc").to_pylist(), found.column("decoded")):
