@@ -15,26 +15,26 @@ from granero.llm.toxicity import score_toxicity
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 
-def _only(docs: DataFrame, kept: DataFrame) -> DataFrame:
-    """The documents whose id is in `kept`, all columns as they came."""
-    ids = put_aside(kept.select("doc_id").distinct(), "kept")
-    return docs.join(ids.hint("shuffle_hash"), "doc_id", "left_semi").select(docs.columns)
+def _without(docs: DataFrame, rejected: DataFrame) -> DataFrame:
+    """The documents whose id is not in `rejected`, all columns as they came; a document without an id stays."""
+    ids = put_aside(rejected.select("doc_id").distinct(), "rejected")
+    return docs.join(ids.hint("shuffle_hash"), "doc_id", "left_anti").select(docs.columns)
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality rules keep."""
-    return _only(docs, quality_verdicts(docs, "doc_id", "text", "lang").filter("kept"))
+    return _without(docs, quality_verdicts(docs, "doc_id", "text", "lang").filter("not kept"))
 
 
 def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that are not toxic; the classifier learns from the labelled documents still there."""
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet").select("doc_id", "toxic")
-    return _only(docs, score_toxicity(docs, labels, "doc_id", "text", "toxic").filter("predicted = 0"))
+    return _without(docs, score_toxicity(docs, labels, "doc_id", "text", "toxic").filter("predicted = 1"))
 
 
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near copies: the one with the least id."""
-    return _only(docs, near_copy_groups(docs, "doc_id", "text").filter("doc_id = component_id"))
+    return _without(docs, near_copy_groups(docs, "doc_id", "text").filter("doc_id <> component_id"))
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -139,20 +139,16 @@ def _scanner(templates: Mapping[str, str], min_coverage: float, band: int, key_t
             for t, q in index[int(values[p])]:
                 hits[t].add(p - q)
         for t, diagonals in sorted(hits.items()):
-            body, taken = bodies[t], -1
-            group: list[int] = []
-            for d in [*sorted(diagonals), None]:
-                if group and (d is None or d - group[0] > band):
-                    pairs = align(body, words[max(0, group[0] - band):group[-1] + len(body) + band],
-                                  group[0] - max(0, group[0] - band), band)
-                    base = max(0, group[0] - band)
-                    if len(pairs) >= min_coverage * len(body) and base + pairs[0][1] > taken:
-                        first, last = base + pairs[0][1], base + pairs[-1][1]
-                        taken = last
-                        yield names[t], len(pairs) / len(body), len(pairs), places[first].start(), places[last].end()
-                    group = []
-                if d is not None:
-                    group.append(d)
+            body, free = bodies[t], 0  # words before `free` are taken
+            for d in sorted(diagonals):
+                if d < free - band:
+                    continue
+                base = max(free, d - band)
+                pairs = align(body, words[base:max(base, d + len(body) + band)], d - base, band)
+                if pairs and len(pairs) >= min_coverage * len(body):
+                    first, last = base + pairs[0][1], base + pairs[-1][1]
+                    free = last + 1
+                    yield names[t], len(pairs) / len(body), len(pairs), places[first].start(), places[last].end()
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-import math
 import re
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -20,22 +20,32 @@ START = ""  # stands before the first word
 DISCOUNT = 1.0  # taken from every count: what was seen in one context only is left to the shared counts
 MAX_TRAINING = 8000  # labelled rows of each class that the classifier is fitted on, chosen by a hash of the key
 MAX_MODEL_WORDS = 1_000_000  # words that carry a class count of their own; bound of the broadcast model
-CALIBRATION = 4  # every so-manieth training row fits the scale of the score, the others are counted
-RIDGE = 1e-2
-DEFAULT_SCALE = (-3.0, 1.0, 0.0)  # when the calibration rows lack a class
+RIDGE = 1e-4
 
 
 @dataclass(frozen=True)
 class KneserNey:
-    """Words with counts of their own and their log-probability under each class; place 0 stands for all others."""
+    """Words with class counts of their own, and what both models are made of; place 0 stands for all other words."""
 
     words: list[str]
-    toxic: np.ndarray
+    toxic: np.ndarray  # contexts of each place in the class
     ordinary: np.ndarray
+    backoff: np.ndarray  # shared probability of each place
+    totals: tuple[float, float]  # contexts of the class
+    freed: tuple[float, float]  # share of them that the discounts free
 
     def places(self) -> dict[str, int]:
         return {w: i + 1 for i, w in enumerate(self.words)}
 
+    def log_probabilities(self, at: np.ndarray | slice = slice(None), less: np.ndarray | float = 0.0,
+                          label: int | None = None) -> tuple[np.ndarray, np.ndarray]:
+        """Under the toxic and the ordinary model, of the words at some places; `less` contexts are taken from `label`."""
+        out = []
+        for k, counts in enumerate((self.toxic, self.ordinary)):
+            own = counts[at] - (less if label == 1 - k else 0.0)
+            out.append(np.log(np.maximum(own - DISCOUNT, 0) / self.totals[k] + self.freed[k] * self.backoff[at]))
+        return tuple(out)
+
 
 def _contexts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
@@ -64,58 +74,80 @@ def fit(training: DataFrame) -> KneserNey | None:
         return None
     rows = per_word.filter(f"toxic > {DISCOUNT} or ordinary > {DISCOUNT}").orderBy(
         F.desc(F.col("toxic") + F.col("ordinary")), "word").limit(MAX_MODEL_WORDS).toPandas()
-    shared = (rows["toxic"] + rows["ordinary"]).to_numpy(float)
+    counts = [np.concatenate([[0.0], rows[c].to_numpy(float)]) for c in ("toxic", "ordinary")]
     total = sums["toxic"] + sums["ordinary"] + sums["words"] + 1.0
-    backoff = np.concatenate([[1.0], shared + 1.0]) / total  # one more each, and one for words never met
+    return KneserNey(rows["word"].tolist(), *counts, (counts[0] + counts[1] + 1.0) / total,
+                     (float(sums["toxic"]), float(sums["ordinary"])),
+                     (sums["toxic_freed"] / sums["toxic"], sums["ordinary_freed"] / sums["ordinary"]))
 
-    def log_probability(name: str) -> np.ndarray:
-        own = np.concatenate([[0.0], np.maximum(rows[name].to_numpy(float) - DISCOUNT, 0)])
-        return np.log(own / sums[name] + sums[f"{name}_freed"] / sums[name] * backoff)
 
-    return KneserNey(rows["word"].tolist(), log_probability("toxic"), log_probability("ordinary"))
+def _words(text: str | None) -> list[str]:
+    return TOKEN.findall((text or "").lower())
 
 
-def _measure(shared_model, key_type: pa.DataType, scale: tuple[float, ...] | None):
+def _measure(shared_model, key_type: pa.DataType, scale: tuple[float, ...]):
+    """Tasks that score rows (_key, _text)."""
     def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = shared_model.value
-        place = model.places().get
-        gain = model.toxic - model.ordinary
+        place, (likely, usual) = model.places().get, model.log_probabilities()
+        gain = likely - usual
         for batch in batches:
             rows = []
             for text in batch.column(1):
-                words = TOKEN.findall((text.as_py() or "").lower())
+                words = _words(text.as_py())
                 at = np.fromiter((place(w, 0) for w in words), dtype=np.int64, count=len(words))
-                rows.append((model.toxic[at].mean(), model.ordinary[at].mean(), gain[at].max()) if len(at) else (0.0, 0.0, 0.0))
+                rows.append((likely[at].mean(), usual[at].mean(), gain[at].max()) if len(at) else (0.0, 0.0, 0.0))
             toxic, ordinary, peak = np.array(rows, float).reshape(-1, 3).T
-            columns = [batch.column(0), pa.array(toxic), pa.array(ordinary), pa.array(peak)]
-            names = ["_key", "toxic_loglik", "ordinary_loglik", "peak"]
-            if scale is not None:
-                z = scale[0] + scale[1] * peak + scale[2] * (toxic - ordinary)
-                columns.append(pa.array(1 / (1 + np.exp(-np.clip(z, -50, 50)))))
-                names.append("score")
-            yield pa.RecordBatch.from_arrays(columns, names)
+            z = scale[0] + scale[1] * peak + scale[2] * (toxic - ordinary)
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), *map(pa.array, (toxic, ordinary, peak, 1 / (1 + np.exp(-np.clip(z, -50, 50)))))],
+                ["_key", "toxic_loglik", "ordinary_loglik", "peak", "score"])
+    return measure
+
+
+def _compare_left_out(shared_model):
+    """Tasks that compare rows (label, text) under the models less the row's own contexts."""
+    def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        model = shared_model.value
+        place = model.places().get
+        for batch in batches:
+            rows = []
+            for label, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                words = _words(text)
+                if not words:
+                    rows.append((0.0, 0.0))
+                    continue
+                own = Counter(w for _, w in set(zip([START, *words], words)))
+                at = np.array([place(w, 0) for w in own])
+                times = Counter(words)
+                weight = np.array([times[w] for w in own], float)
+                less = np.where(at > 0, np.array([own[w] for w in own], float), 0.0)
+                likely, usual = model.log_probabilities(at, less, label)
+                rows.append(((likely - usual).max(), ((likely - usual) * weight).sum() / weight.sum()))
+            peak, mean = np.array(rows, float).reshape(-1, 2).T
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(peak), pa.array(mean)], ["label", "peak", "mean"])
     return measure
 
 
-def _scored(rows: DataFrame, model: KneserNey, scale: tuple[float, ...] | None = None) -> DataFrame:
+def _scored(rows: DataFrame, shared_model, scale: tuple[float, ...]) -> DataFrame:
     """Rows (_key, _text) with their length-normalised log-likelihoods, the strongest word's ratio and the score."""
     from pyspark.sql.pandas.types import to_arrow_type
 
     kind = rows.schema["_key"].dataType
-    names = ["toxic_loglik", "ordinary_loglik", "peak"] + ["score"] * (scale is not None)
-    schema = T.StructType([T.StructField("_key", kind)] + [T.StructField(n, T.DoubleType()) for n in names])
-    return map_arrow(rows.select("_key", "_text"), _measure(rows.sparkSession.sparkContext.broadcast(model), to_arrow_type(kind), scale), schema)
+    schema = T.StructType([T.StructField("_key", kind)] + [
+        T.StructField(n, T.DoubleType()) for n in ("toxic_loglik", "ordinary_loglik", "peak", "score")])
+    return map_arrow(rows.select("_key", "_text"), _measure(shared_model, to_arrow_type(kind), scale), schema)
 
 
 def logistic(features: np.ndarray, labels: np.ndarray, ridge: float = RIDGE) -> tuple[float, ...]:
-    """Coefficients (constant first) of a logistic regression with equal weight for both classes."""
+    """Coefficients (constant first) of a logistic regression."""
     x = np.hstack([np.ones((len(features), 1)), features])
-    weight = np.where(labels == 1, 0.5 / max(1, (labels == 1).sum()), 0.5 / max(1, (labels == 0).sum()))
+    weight = np.full(len(labels), 1 / len(labels))
     beta = np.zeros(x.shape[1])
     for _ in range(50):
         p = 1 / (1 + np.exp(-np.clip(x @ beta, -50, 50)))
-        slope = x.T @ (weight * (labels - p)) - ridge / 100 * beta
-        curve = (x * (weight * np.maximum(p * (1 - p), 1e-6))[:, None]).T @ x + ridge / 100 * np.eye(len(beta))
+        slope = x.T @ (weight * (labels - p)) - ridge * beta
+        curve = (x * (weight * np.maximum(p * (1 - p), 1e-6))[:, None]).T @ x + ridge * np.eye(len(beta))
         step = np.linalg.solve(curve, slope)
         beta += np.clip(step, -5, 5)
         if np.abs(step).max() < 1e-8:
@@ -123,14 +155,24 @@ def logistic(features: np.ndarray, labels: np.ndarray, ridge: float = RIDGE) ->
     return tuple(float(b) for b in beta)
 
 
+def _scale(features: np.ndarray, labels: np.ndarray) -> tuple[float, float, float]:
+    """Constant and weights of both comparisons; one that few rows would turn round is left out."""
+    scale = logistic(features, labels)
+    if scale[2] < 0:
+        scale = (*logistic(features[:, :1], labels), 0.0)
+    if scale[1] < 0:
+        scale = (*logistic(features[:, :0], labels), 0.0, 0.0)
+    return scale
+
+
 def score_toxicity(reports: DataFrame, labels: DataFrame, key: str = "hash_respuesta", text: str = "observaciones",
                    label: str = "toxica", *, max_training: int = MAX_TRAINING) -> DataFrame:
     """Toxicity, 0 to 1, of the `observaciones` of every field report; `labels` names the rows to learn from.
 
     The score is a logistic function of two comparisons of the models: the ratio of the length-normalised
     log-likelihoods, and the ratio of the strongest word, so that an insult in a long text is not thinned out. Its three
-    coefficients are fitted on the training rows that were not counted. Per class at most `max_training` labelled rows,
-    chosen by a hash of the key, are learnt from; that bounds the broadcast model. Scoring is a map-only step.
+    coefficients are fitted on the training rows, each compared under the models less its own contexts. Per class at
+    most `max_training` labelled rows, chosen by a hash of the key, are learnt from; that bounds the broadcast model. Scoring is a map-only step.
 
     Columns: key, score, predicted (1 from 0.5 on), toxic_loglik and ordinary_loglik (per word), peak. Null and empty
     texts have no words: both log-likelihoods and the peak are 0. Null keys are scored and never learnt from; labels
@@ -144,17 +186,15 @@ def score_toxicity(reports: DataFrame, labels: DataFrame, key: str = "hash_respu
     chosen = [known.filter(F.col("label") == c).orderBy(order, "_key").limit(max_training) for c in (0, 1)]
     chosen = put_aside(chosen[0].unionByName(chosen[1]), "training-keys")  # at most twice max_training
     training = put_aside(rows.join(F.broadcast(chosen), "_key"), "training")
-    held = F.pmod(F.xxhash64("_key", F.lit("calibration")), F.lit(CALIBRATION)) == 0
-    model = fit(training.filter(~held).select("label", F.col("_text").alias("text")))
+    training = training.select("label", F.col("_text").alias("text"))
+    model = fit(training)
     if model is None:
         none = F.lit(0.0)
         return rows.select(F.col("_key").alias(key), none.alias("score"), F.lit(0).alias("predicted"),
                            none.alias("toxic_loglik"), none.alias("ordinary_loglik"), none.alias("peak"))
-    sample = _scored(training.filter(held), model).join(F.broadcast(chosen), "_key").select(
-        "label", "peak", (F.col("toxic_loglik") - F.col("ordinary_loglik")).alias("mean")).toPandas()
-    scale = DEFAULT_SCALE
-    if sample["label"].nunique() == 2:
-        scale = logistic(sample[["peak", "mean"]].to_numpy(float), sample["label"].to_numpy(float))
-    return _scored(rows, model, scale).select(
+    shared = reports.sparkSession.sparkContext.broadcast(model)
+    sample = map_arrow(training, _compare_left_out(shared), "label int, peak double, mean double").toPandas()
+    scale = _scale(sample[["peak", "mean"]].to_numpy(float), sample["label"].to_numpy(float))
+    return _scored(rows, shared, scale).select(
         F.col("_key").alias(key), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"), "toxic_loglik",
         "ordinary_loglik", "peak")
