@@ -108,7 +108,9 @@ SELECT 2025 AS anio, CAST(s_suppkey AS VARCHAR) AS id_ceda_agricultura, r_name A
   'rc' || s_suppkey || '@example.org' AS rc_correo, '56-' || s_suppkey AS rc_telefono
 FROM supplier LEFT JOIN nation ON s_nationkey = n_nationkey LEFT JOIN region ON n_regionkey = r_regionkey""",
     "registry": f"""
-SELECT CAST(o_orderkey AS VARCHAR) AS acuse_estatal, CAST(o_custkey % {_N} AS VARCHAR) AS id_ceda_agricultura,
+SELECT CASE WHEN o_orderkey % 97 = 0 THEN 'P-' || o_orderkey ELSE CAST(o_orderkey AS VARCHAR) END AS acuse_estatal,
+  CASE WHEN o_orderpriority = '2-HIGH' AND o_custkey % {_N} % 7 = 0 THEN 'SIN CEDA' ELSE CAST(o_custkey % {_N} AS VARCHAR) END
+    AS id_ceda_agricultura,
   CASE o_orderpriority WHEN '1-URGENT' THEN 'Nuevo Ingreso 2025' WHEN '2-HIGH' THEN 'NUEVO INGRESO complemento'
     WHEN '3-MEDIUM' THEN 'Acceso Directo 2024' WHEN '4-NOT SPECIFIED' THEN 'Acceso Directo 2025' END AS estatus,
   'AP' || o_custkey AS primer_apellido,

@@ -58,7 +58,7 @@ register("v1_targets_by_publication", lambda r: progress.targets_by_centre(r.reg
 register("v2_daily_progress", lambda r: progress.daily_progress(r.deliveries(), r.registry(), r.centres(), YEAR),
          "centres registry deliveries", _with(V2, UNIQ), dbl=TON5, big="avance_dh avance_superficie")
 register("v2_lost_progress",
-         lambda r: progress.lost_progress(r.deliveries(), r.registry().filter("superficie >= 5"), YEAR),
+         lambda r: progress.lost_progress(r.deliveries(), r.registry(), YEAR),
          "registry deliveries", _with(f"""
 SELECT d.cdf_entrega AS id_ceda_agricultura, u.estatus, u.incorporacion, fecha_entrega AS fecha, count(*) AS avance_dh,
   sum(superficie_apoyada) AS avance_superficie, sum(ton_dap_entregada) AS avance_dap_ton,
@@ -66,7 +66,7 @@ SELECT d.cdf_entrega AS id_ceda_agricultura, u.estatus, u.incorporacion, fecha_e
 FROM deliveries d JOIN u ON u.acuse_estatal = d.acuse_estatal
 WHERE fecha_entrega BETWEEN DATE '{START}' AND DATE '{END}' AND NOT EXISTS (SELECT 1 FROM u k WHERE
   k.id_ceda_agricultura = d.cdf_entrega AND k.estatus = u.estatus AND k.incorporacion = u.incorporacion)
-GROUP BY ALL""", UNIQ.replace("FROM registry)", "FROM registry WHERE superficie >= 5)").split("rd AS")[0].rstrip().rstrip(",")),
+GROUP BY ALL""", UNIQ.split("rd AS")[0].rstrip().rstrip(",")),
          dbl=TON5, big="avance_dh avance_superficie")
 
 _P = "PARTITION BY a.id_ceda_agricultura, a.estatus ORDER BY a.fecha ROWS UNBOUNDED PRECEDING"
@@ -127,9 +127,9 @@ register("v6_list_progress_by_state", lambda r: progress.list_progress_by_state(
          _with(f"SELECT unidad_operativa, estado, {_V6COLS} FROM v5 GROUP BY ALL", f"v4 AS ({V4})", f"v5 AS ({V5})"),
          dbl=LIST_DBL, big=LIST_BIG)
 register("v8_unregistered_deliveries",
-         lambda r: progress.unregistered_deliveries(r.deliveries(), r.registry().filter("estatus IS NOT NULL")),
+         lambda r: progress.unregistered_deliveries(r.deliveries(), r.registry()),
          "registry deliveries", """SELECT d.* FROM deliveries d WHERE NOT EXISTS
-  (SELECT 1 FROM registry k WHERE k.acuse_estatal = d.acuse_estatal AND k.estatus IS NOT NULL)""",
+  (SELECT 1 FROM registry k WHERE k.acuse_estatal = d.acuse_estatal)""",
          dbl="ton_dap_entregada ton_urea_entregada")
 
 # ---- freight -------------------------------------------------------------------------------------
@@ -262,13 +262,13 @@ FROM (SELECT cdf_entrega AS id_ceda_agricultura, count(*) AS total_derechohabien
 register("v16_progress_by_state", lambda r: dl.progress_by_state(r.deliveries(), r.centres()), "centres deliveries",
          f"""SELECT estado, {DSUM}, sum(superficie_apoyada) AS superficie_beneficiada FROM deliveries d JOIN centres rd
   ON rd.id_ceda_agricultura = d.cdf_entrega GROUP BY estado""", dbl=D_DBL, big="superficie_beneficiada")
-CAL = f"(SELECT CAST(f AS DATE) AS fecha FROM generate_series(DATE '{START}', DATE '{END}', INTERVAL 1 DAY) g(f))"
+CAL = f"(SELECT CAST(f AS DATE) AS fecha FROM generate_series(DATE '{ALL_START}', DATE '{ALL_END}', INTERVAL 1 DAY) g(f))"
 DAILY = f"""
 SELECT c.fecha, count(acuse_estatal) AS derechohabientes_apoyados, coalesce(sum(ton_dap_entregada), 0) AS dap_ton_entregada,
   coalesce(sum(ton_urea_entregada), 0) AS urea_ton_entregada,
   coalesce(sum(ton_dap_entregada), 0) + coalesce(sum(ton_urea_entregada), 0) AS total_ton_entregada
 FROM {CAL} c LEFT JOIN deliveries d ON d.fecha_entrega = c.fecha GROUP BY c.fecha"""
-register("v17_deliveries_by_day", lambda r: dl.deliveries_by_day(r.deliveries(), START, END), "deliveries", DAILY, dbl=D_DBL)
+register("v17_deliveries_by_day", lambda r: dl.deliveries_by_day(r.deliveries(), ALL_START, ALL_END), "deliveries", DAILY, dbl=D_DBL)
 register("v17_deliveries_by_day_state", lambda r: dl.deliveries_by_day_state(r.deliveries(), r.centres()),
          "centres deliveries", f"""SELECT fecha_entrega AS fecha, estado, {DSUM} FROM deliveries d JOIN centres rd
   ON rd.id_ceda_agricultura = d.cdf_entrega WHERE fecha_entrega IS NOT NULL GROUP BY 1, 2""", dbl=D_DBL)
@@ -344,6 +344,8 @@ FROM centres rd LEFT JOIN (SELECT * FROM flows WHERE fecha IS NOT NULL) e ON e.i
 GROUP BY ALL"""
 register("v26_daily_stock", lambda r: inventory.daily_stock(_flows(r), r.centres(), ALL_START, ALL_END), FLOW_ROLES, STOCK,
          dbl=f"{FLOW_DBL} {INV}")
+register("v26_daily_stock_of_one_year", lambda r: inventory.daily_stock(_flows(r), r.centres(), START, END), FLOW_ROLES,
+         f"SELECT * FROM ({STOCK}) s WHERE fecha BETWEEN DATE '{START}' AND DATE '{END}'", dbl=FLOW_DBL)
 register("v27_negative_stock_by_day", lambda r: inventory.negative_stock(
     inventory.daily_stock(_flows(r), r.centres(), ALL_START, ALL_END)), FLOW_ROLES,
          f"SELECT * FROM ({STOCK}) s WHERE {NEG}", dbl=f"{FLOW_DBL} {INV}")
@@ -466,7 +468,7 @@ SELECT folio_cdf AS id_ceda_agricultura, coalesce(sum(dap), 0) AS dap_pedido_acu
   max(fecha) AS ultimo_pedido_solicitado FROM order_lines WHERE estatus_pedido_detalle = 'Autorizado' GROUP BY 1""",
          dbl="dap_pedido_acumulado urea_pedido_acumulado")
 O_DBL = "pedido_dap_ton pedido_urea_ton pedido_total_ton"
-register("v14_orders_by_day", lambda r: orders.orders_by_day(r.order_lines(), START, END), "order_lines", f"""
+register("v14_orders_by_day", lambda r: orders.orders_by_day(r.order_lines(), ALL_START, ALL_END), "order_lines", f"""
 SELECT c.fecha, coalesce(sum(dap), 0) AS pedido_dap_ton, coalesce(sum(urea), 0) AS pedido_urea_ton,
   coalesce(sum(dap), 0) + coalesce(sum(urea), 0) AS pedido_total_ton
 FROM {CAL} c LEFT JOIN order_lines o ON o.fecha = c.fecha AND estatus_pedido_detalle = 'Autorizado' GROUP BY 1""", dbl=O_DBL)
@@ -477,9 +479,9 @@ SELECT coalesce(o.fecha, m.fecha) AS fecha, coalesce(pd, 0) AS pedido_dap_ton, c
   coalesce(d, 0) AS remanente_dap_ton, coalesce(u, 0) AS remanente_urea_ton,
   coalesce(pd, 0) + coalesce(pu, 0) + coalesce(d, 0) + coalesce(u, 0) AS pedido_total_ton
 FROM (SELECT fecha, sum(dap) AS pd, sum(urea) AS pu FROM order_lines WHERE estatus_pedido_detalle = 'Autorizado'
-  AND fecha BETWEEN DATE '{START}' AND DATE '{END}' GROUP BY 1) o
-FULL JOIN (SELECT * FROM ({REM_DAY}) z WHERE fecha BETWEEN DATE '{START}' AND DATE '{END}') m ON m.fecha = o.fecha"""
-register("v14_orders_and_remnants_by_day", lambda r: orders.orders_and_remnants_by_day(r.order_lines(), r.remnants(), START, END),
+  AND fecha BETWEEN DATE '{ALL_START}' AND DATE '{ALL_END}' GROUP BY 1) o
+FULL JOIN (SELECT * FROM ({REM_DAY}) z WHERE fecha BETWEEN DATE '{ALL_START}' AND DATE '{ALL_END}') m ON m.fecha = o.fecha"""
+register("v14_orders_and_remnants_by_day", lambda r: orders.orders_and_remnants_by_day(r.order_lines(), r.remnants(), ALL_START, ALL_END),
          "order_lines remnants", ORD_REM, dbl=f"{O_DBL} remanente_dap_ton remanente_urea_ton")
 register("v15_network_summary", lambda r: orders.network_summary(r.centres()), "centres", """
 SELECT id_ceda_agricultura, estado, zona_operativa, nombre_cedas, bodega_concentradora, sum(meta_derechohabientes) AS suma_productores,
@@ -504,9 +506,9 @@ def _supply(transit: bool) -> str:
             + (f" LEFT JOIN ({TR_DAY}) t ON t.fecha = c.fecha" if transit else ""))
 
 
-register("v19_supply_by_day_with_transit", lambda r: orders.supply_by_day(r.freight(), r.remnants(), START, END), "freight remnants",
+register("v19_supply_by_day_with_transit", lambda r: orders.supply_by_day(r.freight(), r.remnants(), ALL_START, ALL_END), "freight remnants",
          _supply(True), dbl=f"{S4} dap_transito_ton urea_transito_ton total_recibido_ton")
-register("v19_supply_by_day", lambda r: orders.supply_by_day(r.freight(), r.remnants(), START, END, with_transit=False),
+register("v19_supply_by_day", lambda r: orders.supply_by_day(r.freight(), r.remnants(), ALL_START, ALL_END, with_transit=False),
          "freight remnants", _supply(False), dbl=f"{S4} total_recibido_ton")
 BY_STATE = f"""
 SELECT fecha, estado, sum(df) AS dap_fletes_ton, sum(uf) AS urea_fletes_ton, sum(dr) AS dap_remanentes_ton, sum(ur) AS urea_remanentes_ton,
@@ -524,7 +526,7 @@ SELECT estado, sum(dap_fletes_ton) AS dap_fletes_ton, sum(urea_fletes_ton) AS ur
   sum(urea_remanentes_ton) AS urea_remanentes_ton, sum(dap_fletes_ton + urea_fletes_ton) AS total_fletes_ton,
   sum(dap_remanentes_ton + urea_remanentes_ton) AS total_remanente_ton, sum(total_recibido_ton) AS total_abasto_ton
 FROM ({BY_STATE}) s GROUP BY 1""", dbl=f"{S4} total_fletes_ton total_remanente_ton total_abasto_ton")
-register("v19_projection_by_day", lambda r: orders.projection_by_day(r.projection(), START, END), "projection", f"""
+register("v19_projection_by_day", lambda r: orders.projection_by_day(r.projection(), ALL_START, ALL_END), "projection", f"""
 SELECT c.fecha, coalesce(sum(toneladas_programadas), 0) AS abasto_proy_ton FROM {CAL} c LEFT JOIN projection p ON p.fecha = c.fecha GROUP BY 1""",
          dbl="abasto_proy_ton")
 ORD_DETAIL = """

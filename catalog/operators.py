@@ -7,7 +7,7 @@ import datetime as dt
 from pyspark.sql import functions as F
 
 from catalog.base import register
-from catalog.derived import (ALL_END, ALL_START, CAL, DAILY, END, ENRICHED, FLOW_DBL, FLOW_ROLES, FT, INV, ORD_REM, START, STOCK,
+from catalog.derived import (ALL_END, ALL_START, CAL, DAILY, ENRICHED, FLOW_DBL, FLOW_ROLES, FT, INV, ORD_REM, STOCK,
                              _flows, _supply)
 from granero.operators import daily, dedupe, filters, positions, series, summaries
 from granero.plans import deliveries as dl
@@ -27,16 +27,19 @@ register("q3_filter_iexact", lambda r: filters.filter_iexact(r.deliveries(), "cu
          "deliveries", "SELECT acuse_estatal, curp_renapo FROM deliveries WHERE upper(curp_renapo) = 'XXXXXXX100HDF'")
 register("q4_filter_in_list", lambda r: filters.filter_in_list(r.deliveries(), "cdf_entrega", " 1, 2\n\n 3 ,5\n", commas=True).select(
     "acuse_estatal", "cdf_entrega"), "deliveries", "SELECT acuse_estatal, cdf_entrega FROM deliveries WHERE cdf_entrega IN ('1', '2', '3', '5')")
+register("q4_long_list", lambda r: filters.filter_in_list(r.deliveries(), "acuse_estatal", "\n".join(str(3 * i) for i in range(5000))).select(
+    "acuse_estatal", "cdf_entrega"), "deliveries", """SELECT acuse_estatal, cdf_entrega FROM deliveries
+WHERE acuse_estatal IN (SELECT CAST(3 * i AS VARCHAR) FROM range(5000) t(i))""")
 register("q5_select_valid_columns", lambda r: filters.select_valid_columns(r.centres(), ["nada", "estado", "id_ceda_agricultura"]), "centres",
          "SELECT estado, id_ceda_agricultura FROM centres")
 register("q6_default_to_yesterday", lambda r: filters.default_to_yesterday(r.order_lines(), "fecha", None, TODAY).select("id_pedido", "fecha"),
          "order_lines", f"SELECT id_pedido, fecha FROM order_lines WHERE fecha < DATE '{TODAY}'")
 register("q7_since_first_movement", lambda r: filters.since_first_movement(
-    inventory.daily_stock(_flows(r), r.centres(), START, END), "id_ceda_agricultura", "fecha",
+    inventory.daily_stock(_flows(r), r.centres(), ALL_START, ALL_END), "id_ceda_agricultura", "fecha",
     ["dap_ton_total_entrada", "urea_ton_total_entrada"], TODAY, dt.date(1998, 11, 30)), FLOW_ROLES, f"""
-SELECT s.* FROM (SELECT * FROM ({STOCK.replace(str(ALL_START), str(START)).replace(str(ALL_END), str(END))}) x) s
+SELECT s.* FROM (SELECT * FROM ({STOCK}) x) s
 JOIN (SELECT id_ceda_agricultura AS c, coalesce(min(fecha) FILTER (dap_ton_total_entrada > 0 OR urea_ton_total_entrada > 0), DATE '{TODAY}') AS m
-  FROM ({STOCK.replace(str(ALL_START), str(START)).replace(str(ALL_END), str(END))}) y GROUP BY 1) f ON f.c = s.id_ceda_agricultura
+  FROM ({STOCK}) y GROUP BY 1) f ON f.c = s.id_ceda_agricultura
 WHERE s.fecha >= f.m AND s.fecha <= DATE '1998-11-30'""", dbl=f"{FLOW_DBL} {INV}")
 register("q9_filter_positive", lambda r: filters.filter_positive(r.centres(), "meta_dap_ton").select("id_ceda_agricultura", "meta_dap_ton"), "centres",
          "SELECT id_ceda_agricultura, meta_dap_ton FROM centres WHERE meta_dap_ton > 0", dbl="meta_dap_ton")
@@ -218,11 +221,11 @@ register("c35_producers_by_locality", lambda r: reports.producers_by_locality(
 
 
 def _daily(r):
-    return dl.deliveries_by_day(r.deliveries(), START, END)
+    return dl.deliveries_by_day(r.deliveries(), ALL_START, ALL_END)
 
 
 def _supply_days(r):
-    return orders.supply_by_day(r.freight(), r.remnants(), START, END, with_transit=False)
+    return orders.supply_by_day(r.freight(), r.remnants(), ALL_START, ALL_END, with_transit=False)
 
 
 _V = "total_ton_entregada"
@@ -241,14 +244,14 @@ def _both(r):
 register("w5_cumulative_series", lambda r: series.cumulative(_daily(r), _V, "acumulado"), "deliveries",
          f"SELECT fecha, sum({_V}) OVER (ORDER BY fecha) AS acumulado FROM {_POS} p", dbl="acumulado")
 register("w6_gaps_as_of", lambda r: series.gaps_as_of({
-    "proyectado": (orders.projection_by_day(r.projection(), START, END), "abasto_proy_ton"),
-    "abasto": (orders.supply_by_day(r.freight(), r.remnants(), START, END), "total_recibido_ton"),
+    "proyectado": (orders.projection_by_day(r.projection(), ALL_START, ALL_END), "abasto_proy_ton"),
+    "abasto": (orders.supply_by_day(r.freight(), r.remnants(), ALL_START, ALL_END), "total_recibido_ton"),
     "entregado": (_daily(r), _V),
-    "pedido": (orders.orders_and_remnants_by_day(r.order_lines(), r.remnants(), START, END), "pedido_total_ton")}, TODAY),
+    "pedido": (orders.orders_and_remnants_by_day(r.order_lines(), r.remnants(), ALL_START, ALL_END), "pedido_total_ton")}, TODAY),
          "freight remnants deliveries order_lines projection", f"""
 SELECT p AS proyectado, a AS abasto, e AS entregado, o AS pedido, a - p AS abasto_menos_proyectado, e - p AS entregado_menos_proyectado,
   o - a AS pedidos_por_atender, a - e AS inventario_mas_transito
-FROM (SELECT coalesce(sum(toneladas_programadas), 0) AS p FROM projection WHERE fecha >= DATE '{START}' AND fecha < DATE '{TODAY}') x,
+FROM (SELECT coalesce(sum(toneladas_programadas), 0) AS p FROM projection WHERE fecha >= DATE '{ALL_START}' AND fecha < DATE '{TODAY}') x,
   (SELECT coalesce(sum(total_recibido_ton), 0) AS a FROM ({_supply(True)}) s WHERE fecha < DATE '{TODAY}') y,
   (SELECT coalesce(sum({_V}), 0) AS e FROM ({DAILY}) d WHERE fecha < DATE '{TODAY}') z,
   (SELECT coalesce(sum(pedido_total_ton), 0) AS o FROM ({ORD_REM}) q WHERE fecha < DATE '{TODAY}') w""",
@@ -291,11 +294,11 @@ SELECT CAST(isoyear(fecha) AS VARCHAR) || '-' || lpad(CAST(week(fecha) AS VARCHA
 # severe losses are rare, so some weeks have none
 _SAT = "fecha_incidente + CAST((6 - isodow(fecha_incidente) + 7) % 7 AS INTEGER)"
 register("a9_saturday_week_sums", lambda r: series.saturday_week_sums(
-    r.incidents().filter("ton_incidencia >= 3.9").groupBy(F.col("fecha_incidente").alias("fecha")).agg(F.sum("ton_incidencia").alias("ton")), ["ton"]),
+    r.incidents().groupBy(F.col("fecha_incidente").alias("fecha")).agg(F.sum("ton_incidencia").alias("ton")), ["ton"]),
          "incidents", f"""
 SELECT CAST(s AS DATE) AS fin_semana, week(CAST(s AS DATE)) AS semana, ton
-FROM (SELECT unnest(generate_series(min({_SAT}), max({_SAT}), INTERVAL 7 DAY)) AS s FROM incidents WHERE ton_incidencia >= 3.9) g
-LEFT JOIN (SELECT {_SAT} AS f, sum(ton_incidencia) AS ton FROM incidents WHERE ton_incidencia >= 3.9 GROUP BY 1) w ON w.f = CAST(g.s AS DATE)""", dbl="ton")
+FROM (SELECT unnest(generate_series(min({_SAT}), max({_SAT}), INTERVAL 7 DAY)) AS s FROM incidents) g
+LEFT JOIN (SELECT {_SAT} AS f, sum(ton_incidencia) AS ton FROM incidents GROUP BY 1) w ON w.f = CAST(g.s AS DATE)""", dbl="ton")
 register("a10_series_kpis", lambda r: series.series_kpis(_daily(r), "derechohabientes_apoyados", 2062239).select(
     "total", "maximo", "minimo", F.round("promedio", 6).alias("promedio"), F.round("porcentaje", 6).alias("porcentaje")), "deliveries", f"""
 SELECT sum(n) AS total, max(n) AS maximo, min(n) AS minimo, round(avg(CAST(n AS DOUBLE)), 6) AS promedio, round(CAST(sum(n) AS DOUBLE) * 100 / 2062239, 6) AS porcentaje
@@ -306,18 +309,24 @@ register("w1_running_totals", lambda r: series.cumulative(_supply_days(r), "tota
 
 # ---- paging, options, sets -----------------------------------------------------------------------
 
-register("l1_null_order", lambda r: r.freight().orderBy(*filters.order_sql_style("-fecha_de_entrega", "folio_del_flete")).limit(500)
-         .select("folio_del_flete", "fecha_de_entrega"), "freight",
-         "SELECT folio_del_flete, fecha_de_entrega FROM freight ORDER BY fecha_de_entrega DESC NULLS FIRST, folio_del_flete LIMIT 500")
+register("l1_null_order", lambda r: positions.number_rows(
+    r.freight().select("folio_del_flete", "fecha_de_entrega"), filters.order_sql_style("-fecha_de_entrega", "folio_del_flete"), "lugar")
+         .drop("total"), "freight",
+         """SELECT folio_del_flete, fecha_de_entrega, row_number() OVER (ORDER BY fecha_de_entrega DESC NULLS FIRST, folio_del_flete) AS lugar
+FROM freight""")
 register("l2_page", lambda r: filters.page(r.freight().select("folio_del_flete", "fecha_de_salida", "toneladas_iniciales"), 3, 100,
                                            "-fecha_de_salida", "folio_del_flete"), "freight", """
 SELECT folio_del_flete, fecha_de_salida, toneladas_iniciales FROM freight ORDER BY fecha_de_salida DESC NULLS FIRST, folio_del_flete LIMIT 100 OFFSET 200""",
          dbl="toneladas_iniciales")
 register("l2_deep_page", lambda r: filters.page(r.freight().select("folio_del_flete", "fecha_de_salida"), 40, 100, "-fecha_de_salida",
-                                                "folio_del_flete", deep=1000), "freight", """
+                                                "folio_del_flete"), "freight", """
 SELECT folio_del_flete, fecha_de_salida FROM freight ORDER BY fecha_de_salida DESC NULLS FIRST, folio_del_flete LIMIT 100 OFFSET 3900""")
-register("l3_limit_with_full_summary", lambda r: freight.enriched_freight(r.freight(), r.centres()).orderBy("folio_del_flete").limit(10000)
-         .select("folio_del_flete", "estado"), "centres freight", f"SELECT folio_del_flete, estado FROM ({ENRICHED}) e ORDER BY folio_del_flete LIMIT 10000")
+register("l3_limit_with_full_summary", lambda r: filters.rows_with_summary(
+    freight.enriched_freight(r.freight(), r.centres()), 10000, ["folio_del_flete"],
+    {"fletes": F.count("*"), "toneladas": F.sum("toneladas_iniciales").cast("decimal(18,3)")})
+         .select("folio_del_flete", "estado", "fletes", "toneladas"), "centres freight", f"""
+SELECT folio_del_flete, estado, (SELECT count(*) FROM ({ENRICHED}) a) AS fletes, (SELECT sum(toneladas_iniciales) FROM ({ENRICHED}) b) AS toneladas
+FROM ({ENRICHED}) e ORDER BY folio_del_flete LIMIT 10000""", dbl="toneladas")
 register("l4_option_list", lambda r: filters.option_list(r.raw("orders").selectExpr("CASE o_orderstatus WHEN 'P' THEN '' ELSE o_orderpriority END AS opcion"), "opcion"), "",
          "SELECT DISTINCT o_orderpriority AS opcion FROM orders WHERE o_orderstatus <> 'P'")
 register("l5_dependent_options", lambda r: filters.dependent_options(r.centres(), "zona_operativa", {"coordinacion_estatal": "ASIA", "estado": "NATION_2"}),
@@ -331,8 +340,8 @@ register("u1_union_by_name", lambda r: r.raw("customer").selectExpr("c_custkey A
 register("u2_distinct", lambda r: r.registry().select("id_ceda_agricultura", "estatus").distinct(), "registry",
          "SELECT DISTINCT id_ceda_agricultura, estatus FROM registry")
 register("u3_set_difference", lambda r: r.registry().select("id_ceda_agricultura").distinct().join(
-    r.deliveries().filter("superficie_apoyada = 7 AND dap_anio_actual = 50").select(F.col("cdf_entrega").alias("id_ceda_agricultura")), "id_ceda_agricultura", "left_anti"),
-         "registry deliveries", "SELECT id_ceda_agricultura FROM registry EXCEPT SELECT cdf_entrega FROM deliveries WHERE superficie_apoyada = 7 AND dap_anio_actual = 50")
+    r.deliveries().select(F.col("cdf_entrega").alias("id_ceda_agricultura")), "id_ceda_agricultura", "left_anti"),
+         "registry deliveries", "SELECT id_ceda_agricultura FROM registry EXCEPT SELECT cdf_entrega FROM deliveries")
 
 # ---- parts of the derived tables on their own ----------------------------------------------------
 
@@ -348,13 +357,13 @@ def _order_facts(r):
 
 
 def _grid(r, totals=()):
-    pairs = r.order_lines().filter("urea IS NOT NULL").select(F.col("folio_cdf").alias("id_ceda_agricultura"), "estatus_suministro").distinct()
-    return daily.day_spans(_order_facts(r), pairs, ["id_ceda_agricultura", "estatus_suministro"], ("dap", "pedidos"), START, END, totals=totals)
+    pairs = r.order_lines().select(F.col("folio_cdf").alias("id_ceda_agricultura"), "estatus_suministro").distinct()
+    return daily.day_spans(_order_facts(r), pairs, ["id_ceda_agricultura", "estatus_suministro"], ("dap", "pedidos"), ALL_START, ALL_END, totals=totals)
 
 
 _GRID = f"""
 SELECT k.id_ceda_agricultura, k.estatus_suministro, c.fecha, coalesce(sum(dap), 0) AS dap, count(o.id_pedido) AS pedidos
-FROM (SELECT DISTINCT folio_cdf AS id_ceda_agricultura, estatus_suministro FROM order_lines WHERE urea IS NOT NULL) k CROSS JOIN {CAL} c
+FROM (SELECT DISTINCT folio_cdf AS id_ceda_agricultura, estatus_suministro FROM order_lines) k CROSS JOIN {CAL} c
 LEFT JOIN order_lines o ON o.folio_cdf = k.id_ceda_agricultura AND o.estatus_suministro = k.estatus_suministro AND o.fecha = c.fecha GROUP BY 1, 2, 3"""
 register("j4_j5_calendar_grid", lambda r: daily.expand_days(_grid(r), ("dap", "pedidos")), "order_lines", _GRID, dbl="dap")
 _DONE = "sum(pedidos) OVER (PARTITION BY id_ceda_agricultura, estatus_suministro ORDER BY fecha)"

@@ -14,7 +14,9 @@ def day_spans(facts: DataFrame, spine: DataFrame, keys: Sequence[str], measures:
     """J4, J5, W1 in short form: one row per key and movement day, reaching `hasta` (the day before the next one).
 
     `facts` has at most one row per key and day, `spine` one row per key to show. Keys outside the spine are lost,
-    NULL keys never match, as in the left join from spine to facts. `totals` adds running sums named `<measure>_acum`.
+    NULL keys never match, as in the left join from spine to facts. `totals` adds running sums named `<measure>_acum`
+    over the whole history: facts before `start` count as an opening amount on that day, which the day's own measures
+    leave out.
     Only spine rows and movement days travel, through a single shuffle; the spine's other columns ride on its own rows
     and spread over the key afterwards, so the movement days need no further join. `expand_days` fills the calendar.
     """
@@ -23,7 +25,11 @@ def day_spans(facts: DataFrame, spine: DataFrame, keys: Sequence[str], measures:
         known = known & F.col(k).isNotNull()
     carried = [c for c in spine.columns if c not in keys]
     kind = {m: facts.schema[m].dataType for m in measures}
-    moves = facts.filter(known & F.col(date).between(F.lit(start), F.lit(end))).select(*keys, date, *measures)
+    inside = F.col(date) >= F.lit(start)
+    reach = F.col(date) <= F.lit(end) if totals else inside & (F.col(date) <= F.lit(end))
+    moves = facts.filter(known & reach).select(
+        *keys, F.greatest(F.col(date), F.lit(start)).alias(date),
+        *[F.when(inside, F.col(m)).alias(m) for m in measures], *[F.when(~inside, F.col(m)).alias(f"_open_{m}") for m in totals])
     zeros = spine.select(
         *keys, F.lit(start).alias(date), *[F.lit(0).cast(kind[m]).alias(m) for m in measures],
         F.struct(F.lit(True).alias("_listed"), *carried).alias("_spine"))
@@ -31,13 +37,14 @@ def day_spans(facts: DataFrame, spine: DataFrame, keys: Sequence[str], measures:
     parts = int(facts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     merged = (moves.unionByName(zeros, allowMissingColumns=True).repartition(parts, *keys).groupBy(*keys, date)
               .agg(*[F.coalesce(F.sum(m), F.lit(0)).cast(kind[m]).alias(m) for m in measures],
+                   *[F.coalesce(F.sum(f"_open_{m}"), F.lit(0)).cast(kind[m]).alias(f"_open_{m}") for m in totals],
                    F.max("_spine").alias("_spine")))
     by_key = Window.partitionBy(*keys)
     ordered = by_key.orderBy(date)
     upto = ordered.rowsBetween(Window.unboundedPreceding, 0)
     next_day = F.lead(date).over(ordered)
     spans = merged.select(
-        *keys, date, *measures, *[F.sum(m).over(upto).cast(kind[m]).alias(f"{m}_acum") for m in totals],
+        *keys, date, *measures, *[F.sum(F.col(m) + F.col(f"_open_{m}")).over(upto).cast(kind[m]).alias(f"{m}_acum") for m in totals],
         F.date_sub(F.coalesce(next_day, F.date_add(F.lit(end), 1)), 1).alias("hasta"),
         F.max("_spine").over(by_key).alias("_spine"))
     return spans.filter("_spine IS NOT NULL").select(

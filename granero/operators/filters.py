@@ -11,9 +11,6 @@ from pyspark.sql import functions as F
 from granero.functions.dates import date_bound
 from granero.operators.positions import number_rows
 
-DEEP_PAGE = 100_000  # rows before a page beyond which sorting with a limit stops paying
-LONG_LIST = 1000  # entries beyond which an IN list costs more than a join
-
 
 def filter_eq(df: DataFrame, wanted: Mapping[str, object]) -> DataFrame:
     """Q1: all given equalities; an empty value means no filter."""
@@ -51,12 +48,16 @@ def split_list(text: str | None, commas: bool = False) -> list[str]:
 
 
 def filter_in_list(df: DataFrame, column: str, text: str | None, commas: bool = False) -> DataFrame:
-    """Q4: rows whose value is listed; an empty list means no filter. Long lists become a semi join."""
+    """Q4: rows whose value is listed; an empty list means no filter.
+
+    The list is a literal array that is exploded where it is joined: its size is known to the planner, so the rows of
+    `df` are not shuffled for it, however long it is.
+    """
     values = sorted(set(split_list(text, commas)))
-    if len(values) <= LONG_LIST:
-        return df.filter(F.col(column).isin(values)) if values else df
-    listed = df.sparkSession.createDataFrame([(v,) for v in values], f"`{column}` string")
-    return df.join(listed, column, "left_semi").select(df.columns)
+    if not values:
+        return df
+    listed = df.sparkSession.range(1, numPartitions=1).select(F.explode(F.split(F.lit("\n".join(values)), "\n")).alias(column))
+    return df.join(F.broadcast(listed), column, "left_semi").select(df.columns)  # as long as the text it came from
 
 
 def select_valid_columns(df: DataFrame, wanted: Sequence[str] | None, default: Sequence[str] | None = None) -> DataFrame:
@@ -110,18 +111,33 @@ def order_sql_style(*columns: str) -> list[Column]:
     return [F.col(c[1:]).desc_nulls_first() if c.startswith("-") else F.col(c).asc_nulls_last() for c in columns]
 
 
-def page(df: DataFrame, number: int, size: int, *order: str, deep: int = DEEP_PAGE) -> DataFrame:
+def page(df: DataFrame, number: int, size: int, *order: str) -> DataFrame:
     """L2: one page under a full order.
 
-    Sort with limit keeps `offset + size` rows per task, which suits the first pages; a page that starts beyond `deep`
-    rows is cut out of the numbered rows.
+    Only the order columns are numbered and stored; the page's first and last order values then select its rows from
+    `df`, so the table itself is neither sorted nor copied, at any depth.
     """
     start = (max(number, 1) - 1) * size
     by = order_sql_style(*order)
-    if start <= deep:
-        return df.orderBy(*by).offset(start).limit(size)
-    numbered = number_rows(df, by, "_n").filter(F.col("_n").between(start + 1, start + size))
-    return numbered.orderBy("_n").select(df.columns)
+    names = list(dict.fromkeys(c.lstrip("-") for c in order))
+    keys = number_rows(df.select(*names), by, "_n").filter(F.col("_n").between(start + 1, start + size)).select(*names, "_n")
+    # rows of one page; equal order values are the same row of the page as far as the order can tell
+    chosen = keys.groupBy(*names).agg(F.min("_n").alias("_n"), F.count("*").alias("_k"))
+    same = F.lit(True)
+    renamed = chosen.select(*[F.col(n).alias(f"_o_{n}") for n in names], "_n", "_k")
+    for n in names:
+        same = same & F.col(n).eqNullSafe(F.col(f"_o_{n}"))
+    within = Window.partitionBy(*[f"_o_{n}" for n in names]).orderBy("_n")
+    found = df.join(F.broadcast(renamed), same).withColumn("_i", F.row_number().over(within)).filter("_i <= _k")
+    return found.orderBy("_n", "_i").select(df.columns)
+
+
+def rows_with_summary(df: DataFrame, size: int, order: Sequence[str], summary: Mapping[str, Column]) -> DataFrame:
+    """L3: the first `size` rows, each with the summary of all rows."""
+    whole = df.agg(*[c.alias(n) for n, c in summary.items()])
+    values = whole.first()
+    return df.orderBy(*order_sql_style(*order)).limit(size).withColumns(
+        {n: F.lit(values[n]).cast(whole.schema[n].dataType) for n in summary})
 
 
 def clamp_page(number: int, size: int, total: int) -> int:

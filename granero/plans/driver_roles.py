@@ -63,11 +63,16 @@ class Roles:
         )
 
     def registry(self) -> DataFrame:
-        """derechohabientes_padrones_compilado: one row per receipt, from `orders`."""
+        """derechohabientes_padrones_compilado: one row per receipt, from `orders`.
+
+        Some receipts have no delivery (and their deliveries no registry row), and one status has no centre in some
+        places, so orphans are met on both sides.
+        """
         o = self.raw("orders").withColumn("n_cedas", self._centre_count())
         return o.selectExpr(
-            "cast(o_orderkey AS string) AS acuse_estatal",
-            "cast(o_custkey % n_cedas AS string) AS id_ceda_agricultura",
+            "CASE WHEN o_orderkey % 97 = 0 THEN concat('P-', o_orderkey) ELSE cast(o_orderkey AS string) END AS acuse_estatal",
+            """CASE WHEN o_orderpriority = '2-HIGH' AND o_custkey % n_cedas % 7 = 0 THEN 'SIN CEDA'
+               ELSE cast(o_custkey % n_cedas AS string) END AS id_ceda_agricultura""",
             """CASE o_orderpriority WHEN '1-URGENT' THEN 'Nuevo Ingreso 2025'
                WHEN '2-HIGH' THEN 'NUEVO INGRESO complemento' WHEN '3-MEDIUM' THEN 'Acceso Directo 2024'
                WHEN '4-NOT SPECIFIED' THEN 'Acceso Directo 2025' END AS estatus""",
