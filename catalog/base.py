@@ -161,7 +161,8 @@ SELECT c_custkey AS id_cdf, CAST(c_custkey AS VARCHAR) AS folio_cdf, c_mktsegmen
   CASE WHEN c_acctbal >= 5000 THEN CAST(c_acctbal - 5000 AS DECIMAL(18,3)) END AS dap_por_suministrar
 FROM customer""",
     "field_reports": """
-SELECT event_id AS id_reporte, CASE WHEN event_type <> 'error' THEN ts END AS fecha_y_hora,
+SELECT event_id AS id_reporte,
+  CASE WHEN event_type <> 'error' THEN ts - to_days(CAST(9000 + user_id % 400 AS INTEGER)) END AS fecha_y_hora,
   CAST(user_id AS VARCHAR) AS id_ceda_agricultura,
   CASE WHEN event_type <> 'view' THEN CAST(floor(value) AS INTEGER) END AS bultos_dap,
   CASE WHEN event_type <> 'click' THEN CAST(floor(value * 2) AS INTEGER) END AS bultos_urea,

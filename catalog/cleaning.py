@@ -52,6 +52,9 @@ TARGET = T.StructType([T.StructField("o_orderstatus", T.StringType()), T.StructF
 register("c4_align_to_schema", lambda r: sinks.align_to_schema(r.raw("orders"), TARGET), "",
          "SELECT o_orderstatus, CAST(NULL AS VARCHAR) AS nota, o_orderkey, CAST(NULL AS BIGINT) AS superficie FROM orders")
 
+register("c4_strict_alignment", lambda r: sinks.align_to_schema(r.raw("orders"), T.StructType([TARGET["o_orderstatus"], TARGET["o_orderkey"]]), strict=True), "",
+         "SELECT o_orderstatus, o_orderkey FROM orders")
+
 # ---- numbers -------------------------------------------------------------------------------------
 
 register("c5_null_tokens", lambda r: _orders(r, """CASE o_orderstatus WHEN 'F' THEN ' n/a ' WHEN 'O' THEN '-' ELSE o_orderpriority END AS v""")
@@ -112,6 +115,9 @@ register("c14_parse_date", lambda r: _orders(r, _DATES).select("o_orderkey", dat
 register("c17_parse_date_or_sentinel", lambda r: _orders(r, _DATES).select(
     "o_orderkey", dates.parse_date_or_sentinel(F.col("v")).alias("d")), "",
          f"SELECT o_orderkey, coalesce({_EXPECT}, DATE '1900-01-01') AS d FROM orders")
+register("c17_replaced_dates", lambda r: dates.replaced_dates(_orders(r, _DATES), "o_orderkey", "v"), "",
+         """SELECT CAST(o_orderkey AS VARCHAR) AS clave, 'v' AS columna, CASE o_orderstatus WHEN 'O' THEN '0000-00-00' ELSE '' END AS valor
+FROM orders WHERE o_orderpriority = '5-LOW' AND o_orderstatus <> 'F'""")
 register("c15_parse_timestamp", lambda r: r.raw("events").selectExpr("event_id", """CASE event_type
     WHEN 'click' THEN date_format(ts, 'd/M/yy H:mm') WHEN 'view' THEN date_format(ts, 'dd/MM/yyyy HH:mm')
     WHEN 'signup' THEN date_format(ts, 'yyyy-MM-dd HH:mm:ss') WHEN 'error' THEN '0000-00-00 00:00:00' ELSE 'mañana' END AS v""").select(

@@ -12,7 +12,7 @@ YEAR = 1998
 START, END = dt.date(1998, 1, 1), dt.date(1998, 12, 31)
 ALL_START, ALL_END = dt.date(1995, 1, 1), dt.date(2001, 12, 31)
 TODAY = dt.date(2001, 12, 1)
-REPORT_DAY = dt.date(2024, 1, 31)
+REPORT_DAY = dt.date(1999, 6, 11)
 NOW = dt.datetime(2025, 6, 30, 12, 0)
 
 # ---- targets and progress ------------------------------------------------------------------------
@@ -345,7 +345,7 @@ GROUP BY ALL"""
 register("v26_daily_stock", lambda r: inventory.daily_stock(_flows(r), r.centres(), ALL_START, ALL_END), FLOW_ROLES, STOCK,
          dbl=f"{FLOW_DBL} {INV}")
 register("v26_daily_stock_of_one_year", lambda r: inventory.daily_stock(_flows(r), r.centres(), START, END), FLOW_ROLES,
-         f"SELECT * FROM ({STOCK}) s WHERE fecha BETWEEN DATE '{START}' AND DATE '{END}'", dbl=FLOW_DBL)
+         f"SELECT * FROM ({STOCK}) s WHERE fecha BETWEEN DATE '{START}' AND DATE '{END}'", dbl=f"{FLOW_DBL} {INV}")
 register("v27_negative_stock_by_day", lambda r: inventory.negative_stock(
     inventory.daily_stock(_flows(r), r.centres(), ALL_START, ALL_END)), FLOW_ROLES,
          f"SELECT * FROM ({STOCK}) s WHERE {NEG}", dbl=f"{FLOW_DBL} {INV}")
@@ -443,7 +443,7 @@ FROM (SELECT unidad_operativa, estado, zona_operativa, c.id_ceda_agricultura, no
   urea_ton_inventario_acumulado AS urea_sigap, l.fecha AS fecha_ultimo_reporte, coalesce(l.dias, 0) AS dias_reportados,
   l.dap_campo AS inventario_dap_ultimo, l.urea_campo AS inventario_urea_ultimo,
   l.dap_campo - dap_ton_inventario_acumulado AS dap_campo_vs_sigap, l.urea_campo - urea_ton_inventario_acumulado AS urea_campo_vs_sigap
-  FROM ({CURRENT}) c LEFT JOIN (SELECT *, count(*) OVER (PARTITION BY id_ceda_agricultura) AS dias,
+  FROM ({CURRENT.replace("WHERE fecha IS NOT NULL", f"WHERE fecha <= DATE '{REPORT_DAY}'")}) c LEFT JOIN (SELECT *, count(*) OVER (PARTITION BY id_ceda_agricultura) AS dias,
     row_number() OVER (PARTITION BY id_ceda_agricultura ORDER BY fecha DESC) AS ultima FROM ({LAST}) y) l
   ON l.id_ceda_agricultura = c.id_ceda_agricultura AND l.ultima = 1) s"""
 register("v29_field_statistics", lambda r: inventory.field_statistics(_flows(r), r.field_reports(), r.centres(), REPORT_DAY),

@@ -159,9 +159,14 @@ register("r2_replace_reports", _replaced, "", _STORED)
 
 
 def _daily(r):
-    sources = {n: getattr(r, n)() for n in ("centres", "registry", "deliveries", "freight", "transfers", "remnants", "incidents")}
-    steps = batch.daily_steps(YEAR, ALL_START, ALL_END, ("NATION_3", "NATION_8"), ("NATION_7",))
-    return batch.report(r.spark, batch.run_daily(r.spark, sources, scratch_path(r.spark, "lote"), steps)).select("tabla", "estado", "filas")
+    sources = {n: getattr(r, n)() for n in ("centres", "registry", "deliveries", "freight", "transfers", "remnants", "incidents", "field_reports")}
+    steps, out = batch.daily_steps(YEAR, ALL_START, ALL_END, ("NATION_3", "NATION_8"), ("NATION_7",)), scratch_path(r.spark, "lote")
+    return out, batch.run_daily(r.spark, sources, out, steps)
+
+
+def _stored(r, table: str, *columns: str):
+    """Columns of one table as the batch left it."""
+    return r.spark.read.parquet(f"{_daily(r)[0]}/{table}").select(*columns)
 
 
 _DAYS = (ALL_END - ALL_START).days + 1
@@ -173,6 +178,20 @@ _COUNTS = {
     "avance_listado_estado": "SELECT count(DISTINCT rd.estado) FROM deliveries d JOIN centres rd ON rd.id_ceda_agricultura = d.cdf_entrega",
     "metas_ceda_estatus": f"SELECT count(*) FROM (SELECT DISTINCT c, estatus FROM {_FIXED} x) y",
     "avances_diarios_ceda_estatus": f"SELECT count(*) * 365 FROM (SELECT DISTINCT c, estatus FROM {_FIXED} x) y",
+    "avance_contra_meta": f"SELECT count(*) * 365 FROM (SELECT DISTINCT c, estatus FROM {_FIXED} x) y",
+    "meta_y_avance_ceda_estatus": f"SELECT count(*) FROM (SELECT DISTINCT c, estatus FROM {_FIXED} x) y",
+    "entregas_diarias_ceda": "SELECT count(*) FROM (SELECT DISTINCT cdf_entrega, fecha_entrega FROM deliveries JOIN centres ON id_ceda_agricultura = cdf_entrega WHERE fecha_entrega IS NOT NULL) x",
+    "entregas_diarias_estado": "SELECT count(*) FROM (SELECT DISTINCT estado, fecha_entrega FROM deliveries JOIN centres ON id_ceda_agricultura = cdf_entrega WHERE fecha_entrega IS NOT NULL) x",
+    "remanente_diario": f"SELECT count(*) * {_DAYS} FROM centres", "remanente": "SELECT count(*) FROM centres", "estadisticas_campo": "SELECT count(*) FROM centres",
+    "inventario_campo_sigap": "SELECT count(*) FROM (SELECT DISTINCT f.id_ceda_agricultura, CAST(fecha_y_hora AS DATE) FROM field_reports f JOIN centres USING (id_ceda_agricultura) WHERE fecha_y_hora IS NOT NULL) x",
+    "quien_reporta": "SELECT count(*) FROM (SELECT DISTINCT f.id_ceda_agricultura, lower(trim(quien_reporta)) FROM field_reports f JOIN centres USING (id_ceda_agricultura) WHERE fecha_y_hora IS NOT NULL) x",
 }
-register("b1_daily_batch", _daily, "centres registry deliveries freight",
+register("b1_daily_batch", lambda r: batch.report(r.spark, _daily(r)[1]).select("tabla", "estado", "filas"), "centres registry deliveries freight field_reports",
          " UNION ALL ".join(f"SELECT '{n}' AS tabla, 'ok' AS estado, ({q}) AS filas" for n, q in _COUNTS.items()), big="filas")
+register("b1_stored_deliveries", lambda r: _stored(r, "entregas", "acuse_estatal", "superficie_apoyada"), "registry deliveries", """
+SELECT d.acuse_estatal, CASE WHEN estado_predio_capturada IN ('NATION_3', 'NATION_8') THEN 1
+  WHEN estado_predio_capturada = 'NATION_7' AND p.acuse_estatal IS NOT NULL THEN p.superficie ELSE superficie_apoyada END AS superficie_apoyada
+FROM deliveries d LEFT JOIN registry p ON p.acuse_estatal = d.acuse_estatal""")
+register("b1_stored_registry", lambda r: _stored(r, "padron", "acuse_estatal", "id_ceda_agricultura"), "registry deliveries", """
+SELECT p.acuse_estatal, coalesce(nullif(trim(d.cdf_entrega), ''), p.id_ceda_agricultura) AS id_ceda_agricultura
+FROM registry p LEFT JOIN deliveries d ON d.acuse_estatal = p.acuse_estatal""")

@@ -11,7 +11,7 @@ from catalog.derived import (ALL_END, ALL_START, CAL, DAILY, ENRICHED, FLOW_DBL,
                              _flows, _supply)
 from granero.operators import daily, dedupe, filters, positions, series, summaries
 from granero.plans import deliveries as dl
-from granero.plans import freight, inventory, orders, reports
+from granero.plans import batch, freight, inventory, orders, reports
 from granero.sources import sinks
 
 TODAY = dt.date(1998, 10, 1)
@@ -98,10 +98,26 @@ register("j11_centre_from_deliveries", lambda r: dedupe.update_from(
 FROM registry p LEFT JOIN deliveries d ON upper(trim(d.acuse_estatal)) = upper(trim(p.acuse_estatal))""")
 register("j11_surface_for_one_state", lambda r: dedupe.update_from(
     r.deliveries().select("acuse_estatal", "estado_predio_capturada", F.col("superficie_apoyada").cast("bigint").alias("superficie_apoyada")), r.registry(),
-    F.col("acuse_estatal"), F.col("acuse_estatal"), "superficie_apoyada", F.col("superficie"), F.col("estado_predio_capturada") == "NATION_7"),
+    F.col("acuse_estatal"), F.col("acuse_estatal"), "superficie_apoyada", F.expr("CASE WHEN superficie % 4 > 0 THEN superficie END"), F.col("estado_predio_capturada") == "NATION_7", empty="set"),
          "registry deliveries", """SELECT d.acuse_estatal, estado_predio_capturada,
-  CASE WHEN estado_predio_capturada = 'NATION_7' AND p.superficie IS NOT NULL THEN p.superficie ELSE superficie_apoyada END AS superficie_apoyada
-FROM deliveries d LEFT JOIN registry p ON p.acuse_estatal = d.acuse_estatal""")
+  CASE WHEN estado_predio_capturada = 'NATION_7' AND p.acuse_estatal IS NOT NULL THEN p.superficie ELSE superficie_apoyada END AS superficie_apoyada
+FROM deliveries d LEFT JOIN (SELECT acuse_estatal, CASE WHEN superficie % 4 > 0 THEN superficie END AS superficie FROM registry) p
+  ON p.acuse_estatal = d.acuse_estatal""")
+register("j11_centre_from_registry_file", lambda r: batch.centre_from_registry_file(
+    r.registry().select("acuse_estatal", "id_ceda_agricultura"), r.raw("orders").selectExpr(
+        "cast(o_orderkey AS string) AS acuse_estatal", "CASE o_orderstatus WHEN 'F' THEN concat(' CEDA-', o_custkey, ' ') WHEN 'O' THEN '  ' END AS id_ceda")),
+         "registry", """SELECT p.acuse_estatal, CASE WHEN o_orderstatus = 'F' THEN 'CEDA-' || o_custkey ELSE p.id_ceda_agricultura END AS id_ceda_agricultura
+FROM registry p LEFT JOIN orders o ON CAST(o_orderkey AS VARCHAR) = p.acuse_estatal""")
+register("j11_tons_from_registry", lambda r: batch.tons_from_registry(r.deliveries().select(
+    "acuse_estatal", "ton_dap_entregada", "ton_urea_entregada", "dap_anio_actual", "urea_anio_actual"), r.registry()), "registry deliveries", """
+SELECT acuse_estatal, CASE WHEN x THEN coalesce(pd, 0) ELSE ton_dap_entregada END AS ton_dap_entregada,
+  CASE WHEN x THEN coalesce(pu, 0) ELSE ton_urea_entregada END AS ton_urea_entregada,
+  CASE WHEN x THEN CAST(round(coalesce(pd, 0) * 40) AS INTEGER) ELSE dap_anio_actual END AS dap_anio_actual,
+  CASE WHEN x THEN CAST(round(coalesce(pu, 0) * 40) AS INTEGER) ELSE urea_anio_actual END AS urea_anio_actual
+FROM (SELECT d.*, p.dap_ton AS pd, p.urea_ton AS pu, p.acuse_estatal IS NOT NULL AND (d.ton_dap_entregada IS DISTINCT FROM p.dap_ton
+    OR d.ton_urea_entregada IS DISTINCT FROM p.urea_ton) AS x
+  FROM deliveries d LEFT JOIN registry p ON p.acuse_estatal = d.acuse_estatal) y""",
+         dbl="ton_dap_entregada ton_urea_entregada")
 # several suppliers share a nation: the lookup must not multiply rows
 register("j12_normalised_key_join", lambda r: dedupe.update_from(
     r.raw("customer").selectExpr("c_custkey", "concat(' nation_', c_nationkey) AS clave", "c_acctbal AS saldo"),
@@ -327,6 +343,16 @@ register("l3_limit_with_full_summary", lambda r: filters.rows_with_summary(
          .select("folio_del_flete", "estado", "fletes", "toneladas"), "centres freight", f"""
 SELECT folio_del_flete, estado, (SELECT count(*) FROM ({ENRICHED}) a) AS fletes, (SELECT sum(toneladas_iniciales) FROM ({ENRICHED}) b) AS toneladas
 FROM ({ENRICHED}) e ORDER BY folio_del_flete LIMIT 10000""", dbl="toneladas")
+_FOUND = """SELECT d.*, coordinacion_estatal AS unidad_operativa, estado, id_ceda_agricultura FROM deliveries d
+LEFT JOIN centres ON cdf_entrega = id_ceda_agricultura WHERE coordinacion_estatal = 'ASIA' AND fecha_entrega BETWEEN DATE '1996-01-15' AND DATE '1998-03-31'"""
+_ASKED = {"unidad_operativa": "ASIA", "estado": "", "fecha_inicio": "15/01/1996", "fecha_fin": "1998-03-31"}
+register("deliveries_query", lambda r: dl.deliveries_query(dl.deliveries_with_centre(r.deliveries(), r.centres()), {
+    **_ASKED, "lista_acuses": "\n".join(str(i) for i in range(0, 40000, 2))}).select("acuse_estatal", "estado", "fecha_entrega"), "deliveries centres", f"""
+SELECT acuse_estatal, estado, fecha_entrega FROM ({_FOUND}) f WHERE acuse_estatal IN (SELECT CAST(2 * i AS VARCHAR) FROM range(20000) t(i))""")
+register("deliveries_query_page", lambda r: dl.deliveries_query_page(
+    dl.deliveries_with_centre(r.deliveries(), r.centres()), _ASKED, 10_000_000, ["acuse_estatal", "estado", "nada"]), "deliveries centres", f"""
+SELECT acuse_estatal, estado FROM (SELECT *, row_number() OVER (ORDER BY acuse_estatal) AS n, count(*) OVER () AS k FROM ({_FOUND}) f) x
+WHERE n > (k - 1) // 200 * 200""")
 register("l4_option_list", lambda r: filters.option_list(r.raw("orders").selectExpr("CASE o_orderstatus WHEN 'P' THEN '' ELSE o_orderpriority END AS opcion"), "opcion"), "",
          "SELECT DISTINCT o_orderpriority AS opcion FROM orders WHERE o_orderstatus <> 'P'")
 register("l5_dependent_options", lambda r: filters.dependent_options(r.centres(), "zona_operativa", {"coordinacion_estatal": "ASIA", "estado": "NATION_2"}),

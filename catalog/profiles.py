@@ -9,15 +9,17 @@ from granero.operators import documents, profiling
 
 # ---- profiles ------------------------------------------------------------------------------------
 
-TEXTS = """SELECT CAST(o_orderkey AS VARCHAR) AS o_orderkey, CAST(CAST(o_totalprice AS DECIMAL(18,2)) AS VARCHAR) AS o_totalprice,
-  strftime(o_orderdate, '%Y-%m-%d') AS o_orderdate, CASE WHEN o_orderstatus <> 'P' THEN o_orderpriority ELSE '' END AS o_orderpriority FROM orders"""
-NAMES = ("o_orderkey", "o_totalprice", "o_orderdate", "o_orderpriority")
+TEXTS = """SELECT CAST(o_orderkey AS VARCHAR) AS o_orderkey, CAST(o_custkey AS VARCHAR) AS o_custkey, o_orderstatus,
+  CAST(CAST(o_totalprice AS DECIMAL(18,2)) AS VARCHAR) AS o_totalprice, strftime(o_orderdate, '%Y-%m-%d') AS o_orderdate,
+  CASE WHEN o_orderstatus <> 'P' THEN o_orderpriority ELSE '' END AS o_orderpriority FROM orders"""
+NAMES = ("o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate", "o_orderpriority")
 
 
 def _texts(r):
     return r.raw("orders").selectExpr(
-        "cast(o_orderkey AS string) AS o_orderkey", "cast(cast(o_totalprice AS decimal(18,2)) AS string) AS o_totalprice",
-        "date_format(o_orderdate, 'yyyy-MM-dd') AS o_orderdate", "CASE WHEN o_orderstatus <> 'P' THEN o_orderpriority ELSE '' END AS o_orderpriority")
+        "cast(o_orderkey AS string) AS o_orderkey", "cast(o_custkey AS string) AS o_custkey", "o_orderstatus",
+        "cast(cast(o_totalprice AS decimal(18,2)) AS string) AS o_totalprice", "date_format(o_orderdate, 'yyyy-MM-dd') AS o_orderdate",
+        "CASE WHEN o_orderstatus <> 'P' THEN o_orderpriority ELSE '' END AS o_orderpriority")
 
 
 CELLS = "(" + " UNION ALL ".join(f"SELECT '{c}' AS columna, {c} AS valor FROM ({TEXTS}) t" for c in NAMES) + ")"
@@ -40,13 +42,27 @@ register("p3_infer_types_regex", lambda r: profiling.infer_types_regex(_texts(r)
 SELECT columna, count(*) FILTER (valor IS NULL) AS nulos, count(DISTINCT valor) AS distintos,
   CASE WHEN bool_and(regexp_full_match(valor, '\d+')) THEN 'INTEGER' WHEN bool_and(regexp_full_match(valor, '\d+\.\d+')) THEN 'NUMERIC(10,2)'
   WHEN bool_and(regexp_full_match(valor, '\d{4}-\d{2}-\d{2}')) THEN 'DATE' ELSE 'TEXT' END AS tipo FROM """ + CELLS + " c GROUP BY columna")
-register("p3_infer_types_whole_table", lambda r: profiling.infer_types_regex(r.raw("lineitem"), ["l_orderkey", "l_returnflag", "l_shipdate"]), "", """
-SELECT 'l_orderkey' AS columna, 0 AS nulos, count(DISTINCT l_orderkey) AS distintos, 'INTEGER' AS tipo FROM lineitem
-UNION ALL SELECT 'l_returnflag', 0, count(DISTINCT l_returnflag), 'TEXT' FROM lineitem
-UNION ALL SELECT 'l_shipdate', 0, count(DISTINCT l_shipdate), 'TIMESTAMP' FROM lineitem""", big="nulos")
-register("p4_suggest_schema", lambda r: profiling.suggest_schema(_texts(r)), "", f"""
-SELECT columna, CASE WHEN columna LIKE '%date%' THEN 'DATE' WHEN es_entero THEN 'INTEGER' WHEN es_numerico THEN 'FLOAT'
-  ELSE 'VARCHAR(' || longitud_maxima || ')' END AS tipo_sugerido FROM ({PROFILE}) p""")
+_LINE = ("l_orderkey l_partkey l_suppkey l_linenumber l_quantity l_extendedprice l_discount l_tax l_returnflag l_linestatus l_shipdate").split()
+
+
+def _line_texts(r):
+    numbers = ("l_quantity", "l_extendedprice", "l_discount", "l_tax")
+    return r.raw("lineitem").select(*[F.col(c).cast("decimal(18,2)").cast("string").alias(c) if c in numbers else
+                                      F.date_format(c, "yyyy-MM-dd").alias(c) if c == "l_shipdate" else F.col(c).cast("string").alias(c) for c in _LINE])
+
+
+_LINE_KIND = {"l_returnflag": "TEXT", "l_linestatus": "TEXT", "l_shipdate": "DATE", **dict.fromkeys(
+    ("l_quantity", "l_extendedprice", "l_discount", "l_tax"), "NUMERIC(10,2)")}
+register("p3_infer_types_whole_table", lambda r: profiling.infer_types_regex(_line_texts(r)), "", " UNION ALL ".join(
+    f"SELECT '{c}' AS columna, 0 AS nulos, count(DISTINCT {f'CAST({c} AS DECIMAL(18,2))' if _LINE_KIND.get(c, '').startswith('NUM') else c}) AS distintos, "
+    f"'{_LINE_KIND.get(c, 'INTEGER')}' AS tipo FROM lineitem" for c in _LINE), big="nulos")
+register("p4_suggest_schema", lambda r: profiling.suggest_schema(_texts(r).withColumnsRenamed({
+    "o_orderkey": "acuse_estatal", "o_orderpriority": "nombre_prioridad"})), "", """
+SELECT 'acuse_estatal' AS columna, 'VARCHAR(' || greatest(10, max(length(CAST(o_orderkey AS VARCHAR)))) || ')' AS tipo_sugerido FROM orders
+UNION ALL SELECT 'o_custkey', 'INTEGER' UNION ALL SELECT 'o_orderstatus', 'VARCHAR(1)'
+UNION ALL SELECT 'o_totalprice', CASE WHEN bool_and(CAST(o_totalprice AS DECIMAL(18,2)) % 1 = 0) THEN 'INTEGER' ELSE 'FLOAT' END FROM orders
+UNION ALL SELECT 'o_orderdate', 'DATE'
+UNION ALL SELECT 'nombre_prioridad', 'VARCHAR(' || greatest(10, max(length(o_orderpriority))) || ')' FROM orders WHERE o_orderstatus <> 'P'""")
 register("p5_inventory", lambda r: profiling.inventory(r.raw("lineitem"), "lineitem"), "", """
 SELECT 'lineitem' AS tabla, count(*) AS registros, 11 AS num_columnas,
   'l_orderkey,l_partkey,l_suppkey,l_linenumber,l_quantity,l_extendedprice,l_discount,l_tax,l_returnflag,l_linestatus,l_shipdate' AS columnas FROM lineitem""")

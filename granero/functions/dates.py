@@ -5,7 +5,7 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Sequence
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # The order in which date layouts are tried. Day first wins over month first.
@@ -51,6 +51,12 @@ def parse_date_or_sentinel(c: Column, formats: Sequence[str] = DATE_FORMATS) ->
     return F.coalesce(parse_date(c, formats), F.lit(SENTINEL))
 
 
+def replaced_dates(df: DataFrame, key: str, column: str, formats: Sequence[str] = DATE_FORMATS) -> DataFrame:
+    """C17: the log beside the sentinel: key and text of every date that `parse_date_or_sentinel` replaced."""
+    return df.filter(parse_date(F.col(column), formats).isNull()).select(
+        F.col(key).cast("string").alias("clave"), F.lit(column).alias("columna"), F.col(column).alias("valor"))
+
+
 def days_elapsed(delivered: Column, published: Column) -> Column:
     """Days from publication to delivery, counting both ends."""
     return F.datediff(delivered, published) + 1

@@ -47,20 +47,30 @@ def corrections_win(base: DataFrame, corrected: DataFrame, key: str) -> DataFram
     return rows_absent(base, corrected, key).unionByName(corrected, allowMissingColumns=True)
 
 
-def update_from(df: DataFrame, source: DataFrame, key: Column, source_key: Column, column: str, value: Column,
-                when: Column | None = None) -> DataFrame:
-    """Set `column` from `source` where the keys match, the new value is usable and differs.
+def update_columns(df: DataFrame, source: DataFrame, key: Column, source_key: Column, values: Mapping[str, Column],
+                   when: Column | None = None, empty: str = "keep") -> DataFrame:
+    """Set columns of `df` from the row of `source` with the same key, in one join.
 
-    The source is reduced to one value per key first, so rows of `df` are never multiplied. Keys may be expressions
-    (`upper(trim(x))`). The smallest value wins when a key carries several.
+    The source is reduced to one row per key first (the least by its values, all columns of one row together), so rows
+    of `df` are never multiplied. Keys may be expressions (`upper(trim(x))`). `empty` says what a NULL in the source
+    does: `keep` leaves the column alone, `set` empties it; keys that the source lacks change nothing.
     """
-    fresh = source.select(source_key.alias("_clave"), value.alias("_nuevo")).filter(
-        "_clave IS NOT NULL AND _nuevo IS NOT NULL").groupBy("_clave").agg(F.min("_nuevo").alias("_nuevo"))
+    picked = F.struct(*[v.alias(c) for c, v in values.items()])
+    usable = F.lit(True) if empty == "set" else ~F.forall(F.array(*[v.isNull() for v in values.values()]), lambda n: n)
+    fresh = source.filter(source_key.isNotNull() & usable).groupBy(source_key.alias("_clave")).agg(F.min(picked).alias("_nuevo"))
     joined = df.withColumn("_clave", key).join(fresh, "_clave", "left")
-    change = F.col("_nuevo").isNotNull() & differs(F.col(column), F.col("_nuevo"))
+    met = F.col("_nuevo").isNotNull()
     if when is not None:
-        change = change & F.coalesce(when, F.lit(False))
-    return joined.withColumn(column, F.when(change, F.col("_nuevo")).otherwise(F.col(column))).select(df.columns)
+        met = met & F.coalesce(when, F.lit(False))
+    return joined.withColumns({
+        c: F.when(met & (F.lit(empty == "set") | F.col(f"_nuevo.{c}").isNotNull()), F.col(f"_nuevo.{c}")).otherwise(F.col(c))
+        for c in values}).select(df.columns)
+
+
+def update_from(df: DataFrame, source: DataFrame, key: Column, source_key: Column, column: str, value: Column,
+                when: Column | None = None, empty: str = "keep") -> DataFrame:
+    """J11, J12 for one column; see `update_columns`."""
+    return update_columns(df, source, key, source_key, {column: value}, when, empty)
 
 
 def set_where(df: DataFrame, column: str, condition: Column, value: Column) -> DataFrame:

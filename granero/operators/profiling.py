@@ -81,15 +81,36 @@ def infer_types_regex(df: DataFrame, columns: Sequence[str] | None = None) -> Da
         .when(every(DATE), "DATE").otherwise("TEXT").alias("tipo"))
 
 
+# Parts of a column's name that make it text or a key, whatever its values.
+TEXT_NAMES = ("nombre", "apellido", "estado", "municipio", "localidad", "sexo", "cultivo", "estatus", "regimen", "etapa",
+              "cader", "ddr", "cuadernillo")
+KEY_NAMES = ("clave", "cdf_entrega", "acuse")
+
+
 def suggest_schema(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
-    """Column type suggestion: hints in the name first, then the text length."""
-    name = F.lower("columna")
-    kind = (
-        F.when(name.contains("fecha") | name.contains("date"), F.lit("DATE"))
-        .when(F.col("es_entero"), F.lit("INTEGER"))
-        .when(F.col("es_numerico"), F.lit("FLOAT"))
-        .otherwise(F.concat(F.lit("VARCHAR("), F.coalesce(F.col("longitud_maxima"), F.lit(1)), F.lit(")"))))
-    return column_profile(df, columns).select("columna", kind.alias("tipo_sugerido"))
+    """Column type suggestion. Names of texts and keys come first (keys keep their zeros), then the values: all ISO
+    dates, any letter, whole numbers, numbers. One aggregate over the cells."""
+    v = F.trim("valor")
+    stats = as_long(df, columns).groupBy("columna").agg(
+        F.max(F.length(v)).alias("largo"), F.bool_and(v.rlike(r"^\d{4}-\d{2}-\d{2}$")).alias("fechas"),
+        F.bool_or(v.rlike("[A-Za-zÁÉÍÓÚÜÑáéíóúüñ]")).alias("letras"), F.count(v.try_cast("double")).alias("numeros"),
+        F.bool_and(v.try_cast("double") % 1 == 0).alias("enteros"))
+    name, size = F.lower("columna"), F.coalesce("largo", F.lit(1))
+
+    def named(parts: Sequence[str]):
+        found = F.lit(False)
+        for part in parts:
+            found = found | name.contains(part)
+        return found
+
+    def varchar(length):
+        return F.concat(F.lit("VARCHAR("), length.cast("string"), F.lit(")"))
+
+    kind = (F.when(named(TEXT_NAMES), varchar(F.greatest(size, F.lit(10)))).when(name.contains("curp"), F.lit("VARCHAR(18)"))
+            .when(named(KEY_NAMES), varchar(F.greatest(size, F.lit(10)))).when(F.col("fechas"), F.lit("DATE"))
+            .when(F.col("letras"), varchar(size)).when((F.col("numeros") > 0) & F.col("enteros"), F.lit("INTEGER"))
+            .when(F.col("numeros") > 0, F.lit("FLOAT")).otherwise(varchar(size)))
+    return stats.select("columna", kind.alias("tipo_sugerido"))
 
 
 def inventory(df: DataFrame, name: str) -> DataFrame:

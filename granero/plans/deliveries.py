@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -11,6 +12,8 @@ from granero.functions.dates import iso_year
 from granero.functions.numbers import bags_to_tons
 from granero.functions.text import full_name, sex_from_curp
 from granero.operators.daily import on_calendar
+from granero.operators.filters import (clamp_page, filter_date_range, filter_eq, filter_iexact, filter_in_list, page,
+                                       select_valid_columns)
 from granero.plans.freight import centre_context
 from granero.sources.calendar import days_between, with_calendar_columns
 
@@ -154,3 +157,23 @@ def beneficiaries_by_municipality(deliveries: DataFrame, centres: DataFrame) ->
                                  F.col("municipio_predio_capturada").alias("municipio")).agg(F.count("*").alias("n"))
     return counted.join(centre_context(centres), "id_ceda_agricultura").groupBy("estado", "municipio").agg(
         F.sum("n").alias("derechohabientes_apoyados"))
+
+
+def deliveries_query(rows: DataFrame, request: dict) -> DataFrame:
+    """The search over deliveries with their centre (V20): equalities, day range, keys without regard to case, receipts.
+
+    `request` holds the filter names plus `fecha_inicio`, `fecha_fin` and `lista_acuses`; empty values are no filter.
+    """
+    out = filter_eq(rows, {k: request.get(k) for k in ("unidad_operativa", "estado", "id_ceda_agricultura")})
+    out = filter_date_range(out, "fecha_entrega", request.get("fecha_inicio"), request.get("fecha_fin"))
+    for key in ("acuse_estatal", "curp_solicitud", "curp_renapo"):
+        if key in out.columns:
+            out = filter_iexact(out, key, request.get(key))
+    return filter_in_list(out, "acuse_estatal", request.get("lista_acuses"))
+
+
+def deliveries_query_page(rows: DataFrame, request: dict, number: int, columns: Sequence[str] = (), size: int = 200) -> DataFrame:
+    """One page of the search by receipt; a page number outside the result goes to the nearest page."""
+    found = deliveries_query(rows, request)
+    number = clamp_page(number, size, found.count())
+    return select_valid_columns(page(found, number, size, "acuse_estatal"), columns)

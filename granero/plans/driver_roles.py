@@ -197,7 +197,8 @@ class Roles:
         """inventarios_diarios_ceda_campo: one row per report sent from the field, from `events`."""
         return self.raw("events").selectExpr(
             "event_id AS id_reporte",
-            "CASE WHEN event_type <> 'error' THEN ts END AS fecha_y_hora",
+            # moved back to where the movements are
+            "CASE WHEN event_type <> 'error' THEN ts - make_dt_interval(cast(9000 + user_id % 400 AS int)) END AS fecha_y_hora",
             "cast(user_id AS string) AS id_ceda_agricultura",
             "CASE WHEN event_type <> 'view' THEN cast(floor(value) AS int) END AS bultos_dap",
             "CASE WHEN event_type <> 'click' THEN cast(floor(value * 2) AS int) END AS bultos_urea",

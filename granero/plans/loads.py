@@ -14,11 +14,11 @@ from granero import schemas
 from granero.functions.classify import assign_centre, assign_centre_move
 from granero.functions.dates import parse_date, parse_date_iso_first, parse_timestamp
 from granero.functions.numbers import fill_zero_numeric, round3, to_int, to_number
-from granero.functions.text import MOVE_NULL_TOKENS, NULL_TOKENS, enforce_text, normalize_headers, null_tokens
+from granero.functions.text import MOVE_NULL_TOKENS, NULL_TOKENS, normalize_headers, null_tokens
 from granero.operators.dedupe import corrections_win, require_not_null, rows_absent
 from granero.operators.filters import only_authorised
 from granero.operators.positions import number_rows
-from granero.sources.sinks import align_to_schema
+from granero.sources.sinks import align_to_schema, rejects
 
 # Header synonyms of the moves and delivery extracts, after normalising.
 MOVE_ALIASES = {
@@ -27,18 +27,21 @@ MOVE_ALIASES = {
 }
 
 
-def typed(raw: DataFrame, schema: T.StructType, style: str = "plain", aliases: dict[str, str] | None = None,
-          tokens: tuple[str, ...] = NULL_TOKENS, dates=parse_date, times=parse_timestamp) -> DataFrame:
-    """Text columns to the kinds of `schema`: one projection over the input."""
+# how the moves are read: header synonyms and further null tokens
+MOVE_TEXT = {"aliases": MOVE_ALIASES, "tokens": NULL_TOKENS + MOVE_NULL_TOKENS}
+
+
+def _cells(raw: DataFrame, schema: T.StructType, style: str, aliases: dict[str, str] | None, tokens: tuple[str, ...],
+           dates, times) -> tuple[DataFrame, list[tuple[T.StructField, Column]]]:
+    """The input as trimmed text under the names of `schema`, and each column's typed value over that text."""
     named = normalize_headers(raw, style).withColumnsRenamed(aliases or {})
     have = set(named.columns)
-    columns: list[Column] = []
+    texts = named.select(*[
+        (null_tokens(F.col(f"`{f.name}`"), tokens) if f.name in have else F.lit(None).cast("string")).alias(f.name)
+        for f in schema.fields])
+    cells = []
     for f in schema.fields:
-        kind = f.dataType.typeName()
-        if f.name not in have:
-            columns.append(F.lit(None).cast(f.dataType).alias(f.name))
-            continue
-        c = null_tokens(F.col(f"`{f.name}`"), tokens)
+        c, kind = F.col(f"`{f.name}`"), f.dataType.typeName()
         if kind == "decimal":
             c = (round3(to_number(c)) if f.dataType.scale == 3 else to_number(c)).try_cast(f.dataType)
         elif kind in ("integer", "long"):
@@ -48,9 +51,43 @@ def typed(raw: DataFrame, schema: T.StructType, style: str = "plain", aliases: d
         elif kind == "timestamp_ntz":
             c = times(c)
         elif schemas.text_limit(f):
-            c = enforce_text(c, schemas.text_limit(f))
-        columns.append(c.alias(f.name))
-    return named.select(*columns)
+            c = F.when(F.trim(c) != "", F.trim(c))
+        cells.append((f, c.cast(f.dataType)))
+    return texts, cells
+
+
+def typed(raw: DataFrame, schema: T.StructType, style: str = "plain", aliases: dict[str, str] | None = None,
+          tokens: tuple[str, ...] = NULL_TOKENS, dates=parse_date, times=parse_timestamp) -> DataFrame:
+    """Text columns to the kinds of `schema`: one projection over the input. Text is kept whole, whatever its length."""
+    texts, cells = _cells(raw, schema, style, aliases, tokens, dates, times)
+    return texts.select(*[c.alias(f.name) for f, c in cells])
+
+
+def load_rejects(raw: DataFrame, schema: T.StructType, key: str, style: str = "plain", aliases: dict[str, str] | None = None,
+                 tokens: tuple[str, ...] = NULL_TOKENS, dates=parse_date, times=parse_timestamp) -> DataFrame:
+    """K11 for every load: one row per value that `typed` had to empty, or that is longer than its column was declared.
+
+    Built from the same cells as the load, in one scan. Long text is reported and stays whole, keys as well; empty
+    values, null tokens and zero dates are not losses.
+    """
+    texts, cells = _cells(raw, schema, style, aliases, tokens, dates, times)
+    checks = []
+    for f, value in cells:
+        text, kind = F.col(f"`{f.name}`"), f.dataType.typeName()
+        lost = (F.trim(text) != "") & value.isNull()
+        if kind == "decimal":
+            reason = F.when(lost, F.when(to_number(text).isNull(), F.lit("no_convertible")).otherwise(
+                F.lit(f"overflow_{f.dataType.precision}_{f.dataType.scale}")))
+        elif kind in ("integer", "long"):
+            reason = F.when(lost, F.lit("no_entero"))
+        elif kind in ("date", "timestamp_ntz"):
+            reason = F.when(lost & ~F.contains(text, F.lit("0000-")), F.lit("fecha_no_valida"))
+        elif schemas.text_limit(f):
+            reason = F.when(F.length(value) > schemas.text_limit(f), F.lit(f"excede_varchar_{schemas.text_limit(f)}"))
+        else:
+            continue
+        checks.append((kind, f.name, reason))
+    return rejects(texts, key, checks)
 
 
 def load_freight(raw: DataFrame, corrected: DataFrame | None = None, removed: DataFrame | None = None) -> DataFrame:

@@ -154,17 +154,19 @@ WIDE_MEASURES = tuple(f"{p}_{m}" for p, _ in LIST_CLASSES for m in ("apoyados",
 
 
 def list_progress_by_centre(deliveries: DataFrame, registry: DataFrame, centres: DataFrame) -> DataFrame:
-    """V5, A2: both list classes side by side per centre, and the deliveries later than 150 days.
+    """V5, A2: both list classes side by side per centre, and the deliveries later than 150 days."""
+    return list_progress_of(_delivery_list(deliveries, registry), centres)
 
-    Summed per centre before the centre columns are looked up.
-    """
+
+def list_progress_of(listed: DataFrame, centres: DataFrame) -> DataFrame:
+    """V5 over a delivery list (V4) that is there already. Summed per centre before the centre columns are looked up."""
     columns = []
     for prefix, label in LIST_CLASSES:
         inside = F.col("tipo_incorporacion") == label
         columns.append(F.count_if(inside).alias(f"{prefix}_apoyados"))
         columns += [F.coalesce(F.sum(F.when(inside, F.col(m))), F.lit(0)).alias(f"{prefix}_{m}") for m in LIST_SUMS]
     late = F.count_if(F.coalesce(F.col("dias_transcurridos_entrega") > 150, F.lit(False))).alias("mas_de_150_dias")
-    sums = _delivery_list(deliveries, registry).groupBy("id_ceda_agricultura").agg(*columns, late)
+    sums = listed.groupBy("id_ceda_agricultura").agg(*columns, late)
     names = centre_names(centres).withColumnRenamed("nombre_cedas", "nombre_ceda")
     return sums.join(names, "id_ceda_agricultura", "left").select(
         "unidad_operativa", "estado", "zona_operativa", "id_ceda_agricultura", "nombre_ceda", *WIDE_MEASURES)

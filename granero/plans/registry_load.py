@@ -49,6 +49,11 @@ def registry_rejects(raw: DataFrame, order: str) -> DataFrame:
         c = F.col(f"`{f.name}`")
         if f.dataType.typeName() == "decimal":
             checks.append(("numeric", f.name, numeric_reject_reason(c, f.dataType.precision, f.dataType.scale)))
+        elif f.dataType.typeName() == "long":
+            checks.append(("numeric", f.name, numeric_reject_reason(c, 18, 0)))
+        elif f.dataType.typeName() == "date":
+            lost = (F.trim(c) != "") & parse_date_iso_first(c).isNull() & ~F.contains(c, F.lit("0000-"))
+            checks.append(("date", f.name, F.when(lost, F.lit("fecha_no_valida"))))
         elif text_limit(f):
             checks.append(("text", f.name, text_reject_reason(c, text_limit(f), f.name == KEY)))
     return rejects(_texts(raw, order), KEY, checks)

@@ -4,10 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from granero.session import scratch_path
+
 BOM = "﻿"
 
 
@@ -16,13 +18,24 @@ def balanced(df: DataFrame, *keys: str) -> DataFrame:
     return df.hint("rebalance", *[F.col(k) for k in keys])
 
 
-def export_csv(df: DataFrame, path: str, bom: bool = True) -> str:
+def export_csv(df: DataFrame, path: str, bom: bool = True, mode: str = "errorifexists") -> str:
     """K1: header CSV; with `bom` the first header carries U+FEFF, so spreadsheets read UTF-8."""
     out = df.withColumnRenamed(df.columns[0], BOM + df.columns[0]) if bom else df
-    out.write.mode("errorifexists").option("header", True).csv(path)
+    out.write.mode(mode).option("header", True).csv(path)
     return path
 
 
+def drop_stored(spark: SparkSession, path: str) -> None:
+    """Remove a stored table or export; nothing happens when it is not there."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
+
+
+def stored_exists(spark: SparkSession, path: str) -> bool:
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(spark._jsc.hadoopConfiguration()).exists(place)
+
+
 def export_split_by(df: DataFrame, key: Column, path: str, fmt: str = "csv") -> str:
     """K2: one folder per value of `key`, all of them written in one job."""
     (balanced(df.withColumn("particion", key), "particion").write.mode("errorifexists").option("header", True)
@@ -47,6 +60,26 @@ def upsert(existing: DataFrame, incoming: DataFrame, key: Sequence[str]) -> Data
     return existing.join(incoming.select(*key), list(key), "left_anti").select(existing.columns).unionByName(incoming)
 
 
+BUCKET = "cubeta"
+
+
+def merge_into(incoming: DataFrame, path: str, key: str, buckets: int) -> None:
+    """K7 as a job: rows of `incoming` (one per key) replace or join those stored at `path`.
+
+    The table is partitioned by a hash bucket of the key. Only the buckets that the incoming rows touch are read, merged
+    and overwritten; the merge is stored beside the table first, since a path that is read cannot be overwritten.
+    """
+    spark = incoming.sparkSession
+    rows = incoming.withColumn(BUCKET, F.pmod(F.xxhash64(key), F.lit(buckets)).cast("int"))
+    if stored_exists(spark, path):
+        touched = [r[0] for r in rows.select(BUCKET).distinct().collect()]  # at most `buckets` numbers
+        held = spark.read.parquet(path).filter(F.col(BUCKET).isin(touched))
+        staged = scratch_path(spark, "mezcla")
+        upsert(held.select(rows.columns), rows, [key]).write.parquet(staged)
+        rows = spark.read.parquet(staged)
+    overwrite_table(rows, path, [BUCKET])
+
+
 def new_rows(existing: DataFrame, incoming: DataFrame, key: Sequence[str]) -> DataFrame:
     """K8: rows of `incoming` whose key is not stored yet; append the result."""
     return incoming.join(existing.select(*key), list(key), "left_anti").select(incoming.columns)
@@ -95,9 +128,11 @@ def empty_key_rows(df: DataFrame, key: str) -> DataFrame:
     return df.filter(F.trim(F.coalesce(F.col(key).cast("string"), F.lit(""))) == "")
 
 
-def align_to_schema(df: DataFrame, schema: T.StructType) -> DataFrame:
-    """C4: columns of `schema` in its order; missing ones NULL, extra ones dropped."""
+def align_to_schema(df: DataFrame, schema: T.StructType, strict: bool = False) -> DataFrame:
+    """C4: columns of `schema` in its order; missing ones NULL, extra ones dropped. `strict`: a missing one refuses the load."""
     have = set(df.columns)
+    if strict and (missing := [f.name for f in schema.fields if f.name not in have]):
+        raise ValueError(f"load refused, missing columns {', '.join(missing)}")
     return df.select([
         (F.col(f"`{f.name}`") if f.name in have else F.lit(None)).cast(f.dataType).alias(f.name) for f in schema.fields
     ])
