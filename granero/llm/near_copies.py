@@ -20,7 +20,7 @@ from granero.llm.components import components
 SHINGLE = 4
 PERCENT = 85  # links: 100 * intersection >= PERCENT * union
 SPARE = 5  # percent of a set looked at beyond the shortest prefix, see `shared_enough`
-GROUP_ROWS = 2048  # sets a task joins with each other
+GROUP_ROWS = 512  # sets a task joins with each other
 SHORT = 64  # longest list the heap merges; longer ones are probed
 PROBES = 32  # long lists probed between two looks at which candidates can still make it
 MEMORY = 1 << 19  # word hashes a task remembers
