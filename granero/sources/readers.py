@@ -25,9 +25,17 @@ def read_text_csv(spark: SparkSession, path: str | Sequence[str], encoding: str
 def read_many(spark: SparkSession, paths: Sequence[str], **options: str) -> DataFrame:
     """Union of files by column name, missing columns NULL.
 
-    Each file is read with its own header: one read over several CSV paths matches by position.
+    One read over several CSV paths matches by position, so files are grouped by their header line and each distinct
+    header is one read: the plan has as many branches as there are layouts, not files. The headers come from one job.
     """
-    frames = [read_text_csv(spark, p, **options) for p in sorted(paths)]
+    paths = sorted(paths)
+    lines = spark.read.text(paths).select(F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_block_start").alias("start"),
+                                          F.monotonically_increasing_id().alias("line"), "value")
+    heads = lines.filter("start = 0").groupBy("path").agg(F.min_by("value", "line").alias("head"))
+    layouts: dict[str, list[str]] = {}
+    for row in sorted(heads.collect()):  # one short row per file
+        layouts.setdefault(row["head"], []).append(row["path"])
+    frames = [read_text_csv(spark, group, **options) for group in layouts.values()] or [read_text_csv(spark, paths, **options)]
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
 
 

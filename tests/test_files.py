@@ -63,7 +63,7 @@ def test_registry_load(spark, tmp_path):
     assert one["R1"]["dap_(ton)"] == D("1.001") and one["R1"].fecha_de_publicacion == dt.date(2025, 2, 4)
     bad = {(r.columna, r.motivo) for r in registry_load.registry_rejects(raw, "orden_archivo").collect()}
     assert bad == {("dap_(ton)", "overflow_4_3"), ("urea_(ton)", "no_convertible"), ("acuse_estatal", "pk_excede_varchar_30"),
-                   ("estatus", "truncado_varchar_29")}
+                   ("estatus", "truncado_varchar_29"), ("fecha_de_publicacion", "fecha_no_valida")}
 
 
 def test_freight_load(spark, tmp_path):
@@ -177,5 +177,48 @@ def test_batch_reports_failures(spark):
     assert "sin datos" in out[1].error and batch.report(spark, out).count() == 4
 
 
+def test_batch_runs_twice_into_one_folder(spark):
+    df, out = spark.range(3), scratch_path(spark, "lote")
+    good = [batch.Step("a", ("x",), lambda t: t["x"], export=True), batch.Step("b", ("a",), lambda t: t["a"], export=True)]
+    first = batch.run_daily(spark, {"x": df}, out, good)
+    assert first == batch.run_daily(spark, {"x": df}, out, good) and {o.status for o in first} == {"ok"}
+
+    def broken(_):
+        raise RuntimeError("x" * 2000)
+
+    last = batch.run_daily(spark, {"x": df}, out, [batch.Step("a", ("x",), broken), good[1]])
+    assert [o.status for o in last] == ["error", "omitida"] and len(last[0].error) >= 2000
+    assert not sinks.stored_exists(spark, f"{out}/a") and not sinks.stored_exists(spark, f"{out}/b")
+    assert not sinks.stored_exists(spark, f"{out}/csv/b")
+
+
+def test_load_steps_store_tables_and_rejects(spark, frame):
+    long_folio = "F" * 28
+    texts = frame([(long_folio + "1", "12345678.5"), (long_folio + "2", "3")], "`Folio del flete` string, `Toneladas iniciales` string")
+    steps = [s for s in batch.load_steps() if s.name.startswith("freight")]
+    out = scratch_path(spark, "cargas")
+    assert [o.status for o in batch.run_daily(spark, {"freight_texto": texts}, out, steps)] == ["ok", "ok"]
+    stored = {r.folio_del_flete: r.toneladas_iniciales for r in spark.read.parquet(f"{out}/freight").collect()}
+    assert stored == {long_folio + "1": None, long_folio + "2": D("3.000")}
+    lost = sorted((r.columna, r.clave[-1], r.motivo) for r in spark.read.parquet(f"{out}/freight_rechazos").collect())
+    assert lost == [("folio_del_flete", "1", "excede_varchar_28"), ("folio_del_flete", "2", "excede_varchar_28"),
+                    ("toneladas_iniciales", "1", "overflow_10_3")]
+
+
+def test_strict_alignment_refuses(frame):
+    with pytest.raises(ValueError, match="fecha"):
+        sinks.align_to_schema(frame([("a",)], "estado string"), schemas.PROJECTION, strict=True)
+
+
+def test_merge_touches_only_its_buckets(spark, frame):
+    path = scratch_path(spark, "padron")
+    sinks.merge_into(frame([(f"k{i}", 1) for i in range(50)], "k string, v int"), path, "k", 8)
+    before = {f for f in spark.read.parquet(path).inputFiles()}
+    sinks.merge_into(frame([("k1", 2), ("n", 2)], "k string, v int"), path, "k", 8)
+    after = {f for f in spark.read.parquet(path).inputFiles()}
+    assert {r.k: r.v for r in spark.read.parquet(path).collect()} == {f"k{i}": 1 for i in range(50)} | {"k1": 2, "n": 2}
+    assert 0 < len({f.rsplit("/", 2)[-2] for f in before - after}) <= 2
+
+
 def test_shared_folder_comes_from_the_session(spark):
     assert shared_folder(spark) == spark.conf.get("spark.checkpoint.dir")

@@ -13,7 +13,7 @@ from granero.operators import filters
 FOLDER = "/root/testdata/sf0.001"
 pytestmark = pytest.mark.skipif(not Path(FOLDER).exists(), reason="test tables are not here")
 # queries whose result is read back from files they write
-WRITERS = ("s1_", "s2_", "s4_", "s7_", "s9_", "k1_", "k2_", "k3_", "k4_", "k5_", "k6_", "k9_", "r1_", "r2_", "b1_", "l2_deep", "load_order_lines",
+WRITERS = ("s1_", "s2_", "s4_", "s7_", "s9_", "k1_", "k2_", "k3_", "k4_", "k5_", "k6_", "k9_", "r1_", "r2_", "b1_", "l1_null", "l2_", "deliveries_query_page", "load_order_lines",
            "a11_quantile_of_table", "a11_quantile_with")
 
 
@@ -44,3 +44,10 @@ def test_grid_shuffles_movement_days_only(spark):
 def test_first_per_key_combines_before_the_shuffle(spark):
     text = plan(catalog.QUERIES["w3_first_per_key"](spark, FOLDER))
     assert "partial_min" in text and "Window" not in text
+
+
+def test_a_long_list_leaves_the_facts_where_they_are(spark):
+    text = plan(catalog.QUERIES["q4_long_list"](spark, FOLDER))
+    deliveries = Roles(spark, FOLDER).raw("orders").selectExpr("cast(o_orderkey AS string) AS k")
+    listed = plan(filters.filter_in_list(deliveries, "k", "\n".join(map(str, range(5000)))))
+    assert "BroadcastHashJoin" in text and "Exchange hash" not in listed and "SortMergeJoin" not in listed

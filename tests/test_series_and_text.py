@@ -65,6 +65,14 @@ def test_update_never_multiplies_rows(frame, rows):
     assert rows(got) == [(None, "3"), ("a", "7"), ("b", "2"), ("c", "5")]
 
 
+def test_updates_of_several_columns_come_from_one_row(frame, rows):
+    df = frame([("a", "1", "1"), ("b", "2", "2"), ("z", "3", "3")], "k string, v string, w string")
+    src = frame([("a", "8", "5"), ("a", "7", "6"), ("b", None, None)], "k string, v string, w string")
+    key, values = F.col("k"), {"v": F.col("v"), "w": F.col("w")}
+    assert rows(dedupe.update_columns(df, src, key, key, values)) == [("a", "7", "6"), ("b", "2", "2"), ("z", "3", "3")]
+    assert rows(dedupe.update_columns(df, src, key, key, values, empty="set")) == [("a", "7", "6"), ("b", None, None), ("z", "3", "3")]
+
+
 def test_removal_list_keeps_null_keys(frame, rows):
     df = frame([("a",), (None,), ("b",)], "k string")
     gone = frame([("a",), (None,)], "k string")
@@ -143,5 +151,8 @@ def test_profile(frame):
     assert kinds == {"n": "integer", "x": "numeric", "f": "date", "t": "text"}
     regex = {r.columna: (r.nulos, r.distintos, r.tipo) for r in profiling.infer_types_regex(df).collect()}
     assert regex == {"n": (1, 2, "INTEGER"), "x": (0, 3, "TEXT"), "f": (0, 2, "DATE"), "t": (1, 2, "TEXT")}
-    assert {r[0]: r[1] for r in profiling.suggest_schema(df).collect()} == {"n": "INTEGER", "x": "FLOAT", "f": "VARCHAR(10)", "t": "VARCHAR(3)"}
+    assert {r[0]: r[1] for r in profiling.suggest_schema(df).collect()} == {"n": "INTEGER", "x": "FLOAT", "f": "DATE", "t": "VARCHAR(3)"}
+    keys = frame([("0012", "0007", "junk"), ("0013", "8", "2025-01-01")], "acuse_estatal string, folio string, fecha_x string")
+    assert {r[0]: r[1] for r in profiling.suggest_schema(keys).collect()} == {
+        "acuse_estatal": "VARCHAR(10)", "folio": "INTEGER", "fecha_x": "VARCHAR(10)"}
     assert {r.formato: r.filas for r in profiling.format_survey(df, "t").collect()} == {"a": 1, None: 1, "abc": 1}
