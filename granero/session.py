@@ -18,6 +18,7 @@ def build_session(app: str = "granero", master: str | None = None, **conf: str)
         "spark.sql.adaptive.coalescePartitions.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.session.timeZone": "UTC",
+        "spark.cleaner.referenceTracking.cleanCheckpoints": "true",  # a checkpoint goes with the last frame that reads it
     }
     settings.update({k.replace("__", "."): v for k, v in conf.items()})
     for key, value in settings.items():
@@ -44,5 +45,18 @@ def shared_folder(spark: SparkSession) -> str:
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A new folder name under the shared folder; nothing is created or removed."""
-    return f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
+    """A new folder name under the application's own folder in the shared one; nothing is created or removed."""
+    return f"{_own_folder(spark)}/{name}-{uuid.uuid4().hex}"
+
+
+def _own_folder(spark: SparkSession) -> str:
+    return f"{shared_folder(spark)}/{spark.sparkContext.applicationId}"
+
+
+def release_scratch(spark: SparkSession) -> None:
+    """Remove what this application has put into the shared folder.
+
+    For the owner of the run to call when its results are stored: frames that still read from there are lost.
+    """
+    place = spark._jvm.org.apache.hadoop.fs.Path(_own_folder(spark))
+    place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
