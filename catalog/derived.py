@@ -540,6 +540,14 @@ register("a12_order_footer", lambda r: orders.order_detail_footer(orders.order_d
 register("v34_comments_by_centre", lambda r: orders.comments_by_centre(r.centres(), r.comments()), "centres comments", """
 SELECT rd.coordinacion_estatal AS unidad_operativa, rd.estado, rd.zona_operativa, rd.id_ceda_agricultura, rd.nombre_cedas, c.fecha, c.id,
   c.comentario FROM centres rd LEFT JOIN comments c ON c.id_ceda_agricultura = rd.id_ceda_agricultura""")
+register("orders_query", lambda r: orders.orders_query(orders.order_detail(r.order_lines(), r.centres()), {
+    "unidad_operativa": "ASIA", "estado": "", "fecha_inicio": "1996-02-01", "fecha_fin": "15/09/1998"}), "centres order_lines",
+         f"SELECT * FROM ({ORD_DETAIL}) o WHERE unidad_operativa = 'ASIA' AND fecha BETWEEN DATE '1996-02-01' AND DATE '1998-09-15'", dbl="dap urea")
+register("comments_query", lambda r: orders.comments_query(orders.comments_by_centre(r.centres(), r.comments()), {
+    "unidad_operativa": "EUROPE", "zona_operativa": "ZONA 1"}), "centres comments", """
+SELECT rd.coordinacion_estatal AS unidad_operativa, rd.estado, rd.zona_operativa, rd.id_ceda_agricultura, rd.nombre_cedas, c.fecha, c.id,
+  c.comentario FROM centres rd LEFT JOIN comments c ON c.id_ceda_agricultura = rd.id_ceda_agricultura
+WHERE rd.coordinacion_estatal = 'EUROPE' AND rd.zona_operativa = 'ZONA 1'""")
 register("j15_order_summary_by_centre", lambda r: orders.order_summary_by_centre(r.centres(), r.order_summary()), "centres order_summary", """
 SELECT rd.id_ceda_agricultura, rd.estado, coalesce(dap_solicitado, 3) AS dap_solicitado, coalesce(urea_solicitada, 3) AS urea_solicitada,
   coalesce(dap_por_suministrar, 3) AS dap_por_suministrar

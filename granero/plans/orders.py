@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from granero.functions.numbers import default_if_null
 from granero.operators.daily import on_calendar, sum_of
-from granero.operators.filters import only_authorised
+from granero.operators.filters import filter_date_range, filter_eq, only_authorised
 from granero.plans.freight import DAP, DELIVERED, IN_TRANSIT, UREA, centre_context, has_status, product_sum
 from granero.sources.calendar import days_between
 
@@ -59,6 +59,17 @@ def order_detail(lines: DataFrame, centres: DataFrame) -> DataFrame:
     return lines.join(context, F.col("folio_cdf") == F.col("id_ceda_agricultura"), "left").drop("folio_cdf")
 
 
+def orders_query(detail: DataFrame, request: dict) -> DataFrame:
+    """The search over order lines (V33): unit and state, and the day range `fecha_inicio`, `fecha_fin`."""
+    found = filter_eq(detail, {k: request.get(k) for k in ("unidad_operativa", "estado")})
+    return filter_date_range(found, "fecha", request.get("fecha_inicio"), request.get("fecha_fin"))
+
+
+def comments_query(comments: DataFrame, request: dict) -> DataFrame:
+    """The search over comments with their centre (V34): equalities on the centre's columns."""
+    return filter_eq(comments, {k: request.get(k) for k in ("unidad_operativa", "estado", "zona_operativa", "id_ceda_agricultura")})
+
+
 def order_detail_footer(detail: DataFrame) -> DataFrame:
     """Rows and tons of an order search."""
     return detail.agg(F.count("*").alias("total"), F.coalesce(F.sum("dap"), F.lit(0)).alias("dap"),

@@ -38,12 +38,14 @@ def append_reports(raw: DataFrame, table: str) -> None:
     schema = table_schema(raw)
     spark = raw.sparkSession
     spark.createDataFrame([], schema).write.mode("ignore").parquet(table)
-    clean = clean_reports(raw)
-    first, last = raw.agg(F.to_date(F.min("fecha_y_hora")), F.to_date(F.max("fecha_y_hora"))).first()
-    if first is None:
-        return
-    stored = spark.read.schema(schema).parquet(table)
-    balanced(unseen_reports(clean, stored, first, last), DAY).write.mode("append").partitionBy(DAY).parquet(table)
+    clean = clean_reports(raw).persist()  # read for its days and for its rows; a lost part is worked out again
+    try:
+        first, last = clean.agg(F.min(DAY), F.max(DAY)).first()
+        if first is not None:
+            stored = spark.read.schema(schema).parquet(table)
+            balanced(unseen_reports(clean, stored, first, last), DAY).write.mode("append").partitionBy(DAY).parquet(table)
+    finally:
+        clean.unpersist()
 
 
 def start_ingest(reports: DataFrame, table: str, checkpoint: str) -> StreamingQuery:
