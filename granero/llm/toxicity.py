@@ -17,7 +17,7 @@ from granero.llm.common import map_arrow, put_aside
 
 TOKEN = re.compile(r"\w+")
 START = ""  # stands before the first word
-DISCOUNT = 1.0  # taken from every count: what was seen in one context only is left to the shared counts
+DISCOUNT = 3.0  # taken from every count: what was seen in so few contexts is left to the shared counts
 MAX_TRAINING = 8000  # labelled rows of each class that the classifier is fitted on, chosen by a hash of the key
 MAX_MODEL_WORDS = 1_000_000  # words that carry a class count of their own; bound of the broadcast model
 RIDGE = 1e-4
@@ -33,6 +33,7 @@ class KneserNey:
     backoff: np.ndarray  # shared probability of each place
     totals: tuple[float, float]  # contexts of the class
     freed: tuple[float, float]  # share of them that the discounts free
+    discount: float = DISCOUNT
 
     def places(self) -> dict[str, int]:
         return {w: i + 1 for i, w in enumerate(self.words)}
@@ -43,7 +44,7 @@ class KneserNey:
         out = []
         for k, counts in enumerate((self.toxic, self.ordinary)):
             own = counts[at] - (less if label == 1 - k else 0.0)
-            out.append(np.log(np.maximum(own - DISCOUNT, 0) / self.totals[k] + self.freed[k] * self.backoff[at]))
+            out.append(np.log(np.maximum(own - self.discount, 0) / self.totals[k] + self.freed[k] * self.backoff[at]))
         return tuple(out)
 
 
@@ -63,7 +64,7 @@ def fit(training: DataFrame) -> KneserNey | None:
 
     A class counts the different words that a word follows there (continuation counts). Each count gives up
     `DISCOUNT`; what the discounts free is dealt out by the counts of both classes together, which is all that a rare
-    word has. So a rare word speaks for neither class, and one that follows many words in one class only speaks loudly.
+    word has. So a rare word speaks for neither class, and one that follows many words in one class alone speaks loudly.
     """
     contexts = map_arrow(training.select("label", "text"), _contexts, "label int, before string, word string").distinct()
     per_word = put_aside(contexts.groupBy("word").agg(
@@ -78,7 +79,7 @@ def fit(training: DataFrame) -> KneserNey | None:
     total = sums["toxic"] + sums["ordinary"] + sums["words"] + 1.0
     return KneserNey(rows["word"].tolist(), *counts, (counts[0] + counts[1] + 1.0) / total,
                      (float(sums["toxic"]), float(sums["ordinary"])),
-                     (sums["toxic_freed"] / sums["toxic"], sums["ordinary_freed"] / sums["ordinary"]))
+                     (sums["toxic_freed"] / sums["toxic"], sums["ordinary_freed"] / sums["ordinary"]), DISCOUNT)
 
 
 def _words(text: str | None) -> list[str]:
@@ -140,19 +141,31 @@ def _scored(rows: DataFrame, shared_model, scale: tuple[float, ...]) -> DataFram
 
 
 def logistic(features: np.ndarray, labels: np.ndarray, ridge: float = RIDGE) -> tuple[float, ...]:
-    """Coefficients (constant first) of a logistic regression."""
-    x = np.hstack([np.ones((len(features), 1)), features])
-    weight = np.full(len(labels), 1 / len(labels))
-    beta = np.zeros(x.shape[1])
-    for _ in range(50):
-        p = 1 / (1 + np.exp(-np.clip(x @ beta, -50, 50)))
-        slope = x.T @ (weight * (labels - p)) - ridge * beta
-        curve = (x * (weight * np.maximum(p * (1 - p), 1e-6))[:, None]).T @ x + ridge * np.eye(len(beta))
-        step = np.linalg.solve(curve, slope)
-        beta += np.clip(step, -5, 5)
-        if np.abs(step).max() < 1e-8:
+    """Coefficients (constant first) of a ridge logistic regression: Newton steps on standardised features, halved
+    until they improve the fit, so that classes which a feature splits without overlap do no harm."""
+    centre, spread = features.mean(axis=0), features.std(axis=0)
+    spread = np.where(spread > 0, spread, 1.0)
+    x = np.hstack([np.ones((len(features), 1)), (features - centre) / spread])
+    penalty = np.full(x.shape[1], ridge)
+
+    def loss(beta: np.ndarray) -> float:
+        return float(np.logaddexp(0, np.where(labels == 1, -1, 1) * (x @ beta)).mean() + (penalty * beta * beta).sum() / 2)
+
+    beta, best = np.zeros(x.shape[1]), np.inf
+    for _ in range(200):
+        z = np.clip(x @ beta, -50, 50)
+        p = 1 / (1 + np.exp(-z))
+        slope = x.T @ (p - labels) / len(x) + penalty * beta
+        curve = (x * (p * (1 - p) / len(x))[:, None]).T @ x + np.diag(penalty)
+        step, size = np.linalg.solve(curve, slope), 1.0
+        best = loss(beta)
+        while size > 1e-6 and loss(beta - size * step) > best:
+            size /= 2
+        beta = beta - size * step
+        if best - loss(beta) < 1e-12:
             break
-    return tuple(float(b) for b in beta)
+    slopes = beta[1:] / spread
+    return (float(beta[0] - (slopes * centre).sum()), *(float(v) for v in slopes))
 
 
 def _scale(features: np.ndarray, labels: np.ndarray) -> tuple[float, float, float]:
