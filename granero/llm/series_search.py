@@ -43,43 +43,49 @@ def _resolutions(width: int) -> list[int]:
     return found or [1]
 
 
+def _upper(q_stats: np.ndarray, c_stats: np.ndarray, q_norm: np.ndarray, c_norm: np.ndarray) -> np.ndarray:
+    """Largest inner product that the segment statistics of each pair allow."""
+    # (|q|^2 + |c|^2 - |difference of the weighted statistics|^2) / 2, with the square written out as a product
+    return ((q_norm - (q_stats * q_stats).sum(1))[:, None] + (c_norm - (c_stats * c_stats).sum(1))) / 2 + q_stats @ c_stats.T
+
+
 def search_block(queries: np.ndarray, query_keys: np.ndarray, series: np.ndarray, keys: np.ndarray, k: int) -> Iterator[tuple]:
     """(query, candidate, score) of the k largest inner products of each query, ties to the smaller key.
 
     With segment lengths l, means m and deviations s, the squared distance is at least the sum of
     l * ((m - m')^2 + (s - s')^2), so the inner product is at most (|q|^2 + |c|^2 - that) / 2. The coarsest resolution
-    bounds all pairs of a slice; the k best bounds are scored exactly and give the first limit; finer resolutions then
-    thin out the pairs whose bound reaches the limit, and the survivors are scored exactly in whole numbers.
+    bounds all pairs of a slice of queries; the k best bounds are scored exactly and give each query's first limit.
+    Finer resolutions then thin out the pairs whose bound reaches the limit, over the candidates that any query of the
+    slice has left, and the survivors are scored exactly in whole numbers.
     """
-    width = series.shape[1]
-    levels = _resolutions(width)
+    levels = _resolutions(series.shape[1])
     q, c = queries.astype(np.float64), series.astype(np.float64)
     q_norm, c_norm = (q * q).sum(1), (c * c).sum(1)
     q_stats, c_stats = ([_weighted(segment_statistics(x, n)) for n in levels] for x in (q, c))
     for lo in range(0, len(q), SLICE):
-        hi = min(lo + SLICE, len(q))
-        # |a - b|^2 of weighted statistics, written as a product
-        a, b = q_stats[0][lo:hi], c_stats[0]
-        bounds = ((q_norm[lo:hi] - (a * a).sum(1))[:, None] + (c_norm - (b * b).sum(1))[None, :]) / 2 + a @ b.T
-        for i in range(lo, hi):
-            bound = bounds[i - lo]
-            allowed = np.flatnonzero(keys != query_keys[i])
-            if not len(allowed):
-                continue
-            n = min(k, len(allowed))
-            first = allowed[np.argpartition(-bound[allowed], n - 1)[:n]]
-            slack = 0.5 + 1e-9 * (q_norm[i] + c_norm.max())  # scores are whole numbers; room for rounding
-            limit = (series[first] @ queries[i]).min() if n == k else -np.inf
-            left = allowed[bound[allowed] + slack >= limit]
-            for level in range(1, len(levels)):
-                if len(left) <= 4 * k:
-                    break
-                gap = c_stats[level][left] - q_stats[level][i]
-                finer = (q_norm[i] + c_norm[left] - np.einsum("ij,ij->i", gap, gap)) / 2
-                left = left[finer + slack >= limit]
-            scores = series[left] @ queries[i]
+        at = slice(lo, min(lo + SLICE, len(q)))
+        slack = (0.5 + 1e-9 * (q_norm[at] + c_norm.max()))[:, None]  # scores are whole numbers; room for rounding
+        open_pairs = query_keys[at][:, None] != keys[None, :]
+        bounds = np.where(open_pairs, _upper(q_stats[0][at], c_stats[0], q_norm[at], c_norm), -np.inf)
+        limits = np.full((len(bounds), 1), -np.inf)
+        if k < len(keys):
+            for i, first in enumerate(np.argpartition(-bounds, k - 1, axis=1)[:, :k]):
+                first = first[open_pairs[i, first]]
+                if len(first) == k:
+                    limits[i] = (series[first] @ queries[lo + i]).min()
+        open_pairs &= bounds + slack >= limits
+        columns = np.flatnonzero(open_pairs.any(axis=0))
+        open_pairs = open_pairs[:, columns]
+        for level in range(1, len(levels)):
+            finer = _upper(q_stats[level][at], c_stats[level][columns], q_norm[at], c_norm[columns])
+            open_pairs &= finer + slack >= limits
+            kept = open_pairs.any(axis=0)
+            columns, open_pairs = columns[kept], open_pairs[:, kept]
+        for i in range(len(open_pairs)):
+            left = columns[open_pairs[i]]
+            scores = series[left] @ queries[lo + i]
             order = np.lexsort((keys[left], -scores))[:k]
-            yield from zip([query_keys[i]] * len(order), keys[left][order].tolist(), scores[order].tolist())
+            yield from zip([query_keys[lo + i]] * len(order), keys[left][order].tolist(), scores[order].tolist())
 
 
 def _matrix(rows: list, width: int) -> np.ndarray:
