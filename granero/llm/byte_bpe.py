@@ -11,6 +11,7 @@ from functools import cache
 import numpy as np
 import public_tokenizers
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -18,30 +19,34 @@ from pyspark.sql import types as T
 from granero.llm.common import map_arrow
 
 WORDS_AT_ONCE = 40_000  # distinct words one recursive query contracts
-REMEMBERED = 600_000  # encoded words a worker keeps between batches and tasks
+REMEMBERED = 1_200_000  # encoded words a worker keeps between batches and tasks; some 250 MB
 TEXT_AT_ONCE = 2 << 20  # characters encoded and decoded together; a longer text goes alone
-PLACE_BITS = 24  # a word has at most 2**24 bytes
+STATE_ROWS = 8_000_000  # rows one recursive query may pile up; a longer contraction goes on in another query
+PLACE_BITS = 22  # a word has at most 2**22 bytes
+LENGTH_BITS = 10  # a token has fewer than 2**10 bytes
 SQL_MEMORY = "300MB"
 
 # Every step contracts, in each word that is not finished, the leftmost of its pairs of least rank. A row is a token:
 # its word and first byte in one number (lo), the byte after it likewise (hi), its id. A merged token's id is its rank.
+# A pair is one number too: rank, first byte, bytes of its first token, bytes of both; the least one is the pair to take.
+_WORD, _PLACE, _LENGTH = f">> {PLACE_BITS}", f"& {(1 << PLACE_BITS) - 1}", f"& {(1 << LENGTH_BITS) - 1}"
 CONTRACT = f"""
-WITH RECURSIVE state(lo, hi, token, done) AS (
-    SELECT lo, hi, token, false FROM letters
+WITH RECURSIVE state(lo, hi, token, step, done) AS (
+    SELECT lo, hi, token, 0, false FROM letters
     UNION ALL
-    (WITH pairs AS (
-        SELECT a.lo, b.lo AS middle, b.hi, m.merged
+    (WITH best AS (
+        SELECT a.lo {_WORD} AS word, min((m.merged::BIGINT << {PLACE_BITS + 2 * LENGTH_BITS}) | ((a.lo {_PLACE}) << {2 * LENGTH_BITS})
+            | ((b.lo - a.lo) << {LENGTH_BITS}) | (b.hi - a.lo)) AS pair
         FROM state a JOIN state b ON a.hi = b.lo JOIN merges m ON m.first = a.token AND m.second = b.token
-        WHERE NOT a.done AND NOT b.done),
-    best AS (
-        SELECT lo >> {PLACE_BITS} AS word, arg_min(pairs, (merged::BIGINT << {PLACE_BITS}) | (lo & {(1 << PLACE_BITS) - 1})) AS p
-        FROM pairs GROUP BY 1)
-    SELECT s.lo, CASE WHEN s.lo = p.lo THEN p.hi ELSE s.hi END, CASE WHEN s.lo = p.lo THEN p.merged ELSE s.token END,
-           word IS NULL
-    FROM state s LEFT JOIN best ON word = s.lo >> {PLACE_BITS}
-    WHERE NOT s.done AND (word IS NULL OR s.lo <> p.middle))
+        WHERE NOT a.done AND NOT b.done GROUP BY 1),
+    taken AS (
+        SELECT word, (word << {PLACE_BITS}) | ((pair >> {2 * LENGTH_BITS}) {_PLACE}) AS start, (pair >> {LENGTH_BITS}) {_LENGTH} AS head,
+            pair {_LENGTH} AS size, (pair >> {PLACE_BITS + 2 * LENGTH_BITS})::INTEGER AS merged FROM best)
+    SELECT lo, CASE WHEN lo = start THEN start + size ELSE hi END, CASE WHEN lo = start THEN merged ELSE token END, step + 1, word IS NULL
+    FROM state LEFT JOIN taken ON word = lo {_WORD}
+    WHERE NOT done AND step < {{steps}} AND (word IS NULL OR lo <> start + head))
 )
-SELECT lo >> {PLACE_BITS} AS word, token FROM state WHERE done ORDER BY lo
+SELECT lo, hi, token, done FROM state WHERE done OR step = {{steps}}
 """
 DECODE = """
 SELECT doc, string_agg(bytes, '' ORDER BY place) AS decoded
@@ -58,6 +63,8 @@ class Codec:
 
         with open(path, "rb") as file:
             self.ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, file)}
+        if max(map(len, self.ranks)) >= 1 << LENGTH_BITS:
+            raise ValueError(f"a token has {max(map(len, self.ranks))} bytes")
         self.find = regex.compile(pattern).findall
         self.letter = np.array([self.ranks[bytes([b])] for b in range(256)], dtype=np.int32)
         merges = [(self.ranks[t[:i]], self.ranks[t[i:]], r) for t, r in self.ranks.items() for i in range(1, len(t))
@@ -89,16 +96,24 @@ class Codec:
         place = np.arange(lengths.sum()) - np.repeat(begin, lengths)
         at = (word << PLACE_BITS) | place
         token = self.letter[np.frombuffer(b"".join(words), np.uint8)]
-        letters = pa.table({"lo": at, "hi": at + 1, "token": token})
-        self.db.register("letters", letters)
-        found = self.db.sql(CONTRACT).to_arrow_table()
-        self.db.unregister("letters")
-        return np.bincount(found.column("word").to_numpy(), minlength=len(words)), found.column("token").to_numpy()
+        letters, parts = pa.table({"lo": at, "hi": at + 1, "token": token}), []
+        while letters.num_rows:
+            self.db.register("letters", letters)
+            found = self.db.sql(CONTRACT.format(steps=max(4, STATE_ROWS // letters.num_rows))).to_arrow_table()
+            self.db.unregister("letters")
+            done = found.column("done")
+            parts.append(found.filter(done).select(["lo", "token"]))
+            letters = found.filter(pc.invert(done)).select(["lo", "hi", "token"])
+        at, token = (np.concatenate([p.column(c).to_numpy() for p in parts]) for c in ("lo", "token"))
+        order = np.argsort(at)
+        return np.bincount(at >> PLACE_BITS, minlength=len(words)), token[order]
 
     def learn(self, words: list[str]) -> None:
         """Encode words that are not remembered; one that is a token as a whole stays whole."""
         for lo in range(0, len(words), WORDS_AT_ONCE):
             raw = [w.encode("utf-8", "surrogatepass") for w in words[lo:lo + WORDS_AT_ONCE]]
+            if max(map(len, raw)) >> PLACE_BITS:
+                raise ValueError(f"a word of {max(map(len, raw))} bytes without a break")
             whole = [self.ranks.get(w) for w in raw]
             parts = [i for i, r in enumerate(whole) if r is None]
             counts, tokens = self._contract([raw[i] for i in parts]) if parts else (np.zeros(0, int), np.zeros(0, np.int32))
@@ -119,7 +134,7 @@ class Codec:
         found = [self.find(t) for t in texts]
         new = set().union(*map(set, found)) - self.place.keys() if found else set()
         if new:
-            self.learn(sorted(new))
+            self.learn(list(new))
             self.start, self.ids = [np.concatenate(self.start)], [np.concatenate(self.ids)]
         start, ids = self.start[0], self.ids[0] if self.ids else np.zeros(0, np.uint32)
         out = []
@@ -191,7 +206,8 @@ def encode_and_decode(records: DataFrame, key: str = "ln_folio_incidencia", text
     in order. A map-only step; a worker holds one block of texts and a bounded memory of encoded words.
 
     A null text is empty: no ids. Null keys and repeated rows are kept, other columns ignored; an empty table gives no
-    rows. A single word of n bytes takes up to n steps over its rows.
+    rows. A single word of n bytes takes up to n steps over its rows, in queries that pile up `STATE_ROWS` rows at most; one of
+    4 MiB or more without a break raises an error.
     """
     from pyspark.sql.pandas.types import to_arrow_type
 

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import heapq
-import re
 from collections.abc import Iterator
 from itertools import groupby
 
