@@ -355,8 +355,8 @@ SELECT acuse_estatal, estado FROM (SELECT *, row_number() OVER (ORDER BY acuse_e
 WHERE n > (k - 1) // 200 * 200""")
 register("l4_option_list", lambda r: filters.option_list(r.raw("orders").selectExpr("CASE o_orderstatus WHEN 'P' THEN '' ELSE o_orderpriority END AS opcion"), "opcion"), "",
          "SELECT DISTINCT o_orderpriority AS opcion FROM orders WHERE o_orderstatus <> 'P'")
-register("l5_dependent_options", lambda r: filters.dependent_options(r.centres(), "zona_operativa", {"coordinacion_estatal": "ASIA", "estado": "NATION_2"}),
-         "centres", "SELECT DISTINCT zona_operativa FROM centres WHERE coordinacion_estatal = 'ASIA' AND estado = 'NATION_2'")
+register("l5_dependent_options", lambda r: filters.dependent_options(r.centres(), "zona_operativa", {"coordinacion_estatal": "EUROPE", "estado": "NATION_18"}),
+         "centres", "SELECT DISTINCT zona_operativa FROM centres WHERE coordinacion_estatal = 'EUROPE' AND estado = 'NATION_18'")
 register("l6_sorted_output", lambda r: r.centres().select("estado", "coordinacion_estatal", "zona_operativa", "id_ceda_agricultura").orderBy(
     *filters.order_sql_style("estado", "coordinacion_estatal", "zona_operativa", "id_ceda_agricultura")), "centres",
          "SELECT estado, coordinacion_estatal, zona_operativa, id_ceda_agricultura FROM centres ORDER BY 1, 2, 3, 4")
