@@ -3,125 +3,180 @@
 from __future__ import annotations
 
 import re
-import zlib
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import xxhash
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from granero.llm.common import map_arrow
+from granero.llm.common import map_arrow, put_aside, ship_package
 
 TOKEN = re.compile(r"\w+")
-WORD_BITS, PAIR_BITS = 18, 21  # the shared vocabulary: classes of words and of word pairs, by hash
+WORD_BITS = 18  # words that the smoothing supposes at least; a larger vocabulary counts as it is
+PAIR_BITS = 63  # bits of the hash that stands for a word or a pair of words
 SMOOTHING = 16.0  # weight of the single-word model inside the pair model
-BLOCK_BITS = 10  # classes that travel in one row of the finished counts
+BLOCK_BYTES, SHARE_BYTES = 8 << 20, 16 << 20  # text of a block, and text for each share of the counts
 MEMORY = 1 << 20  # word hashes a task remembers
+WORDS, PAIRS = 0, 1
 
 
 def _hashes(words: list[str], memory: dict[str, int]) -> np.ndarray:
     if len(memory) > MEMORY:
         memory.clear()
-    return np.fromiter((memory[w] if w in memory else memory.setdefault(w, zlib.crc32(w.encode("utf-8", "surrogatepass")))
+    return np.fromiter((memory[w] if w in memory else memory.setdefault(w, xxhash.xxh3_64_intdigest(w.encode("utf-8", "surrogatepass")) >> 1)
                         for w in words), dtype=np.uint64, count=len(words))
 
 
+def _pairs(own: np.ndarray) -> np.ndarray:
+    mixed = (own[:-1] * np.uint64(0x9E3779B97F4A7C15)) ^ (own[:-1] >> np.uint64(29))
+    mixed = (mixed + own[1:]) * np.uint64(0xC2B2AE3D27D4EB4F)
+    return (mixed ^ (mixed >> np.uint64(32))) * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(1)
+
+
 def classes(text: str | None, memory: dict[str, int]) -> tuple[np.ndarray, np.ndarray]:
-    """Class of every word of a text, and of every word from the second on together with the one before."""
+    """Hash of every word of a text, and of every word from the second on together with the one before."""
     own = _hashes(TOKEN.findall((text or "").lower()), memory)
-    pairs = (own[:-1] * np.uint64(0x9E3779B97F4A7C15) + own[1:]) * np.uint64(0xC2B2AE3D27D4EB4F)
-    singles = own * np.uint64(0x9E3779B97F4A7C15)
-    return (singles >> np.uint64(64 - WORD_BITS)).astype(np.int64), (pairs >> np.uint64(64 - PAIR_BITS)).astype(np.int64)
-
-
-def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Counts of one task: a row per class met, with its target and background count."""
-    size = (1 << WORD_BITS) + (1 << PAIR_BITS)
-    target, background, memory = np.zeros(size, np.int64), np.zeros(size, np.int64), {}
-    for batch in batches:
-        for chosen, text in zip(batch.column(0), batch.column(1)):
-            single, pair = classes(text.as_py(), memory)
-            at = np.concatenate([single, pair + (1 << WORD_BITS)])
-            np.add.at(background, at, 1)
-            if chosen.as_py():
-                np.add.at(target, at, 1)
-    met = np.flatnonzero(background)
-    for lo in range(0, len(met), 100_000):
-        at = met[lo:lo + 100_000]
-        yield pa.RecordBatch.from_arrays([pa.array(at.astype(np.int32)), pa.array(target[at]), pa.array(background[at])],
-                                         ["class", "target", "background"])
-
-
-def _blocks(table: pa.Table) -> pa.Table:
-    """The counts of one block of classes as two dense columns of bytes."""
-    base = table.column("class")[0].as_py() >> BLOCK_BITS << BLOCK_BITS
-    out = []
-    at = table.column("class").to_numpy() - base
-    for name in ("target", "background"):
-        counts = np.zeros(1 << BLOCK_BITS, np.int64)
-        counts[at] = table.column(name).to_numpy()
-        out.append(counts.tobytes())
-    return pa.table({"block": pa.array([base >> BLOCK_BITS], pa.int32()), "target": [out[0]], "background": [out[1]]})
+    return own.astype(np.int64), _pairs(own).astype(np.int64)
 
 
-def count_classes(rows: DataFrame) -> tuple[np.ndarray, np.ndarray]:
-    """Target and background counts over all rows (_target, _text).
+class _Block:
+    """The words and pairs of a block of texts, each distinct one once and in order, and where they stand in the texts."""
 
-    Every task counts its own texts into arrays of fixed size, the classes it met are summed across tasks by Spark, and
-    the finished counts, whose number is fixed by the vocabulary, come to the driver to be broadcast.
-    """
-    partial = map_arrow(rows.select("_target", "_text"), _count, "class int, target long, background long")
-    summed = partial.groupBy("class").agg(F.sum("target").alias("target"), F.sum("background").alias("background"))
-    blocks = summed.groupBy(F.shiftright("class", BLOCK_BITS).alias("_block")).applyInArrow(
-        lambda t: _blocks(t), "block int, target binary, background binary")
-    size = (1 << WORD_BITS) + (1 << PAIR_BITS)
-    target, background = np.zeros(size, np.int64), np.zeros(size, np.int64)
-    for row in blocks.toLocalIterator():
-        at = row["block"] << BLOCK_BITS
-        for counts, name in ((target, "target"), (background, "background")):
-            values = np.frombuffer(row[name], np.int64)
-            counts[at:at + len(values)] = values[:size - at]
-    return target, background
-
-
-def losses(single: np.ndarray, pair: np.ndarray, counts: np.ndarray, words: int, own: bool) -> np.ndarray:
-    """Loss (nats) of every word under the interpolated model of `counts`; `own`: less the text's own counts.
-
-    Single words: (count + 1) / (words + classes). From the second word on, with p that share:
-    (pair count + SMOOTHING * p) / (count of the word before + SMOOTHING).
-    """
-    c_word, c_pair, n = counts[single].astype(float), counts[(1 << WORD_BITS) + pair].astype(float), float(words)
-    if own:
-        for c, at in ((c_word, single), (c_pair, pair)):
-            _, back, times = np.unique(at, return_inverse=True, return_counts=True)
-            c -= times[back]
-        n -= len(single)
-    share = (c_word + 1) / (n + (1 << WORD_BITS))
-    # a class of pairs may hold other pairs too: the word before counts at least as often as the pair
-    before = np.maximum(c_word[:-1], c_pair)
-    chance = np.concatenate([share[:1], (c_pair + SMOOTHING * share[1:]) / (before + SMOOTHING)])
-    return -np.log(chance)
-
-
-def _scorer(shared, key_type: pa.DataType):
-    def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        target, background, n_target, n_background = shared.value
+    def __init__(self, docs: pa.StructArray, memory: dict[str, int]):
+        self.chosen = np.array(docs.field("_target").to_pylist(), bool)
+        words = [_hashes(TOKEN.findall((t.as_py() or "").lower()), memory) for t in docs.field("_text")]
+        self.lengths = np.array([len(w) for w in words], np.int64)
+        self.doc = np.repeat(np.arange(len(words)), self.lengths)
+        own = np.concatenate([np.zeros(0, np.uint64), *words])
+        self.later = np.flatnonzero(self.doc[1:] == self.doc[:-1]) + 1  # words with one before them in the text
+        pairs = _pairs(own)[self.later - 1]
+        self.found = [np.unique(h, return_inverse=True) for h in (own, pairs)]
+        self.docs_of = (self.doc, self.doc[self.later])
+
+    def counts(self, table: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Distinct hashes of the block with their target and background counts."""
+        hashes, at = self.found[table]
+        return hashes, np.bincount(at[self.chosen[self.docs_of[table]]], minlength=len(hashes)), np.bincount(at, minlength=len(hashes))
+
+    def own_times(self, table: int) -> np.ndarray:
+        """How often each word (pair) occurs in its own text."""
+        hashes, at = self.found[table]
+        _, back, times = np.unique(self.docs_of[table] * max(1, len(hashes)) + at, return_inverse=True, return_counts=True)
+        return times[back]
+
+    def losses(self, words: np.ndarray, pairs: np.ndarray, total: int, vocabulary: int, own: np.ndarray) -> np.ndarray:
+        """Mean loss (nats) of every text under the interpolated model; texts in `own` are taken out of it first.
+
+        Single words: (count + 1) / (words + vocabulary). From the second word on, with p that share:
+        (pair count + SMOOTHING * p) / (count of the word before + SMOOTHING).
+        """
+        c_word, c_pair = (c[self.found[k][1]] - self.times[k] * own[self.docs_of[k]] for k, c in ((WORDS, words), (PAIRS, pairs)))
+        share = (c_word + 1) / ((total - self.lengths * own)[self.doc] + float(vocabulary))
+        chance = share.copy()
+        chance[self.later] = (c_pair + SMOOTHING * share[self.later]) / (c_word[self.later - 1] + SMOOTHING)
+        return np.bincount(self.doc, -np.log(chance), minlength=len(self.lengths)) / np.maximum(self.lengths, 1)
+
+    @property
+    def times(self) -> tuple[np.ndarray, np.ndarray]:
+        if not hasattr(self, "_times"):
+            self._times = self.own_times(WORDS), self.own_times(PAIRS)
+        return self._times
+
+
+def _narrow(counts: np.ndarray) -> bytes:
+    """Counts as bytes, each as wide as the largest needs."""
+    return counts.astype(np.min_scalar_type(int(counts.max(initial=0)))).tobytes()
+
+
+def _wide(packed: bytes, n: int) -> np.ndarray:
+    return np.frombuffer(packed, f"<u{len(packed) // n}").astype(np.int64) if n else np.zeros(0, np.int64)
+
+
+def _blocks(docs: pa.DataType):
+    schema = pa.schema([("_block", pa.int64()), ("_bytes", pa.int64()), ("_docs", pa.list_(docs))])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        first, held, size, n = TaskContext.get().partitionId() << 32, [], 0, 0
+
+        def block() -> pa.RecordBatch:
+            rows = pa.concat_arrays(held)
+            return pa.RecordBatch.from_arrays([pa.array([first + n], pa.int64()), pa.array([size], pa.int64()), pa.ListArray.from_arrays(
+                pa.array([0, len(rows)], pa.int32()), rows)], schema=schema)
+
+        for batch in batches:
+            rows = pa.StructArray.from_arrays([c.cast(f.type) for c, f in zip(batch.columns, docs)], fields=list(docs))
+            lengths = np.array([len(t.as_py() or "") + 16 for t in batch.column(2)], np.int64)
+            begin = 0
+            for i, more in enumerate(lengths.tolist()):
+                size += more
+                if size >= BLOCK_BYTES:
+                    held.append(rows[begin:i + 1])
+                    yield block()
+                    held, size, n, begin = [], 0, n + 1, i + 1
+            if begin < len(rows):
+                held.append(rows[begin:])
+        if held:
+            yield block()
+    return run
+
+
+def _count(shares: int):
+    """Counts of each block: a row per table and share of the hashes, the distinct hashes in order."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         memory: dict[str, int] = {}
+        limits = [(i << PAIR_BITS) // shares for i in range(shares)]
         for batch in batches:
-            rows = []
-            for chosen, text in zip(batch.column(1), batch.column(2)):
-                single, pair = classes(text.as_py(), memory)
-                if not len(single):
-                    rows.append((0, None, None, None))
-                    continue
-                near = losses(single, pair, target, n_target, bool(chosen.as_py())).mean()
-                far = losses(single, pair, background, n_background, True).mean()
-                rows.append((len(single), float(near), float(far), float(near - far)))
-            columns = list(zip(*rows)) or [[]] * 4
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(columns[0], pa.int64()), *[
-                pa.array(c, pa.float64()) for c in columns[1:]]], ["_key", "n_tokens", "target_loss", "background_loss", "score"])
+            for name, docs in zip(batch.column(0), batch.column(1)):
+                block, out = _Block(docs.values, memory), []
+                for table in (WORDS, PAIRS):
+                    hashes, target, background = block.counts(table)
+                    ends = [*np.searchsorted(hashes, np.array(limits, np.uint64)).tolist(), len(hashes)]
+                    out += [(name.as_py(), table, i, hashes[lo:hi].tobytes(), _narrow(target[lo:hi]), _narrow(background[lo:hi]))
+                            for i, (lo, hi) in enumerate(zip(ends, ends[1:]))]
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), (
+                    pa.int64(), pa.int32(), pa.int32(), pa.binary(), pa.binary(), pa.binary()))],
+                    ["_block", "_table", "_share", "hashes", "target", "background"])
+    return run
+
+
+def _sum(rows: pa.Table) -> pa.Table:
+    """Counts of all blocks for one share of the hashes, each block's in the order of its hashes; a row without block has the totals."""
+    hashes = [np.frombuffer(h.as_py(), np.uint64) for h in rows.column("hashes")]
+    ends = np.cumsum([0, *map(len, hashes)])
+    known, at = np.unique(np.concatenate(hashes), return_inverse=True)
+    sums = []
+    for name in ("target", "background"):
+        counts = np.concatenate([_wide(c.as_py(), len(h)) for c, h in zip(rows.column(name), hashes)])
+        total = np.zeros(len(known), np.int64)
+        np.add.at(total, at, counts)
+        sums.append(total)
+    table, share = rows.column("_table")[0].as_py(), rows.column("_share")[0].as_py()
+    out = [(name.as_py(), table, share, *(_narrow(s[at[lo:hi]]) for s in sums), hi - lo, 0, 0)
+           for name, lo, hi in zip(rows.column("_block"), ends.tolist(), ends[1:].tolist())]
+    out.append((None, table, share, b"", b"", len(known), *(int(s.sum()) for s in sums)))
+    return pa.table({n: pa.array(c, t) for c, (n, t) in zip(zip(*out), (
+        ("_block", pa.int64()), ("_table", pa.int32()), ("_share", pa.int32()), ("target", pa.binary()), ("background", pa.binary()),
+        ("n", pa.int64()), ("n_target", pa.int64()), ("n_background", pa.int64())))})
+
+
+def _scorer(n_target: int, n_background: int, vocabulary: int, key_type: pa.DataType):
+    schema = pa.schema([("_key", key_type), ("n_tokens", pa.int64()), *[(n, pa.float64()) for n in ("target_loss", "background_loss", "score")]])
+
+    def score(blocks: pa.Table, counts: pa.Table) -> pa.Table:
+        docs = blocks.column("_docs").combine_chunks().values
+        block = _Block(docs, {})
+        rows = sorted(counts.select(["_table", "_share", "target", "background", "n"]).to_pylist(), key=lambda r: (r["_table"], r["_share"]))
+        model = {name: [np.concatenate([np.zeros(0, np.int64), *(_wide(r[name], r["n"]) for r in rows if r["_table"] == table)])
+                        for table in (WORDS, PAIRS)] for name in ("target", "background")}
+        near = block.losses(*model["target"], n_target, vocabulary, block.chosen)
+        far = block.losses(*model["background"], n_background, vocabulary, np.ones(len(docs), bool))
+        empty = block.lengths == 0
+        return pa.Table.from_arrays([docs.field("_key"), pa.array(block.lengths), *[
+            pa.array(x, pa.float64(), mask=empty) for x in (near, far, near - far)]], schema=schema)
     return score
 
 
@@ -130,9 +185,11 @@ def score_against_target(records: DataFrame, key: str = "ln_folio_incidencia", t
     """Mean loss per word of every incident's `descripcion` under a model of the validated ones and one of all.
 
     `score` is target loss minus background loss: the lower, the more a text is like the target. Both are word-pair
-    models over the same vocabulary: words and pairs of words fall by hash into 2**18 and 2**21 classes, so the model
-    has one size for every corpus while its counts cover every text. A text's own words are taken out of a model it
-    was counted into, so a target text gains nothing from itself.
+    models with a count for every word and pair of words of the corpus, each known by a 64-bit hash less one bit, so
+    the model grows with the corpus. Texts are stored in blocks; a block sends each of its distinct words and pairs once
+    to the share of the hashes it falls into, where all blocks are summed, and gets the sums back in the same order. No
+    task holds more than a block or a share, and the driver sees totals only. A text's own words are taken out of a
+    model it was counted into, so a target text gains nothing from itself.
 
     Texts without words have 0 tokens and null losses; a null `is_target` means no; null keys are scored; repeated rows
     count and are scored as often as they come; without target rows the target model is even. Other columns are
@@ -143,10 +200,22 @@ def score_against_target(records: DataFrame, key: str = "ln_folio_incidencia", t
     kind = records.schema[key].dataType
     rows = records.select(F.col(key).alias("_key"), F.coalesce(F.col(is_target).cast("boolean"), F.lit(False)).alias("_target"),
                           F.col(text).cast("string").alias("_text"))
-    target, background = count_classes(rows)
-    words = slice(0, 1 << WORD_BITS)
-    small = [c.astype(np.int32) if c.max(initial=0) < 2**31 else c for c in (target, background)]
-    shared = records.sparkSession.sparkContext.broadcast((*small, int(target[words].sum()), int(background[words].sum())))
+    docs = T.StructType([T.StructField("_key", kind), T.StructField("_target", T.BooleanType()), T.StructField("_text", T.StringType())])
+    key_type = to_arrow_type(kind)
+    blocks = put_aside(map_arrow(rows, _blocks(pa.struct([("_key", key_type), ("_target", pa.bool_()), ("_text", pa.string())])), T.StructType([
+        T.StructField("_block", T.LongType()), T.StructField("_bytes", T.LongType()), T.StructField("_docs", T.ArrayType(docs))])), "blocks")
+    size = blocks.agg(F.sum("_bytes")).first()[0] or 0
+    partial = map_arrow(blocks.select("_block", "_docs"), _count(max(1, -(-size // SHARE_BYTES))),
+                        "_block long, _table int, _share int, hashes binary, target binary, background binary")
+    counts = put_aside(partial.groupBy("_table", "_share").applyInArrow(
+        lambda t: _sum(t), "_block long, _table int, _share int, target binary, background binary, n long, n_target long, n_background long"),
+        "counts")
+    totals = {r["_table"]: r for r in counts.filter("_block is null").groupBy("_table").agg(
+        F.sum("n").alias("n"), F.sum("n_target").alias("n_target"), F.sum("n_background").alias("n_background")).collect()}
+    words = totals.get(WORDS, {"n": 0, "n_target": 0, "n_background": 0})
     schema = T.StructType([T.StructField("_key", kind), T.StructField("n_tokens", T.LongType())] + [
         T.StructField(n, T.DoubleType()) for n in ("target_loss", "background_loss", "score")])
-    return map_arrow(rows, _scorer(shared, to_arrow_type(kind)), schema).withColumnRenamed("_key", key)
+    ship_package(records.sparkSession)
+    score = _scorer(words["n_target"], words["n_background"], max(1 << WORD_BITS, words["n"]), key_type)
+    return blocks.select("_block", "_docs").groupBy("_block").cogroup(counts.filter("_block is not null").groupBy("_block")).applyInArrow(
+        score, schema).withColumnRenamed("_key", key)

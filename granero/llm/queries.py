@@ -6,7 +6,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from granero.llm.byte_bpe import encode_and_decode
-from granero.llm.common import put_aside
 from granero.llm.dialogues import rotate_perspectives
 from granero.llm.license_scan import scan_templates
 from granero.llm.lm_scoring import score_against_target
@@ -97,7 +96,7 @@ def op10_cross_entropy_difference(spark: SparkSession, folder: str) -> DataFrame
     incidents = _incidents(spark, folder)
     marked = incidents.join(good.hint("shuffle_hash"), F.col("ln_folio_incidencia") == F.col("_good"), "left").select(
         "ln_folio_incidencia", "descripcion", F.col("_good").isNotNull().alias("validada"))
-    return score_against_target(put_aside(marked, "marked")).withColumnRenamed("ln_folio_incidencia", "doc_id")
+    return score_against_target(marked).withColumnRenamed("ln_folio_incidencia", "doc_id")
 
 
 QUERIES = {f.__name__: f for f in (

@@ -386,3 +386,20 @@ def test_losses_against_plain_counting(frame):
         assert r["score"] == pytest.approx(near - far)
     assert max(read[0][1]) < 2**PAIR_BITS
     assert score_against_target(data.limit(0)).collect() == []
+
+
+def test_every_word_and_pair_has_its_own_count(frame, monkeypatch):
+    """More distinct words than the 2**18 there were classes of; blocks and shares of counts are many."""
+    import granero.llm.lm_scoring as module
+
+    many, per = 300_000, 3_000
+    texts = [" ".join(f"w{i}" for i in range(at, at + per)) for at in range(0, many, per)]
+    single, pair = (np.concatenate(c) for c in zip(*(classes(t, {}) for t in texts)))
+    assert len(np.unique(single)) == many and len(np.unique(pair)) == many - len(texts)
+    monkeypatch.setattr(module, "SHARE_BYTES", 1 << 18)
+    data = frame([(f"F{i:04d}", t, i % 2 == 0) for i, t in enumerate(texts)], "ln_folio_incidencia string, descripcion string, validada boolean")
+    for r in score_against_target(data).collect():  # no word occurs in another text: nothing is left but the smoothing
+        even = np.log(many - per + many)
+        assert r["background_loss"] == pytest.approx(even, rel=1e-9)
+        own = int(r["ln_folio_incidencia"][1:]) % 2 == 0
+        assert r["target_loss"] == pytest.approx(np.log(many / 2 - (per if own else 0) + many), rel=1e-9)
