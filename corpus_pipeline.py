@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from granero.llm.common import put_aside
 from granero.llm.near_copies import near_copy_groups
@@ -15,26 +16,44 @@ from granero.llm.toxicity import score_toxicity
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 
-def _without(docs: DataFrame, rejected: DataFrame) -> DataFrame:
-    """The documents whose id is not in `rejected`, all columns as they came; a document without an id stays."""
-    ids = put_aside(rejected.select("doc_id").distinct(), "rejected")
-    return docs.join(ids.hint("shuffle_hash"), "doc_id", "left_anti").select(docs.columns)
+NEAR_SHINGLE, NEAR_PERCENT = 5, 80  # near copies of the pipeline; the contract of op8 has its own
+
+
+def _numbered(docs: DataFrame) -> DataFrame:
+    """The documents, stored with a number for each row: a decision hits the row it was made on, whatever the ids."""
+    return put_aside(docs.withColumn("_row", F.monotonically_increasing_id()), "numbered")
+
+
+def _without(numbered: DataFrame, rejected: DataFrame) -> DataFrame:
+    """The documents whose row is not in `rejected`, all columns as they came."""
+    rows = put_aside(rejected.select("_row"), "rejected")
+    return numbered.join(rows.hint("shuffle_hash"), "_row", "left_anti").drop("_row")
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality rules keep."""
-    return _without(docs, quality_verdicts(docs, "doc_id", "text", "lang").filter("not kept"))
+    numbered = _numbered(docs)
+    return _without(numbered, quality_verdicts(numbered, "_row", "text", "lang").filter("not kept"))
 
 
 def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that are not toxic; the classifier learns from the labelled documents still there."""
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet").select("doc_id", "toxic")
-    return _without(docs, score_toxicity(docs, labels, "doc_id", "text", "toxic").filter("predicted = 1"))
+    numbered = _numbered(docs)
+    return _without(numbered, score_toxicity(numbered, labels, "doc_id", "text", "toxic", row="_row").filter("predicted = 1"))
 
 
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies: the one with the least id."""
-    return _without(docs, near_copy_groups(docs, "doc_id", "text").filter("doc_id <> component_id"))
+    """One document of each group of near copies: the one with the least id, of those without an id the first."""
+    numbered = _numbered(docs)
+    groups = put_aside(near_copy_groups(numbered, "_row", "text", shingle=NEAR_SHINGLE, percent=NEAR_PERCENT), "groups")
+    several = put_aside(groups.filter("_row <> component_id").select("component_id").distinct(), "several")
+    members = put_aside(groups.join(several, "component_id").select("_row", "component_id").join(
+        numbered.select("_row", "doc_id"), "_row"), "members")
+    first = put_aside(members.groupBy("component_id").agg(
+        F.min(F.struct(F.col("doc_id").isNull().alias("_none"), "doc_id", "_row")).alias("_first")), "first").select(
+        "component_id", F.col("_first._row").alias("_kept"))
+    return _without(numbered, members.join(first, "component_id").filter("_row <> _kept"))
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

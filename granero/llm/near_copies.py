@@ -50,8 +50,8 @@ def required(n: int, percent: int = PERCENT) -> int:
     return -(-percent * n // 100)
 
 
-def prefix_size(n: int, spare: int) -> int:
-    return min(n, n - required(n) + 1 + spare)
+def prefix_size(n: int, spare: int, percent: int = PERCENT) -> int:
+    return min(n, n - required(n, percent) + 1 + spare)
 
 
 def spare_of(n: int) -> int:
@@ -62,7 +62,7 @@ def _as_signed(values: np.ndarray) -> np.ndarray:
     return values.view(np.int64)
 
 
-def _prefixes(key_type: pa.DataType):
+def _prefixes(key_type: pa.DataType, k: int, percent: int):
     schema = pa.schema([("_key", key_type), ("n", pa.int64()), ("digest", pa.int64()), ("prefix", pa.list_(pa.int64()))])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -70,29 +70,29 @@ def _prefixes(key_type: pa.DataType):
         for batch in batches:
             rows = []
             for text in batch.column(1):
-                found = shingles(text.as_py(), memory)
+                found = shingles(text.as_py(), memory, k)
                 n = len(found)
                 digest = xxhash.xxh3_64_intdigest(found.tobytes()) - (1 << 63) if n else None
-                rows.append((n, digest, _as_signed(found[:prefix_size(n, spare_of(n))]) if n else []))
+                rows.append((n, digest, _as_signed(found[:prefix_size(n, spare_of(n), percent)]) if n else []))
             columns = list(zip(*rows)) or [[], [], []]
             yield pa.RecordBatch.from_arrays([batch.column(0), *[pa.array(c, f.type) for c, f in zip(columns, list(schema)[1:])]],
                                              schema=schema)
     return run
 
 
-def _sets(key_type: pa.DataType):
+def _sets(key_type: pa.DataType, k: int):
     schema = pa.schema([("rep", key_type), ("n", pa.int64()), ("shingles", pa.list_(pa.int64()))])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         memory: dict[str, int] = {}
         for batch in batches:
-            found = [_as_signed(shingles(t.as_py(), memory)) for t in batch.column(1)]
+            found = [_as_signed(shingles(t.as_py(), memory, k)) for t in batch.column(1)]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([len(f) for f in found], pa.int64()),
                                               pa.array(found, pa.list_(pa.int64()))], schema=schema)
     return run
 
 
-def _can_link(prefixes: DataFrame) -> DataFrame:
+def _can_link(prefixes: DataFrame, percent: int) -> DataFrame:
     """Classes (`digest`, `rep`, `n`) that may have a link: enough of their prefix occurs in another class's prefix.
 
     Two linked sets agree in required(n) shingles, so of the prefix_size(n, spare) least hashes of each at least
@@ -105,19 +105,19 @@ def _can_link(prefixes: DataFrame) -> DataFrame:
     singles = hashes.groupBy("hash").agg(F.min("digest").alias("digest"), F.max("digest").alias("other")).filter(
         "digest = other").groupBy("digest").agg(F.count("*").alias("singles"))
     n = F.col("n")
-    least = F.ceil(n * PERCENT / 100)
+    least = F.ceil(n * percent / 100)
     prefix = F.least(n, n - least + 1 + F.floor(n * SPARE / 100))
     shared = prefix - F.coalesce("singles", F.lit(0))
     return classes.join(singles, "digest", "left").filter(shared >= 1 + F.floor(least * SPARE / 100)).select("digest", "rep", "n")
 
 
-def _rare_prefixes(sets: DataFrame) -> DataFrame:
+def _rare_prefixes(sets: DataFrame, percent: int) -> DataFrame:
     """Rows (rep, hash): of each set the prefix by frequency, rarest first, less the hashes no other set has."""
     each = sets.select("rep", "n", F.explode("shingles").alias("hash"))
     common = put_aside(each.groupBy("hash").agg(F.count("*").alias("df")).filter("df > 1"), "common")
     held = each.join(common, "hash").groupBy("rep", "n").agg(
         F.sort_array(F.collect_list(F.struct("df", "hash"))).alias("held"))  # at most the record's own shingles
-    room = F.col("n") - F.ceil(F.col("n") * PERCENT / 100) + 1 - (F.col("n") - F.size("held"))
+    room = F.col("n") - F.ceil(F.col("n") * percent / 100) + 1 - (F.col("n") - F.size("held"))
     return held.filter(room > 0).select("rep", F.explode(F.slice("held", 1, room.cast("int"))).alias("_h")).select("rep", "_h.hash")
 
 
@@ -136,7 +136,7 @@ class _Labels:
         self.members[b] = []
 
 
-def divide_skip_links(sizes: np.ndarray, flat: np.ndarray, side: np.ndarray) -> Iterator[tuple[int, int]]:
+def divide_skip_links(sizes: np.ndarray, flat: np.ndarray, side: np.ndarray, percent: int = PERCENT) -> Iterator[tuple[int, int]]:
     """Links among sets (`flat` holds their hashes one set after the other, smaller sets first) that join components.
 
     For each set x in turn, over the inverted lists of the sets before it: a partner is in at least T = required(|x|)
@@ -160,7 +160,7 @@ def divide_skip_links(sizes: np.ndarray, flat: np.ndarray, side: np.ndarray) ->
         lo, hi = ends[x] - sizes[x], ends[x]
         before, mine = place[lo:hi], found[lo:hi]
         used = np.flatnonzero(before)
-        need_at_least = required(int(sizes[x]))
+        need_at_least = required(int(sizes[x]), percent)
         if len(used) < need_at_least:
             continue
         used = used[np.argsort(before[used], kind="stable")]
@@ -173,7 +173,7 @@ def divide_skip_links(sizes: np.ndarray, flat: np.ndarray, side: np.ndarray) ->
         for longer in slices[len(short):]:
             counts[longer] += 1
         candidates = np.flatnonzero(counts)
-        fits = (100 * sizes[candidates] >= PERCENT * sizes[x]) & (labels.of[candidates] != labels.of[x])
+        fits = (100 * sizes[candidates] >= percent * sizes[x]) & (labels.of[candidates] != labels.of[x])
         if both:
             fits &= side[candidates] != side[x]
         candidates = candidates[fits]
@@ -181,7 +181,7 @@ def divide_skip_links(sizes: np.ndarray, flat: np.ndarray, side: np.ndarray) ->
         for part in (candidates[:8], candidates[8:]):
             left = part[labels.of[part] != labels.of[x]]
             seen = counts[left]
-            wanted = -(-PERCENT * (sizes[left] + sizes[x]) // (100 + PERCENT))
+            wanted = -(-percent * (sizes[left] + sizes[x]) // (100 + percent))
             for at in range(0, len(tail), PROBES):
                 able = seen + len(tail) - at >= wanted
                 left, seen, wanted = left[able], seen[able], wanted[able]
@@ -196,20 +196,20 @@ def divide_skip_links(sizes: np.ndarray, flat: np.ndarray, side: np.ndarray) ->
                     yield x, y
 
 
-def _links_in(rep_type: pa.DataType):
+def _links_in(rep_type: pa.DataType, percent: int):
     def run(group: pa.Table) -> pa.Table:
         sizes = group.column("n").to_numpy()
         order = np.argsort(sizes, kind="stable")
         lists = group.column("shingles").combine_chunks()
         lists = lists.take(pa.array(order))
         side, reps = group.column("_side").to_numpy()[order], group.column("rep").take(pa.array(order))
-        pairs = list(divide_skip_links(sizes[order].astype(np.int64), lists.flatten().to_numpy(), side))
+        pairs = list(divide_skip_links(sizes[order].astype(np.int64), lists.flatten().to_numpy(), side, percent))
         u, v = (pa.array(c, pa.int64()) for c in zip(*pairs)) if pairs else (pa.array([], pa.int64()),) * 2
         return pa.table({"u": reps.take(u).cast(rep_type), "v": reps.take(v).cast(rep_type)})
     return run
 
 
-def set_links(sets: DataFrame, group_rows: int = GROUP_ROWS) -> DataFrame:
+def set_links(sets: DataFrame, group_rows: int = GROUP_ROWS, percent: int = PERCENT) -> DataFrame:
     """Links (u, v) between sets (rep, n, shingles); enough of them to connect what any link connects.
 
     Sets that share a hash of their rare prefixes may link, so components of that relation are joined on their own.
@@ -217,7 +217,7 @@ def set_links(sets: DataFrame, group_rows: int = GROUP_ROWS) -> DataFrame:
     that size, and each pair of its blocks is a task.
     """
     kind = sets.schema["rep"].dataType
-    prefixes = put_aside(_rare_prefixes(sets), "rare-prefixes")
+    prefixes = put_aside(_rare_prefixes(sets, percent), "rare-prefixes")
     leaders = put_aside(prefixes.groupBy("hash").agg(F.min("rep").alias("v"), F.max("rep").alias("_w")).filter("v <> _w").drop("_w"),
                         "leaders")
     near = components(prefixes.join(leaders, "hash").select(F.col("rep").alias("u"), "v"))
@@ -239,20 +239,20 @@ def set_links(sets: DataFrame, group_rows: int = GROUP_ROWS) -> DataFrame:
     from pyspark.sql.pandas.types import to_arrow_type
 
     return small.unionByName(large).groupBy("_g", "_i", "_j").applyInArrow(
-        _links_in(to_arrow_type(kind)), T.StructType([T.StructField("u", kind), T.StructField("v", kind)]))
+        _links_in(to_arrow_type(kind), percent), T.StructType([T.StructField("u", kind), T.StructField("v", kind)]))
 
 
 def near_copy_groups(records: DataFrame, key: str = "ln_folio_incidencia", text: str = "descripcion",
-                     group_rows: int = GROUP_ROWS) -> DataFrame:
+                     group_rows: int = GROUP_ROWS, shingle: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
     """Groups of incidents whose `descripcion` are near copies: key, n_shingles, component_id.
 
-    A set is the distinct 4-word shingles of the whole text, A-Z in lower case; two sets link when
-    100 * intersection >= 85 * union, and `component_id` is the least key that links lead to. Equal sets are one class;
+    A set is the distinct shingles (of `shingle` words) of the whole text, A-Z in lower case; two sets link when
+    100 * intersection >= percent * union, and `component_id` is the least key that links lead to. Equal sets are one class;
     classes that cannot have a partner are ruled out by hash prefixes, the sets of the others are joined by
     T-occurrence search (`divide_skip_links`). Every link between different sets counts; links inside what is
     connected already are not searched again. Sets hold 64-bit hashes of shingles.
 
-    A text of fewer than 4 words is one shingle; null, empty and blank texts have none and link with nothing. Rows
+    A text of fewer words than a shingle is one; null, empty and blank texts have none and link with nothing. Rows
     with a null key link with nothing and have a null component. Repeated rows come back as often as they are given; rows of one
     key are one record, whose links are those of all its rows. Other columns are ignored; an empty table gives no rows.
     """
@@ -262,13 +262,13 @@ def near_copy_groups(records: DataFrame, key: str = "ln_folio_incidencia", text:
     rows = records.select(F.col(key).alias("_key"), F.col(text).cast("string").alias("_text"))
     schema = T.StructType([T.StructField("_key", kind), T.StructField("n", T.LongType()), T.StructField("digest", T.LongType()),
                            T.StructField("prefix", T.ArrayType(T.LongType()))])
-    prefixes = put_aside(map_arrow(rows, _prefixes(to_arrow_type(kind)), schema), "prefixes")
+    prefixes = put_aside(map_arrow(rows, _prefixes(to_arrow_type(kind), shingle, percent), schema), "prefixes")
     named = prefixes.filter("_key is not null")
-    able = put_aside(_can_link(named), "able")
+    able = put_aside(_can_link(named, percent), "able")
     texts = rows.join(able.select(F.col("rep").alias("_key")).distinct().hint("shuffle_hash"), "_key", "left_semi")
-    sets = put_aside(map_arrow(texts, _sets(to_arrow_type(kind)), T.StructType([
+    sets = put_aside(map_arrow(texts, _sets(to_arrow_type(kind), shingle), T.StructType([
         T.StructField("rep", kind), T.StructField("n", T.LongType()), T.StructField("shingles", T.ArrayType(T.LongType()))])), "sets")
-    links = set_links(sets, group_rows)
+    links = set_links(sets, group_rows, percent)
     # equal sets: only classes of more than one key need the join
     several = put_aside(named.filter("n > 0").groupBy("digest").agg(F.min("_key").alias("rep"), F.max("_key").alias("_last")).filter(
         "rep <> _last").drop("_last"), "classes")

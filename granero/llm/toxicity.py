@@ -179,7 +179,7 @@ def _scale(features: np.ndarray, labels: np.ndarray) -> tuple[float, float, floa
 
 
 def score_toxicity(reports: DataFrame, labels: DataFrame, key: str = "hash_respuesta", text: str = "observaciones",
-                   label: str = "toxica", *, max_training: int = MAX_TRAINING) -> DataFrame:
+                   label: str = "toxica", *, max_training: int = MAX_TRAINING, row: str | None = None) -> DataFrame:
     """Toxicity, 0 to 1, of the `observaciones` of every field report; `labels` names the rows to learn from.
 
     The score is a logistic function of two comparisons of the models: the ratio of the length-normalised
@@ -190,9 +190,11 @@ def score_toxicity(reports: DataFrame, labels: DataFrame, key: str = "hash_respu
     Columns: key, score, predicted (1 from 0.5 on), toxic_loglik and ordinary_loglik (per word), peak. Null and empty
     texts have no words: both log-likelihoods and the peak are 0. Null keys are scored and never learnt from; labels
     other than 0 and 1 are ignored; a key labelled twice differently is learnt as toxic; repeated rows give repeated
-    rows. Without labels of both classes every score is 0. Other columns are ignored.
+    rows. Without labels of both classes every score is 0. Other columns are ignored. With `row`, a column that names each
+    row, the result has it in place of the key.
     """
-    rows = reports.select(F.col(key).alias("_key"), F.col(text).cast("string").alias("_text"))
+    name = row or key
+    rows = reports.select(F.col(key).alias("_key"), F.col(text).cast("string").alias("_text"), F.col(name).alias("_row"))
     known = labels.filter(F.col(key).isNotNull() & F.col(label).isin(0, 1)).groupBy(F.col(key).alias("_key")).agg(
         F.max(label).cast("int").alias("label"))
     order = F.xxhash64("_key", F.lit("training"))
@@ -203,11 +205,11 @@ def score_toxicity(reports: DataFrame, labels: DataFrame, key: str = "hash_respu
     model = fit(training)
     if model is None:
         none = F.lit(0.0)
-        return rows.select(F.col("_key").alias(key), none.alias("score"), F.lit(0).alias("predicted"),
+        return rows.select(F.col("_row").alias(name), none.alias("score"), F.lit(0).alias("predicted"),
                            none.alias("toxic_loglik"), none.alias("ordinary_loglik"), none.alias("peak"))
     shared = reports.sparkSession.sparkContext.broadcast(model)
     sample = map_arrow(training, _compare_left_out(shared), "label int, peak double, mean double").toPandas()
     scale = _scale(sample[["peak", "mean"]].to_numpy(float), sample["label"].to_numpy(float))
-    return _scored(rows, shared, scale).select(
-        F.col("_key").alias(key), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"), "toxic_loglik",
+    return _scored(rows.select(F.col("_row").alias("_key"), "_text"), shared, scale).select(
+        F.col("_key").alias(name), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"), "toxic_loglik",
         "ordinary_loglik", "peak")

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import random
 from collections import defaultdict
 from pathlib import Path
 
@@ -48,3 +49,31 @@ def test_the_pipeline_runs_and_keeps_rows_without_an_id(spark):
     assert out.columns == ["doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset"] and out.count() > 100
     docs = spark.read.parquet(f"{FOLDER}/documents.parquet").limit(5).selectExpr("cast(null as long) doc_id", "text", "lang", "source", "n_chars")
     assert corpus_pipeline.near_copies(spark, docs, FOLDER).count() == docs.count()
+
+
+DOCS = "doc_id long, text string, lang string, source string, n_chars long"
+
+
+def clean_texts(spark, n):
+    docs = spark.read.parquet(f"{FOLDER}/documents.parquet")
+    ids = [r["doc_id"] for r in quality_verdicts(docs, "doc_id", "text", "lang").filter("kept and n_words between 100 and 400").select("doc_id").collect()]
+    return [r["text"] for r in docs.filter(docs.doc_id.isin(ids)).orderBy("doc_id").collect()][:n]
+
+
+def test_near_copies_of_the_pipeline_are_five_words_and_80_percent(spark, frame):
+    words = [f"w{i}" for i in range(1000)]
+    copies = [" ".join(words), " ".join(words + [f"x{i}" for i in range(230)])]  # 996 of 1226 shingles, 0.81
+    copies.append(" ".join(f"y{i}" if i % 46 == 5 else w for i, w in enumerate(words)))  # 22 changed words
+    far = " ".join(words[:700] + [f"z{i}" for i in range(300)])
+    docs = frame([(i, t, "en", "a", 0) for i, t in enumerate([*copies, far])], DOCS)
+    assert sorted(r["doc_id"] for r in corpus_pipeline.near_copies(spark, docs, FOLDER).collect()) == [0, 3]
+
+
+def test_decisions_hit_rows_and_not_ids(spark, frame):
+    one, two = clean_texts(spark, 2)
+    docs = frame([(None, one, "en", "a", 0), (None, "junk", "en", "a", 0), (5, two, "en", "a", 0), (5, "junk", "en", "b", 0),
+                  (None, one, "en", "c", 0), (7, one, "en", "d", 0), (5, two, "en", "e", 0)], DOCS)
+    kept = corpus_pipeline.quality(spark, docs, FOLDER)
+    assert sorted(r["source"] for r in kept.collect()) == ["a", "a", "c", "d", "e"]
+    single = [(r["doc_id"], r["text"]) for r in corpus_pipeline.near_copies(spark, kept, FOLDER).collect()]
+    assert sorted(single) == sorted([(7, one), (5, two)])
