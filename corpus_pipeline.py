@@ -31,9 +31,9 @@ def _without(numbered: DataFrame, rejected: DataFrame) -> DataFrame:
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the quality rules keep."""
+    """Documents that the quality rules keep, held against fixed references of the languages."""
     numbered = _numbered(docs)
-    return _without(numbered, quality_verdicts(numbered, "_row", "text", "lang").filter("not kept"))
+    return _without(numbered, quality_verdicts(numbered, "_row", "text", "lang", fixed_references=True).filter("not kept"))
 
 
 def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -60,6 +60,16 @@ def clean_texts(spark, n):
     return [r["text"] for r in docs.filter(docs.doc_id.isin(ids)).orderBy("doc_id").collect()][:n]
 
 
+def test_a_hot_source_of_junk_does_not_hide_itself(spark, frame):
+    rng = random.Random(20)
+    texts = clean_texts(spark, 40)
+    for lang in ("en", None, "zz"):  # junk is a third of all rows and of their one language, or has one of its own
+        junk = [" ".join("".join(rng.choices("#*$%&|<>0123456789abcXYZ", k=6)) for _ in range(400)) for _ in range(20)]
+        docs = frame([(i, t, "en", "a", 0) for i, t in enumerate(texts)] + [(1000 + i, t, lang, "b", 0) for i, t in enumerate(junk)], DOCS)
+        left = {r["doc_id"] for r in corpus_pipeline.quality(spark, docs, FOLDER).collect()}
+        assert left == set(range(40))
+
+
 def test_near_copies_of_the_pipeline_are_five_words_and_80_percent(spark, frame):
     words = [f"w{i}" for i in range(1000)]
     copies = [" ".join(words), " ".join(words + [f"x{i}" for i in range(230)])]  # 996 of 1226 shingles, 0.81
