@@ -72,22 +72,26 @@ def _prefixes(key_type: pa.DataType, k: int, percent: int):
             for text in batch.column(1):
                 found = shingles(text.as_py(), memory, k)
                 n = len(found)
-                digest = xxhash.xxh3_64_intdigest(found.tobytes()) - (1 << 63) if n else None
-                rows.append((n, digest, _as_signed(found[:prefix_size(n, spare_of(n), percent)]) if n else []))
+                rows.append((n, _digest(found), _as_signed(found[:prefix_size(n, spare_of(n), percent)]) if n else []))
             columns = list(zip(*rows)) or [[], [], []]
             yield pa.RecordBatch.from_arrays([batch.column(0), *[pa.array(c, f.type) for c, f in zip(columns, list(schema)[1:])]],
                                              schema=schema)
     return run
 
 
-def _sets(key_type: pa.DataType, k: int):
-    schema = pa.schema([("rep", key_type), ("n", pa.int64()), ("shingles", pa.list_(pa.int64()))])
+def _digest(found: np.ndarray) -> int | None:
+    return xxhash.xxh3_64_intdigest(found.tobytes()) - (1 << 63) if len(found) else None
+
+
+def _sets(key_type: pa.DataType, k: int, by_class: bool = False):
+    schema = pa.schema([("rep", pa.int64() if by_class else key_type), ("n", pa.int64()), ("shingles", pa.list_(pa.int64()))])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         memory: dict[str, int] = {}
         for batch in batches:
             found = [_as_signed(shingles(t.as_py(), memory, k)) for t in batch.column(1)]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([len(f) for f in found], pa.int64()),
+            reps = pa.array([_digest(f) for f in found], pa.int64()) if by_class else batch.column(0)
+            yield pa.RecordBatch.from_arrays([reps, pa.array([len(f) for f in found], pa.int64()),
                                               pa.array(found, pa.list_(pa.int64()))], schema=schema)
     return run
 
@@ -136,14 +140,15 @@ class _Labels:
         self.members[b] = []
 
 
-def divide_skip_links(sizes: np.ndarray, flat: np.ndarray, side: np.ndarray, percent: int = PERCENT) -> Iterator[tuple[int, int]]:
-    """Links among sets (`flat` holds their hashes one set after the other, smaller sets first) that join components.
+def divide_skip_links(sizes: np.ndarray, flat: np.ndarray, side: np.ndarray, percent: int = PERCENT,
+                      every: bool = False) -> Iterator[tuple[int, int]]:
+    """Links among sets (`flat` holds their hashes one set after the other, smaller sets first): those that join components, or `every` one.
 
     For each set x in turn, over the inverted lists of the sets before it: a partner is in at least T = required(|x|)
     of the k lists that are not empty. The lists are divided by length. The k - T + 1 shortest must hold every partner:
     short ones are merged on a heap, counting. The T - 1 longest are probed by binary search for the candidates only,
     which drop out as soon as the lists left cannot bring them to their exact overlap. Candidates that already share a
-    component with x are not looked at again. With two sides, only pairs across them count.
+    component with x are not looked at again, unless every link is asked for. With two sides, only pairs across them count.
     """
     n = len(sizes)
     ends = np.cumsum(sizes)
@@ -173,13 +178,15 @@ def divide_skip_links(sizes: np.ndarray, flat: np.ndarray, side: np.ndarray, per
         for longer in slices[len(short):]:
             counts[longer] += 1
         candidates = np.flatnonzero(counts)
-        fits = (100 * sizes[candidates] >= percent * sizes[x]) & (labels.of[candidates] != labels.of[x])
+        fits = 100 * sizes[candidates] >= percent * sizes[x]
+        if not every:
+            fits &= labels.of[candidates] != labels.of[x]
         if both:
             fits &= side[candidates] != side[x]
         candidates = candidates[fits]
         candidates = candidates[np.argsort(-counts[candidates], kind="stable")]
         for part in (candidates[:8], candidates[8:]):
-            left = part[labels.of[part] != labels.of[x]]
+            left = part if every else part[labels.of[part] != labels.of[x]]
             seen = counts[left]
             wanted = -(-percent * (sizes[left] + sizes[x]) // (100 + percent))
             for at in range(0, len(tail), PROBES):
@@ -191,26 +198,28 @@ def divide_skip_links(sizes: np.ndarray, flat: np.ndarray, side: np.ndarray, per
                 hit = np.minimum(np.searchsorted(keys, probe), len(keys) - 1)
                 seen = seen + (keys[hit] == probe).sum(axis=0)
             for y in left[seen >= wanted].tolist():
-                if labels.of[y] != labels.of[x]:
+                if every:
+                    yield x, y
+                elif labels.of[y] != labels.of[x]:
                     labels.join(x, y)
                     yield x, y
 
 
-def _links_in(rep_type: pa.DataType, percent: int):
+def _links_in(rep_type: pa.DataType, percent: int, every: bool):
     def run(group: pa.Table) -> pa.Table:
         sizes = group.column("n").to_numpy()
         order = np.argsort(sizes, kind="stable")
         lists = group.column("shingles").combine_chunks()
         lists = lists.take(pa.array(order))
         side, reps = group.column("_side").to_numpy()[order], group.column("rep").take(pa.array(order))
-        pairs = list(divide_skip_links(sizes[order].astype(np.int64), lists.flatten().to_numpy(), side, percent))
+        pairs = list(divide_skip_links(sizes[order].astype(np.int64), lists.flatten().to_numpy(), side, percent, every))
         u, v = (pa.array(c, pa.int64()) for c in zip(*pairs)) if pairs else (pa.array([], pa.int64()),) * 2
         return pa.table({"u": reps.take(u).cast(rep_type), "v": reps.take(v).cast(rep_type)})
     return run
 
 
-def set_links(sets: DataFrame, group_rows: int = GROUP_ROWS, percent: int = PERCENT) -> DataFrame:
-    """Links (u, v) between sets (rep, n, shingles); enough of them to connect what any link connects.
+def set_links(sets: DataFrame, group_rows: int = GROUP_ROWS, percent: int = PERCENT, every: bool = False) -> DataFrame:
+    """Links (u, v) between sets (rep, n, shingles); enough of them to connect what any link connects, or `every` one, once.
 
     Sets that share a hash of their rare prefixes may link, so components of that relation are joined on their own.
     Small components travel together in groups of about `group_rows` sets; one that is larger is dealt into blocks of
@@ -239,7 +248,7 @@ def set_links(sets: DataFrame, group_rows: int = GROUP_ROWS, percent: int = PERC
     from pyspark.sql.pandas.types import to_arrow_type
 
     return small.unionByName(large).groupBy("_g", "_i", "_j").applyInArrow(
-        _links_in(to_arrow_type(kind), percent), T.StructType([T.StructField("u", kind), T.StructField("v", kind)]))
+        _links_in(to_arrow_type(kind), percent, every), T.StructType([T.StructField("u", kind), T.StructField("v", kind)]))
 
 
 def near_copy_groups(records: DataFrame, key: str = "ln_folio_incidencia", text: str = "descripcion",
@@ -276,3 +285,44 @@ def near_copy_groups(records: DataFrame, key: str = "ln_folio_incidencia", text:
     found = put_aside(components(links.unionByName(equal.filter("u <> v"))), "found").withColumnRenamed("node", "_node")
     return prefixes.select("_key", "n").join(found, F.col("_key") == F.col("_node"), "left").select(
         F.col("_key").alias(key), F.col("n").alias("n_shingles"), F.coalesce("component", "_key").alias("component_id"))
+
+
+def near_copy_links(records: DataFrame, key: str = "ln_folio_incidencia", text: str = "descripcion",
+                    group_rows: int = GROUP_ROWS, shingle: int = SHINGLE, percent: int = PERCENT) -> tuple[DataFrame, DataFrame]:
+    """Every link of `near_copy_groups`: rows (key, n_shingles, class_id, n_links, component_id), and links (u, v).
+
+    A class holds the records of one set; `class_id` is a hash of the set, null without words or key. The second table has
+    each pair of different classes that link once, by class. `n_links` counts the other records a record links to: the
+    rest of its class and the sizes of all classes that its class links to. A key whose rows have several texts is a
+    member of each of their classes and counts in each; its rows have their own classes and counts and one component.
+    """
+    from pyspark.sql.pandas.types import to_arrow_type
+
+    kind = records.schema[key].dataType
+    rows = records.select(F.col(key).alias("_key"), F.col(text).cast("string").alias("_text"))
+    schema = T.StructType([T.StructField("_key", kind), T.StructField("n", T.LongType()), T.StructField("digest", T.LongType()),
+                           T.StructField("prefix", T.ArrayType(T.LongType()))])
+    prefixes = put_aside(map_arrow(rows, _prefixes(to_arrow_type(kind), shingle, percent), schema), "prefixes")
+    named = prefixes.filter("_key is not null")
+    able = put_aside(_can_link(named, percent), "able")
+    texts = rows.join(able.select(F.col("rep").alias("_key")).distinct().hint("shuffle_hash"), "_key", "left_semi")
+    found = put_aside(map_arrow(texts, _sets(to_arrow_type(kind), shingle, True), T.StructType([
+        T.StructField("rep", T.LongType()), T.StructField("n", T.LongType()), T.StructField("shingles", T.ArrayType(T.LongType()))])), "sets")
+    sets = put_aside(found.join(able.select(F.col("digest").alias("rep")), "rep", "left_semi").dropDuplicates(["rep"]), "class-sets")
+    links = put_aside(set_links(sets, group_rows, percent, True), "class-links")
+    classes = put_aside(named.filter("n > 0").select("digest", "_key").distinct().groupBy("digest").agg(
+        F.count("*").alias("size"), F.min("_key").alias("first")), "classes")
+    ways = links.unionByName(links.select(F.col("v").alias("u"), F.col("u").alias("v")))
+    more = ways.join(classes.select(F.col("digest").alias("v"), "size"), "v").groupBy(F.col("u").alias("digest")).agg(
+        F.sum("size").alias("_more"))
+    counts = put_aside(classes.join(more, "digest", "left").select(
+        "digest", "first", (F.col("size") - 1 + F.coalesce("_more", F.lit(0))).alias("n_links")), "link-counts")
+    ends = counts.select("digest", "first")
+    between = links.join(ends.toDF("u", "_u"), "u").join(ends.toDF("v", "_v"), "v").select(F.col("_u").alias("u"), F.col("_v").alias("v"))
+    inside = named.join(ends, "digest").select(F.col("_key").alias("u"), F.col("first").alias("v"))
+    groups = put_aside(components(between.unionByName(inside.filter("u <> v"))), "found").withColumnRenamed("node", "_node")
+    counted = prefixes.withColumn("digest", F.when(F.col("_key").isNotNull(), F.col("digest"))).select("_key", "n", "digest").join(
+        counts.select("digest", "n_links"), "digest", "left")
+    return counted.join(groups, F.col("_key") == F.col("_node"), "left").select(
+        F.col("_key").alias(key), F.col("n").alias("n_shingles"), F.col("digest").alias("class_id"),
+        F.coalesce("n_links", F.lit(0)).alias("n_links"), F.coalesce("component", "_key").alias("component_id")), links

@@ -17,7 +17,7 @@ from granero.llm.components import components
 from granero.llm.dialogues import rotate_perspectives
 from granero.llm.license_scan import LICENSE_NOTICES, align, scan_templates, winnow
 from granero.llm.lm_scoring import PAIR_BITS, SMOOTHING, WORD_BITS, classes, score_against_target
-from granero.llm.near_copies import near_copy_groups
+from granero.llm.near_copies import near_copy_groups, near_copy_links
 from granero.llm.packing import CAPACITY, best_fit, cut, encoding, pack_histogram, pack_texts
 from granero.llm.quality_rules import quality_verdicts
 from granero.llm.series_search import nearest_series
@@ -403,3 +403,28 @@ def test_every_word_and_pair_has_its_own_count(frame, monkeypatch):
         assert r["background_loss"] == pytest.approx(even, rel=1e-9)
         own = int(r["ln_folio_incidencia"][1:]) % 2 == 0
         assert r["target_loss"] == pytest.approx(np.log(many / 2 - (per if own else 0) + many), rel=1e-9)
+
+
+@pytest.mark.parametrize("group_rows", [512, 6])
+def test_every_link_between_near_copies(frame, group_rows):
+    rng, texts = random.Random(21), []
+    for base in sentences(22, 3, 200):
+        for _ in range(9):
+            words = base.split()
+            for _ in range(rng.choice([0, 1, 1, 2, 9])):
+                words[rng.randrange(len(words))] = rng.choice("xyzw") * 3
+            texts.append(" ".join(words))
+    texts += [None, "", texts[0], texts[0].upper(), "uno dos"]
+    sets = [shingle_set(t) for t in texts]
+    n = len(texts)
+    linked = {(a, b) for a in range(n) for b in range(n) if a != b and sets[a] and sets[b]
+              and 100 * len(sets[a] & sets[b]) >= 85 * len(sets[a] | sets[b])}
+    docs, links = near_copy_links(incidents(frame, texts), group_rows=group_rows)
+    out = {int(r["ln_folio_incidencia"][1:]): r for r in docs.collect()}
+    assert {i: r["n_links"] for i, r in out.items()} == {i: sum(a == i for a, _ in linked) for i in range(n)}
+    pairs = [frozenset((r["u"], r["v"])) for r in links.collect()]
+    assert len(pairs) == len(set(pairs)) and set(pairs) == {
+        frozenset((out[a]["class_id"], out[b]["class_id"])) for a, b in linked if sets[a] != sets[b]}
+    assert len(pairs) > len({s for s in sets if s})  # more than a forest
+    groups = {r["ln_folio_incidencia"]: r["component_id"] for r in near_copy_groups(incidents(frame, texts)).collect()}
+    assert groups == {r["ln_folio_incidencia"]: r["component_id"] for r in out.values()}
