@@ -86,7 +86,34 @@ SELECT f.doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, ba
   NOT base_failed AND coalesce(c.d, 0) <= 0.3 AND coalesce(m.d, 0) <= 0.8 AS kept
 FROM f LEFT JOIN c ON c.doc_id = f.doc_id LEFT JOIN m ON m.doc_id = f.doc_id"""
 
+FILTER_AUDIT = r"""
+WITH l AS (SELECT doc_id, max(CASE WHEN quality = 1 THEN 1 ELSE 0 END) AS good, max(CASE WHEN toxic = 1 THEN 1 ELSE 0 END) AS toxic
+  FROM labels GROUP BY 1),
+t AS (SELECT doc_id, coalesce(source, '') AS part, coalesce(text, '') AS t, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w,
+    min(doc_id) OVER (PARTITION BY coalesce(text, '')) AS first FROM documents),
+f AS (SELECT part, coalesce(good, 0) AS good, coalesce(toxic, 0) AS toxic, concat(
+    CASE WHEN len(w) < 50 THEN 'A' ELSE '' END, CASE WHEN 100 * len(list_distinct(w)) < 65 * len(w) THEN 'B' ELSE '' END,
+    CASE WHEN 100 * length(regexp_replace(t, '[^A-Z]', '', 'g')) > 5 * length(t) THEN 'C' ELSE '' END,
+    CASE WHEN regexp_matches(t, '[#$%&*|]') THEN 'D' ELSE '' END, CASE WHEN first < t.doc_id THEN 'E' ELSE '' END) AS fails
+  FROM t LEFT JOIN l ON l.doc_id = t.doc_id),
+c AS (SELECT part, fails, count(*) AS n, sum(good) AS good, sum(toxic) AS toxic FROM f GROUP BY 1, 2),
+x AS (SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS k),
+o AS (SELECT concat(a.k, b.k, c.k, d.k, e.k) AS filter_order FROM x a JOIN x b ON b.k <> a.k JOIN x c ON c.k NOT IN (a.k, b.k)
+  JOIN x d ON d.k NOT IN (a.k, b.k, c.k) JOIN x e ON e.k NOT IN (a.k, b.k, c.k, d.k)),
+s AS (SELECT filter_order, step, filter_order[step:step] AS k, filter_order[1:step - 1] AS before FROM o, unnest(range(1, 6)) u(step)),
+r AS (SELECT part, filter_order, step, k, sum(n) FILTER (WHERE before || k = translate(before || k, fails, '')) AS kept,
+    sum(n) FILTER (WHERE contains(fails, k) AND before = translate(before, fails, '')) AS removed,
+    sum(n) FILTER (WHERE contains(fails, k) AND before <> translate(before, fails, '')) AS redundant,
+    sum(n) FILTER (WHERE fails = k) AS unique_fails,
+    sum(good) FILTER (WHERE contains(fails, k) AND before = translate(before, fails, '')) AS good_lost,
+    sum(toxic) FILTER (WHERE contains(fails, k) AND before = translate(before, fails, '')) AS toxic_lost
+  FROM c, s GROUP BY ALL)
+SELECT part, filter_order, CAST(step AS INTEGER) AS step, CAST(coalesce(kept, 0) AS BIGINT) AS kept, CAST(coalesce(removed, 0) AS BIGINT) AS removed,
+  CAST(coalesce(redundant, 0) AS BIGINT) AS redundant, CAST(coalesce(unique_fails, 0) AS BIGINT) AS unique_fails,
+  CAST(coalesce(good_lost, 0) AS BIGINT) AS good_lost, CAST(coalesce(toxic_lost, 0) AS BIGINT) AS toxic_lost,
+  CAST(sum(coalesce(removed, 0)) OVER (PARTITION BY part, k) AS BIGINT) AS shapley FROM r"""
+
 ORACLE: dict[str, str] = {
     "op1_warc_archive": WARC, "op5_exact_topk": TOP_K, "op6_chat_perspectives": PERSPECTIVES, "op8_ngram_jaccard": NEAR_COPIES,
-    "op9_quality_rules": QUALITY,
+    "op9_quality_rules": QUALITY, "op12_filter_audit": FILTER_AUDIT,
 }

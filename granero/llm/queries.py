@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from granero.llm.byte_bpe import encode_and_decode
 from granero.llm.dialogues import rotate_perspectives
+from granero.llm.filter_audit import audit_filters
 from granero.llm.license_scan import scan_templates
 from granero.llm.lm_scoring import score_against_target
 from granero.llm.near_copies import near_copy_groups
@@ -99,6 +100,16 @@ def op10_cross_entropy_difference(spark: SparkSession, folder: str) -> DataFrame
     return score_against_target(marked).withColumnRenamed("ln_folio_incidencia", "doc_id")
 
 
+def op12_filter_audit(spark: SparkSession, folder: str) -> DataFrame:
+    """The documents' source is who is responsible for the incident; labels say which documents are good or toxic."""
+    incidents = _table(spark, folder, "documents").select(
+        F.col("doc_id").alias("ln_folio_incidencia"), F.col("text").alias("descripcion"), F.col("source").alias("responsable_cdf"))
+    labels = _table(spark, folder, "labels").select(
+        F.col("doc_id").alias("ln_folio_incidencia"), F.col("quality").alias("validada"), F.col("toxic").alias("toxica"))
+    return audit_filters(incidents, labels)
+
+
 QUERIES = {f.__name__: f for f in (
     op1_warc_archive, op2_license_scan, op3_byte_bpe, op4_toxicity, op5_exact_topk, op6_chat_perspectives,
-    op7_bestfit_packing, op8_ngram_jaccard, op9_quality_rules, op10_cross_entropy_difference)}
+    op7_bestfit_packing, op8_ngram_jaccard, op9_quality_rules, op10_cross_entropy_difference,
+    op12_filter_audit)}
