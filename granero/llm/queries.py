@@ -12,6 +12,7 @@ from granero.llm.license_scan import scan_templates
 from granero.llm.lm_scoring import score_against_target
 from granero.llm.near_copies import near_copy_groups
 from granero.llm.oracle import ORACLE  # noqa: F401
+from granero.llm.ordered_packing import pack_in_order
 from granero.llm.packing import pack_texts
 from granero.llm.quality_rules import quality_verdicts
 from granero.llm.series_search import nearest_series
@@ -109,7 +110,11 @@ def op12_filter_audit(spark: SparkSession, folder: str) -> DataFrame:
     return audit_filters(incidents, labels)
 
 
+def op13_ordered_packing(spark: SparkSession, folder: str) -> DataFrame:
+    return pack_in_order(_incidents(spark, folder)).withColumnRenamed("ln_folio_incidencia", "doc_id")
+
+
 QUERIES = {f.__name__: f for f in (
     op1_warc_archive, op2_license_scan, op3_byte_bpe, op4_toxicity, op5_exact_topk, op6_chat_perspectives,
     op7_bestfit_packing, op8_ngram_jaccard, op9_quality_rules, op10_cross_entropy_difference,
-    op12_filter_audit)}
+    op12_filter_audit, op13_ordered_packing)}
