@@ -18,9 +18,10 @@ from granero.llm.dialogues import rotate_perspectives
 from granero.llm.license_scan import LICENSE_NOTICES, align, scan_templates, winnow
 from granero.llm.lm_scoring import PAIR_BITS, SMOOTHING, WORD_BITS, classes, score_against_target
 from granero.llm.near_copies import near_copy_groups, near_copy_links
-from granero.llm.packing import CAPACITY, best_fit, cut, encoding, pack_histogram, pack_texts
+from granero.llm.packing import CAPACITY, best_fit, cut, pack_histogram, pack_texts
 from granero.llm.quality_rules import quality_verdicts
 from granero.llm.series_search import nearest_series
+from granero.llm.tokens import encoding, ids_of
 from granero.llm.toxicity import score_toxicity
 from granero.llm.warc import archive_pages
 
@@ -169,13 +170,15 @@ def test_words_are_forgotten_in_time(monkeypatch, tiktoken_encoding):
         assert codec.encode([text])[0].tolist() == tiktoken_encoding.encode_ordinary(text)
 
 
-def test_ids_are_those_of_the_tokenizers_library(tiktoken_encoding):
+def test_ids_are_those_of_the_tokenizers_library():
     from tokenizers import Tokenizer
 
-    library = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
-    library.encode_special_tokens = True
-    for text in HARD + sentences(7, 20):
-        assert tiktoken_encoding.encode_ordinary(text) == library.encode(text, add_special_tokens=False).ids
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    library = Tokenizer.from_file(path)
+    special = ["a <|endoftext|> b", "<|endoftext|>", "x<|endoftext|><|endoftext|> ", "<|endoftext|", "<<|endoftext|>> é\n<|endoftext|>1"]
+    for text in HARD + special + sentences(7, 20):
+        assert ids_of(text, path).tolist() == library.encode(text, add_special_tokens=False).ids
+    assert 50256 in ids_of(special[0], path) and not len(ids_of(None, path))
 
 
 # ---- toxicity
