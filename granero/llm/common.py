@@ -7,12 +7,14 @@ import tempfile
 import zipfile
 from collections.abc import Callable
 from pathlib import Path
+from weakref import WeakKeyDictionary
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import granero
 from granero.session import scratch_path
+from granero.sources.sinks import drop_stored
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")  # a word is a run of anything but ASCII white space
 
@@ -21,7 +23,20 @@ def put_aside(df: DataFrame, name: str) -> DataFrame:
     """`df` written once as Parquet in the shared folder and read back: lineage is cut, lost executors change nothing."""
     path = scratch_path(df.sparkSession, name)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    stored = df.sparkSession.read.schema(df.schema).parquet(path)
+    _PLACES[stored] = path
+    return stored
+
+
+_PLACES: WeakKeyDictionary[DataFrame, str] = WeakKeyDictionary()  # folders of the frames that are put aside
+
+
+def release(*stored: DataFrame) -> None:
+    """Remove what `put_aside` wrote for these frames, once nothing reads them any more."""
+    for df in stored:
+        path = _PLACES.pop(df, None)
+        if path is not None:
+            drop_stored(df.sparkSession, path)
 
 
 def bucket_of(key: Column, buckets: int) -> Column:

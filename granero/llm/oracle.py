@@ -113,7 +113,24 @@ SELECT part, filter_order, CAST(step AS INTEGER) AS step, CAST(coalesce(kept, 0)
   CAST(coalesce(good_lost, 0) AS BIGINT) AS good_lost, CAST(coalesce(toxic_lost, 0) AS BIGINT) AS toxic_lost,
   CAST(sum(coalesce(removed, 0)) OVER (PARTITION BY part, k) AS BIGINT) AS shapley FROM r"""
 
+PHRASES = r"""
+WITH p AS (SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece FROM documents),
+w AS (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM p),
+g AS (SELECT lang, k, w[i:i + k - 1] AS g, count(*) AS f FROM w, unnest([1, 2, 3, 4]) u(k), unnest(range(1, len(w) - k + 2)) v(i) GROUP BY ALL),
+n AS (SELECT lang, sum(f) AS n FROM g WHERE k = 1 GROUP BY lang),
+f AS (SELECT * FROM g WHERE f >= 30),
+c AS (SELECT c.lang, c.k, c.g, c.f AS a, x.k AS cut, x.f AS l, y.f AS r, (CAST(c.f AS HUGEINT) * 2000000) // (CAST(x.f AS HUGEINT) + y.f) AS score
+  FROM f c JOIN f x ON x.lang = c.lang AND x.k < c.k AND x.g = c.g[1:x.k] JOIN f y ON y.lang = c.lang AND y.g = c.g[x.k + 1:]),
+b AS (SELECT * FROM c QUALIFY row_number() OVER (PARTITION BY lang, g ORDER BY score, cut) = 1),
+i AS (SELECT DISTINCT s.lang, s.g FROM f o, unnest(range(1, o.k)) u(m), unnest(range(1, o.k - m + 2)) v(j)
+  JOIN f s ON s.lang = o.lang AND s.k = m AND s.g = o.g[j:j + m - 1] AND 100 * o.f >= 80 * s.f),
+r AS (SELECT b.lang, row_number() OVER (PARTITION BY b.lang ORDER BY score DESC, a DESC, encode(array_to_string(b.g, ' '))) AS rank,
+    array_to_string(b.g, ' ') AS phrase, a, l, r, score FROM b LEFT JOIN i ON i.lang = b.lang AND i.g = b.g WHERE i.g IS NULL)
+SELECT r.lang, CAST(rank AS INTEGER) AS rank, phrase, CAST(a AS BIGINT) AS a, CAST(l AS BIGINT) AS l, CAST(r AS BIGINT) AS r, CAST(n AS BIGINT) AS n,
+  CAST(score AS BIGINT) AS score FROM r JOIN n ON n.lang = r.lang WHERE rank <= 2000"""
+
 ORACLE: dict[str, str] = {
     "op1_warc_archive": WARC, "op5_exact_topk": TOP_K, "op6_chat_perspectives": PERSPECTIVES, "op8_ngram_jaccard": NEAR_COPIES,
-    "op9_quality_rules": QUALITY, "op12_filter_audit": FILTER_AUDIT,
+    "op9_quality_rules": QUALITY, "op11_phrase_collocations": PHRASES, "op12_filter_audit": FILTER_AUDIT,
 }

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from granero.llm.byte_bpe import encode_and_decode
+from granero.llm.collocations import mine_phrases
 from granero.llm.dialogues import rotate_perspectives
 from granero.llm.filter_audit import audit_filters
 from granero.llm.license_scan import scan_templates
@@ -101,6 +102,13 @@ def op10_cross_entropy_difference(spark: SparkSession, folder: str) -> DataFrame
     return score_against_target(marked).withColumnRenamed("ln_folio_incidencia", "doc_id")
 
 
+def op11_phrase_collocations(spark: SparkSession, folder: str) -> DataFrame:
+    """The documents' language is the kind of incident."""
+    incidents = _table(spark, folder, "documents").select(
+        F.col("text").alias("descripcion"), F.col("lang").alias("tipo_incidente"))
+    return mine_phrases(incidents).withColumnRenamed("tipo_incidente", "lang")
+
+
 def op12_filter_audit(spark: SparkSession, folder: str) -> DataFrame:
     """The documents' source is who is responsible for the incident; labels say which documents are good or toxic."""
     incidents = _table(spark, folder, "documents").select(
@@ -117,4 +125,4 @@ def op13_ordered_packing(spark: SparkSession, folder: str) -> DataFrame:
 QUERIES = {f.__name__: f for f in (
     op1_warc_archive, op2_license_scan, op3_byte_bpe, op4_toxicity, op5_exact_topk, op6_chat_perspectives,
     op7_bestfit_packing, op8_ngram_jaccard, op9_quality_rules, op10_cross_entropy_difference,
-    op12_filter_audit, op13_ordered_packing)}
+    op11_phrase_collocations, op12_filter_audit, op13_ordered_packing)}
