@@ -60,10 +60,10 @@ def sentence_marks(path: str) -> np.ndarray:
 
 
 def sentence_ends(ids: np.ndarray, path: str) -> np.ndarray:
-    """Whether a sentence ends after each id: a line end, or an end mark before white space. Never after the last one."""
+    """Whether a sentence ends after each id: a line end, or an end mark before other white space. Never after the last one."""
     bits = sentence_marks(path)[ids]
     out = bits >= LINE
     if len(ids):
-        out[:-1] |= (bits[:-1] & STOP).astype(bool) & (bits[1:] & WHITE).astype(bool)
+        out[:-1] |= (bits[:-1] & STOP).astype(bool) & ((bits[1:] & (WHITE | LINE)) == WHITE)
         out[-1] = False
     return out

@@ -18,7 +18,7 @@ pytestmark = pytest.mark.skipif(not Path(FOLDER).exists(), reason="test tables a
 
 def test_names_of_the_stages():
     assert [n for n, _ in corpus_pipeline.STAGES] == ["quality", "toxicity", "near_copies", "packing"]
-    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 11)) and set(ORACLE) <= set(QUERIES)
+    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 14)) and set(ORACLE) <= set(QUERIES)
 
 
 def test_stages_keep_what_they_should(spark):
