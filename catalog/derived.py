@@ -4,9 +4,12 @@ from __future__ import annotations
 
 import datetime as dt
 
+from pyspark.sql import functions as F
+
 from catalog.base import register
 from granero.plans import deliveries as dl
-from granero.plans import directory, freight, inventory, kpi, orders, progress
+from granero.plans import directory, freight, inventory, kpi, orders, progress, stock_upkeep
+from granero.session import scratch_path
 
 YEAR = 1998
 START, END = dt.date(1998, 1, 1), dt.date(1998, 12, 31)
@@ -346,6 +349,32 @@ register("v26_daily_stock", lambda r: inventory.daily_stock(_flows(r), r.centres
          dbl=f"{FLOW_DBL} {INV}")
 register("v26_daily_stock_of_one_year", lambda r: inventory.daily_stock(_flows(r), r.centres(), START, END), FLOW_ROLES,
          f"SELECT * FROM ({STOCK}) s WHERE fecha BETWEEN DATE '{START}' AND DATE '{END}'", dbl=f"{FLOW_DBL} {INV}")
+
+
+def _kept_up(r):
+    """Stock as it stood some time ago (other freight, other centres, two months fewer), brought up to date by two change
+    sets, the first of them sent twice."""
+    path, now, h = scratch_path(r.spark, "existencias"), r.freight(), F.pmod(F.xxhash64("folio_del_flete"), F.lit(10))
+    tons, arrived = F.col("toneladas_en_el_destino"), F.col("fecha_de_entrega")
+    then = now.filter(h != 0).withColumns({
+        "toneladas_en_el_destino": F.when(h == 1, tons / 2).otherwise(tons).cast(now.schema["toneladas_en_el_destino"].dataType),
+        "fecha_de_entrega": F.when(h == 2, arrived - F.expr("INTERVAL '400' DAY")).otherwise(arrived)}).unionByName(
+        now.filter(h == 3).withColumn("folio_del_flete", F.concat(F.lit("D-"), "folio_del_flete")))
+    halfway = now.filter(h != 4).unionByName(then.filter(h == 4))
+    others = (r.transfers(), r.remnants(), r.incidents(), r.deliveries())
+    centres = r.centres()
+    known = centres.filter("cast(id_ceda_agricultura AS int) % 7 <> 0").withColumn(
+        "nombre_cedas", F.when(F.expr("cast(id_ceda_agricultura AS int) % 11 = 0"), F.lit("NOMBRE ANTERIOR")).otherwise(F.col("nombre_cedas")))
+    known = known.unionByName(known.filter("id_ceda_agricultura = '1'").withColumn("id_ceda_agricultura", F.lit("CERRADA")))
+    stock_upkeep.build_stock(inventory.stock_flows(then, *others), known, path, ALL_START, ALL_END - dt.timedelta(days=62), buckets=8)
+    for i, (old, new, listed, end) in enumerate([(then, halfway, known, None), (then, halfway, known, None), (halfway, now, centres, ALL_END)]):
+        removed, added = stock_upkeep.changed_rows(old, new)
+        changes = stock_upkeep.flow_changes(inventory.freight_flows(removed), inventory.freight_flows(added))
+        stock_upkeep.update_stock(r.spark, path, f"cambio-{max(i, 1)}", changes, listed, inventory.stock_flows(new, *others), end)
+    return stock_upkeep.stored_stock(r.spark, path)
+
+
+register("v26_incremental_stock", _kept_up, FLOW_ROLES, STOCK, dbl=f"{FLOW_DBL} {INV}")
 register("v27_negative_stock_by_day", lambda r: inventory.negative_stock(
     inventory.daily_stock(_flows(r), r.centres(), ALL_START, ALL_END)), FLOW_ROLES,
          f"SELECT * FROM ({STOCK}) s WHERE {NEG}", dbl=f"{FLOW_DBL} {INV}")

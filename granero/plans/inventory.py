@@ -51,12 +51,17 @@ def move_flows(moves: DataFrame) -> DataFrame:
     return moves.select(F.explode(sides).alias("f")).select("f.*")
 
 
+def freight_flows(freight: DataFrame) -> DataFrame:
+    """Delivered freight comes in at its centre."""
+    return _flow(freight.filter(has_status(DELIVERED)), "id_ceda_agricultura", F.to_date("fecha_de_entrega"),
+                 *_by_product("toneladas_en_el_destino"), inward=True)
+
+
 def stock_flows(freight: DataFrame, transfers: DataFrame, remnants: DataFrame, incidents: DataFrame,
                 deliveries: DataFrame) -> DataFrame:
     """All movements in one shape. In: freight, transfers, carry-over. Out: deliveries, transfers, losses."""
     return reduce(DataFrame.unionByName, [
-        _flow(freight.filter(has_status(DELIVERED)), "id_ceda_agricultura", F.to_date("fecha_de_entrega"),
-              *_by_product("toneladas_en_el_destino"), inward=True),
+        freight_flows(freight),
         move_flows(transfers),
         move_flows(remnants),
         _flow(incidents, "cdf_incidente", F.col("fecha_incidente"), *_by_product("ton_incidencia", "clave_producto"),
@@ -66,7 +71,8 @@ def stock_flows(freight: DataFrame, transfers: DataFrame, remnants: DataFrame, i
     ])
 
 
-def _daily_flows(flows: DataFrame) -> DataFrame:
+def daily_flows(flows: DataFrame) -> DataFrame:
+    """Sums per centre and movement day; rows without centre or day do not count."""
     return flows.filter("id_ceda_agricultura IS NOT NULL AND fecha IS NOT NULL").groupBy(
         "id_ceda_agricultura", "fecha").agg(*[F.coalesce(F.sum(c), F.lit(0)).cast(TONS).alias(c) for c in FLOWS])
 
@@ -77,7 +83,7 @@ def daily_stock(flows: DataFrame, centres: DataFrame, start: dt.date, end: dt.da
     Movements are summed per centre and day before they are shuffled; days without movement carry the stock on.
     """
     names = first_per_key(centre_context(centres, "nombre_cedas"), ["id_ceda_agricultura"])
-    spans = day_spans(_daily_flows(flows), names, ["id_ceda_agricultura"], FLOWS, start, end, totals=FLOWS)
+    spans = day_spans(daily_flows(flows), names, ["id_ceda_agricultura"], FLOWS, start, end, totals=FLOWS)
     stock = spans.select(
         *names.columns, "fecha", "hasta", *FLOWS,
         (F.col("dap_ton_total_entrada_acum") - F.col("dap_ton_total_salida_acum")).cast(TONS)
@@ -173,7 +179,7 @@ def field_vs_system(flows: DataFrame, reports: DataFrame, centres: DataFrame) ->
     Reports join the daily movements as rows of their own, so a running sum per centre answers "stock as of the
     report" without a range join; a centre has at most one row of each kind per day.
     """
-    daily = _daily_flows(flows).select(
+    daily = daily_flows(flows).select(
         "id_ceda_agricultura", "fecha", (F.col("dap_ton_total_entrada") - F.col("dap_ton_total_salida")).alias("dap"),
         (F.col("urea_ton_total_entrada") - F.col("urea_ton_total_salida")).alias("urea"))
     both = daily.unionByName(last_report_per_day(reports).withColumn("_reporte", F.lit(True)), allowMissingColumns=True)
