@@ -17,8 +17,8 @@ MIN_COUNT = 30
 PER_GROUP = 2000
 INSIDE_PERCENT = 80  # a phrase goes when a longer one around it has that share of its occurrences
 SCALE = 2_000_000
-BLOCK_BYTES = 16 << 20  # text of a block
-SLICE_BYTES = 4 << 20  # of a text that is split into words at a time
+BLOCK_BYTES = 4 << 20  # text of a block
+SLICE_BYTES = 1 << 20  # of a text that is split into words at a time
 TILE_MASS = 2_000_000  # occurrences of the ids of a strip of tiles
 DENSE_CELLS = 1 << 22  # cells of the largest tile that is counted by address
 CORNER = 1024  # the most frequent ids of a block are counted by address in a square of that side
@@ -179,7 +179,7 @@ def _narrow(values: np.ndarray) -> bytes:
     return values.astype(np.min_scalar_type(int(values.max(initial=0)))).tobytes()
 
 
-def _wide(packed: bytes, n: int) -> np.ndarray:
+def _wide(packed: bytes | pa.Buffer, n: int) -> np.ndarray:
     return np.frombuffer(packed, f"<u{len(packed) // n}").astype(np.int64) if n else np.zeros(0, np.int64)
 
 
@@ -189,8 +189,9 @@ def _count_tiles(bounds: dict[str, np.ndarray]):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for group, block, ids in zip(*(c.to_pylist() for c in batch.columns)):
-                keys, counts = count_keys(pair_keys(np.frombuffer(ids, np.uint32))[1])
+            for name, block, ids in zip(*batch.columns):
+                group = name.as_py()
+                keys, counts = count_keys(pair_keys(np.frombuffer(ids.as_buffer(), np.uint32))[1])
                 if not len(keys):
                     continue
                 first, second = _halves(keys)
@@ -199,7 +200,7 @@ def _count_tiles(bounds: dict[str, np.ndarray]):
                 out = []
                 for lo, hi in zip(starts.tolist(), [*starts[1:].tolist(), len(keys)]):
                     rows, lengths = np.unique(first[lo:hi], return_counts=True)
-                    out.append((group, int(strip[lo]), int(part[lo]), block, hi - lo, len(rows), _narrow(rows), _narrow(lengths),
+                    out.append((group, int(strip[lo]), int(part[lo]), block.as_py(), hi - lo, len(rows), _narrow(rows), _narrow(lengths),
                                 _narrow(second[lo:hi]), _narrow(counts[lo:hi])))
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), (
                     pa.string(), pa.int32(), pa.int32(), pa.int64(), pa.int32(), pa.int32(), *[pa.binary()] * 4))],
@@ -216,21 +217,26 @@ _TILE_SUMS = "grp string, strip int, part int, block long, hits binary, n int, k
 def _sum_tile(min_count: int, with_hits: bool):
     """Frequent keys of a tile and their counts (the row without block); for each block, which of them it holds."""
     def run(rows: pa.Table) -> pa.Table:
-        lists = [r for b in rows.to_batches() for r in b.to_pylist()]
-        keys = []
-        for r in lists:
-            first = np.repeat(_wide(r["rows"], r["n_rows"]), _wide(r["lengths"], r["n_rows"])).astype(np.uint64)
-            keys.append(first << np.uint64(32) | _wide(r["seconds"], r["n"]).astype(np.uint64))
-        found, total = sum_cells(np.concatenate(keys), np.concatenate([_wide(r["counts"], r["n"]) for r in lists]))
+        sizes = rows.column("n").to_pylist()
+        ends = np.cumsum([0, *sizes]).tolist()
+        every, counts = np.empty(ends[-1], np.uint64), np.empty(ends[-1], np.int64)
+        for lo, hi, n_rows, *packed in zip(ends, ends[1:], rows.column("n_rows").to_pylist(), *(
+                rows.column(c) for c in ("rows", "lengths", "seconds", "counts"))):
+            first, lengths, second, times = (p.as_buffer() for p in packed)
+            every[lo:hi] = np.repeat(_wide(first, n_rows), _wide(lengths, n_rows)).astype(np.uint64) << np.uint64(32)
+            every[lo:hi] |= _wide(second, hi - lo).astype(np.uint64)
+            counts[lo:hi] = _wide(times, hi - lo)
+        found, total = sum_cells(every, counts)
         found, total = found[total >= min_count], total[total >= min_count]
-        tile, out = tuple(lists[0][c] for c in _TILE), []
+        tile, out = tuple(rows.column(c)[0].as_py() for c in _TILE), []
         if len(found):
             out.append((*tile, None, None, len(found), found.tobytes(), total.astype(np.int64).tobytes()))
-            for r, own in zip(lists, keys) if with_hits else ():
+            for block, lo, hi in zip(rows.column("block").to_pylist(), ends, ends[1:]) if with_hits else ():
+                own = every[lo:hi]
                 at = np.minimum(np.searchsorted(found, own), len(found) - 1)
                 hits = at[found[at] == own]
                 if len(hits):
-                    out.append((*tile, r["block"], _narrow(hits), len(hits), None, None))
+                    out.append((*tile, block, _narrow(hits), len(hits), None, None))
         names = [f.split()[0] for f in _TILE_SUMS.split(", ")]
         kinds = (pa.string(), pa.int32(), pa.int32(), pa.int64(), pa.binary(), pa.int32(), pa.binary(), pa.binary())
         return pa.table({name: pa.array(c, t) for name, c, t in zip(names, zip(*out) if out else [[]] * len(names), kinds)})
@@ -275,7 +281,7 @@ def _rename_words(blocks: pa.Table, names: pa.Table) -> pa.Table:
     """A block's words by rank; those without one end a piece."""
     if not blocks.num_rows:
         return blocks
-    codes = np.frombuffer(blocks.column("ids")[0].as_py(), np.uint32)
+    codes = np.frombuffer(blocks.column("ids")[0].as_buffer(), np.uint32)
     rank = np.zeros(int(codes.max(initial=0)) + 1, np.uint32)
     rank[names.column("code").to_numpy()] = names.column("id").to_numpy()
     return _stream(blocks, rank[codes])
@@ -285,7 +291,7 @@ def _rename_pairs(blocks: pa.Table, names: pa.Table) -> pa.Table:
     """For each place of a block the rank of the pair that begins there, 0 for one that is not frequent."""
     if not blocks.num_rows:
         return blocks
-    ids = np.frombuffer(blocks.column("ids")[0].as_py(), np.uint32)
+    ids = np.frombuffer(blocks.column("ids")[0].as_buffer(), np.uint32)
     out = np.zeros(len(ids), np.uint32)
     if names.num_rows:
         keys = np.concatenate([np.frombuffer(k.as_py(), np.uint64) for k in names.column("keys")])
