@@ -4,11 +4,11 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from catalog.base import register
+from catalog.base import ORACLE, register
 from catalog.derived import ALL_END, ALL_START, YEAR
 from granero.functions import numbers, text
 from granero.operators import positions
-from granero.plans import batch, deliveries as dl
+from granero.plans import batch, batch_graph, deliveries as dl
 from granero.session import scratch_path
 from granero.sources import calendar, readers, sinks
 from granero.streaming import field_reports as fr
@@ -195,3 +195,35 @@ FROM deliveries d LEFT JOIN registry p ON p.acuse_estatal = d.acuse_estatal""")
 register("b1_stored_registry", lambda r: _stored(r, "padron", "acuse_estatal", "id_ceda_agricultura"), "registry deliveries", """
 SELECT p.acuse_estatal, coalesce(nullif(trim(d.cdf_entrega), ''), p.id_ceda_agricultura) AS id_ceda_agricultura
 FROM registry p LEFT JOIN deliveries d ON d.acuse_estatal = p.acuse_estatal""")
+
+
+# ---- the batch as a graph: run, let one step fail, run again ----------------------------------------
+
+_EXPORTS = {
+    "entregas_td": "v11_deliveries_by_centre", "fletes_td": "v12_freight_by_centre", "fletes_fechas_td": "v18_freight_by_delivery_day",
+    "fletes_por_origen": "v23_freight_by_origin", "incidencias_td": "v13_incident_totals", "pedidos_sigap_td": "j15_order_summary_by_centre",
+    "pedidos_td": "v14_orders_by_centre", "red_td": "v15_network_summary", "remanentes_td": "v13_remnant_totals",
+    "transferencias_td": "v13_transfer_totals", "abasto_por_estado": "v16_supply_by_state", "avances_td": "v16_progress_by_state",
+    "entregas_diarias": "v17_deliveries_by_day", "envios_diarios": "v18_shipments_by_day",
+    "derechohabientes_por_municipio": "v21_beneficiaries_by_municipality", "abasto_y_remanente_por_dia": "v19_supply_by_day_with_transit",
+    "abasto_y_remanente_por_dia_sin_transito": "v19_supply_by_day", "pedidos_y_remanentes_por_dia": "v14_orders_and_remnants_by_day",
+    "entregas_por_estado_y_sexo": "v17_deliveries_by_state_and_sex", "entregas_semanales": "v17_deliveries_by_week",
+    "pedidos_por_dia": "v14_orders_by_day", "reporte_derechohabientes": "v21_beneficiary_report", "reporte_fletes": "v21_freight_report",
+    "entregas_por_estado_ceda_y_fecha": "v31_deliveries_by_state_centre_day",
+}
+
+
+def _graph(r):
+    """The exports over whole tables: at first one step has no source; then it has, and only what failed is built."""
+    roles = ("centres", "registry", "freight", "transfers", "remnants", "incidents", "order_lines", "order_summary")
+    sources = {n: getattr(r, n)() for n in roles} | {"entregas": r.deliveries(), "freight": r.freight(with_origin=True)}
+    out, steps = scratch_path(r.spark, "grafo"), batch_graph.export_steps(ALL_START, ALL_END)
+    marks = {n: n for n in sources}
+    batch_graph.run_graph(r.spark, {n: df for n, df in sources.items() if n != "order_summary"}, out, steps, fingerprints=marks, code="1")
+    batch_graph.run_graph(r.spark, sources, out, steps, fingerprints=marks, code="1")
+    return batch_graph.read_manifest(r.spark, out).select(F.col("paso").alias("tabla"), "estado", "filas")
+
+
+register("b1_exports_as_graph", _graph, "", " UNION ALL ".join(
+    f"SELECT '{step}' AS tabla, '{'ok' if step == 'pedidos_sigap_td' else 'vigente'}' AS estado, (SELECT count(*) FROM ({ORACLE[query]}) q) AS filas"
+    for step, query in _EXPORTS.items()), big="filas")

@@ -43,6 +43,9 @@ def load_steps() -> list[Step]:
         "transfers": (loads.load_moves, schemas.MOVES, loads.MOVE_TEXT), "remnants": (loads.load_moves, schemas.MOVES, loads.MOVE_TEXT),
         "incidents": (loads.load_incidents, schemas.INCIDENTS, {}), "centres": (loads.load_centres, schemas.CENTRES, {}),
         "deliveries": (loads.load_deliveries, schemas.DELIVERIES, {"dates": parse_date_iso_first}),
+        "order_lines": (lambda raw: loads.load_order_lines(raw, "orden"), schemas.ORDER_LINES, {"style": "strict"}),
+        "order_summary": (loads.load_order_summary, schemas.ORDER_SUMMARY, {"style": "strict"}),
+        "field_reports": (loads.load_field_reports, schemas.FIELD_REPORTS, {}),
     }
     steps = []
     for name, (load, schema, style) in plain.items():
@@ -54,16 +57,19 @@ def load_steps() -> list[Step]:
 
 
 def daily_steps(year: int, start: dt.date, end: dt.date, one_hectare: tuple[str, ...] = (),
-                surface_from_registry: tuple[str, ...] = (), today: dt.date | None = None) -> list[Step]:
+                surface_from_registry: tuple[str, ...] = (), today: dt.date | None = None, registry_tons: bool = False) -> list[Step]:
     """B1: corrections and all derived tables over `centres`, `registry`, `deliveries`, `freight`, `transfers`,
-    `remnants`, `incidents`, `field_reports` (and `registry_file` where a corrected registry extract is at hand)."""
+    `remnants`, `incidents`, `field_reports` (and `registry_file` where a corrected registry extract is at hand).
+
+    With `registry_tons` the delivered tons and bags follow the registry where they differ (J11 d)."""
     state, today = F.col("estado_predio_capturada"), today or end
 
     def corrected_deliveries(t: Tables) -> DataFrame:
         fixed = set_where(t["deliveries"].withColumn("superficie_apoyada", F.col("superficie_apoyada").cast("bigint")),
                           "superficie_apoyada", state.isin(*one_hectare), F.lit(1).cast("bigint"))
-        return update_from(fixed, t["registry"], F.col("acuse_estatal"), F.col("acuse_estatal"), "superficie_apoyada",
-                           F.col("superficie"), state.isin(*surface_from_registry), empty="set")
+        fixed = update_from(fixed, t["registry"], F.col("acuse_estatal"), F.col("acuse_estatal"), "superficie_apoyada",
+                            F.col("superficie"), state.isin(*surface_from_registry), empty="set")
+        return tons_from_registry(fixed, t["registry"]) if registry_tons else fixed
 
     def corrected_registry(t: Tables) -> DataFrame:
         rows = t["registry"]

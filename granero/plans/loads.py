@@ -139,6 +139,11 @@ def load_order_summary(raw: DataFrame) -> DataFrame:
     return typed(raw, schemas.ORDER_SUMMARY, "strict")
 
 
+def load_field_reports(raw: DataFrame) -> DataFrame:
+    """Daily reports of the centres."""
+    return typed(raw, schemas.FIELD_REPORTS)
+
+
 def load_deliveries(raw: DataFrame, corrected: DataFrame | None = None, removed: DataFrame | None = None) -> DataFrame:
     """Deliveries: bag counts and surface without a value count 0, so do tons."""
     rows = typed(raw, schemas.DELIVERIES, dates=parse_date_iso_first)

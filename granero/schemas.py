@@ -96,4 +96,5 @@ KEYS = {
     "centres": "id_ceda_agricultura", "deliveries": "acuse_estatal", "registry": "acuse_estatal",
     "freight": "folio_del_flete", "transfers": "folio_transferencia", "remnants": "folio_transferencia",
     "incidents": "ln_folio_incidencia", "order_lines": "id_pedido", "order_summary": "id_cdf", "targets": "estado",
+    "field_reports": "hash_respuesta",
 }
