@@ -10,6 +10,7 @@ from catalog.base import register
 from granero.plans import deliveries as dl
 from granero.plans import directory, freight, inventory, kpi, orders, progress, stock_upkeep
 from granero.session import scratch_path
+from granero.sources import receipts
 
 YEAR = 1998
 START, END = dt.date(1998, 1, 1), dt.date(1998, 12, 31)
@@ -129,6 +130,17 @@ register("v6_list_progress_by_state", lambda r: progress.list_progress_by_state(
          "centres registry deliveries",
          _with(f"SELECT unidad_operativa, estado, {_V6COLS} FROM v5 GROUP BY ALL", f"v4 AS ({V4})", f"v5 AS ({V5})"),
          dbl=LIST_DBL, big=LIST_BIG)
+
+
+def _by_receipt(r):
+    """Registry and deliveries as stored by receipt."""
+    return tuple(receipts.store_by_receipt(df, scratch_path(r.spark, name), 8) for name, df in (("entregas", r.deliveries()), ("padron", r.registry())))
+
+
+register("j3_bucketed_delivery_list", lambda r: progress.delivery_list(*_by_receipt(r), r.centres()),
+         "centres registry deliveries", V4, dbl="dap_ton urea_ton total_ton", big="dias_transcurridos_entrega")
+register("j6_bucketed_unregistered", lambda r: progress.unregistered_deliveries(*_by_receipt(r)), "registry deliveries", """SELECT d.* FROM deliveries d
+WHERE NOT EXISTS (SELECT 1 FROM registry p WHERE p.acuse_estatal = d.acuse_estatal)""", dbl="ton_dap_entregada ton_urea_entregada", big="superficie_apoyada")
 register("v8_unregistered_deliveries",
          lambda r: progress.unregistered_deliveries(r.deliveries(), r.registry()),
          "registry deliveries", """SELECT d.* FROM deliveries d WHERE NOT EXISTS

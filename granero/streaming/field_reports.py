@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -27,9 +28,10 @@ def table_schema(raw: DataFrame) -> T.StructType:
     return T.StructType(list(raw.schema.fields) + [T.StructField(HASH, T.StringType()), T.StructField(DAY, T.DateType())])
 
 
-def unseen_reports(clean: DataFrame, stored: DataFrame, first: dt.date, last: dt.date) -> DataFrame:
-    """K9: reports whose hash is not stored. Equal hashes share their day, so only the batch's days are compared."""
-    near = stored.filter(F.col(DAY).between(F.lit(first), F.lit(last))).select(DAY, HASH)
+def unseen_reports(clean: DataFrame, stored: DataFrame, days: Sequence[dt.date]) -> DataFrame:
+    """K9: reports whose hash is not stored. Equal hashes share their day, so only the batch's own days are compared:
+    one report with an old date opens that day's partition and none between."""
+    near = stored.filter(F.col(DAY).isin(list(days))).select(DAY, HASH)
     return clean.join(near, [DAY, HASH], "left_anti").select(clean.columns)
 
 
@@ -40,10 +42,10 @@ def append_reports(raw: DataFrame, table: str) -> None:
     spark.createDataFrame([], schema).write.mode("ignore").parquet(table)
     clean = clean_reports(raw).persist()  # read for its days and for its rows; a lost part is worked out again
     try:
-        first, last = clean.agg(F.min(DAY), F.max(DAY)).first()
-        if first is not None:
+        days = [r[0] for r in clean.select(DAY).distinct().collect()]  # as many as the calendar has at most
+        if days:
             stored = spark.read.schema(schema).parquet(table)
-            balanced(unseen_reports(clean, stored, first, last), DAY).write.mode("append").partitionBy(DAY).parquet(table)
+            balanced(unseen_reports(clean, stored, days), DAY).write.mode("append").partitionBy(DAY).parquet(table)
     finally:
         clean.unpersist()
 

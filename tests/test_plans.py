@@ -2,18 +2,22 @@
 
 from __future__ import annotations
 
+import datetime as dt
 from pathlib import Path
 
 import pytest
 
 import catalog
 from catalog.base import Roles
-from granero.operators import filters
+from granero.operators import dedupe, filters
+from granero.plans import progress
+from granero.sources import receipts
+from granero.streaming import field_reports
 
 FOLDER = "/root/testdata/sf0.001"
 pytestmark = pytest.mark.skipif(not Path(FOLDER).exists(), reason="test tables are not here")
 # queries whose result is read back from files they write
-WRITERS = ("s1_", "s2_", "s4_", "s7_", "s9_", "k1_", "k2_", "k3_", "k4_", "k5_", "k6_", "k9_", "r1_", "r2_", "b1_", "l1_null", "l2_", "deliveries_query_page", "load_order_lines", "v26_incremental",
+WRITERS = ("s1_", "s2_", "s4_", "s7_", "s9_", "k1_", "k2_", "k3_", "k4_", "k5_", "k6_", "k9_", "r1_", "r2_", "b1_", "l1_null", "l2_", "deliveries_query_page", "load_order_lines", "v26_incremental", "j3_bucketed", "j6_bucketed",
            "a11_quantile_of_table", "a11_quantile_with")
 
 
@@ -51,3 +55,37 @@ def test_a_long_list_leaves_the_facts_where_they_are(spark):
     deliveries = Roles(spark, FOLDER).raw("orders").selectExpr("cast(o_orderkey AS string) AS k")
     listed = plan(filters.filter_in_list(deliveries, "k", "\n".join(map(str, range(5000)))))
     assert "BroadcastHashJoin" in text and "Exchange hash" not in listed and "SortMergeJoin" not in listed
+
+
+def test_tables_by_receipt_meet_without_a_shuffle(spark, tmp_path):
+    roles = Roles(spark, FOLDER)
+    registry, deliveries = (receipts.store_by_receipt(df, str(tmp_path / n), 4) for n, df in (("p", roles.registry()), ("d", roles.deliveries())))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        for df in (progress.unregistered_deliveries(deliveries, registry), progress.unique_registry(registry),
+                   progress._delivery_list(deliveries, registry), dedupe.difference_report(deliveries, registry, "acuse_estatal", ["curp_renapo"])):
+            text = plan(df)
+            assert "Exchange" not in text and "Bucketed: true" in text
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_tables_by_receipt_are_merged_and_found_again(spark, frame, tmp_path):
+    path, schema = str(tmp_path / "p"), "acuse_estatal string, v int"
+    receipts.merge_by_receipt(frame([("a", 1), ("b", 1), ("c", 1)], schema), path, 3)
+    receipts.merge_by_receipt(frame([("b", 2), ("d", 3), ("d", 2)], schema), path, 3)
+    spark.sql(f"DROP TABLE {receipts._table_name(path)}")  # as in a later session
+    again = receipts.read_by_receipt(spark, path)
+    assert sorted(map(tuple, again.collect())) == [("a", 1), ("b", 2), ("c", 1), ("d", 2)] and "Exchange" not in plan(again.groupBy("acuse_estatal").count())
+
+
+def test_a_batch_of_reports_reads_its_own_days(spark, frame, tmp_path):
+    path, day = str(tmp_path / "reportes"), dt.date(2025, 1, 1)
+    stored = frame([(f"h{i}", day + dt.timedelta(days=i)) for i in range(30)], "hash_respuesta string, fecha_registro date")
+    stored.write.partitionBy("fecha_registro").parquet(path)
+    batch = frame([("h0", day), ("x", day), ("h29", day + dt.timedelta(days=29)), ("y", day + dt.timedelta(days=29))], "hash_respuesta string, fecha_registro date")
+    near = spark.read.schema(stored.schema).parquet(path)
+    found = field_reports.unseen_reports(batch, near, [r[0] for r in batch.select("fecha_registro").distinct().collect()])
+    assert {r["hash_respuesta"] for r in found.collect()} == {"x", "y"}
+    text = plan(found)
+    assert "PartitionFilters: [" in text and "fecha_registro" in text[text.index("PartitionFilters: ["):] and " IN (" in text
