@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import gc
 import re
 import tempfile
 import zipfile
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 from pathlib import Path
 from weakref import WeakKeyDictionary
 
@@ -25,10 +27,13 @@ def put_aside(df: DataFrame, name: str) -> DataFrame:
     df.write.parquet(path)
     stored = df.sparkSession.read.schema(df.schema).parquet(path)
     _PLACES[stored] = path
+    if _WORKSPACES:
+        _WORKSPACES[-1].append(stored)
     return stored
 
 
 _PLACES: WeakKeyDictionary[DataFrame, str] = WeakKeyDictionary()  # folders of the frames that are put aside
+_WORKSPACES: list[list[DataFrame]] = []  # open ones, the innermost last
 
 
 def release(*stored: DataFrame) -> None:
@@ -39,6 +44,37 @@ def release(*stored: DataFrame) -> None:
             drop_stored(df.sparkSession, path)
 
 
+@contextmanager
+def workspace() -> Iterator[Callable[[DataFrame], DataFrame]]:
+    """What is put aside inside goes when the block ends, but for the frames that the given function was called with.
+
+    A result that is still to be computed may read kept frames only. The driver then collects its garbage, upon which
+    Spark removes the shuffle files of the frames that are gone.
+    """
+    kept: list[DataFrame] = []
+
+    def keep(df: DataFrame) -> DataFrame:
+        kept.append(df)
+        return df
+
+    _WORKSPACES.append([])
+    try:
+        yield keep
+    finally:
+        held = _WORKSPACES.pop()
+        outer = _WORKSPACES[-1] if _WORKSPACES else []
+        for df in held:
+            if any(df is k for k in kept):
+                outer.append(df)
+            else:
+                release(df)
+        if held:
+            session = held[0].sparkSession
+            del held
+            gc.collect()
+            session._jvm.System.gc()
+
+
 def bucket_of(key: Column, buckets: int) -> Column:
     """Even bucket 0..buckets-1 of a key; null keys share one."""
     return F.pmod(F.xxhash64(key), F.lit(buckets)).cast("int")

@@ -56,7 +56,7 @@ def op4_toxicity(spark: SparkSession, folder: str) -> DataFrame:
         F.col("doc_id").alias("hash_respuesta"), F.col("toxic").alias("toxica"))
     return score_toxicity(reports, labels).select(
         F.col("hash_respuesta").alias("doc_id"), held_out("hash_respuesta").alias("held_out"), "score", "predicted",
-        "toxic_loglik", "ordinary_loglik")
+        "toxic_loglik", "ordinary_loglik", "ratio")
 
 
 def op5_exact_topk(spark: SparkSession, folder: str) -> DataFrame:
@@ -94,10 +94,10 @@ def op9_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def op10_cross_entropy_difference(spark: SparkSession, folder: str) -> DataFrame:
-    """Target: the documents labelled as good; background: all of them."""
+    """Target: the documents labelled as good; background: all of them. Spark sends the labels to the texts while they are small."""
     good = _table(spark, folder, "labels").filter("quality = 1").select(F.col("doc_id").alias("_good")).distinct()
     incidents = _incidents(spark, folder)
-    marked = incidents.join(good.hint("shuffle_hash"), F.col("ln_folio_incidencia") == F.col("_good"), "left").select(
+    marked = incidents.join(good, F.col("ln_folio_incidencia") == F.col("_good"), "left").select(
         "ln_folio_incidencia", "descripcion", F.col("_good").isNotNull().alias("validada"))
     return score_against_target(marked).withColumnRenamed("ln_folio_incidencia", "doc_id")
 

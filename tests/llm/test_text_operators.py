@@ -211,6 +211,44 @@ def test_toxicity_without_labels(frame):
     assert score_toxicity(reports.limit(0), known.limit(0)).collect() == []
 
 
+def test_kneser_ney_by_plain_counting(frame):
+    import granero.llm.toxicity as module
+
+    rng = random.Random(22)
+    stock = ["zoquete", "urea", "roto", "el", "muy"] + [f"w{i}" for i in range(25)]
+    rows = [(i % 2, " ".join(rng.choices(stock[i % 2:], k=60))) for i in range(40)] + [(0, None), (1, "")]
+    model = module.fit(frame(rows, "label int, text string"))
+    places = model.places()
+
+    def contexts(members):
+        return {(v, w) for t in members for words in [module._words(t)] for v, w in zip(["", *words], words)}
+
+    both = [contexts([t for k, t in rows if k == label]) for label in (0, 1)]
+    counts = [Counter(w for _, w in c) for c in both]
+    everything = sum(map(len, both)) + len(counts[0] | counts[1]) + 1
+    assert set(places) == {w for c in counts for w, n in c.items() if n > module.DISCOUNT} == {w for w in counts[0] | counts[1]}
+    for i in (0, 1, 7):
+        text = module._words(rows[i][1])
+        for own in (None, rows[i][0]):
+            got = model.log_probabilities(np.array([places[w] for w in text]), own)
+            for label in (0, 1):
+                seen = counts[label] - Counter(w for _, w in contexts([rows[i][1]])) if label == own else counts[label]
+                total, freed = sum(seen.values()), sum(min(n, module.DISCOUNT) for n in seen.values())
+                for at, w in enumerate(text):
+                    shared = (counts[0][w] + counts[1][w] + 1) / everything
+                    assert np.exp(got[label][at]) == pytest.approx((max(seen[w] - module.DISCOUNT, 0) + freed * shared) / total)
+
+
+def test_the_comparison_of_the_models_always_decides(frame):
+    import granero.llm.toxicity as module
+
+    texts = sentences(23, 60, 40)
+    reports = frame([(i, t) for i, t in enumerate(texts)], "hash_respuesta int, observaciones string")
+    for truth in ([i % 2 for i in range(60)], [int(i < 3) for i in range(60)]):  # labels without any ground
+        _, (_, slope) = module._learn(reports, frame(list(enumerate(truth)), "hash_respuesta int, toxica int"), "hash_respuesta", "observaciones", "toxica", 8000)
+        assert slope > 0
+
+
 # ---- series
 
 def test_nearest_series(frame):
@@ -362,7 +400,10 @@ def test_losses_against_plain_counting(frame):
                  "ln_folio_incidencia string, descripcion string, validada boolean, score double")
     read = [classes(t, {}) for t in texts]
 
-    def loss(i, members):
+    lengths = [len(r[0]) for r in read]
+    matched = sum(n for n, m in zip(lengths, target) if m) / sum(lengths)
+
+    def loss(i, members, weight=1.0):
         single, pair = read[i]
         words, pairs = Counter(), Counter()
         for j in members:
@@ -371,10 +412,10 @@ def test_losses_against_plain_counting(frame):
                 pairs.update(read[j][1].tolist())
         total, out = sum(words.values()), 0.0
         for k, w in enumerate(single.tolist()):
-            share = (words[w] + 1) / (total + 2**WORD_BITS)
+            share = (weight * words[w] + 1) / (weight * total + 2**WORD_BITS)
             if k:
-                seen = pairs[int(pair[k - 1])]
-                share = (seen + SMOOTHING * share) / (max(words[int(single[k - 1])], seen) + SMOOTHING)
+                seen = weight * pairs[int(pair[k - 1])]
+                share = (seen + SMOOTHING * share) / (max(weight * words[int(single[k - 1])], seen) + SMOOTHING)
             out -= np.log(share)
         return out / len(single)
 
@@ -384,13 +425,24 @@ def test_losses_against_plain_counting(frame):
         if not r["n_tokens"]:
             assert r["score"] is None and r["target_loss"] is None
             continue
-        near, far = loss(i, [j for j, m in enumerate(target) if m]), loss(i, range(len(texts)))
+        near, far = loss(i, [j for j, m in enumerate(target) if m]), loss(i, range(len(texts)), matched)
         assert r["target_loss"] == pytest.approx(near) and r["background_loss"] == pytest.approx(far)
         assert r["score"] == pytest.approx(near - far)
     assert max(read[0][1]) < 2**PAIR_BITS
     assert score_against_target(data.limit(0)).collect() == []
 
 
+def test_a_larger_background_shifts_no_score(frame):
+    rng = random.Random(21)
+    texts = [" ".join(rng.choices("urea roto el muy tarde dap bulto saldo".split(), k=90)) for _ in range(400)]
+    schema = "ln_folio_incidencia int, descripcion string, validada boolean"
+    once = [(i, t, i < 40) for i, t in enumerate(texts[:200])]
+    before, after = ({r["ln_folio_incidencia"]: r["score"] for r in score_against_target(frame(rows, schema)).collect()}
+                     for rows in (once, once + [(i + 200, t, False) for i, t in enumerate(texts[200:])]))
+    assert max(abs(before[i] - after[i]) for i in range(200)) < 0.05
+    assert abs(np.mean([before[i] - after[i] for i in range(200)])) < 0.005
+
+
 def test_every_word_and_pair_has_its_own_count(frame, monkeypatch):
     """More distinct words than the 2**18 there were classes of; blocks and shares of counts are many."""
     import granero.llm.lm_scoring as module
@@ -402,7 +454,7 @@ def test_every_word_and_pair_has_its_own_count(frame, monkeypatch):
     monkeypatch.setattr(module, "SHARE_BYTES", 1 << 18)
     data = frame([(f"F{i:04d}", t, i % 2 == 0) for i, t in enumerate(texts)], "ln_folio_incidencia string, descripcion string, validada boolean")
     for r in score_against_target(data).collect():  # no word occurs in another text: nothing is left but the smoothing
-        even = np.log(many - per + many)
+        even = np.log((many - per) / 2 + many)  # the background weighs as much as the target, half of the texts
         assert r["background_loss"] == pytest.approx(even, rel=1e-9)
         own = int(r["ln_folio_incidencia"][1:]) % 2 == 0
         assert r["target_loss"] == pytest.approx(np.log(many / 2 - (per if own else 0) + many), rel=1e-9)
