@@ -9,9 +9,10 @@ from pyspark.sql import functions as F
 from catalog.base import register
 from catalog.derived import (ALL_END, ALL_START, CAL, DAILY, ENRICHED, FLOW_DBL, FLOW_ROLES, FT, INV, ORD_REM, STOCK,
                              _flows, _supply)
-from granero.operators import daily, dedupe, filters, positions, series, summaries
+from granero.operators import daily, dedupe, filters, positions, series, sorted_layout, summaries
 from granero.plans import deliveries as dl
 from granero.plans import batch, freight, inventory, orders, reports
+from granero.session import scratch_path
 from granero.sources import sinks
 
 TODAY = dt.date(1998, 10, 1)
@@ -337,6 +338,20 @@ SELECT folio_del_flete, fecha_de_salida, toneladas_iniciales FROM freight ORDER
 register("l2_deep_page", lambda r: filters.page(r.freight().select("folio_del_flete", "fecha_de_salida"), 40, 100, "-fecha_de_salida",
                                                 "folio_del_flete"), "freight", """
 SELECT folio_del_flete, fecha_de_salida FROM freight ORDER BY fecha_de_salida DESC NULLS FIRST, folio_del_flete LIMIT 100 OFFSET 3900""")
+
+
+def _stored_order(r):
+    """Three pages of one stored order: the first, one far inside and the last."""
+    path = scratch_path(r.spark, "orden")
+    sorted_layout.store_sorted(r.freight().select("folio_del_flete", "fecha_de_salida", "toneladas_iniciales"), path, "-fecha_de_salida", "folio_del_flete")
+    pages = [sorted_layout.sorted_page(r.spark, path, n, 100).withColumn("pagina", F.lit(name)) for n, name in ((1, "primera"), (40, "40"), (10**9, "última"))]
+    return pages[0].unionByName(pages[1]).unionByName(pages[2])
+
+
+register("l2_pages_of_stored_order", _stored_order, "freight", """
+SELECT folio_del_flete, fecha_de_salida, toneladas_iniciales, CASE i // 100 WHEN 0 THEN 'primera' WHEN 39 THEN '40' ELSE 'última' END AS pagina
+FROM (SELECT *, row_number() OVER (ORDER BY fecha_de_salida DESC NULLS FIRST, folio_del_flete) - 1 AS i, count(*) OVER () AS total FROM freight) n
+WHERE i // 100 IN (0, 39, (total - 1) // 100)""", dbl="toneladas_iniciales")
 register("l3_limit_with_full_summary", lambda r: filters.rows_with_summary(
     freight.enriched_freight(r.freight(), r.centres()), 10000, ["folio_del_flete"],
     {"fletes": F.count("*"), "toneladas": F.sum("toneladas_iniciales").cast("decimal(18,3)")})

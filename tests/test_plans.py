@@ -9,7 +9,7 @@ import pytest
 
 import catalog
 from catalog.base import Roles
-from granero.operators import dedupe, filters
+from granero.operators import dedupe, filters, sorted_layout
 from granero.plans import progress
 from granero.sources import receipts
 from granero.streaming import field_reports
@@ -89,3 +89,23 @@ def test_a_batch_of_reports_reads_its_own_days(spark, frame, tmp_path):
     assert {r["hash_respuesta"] for r in found.collect()} == {"x", "y"}
     text = plan(found)
     assert "PartitionFilters: [" in text and "fecha_registro" in text[text.index("PartitionFilters: ["):] and " IN (" in text
+
+
+def test_a_page_of_a_stored_order_reads_its_parts_and_sorts_no_table(spark, frame, tmp_path):
+    path = str(tmp_path / "orden")
+    rows = [(i, None if i % 7 == 0 else i * i % 100) for i in range(1, 1001)]
+    sorted_layout.store_sorted(frame(rows, "id int, v int"), path, "-v", "id")
+    expect = sorted(rows, key=lambda r: (r[1] is not None, -(r[1] or 0), r[0]))
+    parts = spark.read.parquet(f"{path}/partes").count()
+    for number in (1, 2, 17, 40, 99):
+        page = sorted_layout.sorted_page(spark, path, number, 25)
+        start = (min(number, 40) - 1) * 25
+        assert [tuple(r) for r in page.collect()] == expect[start:start + 25]
+        text = plan(page)
+        assert "PartitionFilters: [" in text and "_parte#" in text[text.index("PartitionFilters: ["):]
+    sizes = [(7, 300, 0), (8, 300, 300), (9, 400, 600)]
+    assert parts >= 1 and sorted_layout.places_of_page(sizes, 4, 100) == [(8, 0, 100)]
+    assert sorted_layout.places_of_page(sizes, 2, 250) == [(7, 250, 300), (8, 0, 200)]
+    assert sorted_layout.places_of_page(sizes, 99, 300) == [(9, 300, 400)] and sorted_layout.places_of_page([], 1, 10) == []
+    sorted_layout.store_sorted(frame([], "id int, v int"), str(tmp_path / "nada"), "id")
+    assert sorted_layout.sorted_page(spark, str(tmp_path / "nada"), 3, 10).collect() == []
