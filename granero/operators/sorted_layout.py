@@ -23,11 +23,16 @@ def store_sorted(df: DataFrame, path: str, *order: str) -> None:
     rows = df.repartitionByRange(*by).sortWithinPartitions(*by).withColumn(PLACE, number)
     rows.withColumns({PART: F.shiftright(PLACE, ROW_BITS).cast("int"), PLACE: F.col(PLACE).bitwiseAND((1 << ROW_BITS) - 1)}).write.partitionBy(
         PART).parquet(f"{path}/filas")
+    df.limit(0).withColumns({PLACE: F.lit(0).cast("bigint"), PART: F.lit(0)}).write.parquet(f"{path}/forma")  # the layout, for a table without rows
     before = Window.orderBy(PART).rowsBetween(Window.unboundedPreceding, -1)  # one row per part
-    sizes = spark.read.parquet(f"{path}/filas").groupBy(PART).agg(F.count("*").alias("filas"))
+    sizes = _rows(spark, path).groupBy(PART).agg(F.count("*").alias("filas"))
     sizes.select(PART, "filas", F.coalesce(F.sum("filas").over(before), F.lit(0)).alias("antes")).coalesce(1).write.parquet(f"{path}/partes")
 
 
+def _rows(spark: SparkSession, path: str) -> DataFrame:
+    return spark.read.schema(spark.read.parquet(f"{path}/forma").schema).parquet(f"{path}/filas")
+
+
 def places_of_page(parts: list[tuple[int, int, int]], number: int, size: int) -> list[tuple[int, int, int]]:
     """(part, first place, place after the last) of a page, given (part, rows, rows before it) of every part."""
     start = (clamp_page(number, size, sum(rows for _, rows, _ in parts)) - 1) * size
@@ -43,5 +48,4 @@ def sorted_page(spark: SparkSession, path: str, number: int, size: int) -> DataF
     inside = F.lit(False)
     for part, low, high in places_of_page([tuple(r) for r in spark.read.parquet(f"{path}/partes").select(PART, "filas", "antes").collect()], number, size):
         inside = inside | ((F.col(PART) == part) & (F.col(PLACE) >= low) & (F.col(PLACE) < high))
-    rows = spark.read.parquet(f"{path}/filas").filter(inside)
-    return rows.orderBy(PART, PLACE).drop(PART, PLACE)
+    return _rows(spark, path).filter(inside).orderBy(PART, PLACE).drop(PART, PLACE)
