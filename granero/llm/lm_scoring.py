@@ -13,11 +13,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from granero.llm.common import map_arrow, put_aside, ship_package
+from granero.llm.common import map_arrow, put_aside, ship_package, workspace
 
 TOKEN = re.compile(r"\w+")
 WORD_BITS = 18  # words that the smoothing supposes at least; a larger vocabulary counts as it is
 PAIR_BITS = 63  # bits of the hash that stands for a word or a pair of words
+LOW_BITS = 40  # bits of it that tell the words of a share apart; there are as many shares as the input needs
 SMOOTHING = 16.0  # weight of the single-word model inside the pair model
 BLOCK_BYTES, SHARE_BYTES = 8 << 20, 16 << 20  # text of a block, and text for each share of the counts
 MEMORY = 1 << 20  # word hashes a task remembers
@@ -68,14 +69,14 @@ class _Block:
         _, back, times = np.unique(self.docs_of[table] * max(1, len(hashes)) + at, return_inverse=True, return_counts=True)
         return times[back]
 
-    def losses(self, words: np.ndarray, pairs: np.ndarray, total: int, vocabulary: int, own: np.ndarray) -> np.ndarray:
+    def losses(self, words: np.ndarray, pairs: np.ndarray, total: int, vocabulary: int, own: np.ndarray, weight: float = 1.0) -> np.ndarray:
         """Mean loss (nats) of every text under the interpolated model; texts in `own` are taken out of it first.
 
-        Single words: (count + 1) / (words + vocabulary). From the second word on, with p that share:
-        (pair count + SMOOTHING * p) / (count of the word before + SMOOTHING).
+        Counts times `weight`. Single words: (count + 1) / (words + vocabulary). From the second word on, with p that
+        share: (pair count + SMOOTHING * p) / (count of the word before + SMOOTHING).
         """
-        c_word, c_pair = (c[self.found[k][1]] - self.times[k] * own[self.docs_of[k]] for k, c in ((WORDS, words), (PAIRS, pairs)))
-        share = (c_word + 1) / ((total - self.lengths * own)[self.doc] + float(vocabulary))
+        c_word, c_pair = (weight * (c[self.found[k][1]] - self.times[k] * own[self.docs_of[k]]) for k, c in ((WORDS, words), (PAIRS, pairs)))
+        share = (c_word + 1) / (weight * (total - self.lengths * own)[self.doc] + float(vocabulary))
         chance = share.copy()
         chance[self.later] = (c_pair + SMOOTHING * share[self.later]) / (c_word[self.later - 1] + SMOOTHING)
         return np.bincount(self.doc, -np.log(chance), minlength=len(self.lengths)) / np.maximum(self.lengths, 1)
@@ -96,16 +97,40 @@ def _wide(packed: bytes, n: int) -> np.ndarray:
     return np.frombuffer(packed, f"<u{len(packed) // n}").astype(np.int64) if n else np.zeros(0, np.int64)
 
 
+def _pack(rows: pa.StructArray) -> bytes:
+    """Texts of a block as one compressed Arrow stream."""
+    sink = pa.BufferOutputStream()
+    batch = pa.RecordBatch.from_struct_array(rows)
+    with pa.ipc.new_stream(sink, batch.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as stream:
+        stream.write_batch(batch)
+    return sink.getvalue().to_pybytes()
+
+
+def _unpack(packed: pa.Scalar) -> pa.StructArray:
+    return pa.ipc.open_stream(packed.as_buffer()).read_next_batch().to_struct_array()
+
+
+def _pack_hashes(hashes: np.ndarray) -> bytes:
+    """The low bits of hashes, low words first and then the bytes above them."""
+    low = hashes & np.uint64((1 << LOW_BITS) - 1)
+    return low.astype("<u4").tobytes() + (low >> np.uint64(32)).astype(np.uint8).tobytes()
+
+
+def _unpack_hashes(packed: pa.Buffer) -> np.ndarray:
+    n = len(packed) // 5
+    return np.frombuffer(packed, "<u4", n).astype(np.uint64) | np.frombuffer(packed, np.uint8, n, 4 * n).astype(np.uint64) << np.uint64(32)
+
+
 def _blocks(docs: pa.DataType):
-    schema = pa.schema([("_block", pa.int64()), ("_bytes", pa.int64()), ("_docs", pa.list_(docs))])
+    schema = pa.schema([("_block", pa.int64()), ("_bytes", pa.int64()), ("_docs", pa.binary())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         first, held, size, n = TaskContext.get().partitionId() << 32, [], 0, 0
 
         def block() -> pa.RecordBatch:
             rows = pa.concat_arrays(held)
-            return pa.RecordBatch.from_arrays([pa.array([first + n], pa.int64()), pa.array([size], pa.int64()), pa.ListArray.from_arrays(
-                pa.array([0, len(rows)], pa.int32()), rows)], schema=schema)
+            return pa.RecordBatch.from_arrays([pa.array([first + n], pa.int64()), pa.array([size], pa.int64()), pa.array(
+                [_pack(rows)], pa.binary())], schema=schema)
 
         for batch in batches:
             rows = pa.StructArray.from_arrays([c.cast(f.type) for c, f in zip(batch.columns, docs)], fields=list(docs))
@@ -131,11 +156,11 @@ def _count(shares: int):
         limits = [(i << PAIR_BITS) // shares for i in range(shares)]
         for batch in batches:
             for name, docs in zip(batch.column(0), batch.column(1)):
-                block, out = _Block(docs.values, memory), []
+                block, out = _Block(_unpack(docs), memory), []
                 for table in (WORDS, PAIRS):
                     hashes, target, background = block.counts(table)
                     ends = [*np.searchsorted(hashes, np.array(limits, np.uint64)).tolist(), len(hashes)]
-                    out += [(name.as_py(), table, i, hashes[lo:hi].tobytes(), _narrow(target[lo:hi]), _narrow(background[lo:hi]))
+                    out += [(name.as_py(), table, i, _pack_hashes(hashes[lo:hi]), _narrow(target[lo:hi]), _narrow(background[lo:hi]))
                             for i, (lo, hi) in enumerate(zip(ends, ends[1:]))]
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), (
                     pa.int64(), pa.int32(), pa.int32(), pa.binary(), pa.binary(), pa.binary()))],
@@ -145,7 +170,7 @@ def _count(shares: int):
 
 def _sum(rows: pa.Table) -> pa.Table:
     """Counts of all blocks for one share of the hashes, each block's in the order of its hashes; a row without block has the totals."""
-    hashes = [np.frombuffer(h.as_py(), np.uint64) for h in rows.column("hashes")]
+    hashes = [_unpack_hashes(h.as_buffer()) for h in rows.column("hashes")]
     ends = np.cumsum([0, *map(len, hashes)])
     known, at = np.unique(np.concatenate(hashes), return_inverse=True)
     sums = []
@@ -164,16 +189,17 @@ def _sum(rows: pa.Table) -> pa.Table:
 
 
 def _scorer(n_target: int, n_background: int, vocabulary: int, key_type: pa.DataType):
+    weight = min(1.0, n_target / max(1, n_background))
     schema = pa.schema([("_key", key_type), ("n_tokens", pa.int64()), *[(n, pa.float64()) for n in ("target_loss", "background_loss", "score")]])
 
     def score(blocks: pa.Table, counts: pa.Table) -> pa.Table:
-        docs = blocks.column("_docs").combine_chunks().values
+        docs = _unpack(blocks.column("_docs")[0])
         block = _Block(docs, {})
         rows = sorted(counts.select(["_table", "_share", "target", "background", "n"]).to_pylist(), key=lambda r: (r["_table"], r["_share"]))
         model = {name: [np.concatenate([np.zeros(0, np.int64), *(_wide(r[name], r["n"]) for r in rows if r["_table"] == table)])
                         for table in (WORDS, PAIRS)] for name in ("target", "background")}
         near = block.losses(*model["target"], n_target, vocabulary, block.chosen)
-        far = block.losses(*model["background"], n_background, vocabulary, np.ones(len(docs), bool))
+        far = block.losses(*model["background"], n_background, vocabulary, np.ones(len(docs), bool), weight)
         empty = block.lengths == 0
         return pa.Table.from_arrays([docs.field("_key"), pa.array(block.lengths), *[
             pa.array(x, pa.float64(), mask=empty) for x in (near, far, near - far)]], schema=schema)
@@ -185,14 +211,15 @@ def score_against_target(records: DataFrame, key: str = "ln_folio_incidencia", t
     """Mean loss per word of every incident's `descripcion` under a model of the validated ones and one of all.
 
     `score` is target loss minus background loss: the lower, the more a text is like the target. Both are word-pair
-    models with a count for every word and pair of words of the corpus, each known by a 64-bit hash less one bit, so
-    the model grows with the corpus. Texts are stored in blocks; a block sends each of its distinct words and pairs once
+    models with a count for every word and pair of words of the corpus, known by its share of the hashes and 40 further
+    bits, so the model grows with the corpus. They are matched: one vocabulary, one smoothing, and background counts
+    scaled to the size of the target, so that a larger background of the same kind changes no score. Texts are stored in blocks; a block sends each of its distinct words and pairs once
     to the share of the hashes it falls into, where all blocks are summed, and gets the sums back in the same order. No
     task holds more than a block or a share, and the driver sees totals only. A text's own words are taken out of a
     model it was counted into, so a target text gains nothing from itself.
 
     Texts without words have 0 tokens and null losses; a null `is_target` means no; null keys are scored; repeated rows
-    count and are scored as often as they come; without target rows the target model is even. Other columns are
+    count and are scored as often as they come; without target rows both models are even. Other columns are
     ignored; an empty table gives no rows.
     """
     from pyspark.sql.pandas.types import to_arrow_type
@@ -200,16 +227,17 @@ def score_against_target(records: DataFrame, key: str = "ln_folio_incidencia", t
     kind = records.schema[key].dataType
     rows = records.select(F.col(key).alias("_key"), F.coalesce(F.col(is_target).cast("boolean"), F.lit(False)).alias("_target"),
                           F.col(text).cast("string").alias("_text"))
-    docs = T.StructType([T.StructField("_key", kind), T.StructField("_target", T.BooleanType()), T.StructField("_text", T.StringType())])
     key_type = to_arrow_type(kind)
-    blocks = put_aside(map_arrow(rows, _blocks(pa.struct([("_key", key_type), ("_target", pa.bool_()), ("_text", pa.string())])), T.StructType([
-        T.StructField("_block", T.LongType()), T.StructField("_bytes", T.LongType()), T.StructField("_docs", T.ArrayType(docs))])), "blocks")
-    size = blocks.agg(F.sum("_bytes")).first()[0] or 0
-    partial = map_arrow(blocks.select("_block", "_docs"), _count(max(1, -(-size // SHARE_BYTES))),
-                        "_block long, _table int, _share int, hashes binary, target binary, background binary")
-    counts = put_aside(partial.groupBy("_table", "_share").applyInArrow(
-        lambda t: _sum(t), "_block long, _table int, _share int, target binary, background binary, n long, n_target long, n_background long"),
-        "counts")
+    with workspace() as keep:
+        blocks = keep(put_aside(map_arrow(rows, _blocks(pa.struct([("_key", key_type), ("_target", pa.bool_()), ("_text", pa.string())])),
+                                          "_block long, _bytes long, _docs binary"), "blocks"))
+        size = blocks.agg(F.sum("_bytes")).first()[0] or 0
+        partial = map_arrow(blocks.select("_block", "_docs"), _count(max(1, -(-size // SHARE_BYTES))),
+                            "_block long, _table int, _share int, hashes binary, target binary, background binary")
+        counts = keep(put_aside(partial.groupBy("_table", "_share").applyInArrow(
+            lambda t: _sum(t), "_block long, _table int, _share int, target binary, background binary, n long, n_target long, n_background long"),
+            "counts"))
+        del partial
     totals = {r["_table"]: r for r in counts.filter("_block is null").groupBy("_table").agg(
         F.sum("n").alias("n"), F.sum("n_target").alias("n_target"), F.sum("n_background").alias("n_background")).collect()}
     words = totals.get(WORDS, {"n": 0, "n_target": 0, "n_background": 0})
