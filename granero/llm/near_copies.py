@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from granero.llm.common import WORD, bucket_of, map_arrow, put_aside, ship_package
+from granero.llm.common import WORD, bucket_of, map_arrow, put_aside, release, ship_package, workspace
 from granero.llm.components import components
 
 SHINGLE = 4
@@ -271,19 +271,22 @@ def near_copy_groups(records: DataFrame, key: str = "ln_folio_incidencia", text:
     rows = records.select(F.col(key).alias("_key"), F.col(text).cast("string").alias("_text"))
     schema = T.StructType([T.StructField("_key", kind), T.StructField("n", T.LongType()), T.StructField("digest", T.LongType()),
                            T.StructField("prefix", T.ArrayType(T.LongType()))])
-    prefixes = put_aside(map_arrow(rows, _prefixes(to_arrow_type(kind), shingle, percent), schema), "prefixes")
-    named = prefixes.filter("_key is not null")
-    able = put_aside(_can_link(named, percent), "able")
-    texts = rows.join(able.select(F.col("rep").alias("_key")).distinct().hint("shuffle_hash"), "_key", "left_semi")
-    sets = put_aside(map_arrow(texts, _sets(to_arrow_type(kind), shingle), T.StructType([
-        T.StructField("rep", kind), T.StructField("n", T.LongType()), T.StructField("shingles", T.ArrayType(T.LongType()))])), "sets")
-    links = set_links(sets, group_rows, percent)
-    # equal sets: only classes of more than one key need the join
-    several = put_aside(named.filter("n > 0").groupBy("digest").agg(F.min("_key").alias("rep"), F.max("_key").alias("_last")).filter(
-        "rep <> _last").drop("_last"), "classes")
-    equal = named.join(several, "digest").select(F.col("_key").alias("u"), F.col("rep").alias("v"))
-    found = put_aside(components(links.unionByName(equal.filter("u <> v"))), "found").withColumnRenamed("node", "_node")
-    return prefixes.select("_key", "n").join(found, F.col("_key") == F.col("_node"), "left").select(
+    with workspace() as keep:
+        prefixes = put_aside(map_arrow(rows, _prefixes(to_arrow_type(kind), shingle, percent), schema), "prefixes")
+        sizes = keep(put_aside(prefixes.select("_key", "n"), "set-sizes"))
+        named = prefixes.filter("_key is not null")
+        # equal sets: only classes of more than one key need the join
+        several = named.filter("n > 0").groupBy("digest").agg(F.min("_key").alias("rep"), F.max("_key").alias("_last")).filter(
+            "rep <> _last").drop("_last")
+        equal = put_aside(named.select("_key", "digest").join(several, "digest").select(F.col("_key").alias("u"), F.col("rep").alias("v")), "equal")
+        able = put_aside(_can_link(named, percent), "able")
+        release(prefixes)
+        texts = rows.join(able.select(F.col("rep").alias("_key")).distinct(), "_key", "left_semi")
+        sets = put_aside(map_arrow(texts, _sets(to_arrow_type(kind), shingle), T.StructType([
+            T.StructField("rep", kind), T.StructField("n", T.LongType()), T.StructField("shingles", T.ArrayType(T.LongType()))])), "sets")
+        links = set_links(sets, group_rows, percent)
+        found = keep(put_aside(components(links.unionByName(equal.filter("u <> v"))), "found")).withColumnRenamed("node", "_node")
+    return sizes.join(found, F.col("_key") == F.col("_node"), "left").select(
         F.col("_key").alias(key), F.col("n").alias("n_shingles"), F.coalesce("component", "_key").alias("component_id"))
 
 
@@ -305,7 +308,7 @@ def near_copy_links(records: DataFrame, key: str = "ln_folio_incidencia", text:
     prefixes = put_aside(map_arrow(rows, _prefixes(to_arrow_type(kind), shingle, percent), schema), "prefixes")
     named = prefixes.filter("_key is not null")
     able = put_aside(_can_link(named, percent), "able")
-    texts = rows.join(able.select(F.col("rep").alias("_key")).distinct().hint("shuffle_hash"), "_key", "left_semi")
+    texts = rows.join(able.select(F.col("rep").alias("_key")).distinct(), "_key", "left_semi")
     found = put_aside(map_arrow(texts, _sets(to_arrow_type(kind), shingle, True), T.StructType([
         T.StructField("rep", T.LongType()), T.StructField("n", T.LongType()), T.StructField("shingles", T.ArrayType(T.LongType()))])), "sets")
     sets = put_aside(found.join(able.select(F.col("digest").alias("rep")), "rep", "left_semi").dropDuplicates(["rep"]), "class-sets")

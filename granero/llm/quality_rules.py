@@ -159,6 +159,11 @@ def _fixed(references: Mapping[str, Sequence[int]]) -> list[list[float]]:
     return [[v / sum(r) for v in r] for r in references.values()]
 
 
+def _settled(rows: DataFrame) -> DataFrame:
+    """The rows as they are; no later expression is merged into theirs, so each column is computed once."""
+    return rows.select(F.explode(F.array(F.struct("*"))).alias("_settled")).select("_settled.*")
+
+
 def _n_common() -> int:
     return len({w for group in COMMON_WORDS.values() for w in group})
 
@@ -189,8 +194,13 @@ def quality_verdicts(records: DataFrame, key: str = "ln_folio_incidencia", text:
     Nulls: a null text counts as empty (no words, base rules fail); null keys and languages are kept, a null language is
     one more reference group (fixed references take no notice of it). Repeated rows give repeated rows; other columns are ignored; an empty table gives no rows.
     """
-    features = put_aside(text_features(records, key, text, language), "quality")
-    classes, common = (_fixed(CLASS_REFERENCES), _fixed(WORD_REFERENCES)) if fixed_references else _references(features)
+    features = text_features(records, key, text, language)
+    if fixed_references:
+        features = _settled(features)
+        classes, common = _fixed(CLASS_REFERENCES), _fixed(WORD_REFERENCES)
+    else:
+        features = put_aside(features, "quality")  # read twice: for the references and for the verdicts
+        classes, common = _references(features)
     scored = _with_shares(_with_shares(features, "_classes"), "_common").withColumn(
         "class_distance", F.when(F.col("_classes_total") >= min_chars, _nearest("_classes_share", classes))).withColumn(
         "word_distance", F.when(F.col("_common_total") >= min_common, _nearest("_common_share", common)))
@@ -199,3 +209,9 @@ def quality_verdicts(records: DataFrame, key: str = "ln_folio_incidencia", text:
         F.coalesce("word_distance", F.lit(0.0)) > max_word_distance)
     return scored.select(F.col("_key").alias(key), "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
                          "base_failed", (~F.col("base_failed") & ~far).alias("kept"), "class_distance", "word_distance")
+
+
+def keep_good(records: DataFrame, text: str = "descripcion", language: str = "idioma") -> DataFrame:
+    """The records that `quality_verdicts` keeps by the fixed references, all columns as they came, in one map-only step."""
+    rows = records.select(F.struct("*").alias("_row"), F.col(text).alias("_body"), F.col(language).alias("_lang"))
+    return quality_verdicts(rows, "_row", "_body", "_lang", fixed_references=True).filter("kept").select("_row.*")

@@ -87,3 +87,20 @@ def test_decisions_hit_rows_and_not_ids(spark, frame):
     assert sorted(r["source"] for r in kept.collect()) == ["a", "a", "c", "d", "e"]
     single = [(r["doc_id"], r["text"]) for r in corpus_pipeline.near_copies(spark, kept, FOLDER).collect()]
     assert sorted(single) == sorted([(7, one), (5, two)])
+
+
+def test_toxic_documents_go_and_clean_ones_stay(spark, frame, tmp_path):
+    rng = random.Random(24)
+    stock = [f"palabra{i}" for i in range(150)]
+    rows, truth = [], {}
+    for i in range(400):
+        words = rng.choices(stock, k=rng.randrange(20, 300))
+        truth[i] = i % 5 == 0
+        if truth[i]:
+            words[rng.randrange(len(words))] = rng.choice(["zoquete", "inútil", "patán"])
+        rows.append((i, " ".join(words), "es", "a", 0))
+    frame([(i, int(t)) for i, t in truth.items() if i < 300], "doc_id long, toxic int").write.parquet(str(tmp_path / "labels.parquet"))
+    left = corpus_pipeline.toxicity(spark, frame(rows, DOCS), str(tmp_path))
+    kept = {r["doc_id"] for r in left.collect()}
+    assert left.columns == ["doc_id", "text", "lang", "source", "n_chars"]
+    assert sum(i in kept for i in truth if truth[i]) <= 2 and sum(i in kept for i in truth if not truth[i]) >= 0.98 * 320
